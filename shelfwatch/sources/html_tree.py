@@ -1,0 +1,93 @@
+"""A small element tree over the standard library's HTML tokenizer, used per page inside tasks."""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterator
+from html.parser import HTMLParser
+
+VOID_TAGS = frozenset(
+    "area base br col embed hr img input link meta param source track wbr".split()
+)
+
+
+class Element:
+    __slots__ = ("tag", "attrs", "content")
+
+    def __init__(self, tag: str, attrs: dict[str, str]):
+        self.tag = tag
+        self.attrs = attrs
+        self.content: list[Element | str] = []
+
+    def walk(self) -> Iterator[Element]:
+        """Elements below this one in document order."""
+        pending = [iter(self.content)]
+        while pending:
+            for child in pending[-1]:
+                if isinstance(child, Element):
+                    yield child
+                    pending.append(iter(child.content))
+                    break
+            else:
+                pending.pop()
+
+    def select(self, *tags: str, cls: str = "", has_class: str = "", href: str = "", id: str = "") -> Iterator[Element]:
+        """Elements by tag, class pattern, exact class, link pattern or id."""
+        for e in self.walk():
+            names = e.attrs.get("class", "")
+            if (
+                (not tags or e.tag in tags)
+                and (not cls or re.search(cls, names, re.I))
+                and (not has_class or has_class in names.split())
+                and (not href or re.search(href, e.attrs.get("href", "")))
+                and (not id or e.attrs.get("id") == id)
+            ):
+                yield e
+
+    def first(self, *tags: str, **conditions: str) -> Element | None:
+        return next(self.select(*tags, **conditions), None)
+
+    def text(self, separator: str = "") -> str:
+        """Trimmed non-empty texts below this element, script and style left out."""
+        parts = []
+        pending: list[Element | str] = list(reversed(self.content))
+        while pending:
+            child = pending.pop()
+            if isinstance(child, str):
+                if child.strip():
+                    parts.append(child.strip())
+            elif child.tag not in ("script", "style"):
+                pending.extend(reversed(child.content))
+        return separator.join(parts)
+
+
+class _Builder(HTMLParser):
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.root = Element("", {})
+        self.open = [self.root]
+
+    def handle_starttag(self, tag, attrs):
+        element = Element(tag, {k: v or "" for k, v in attrs})
+        self.open[-1].content.append(element)
+        if tag not in VOID_TAGS:
+            self.open.append(element)
+
+    def handle_startendtag(self, tag, attrs):
+        self.open[-1].content.append(Element(tag, {k: v or "" for k, v in attrs}))
+
+    def handle_endtag(self, tag):
+        for depth in range(len(self.open) - 1, 0, -1):
+            if self.open[depth].tag == tag:
+                del self.open[depth:]
+                break
+
+    def handle_data(self, data):
+        self.open[-1].content.append(data)
+
+
+def parse(html: str) -> Element:
+    builder = _Builder()
+    builder.feed(html)
+    builder.close()
+    return builder.root
