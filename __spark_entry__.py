@@ -48,6 +48,10 @@ def on_star(view: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
     return lambda spark, folder: plain(view(warehouse.build_star(retail.landing_rows(spark, folder))))
 
 
+def on_landing(load: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, folder: plain(load(retail.landing_rows(spark, folder)))
+
+
 def on_table(name: str, query: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, folder: plain(query(retail.table(spark, folder, name)))
 
@@ -313,10 +317,10 @@ def queries() -> dict[str, Query]:
         "dedup_snapshots_aba": on_table("events", user_states(exact=True)),
         "dedup_snapshots_newest": on_table("events", user_states(exact=False)),
         "intake_stream": intake_stream,
-        "dim_date": on_star(lambda star: star["dim_date"]),
-        "dim_tier": on_star(lambda star: star["dim_price_tier"]),
-        "dim_band": on_star(lambda star: star["dim_discount_band"]),
-        "dim_product": on_star(lambda star: star["dim_product"]),
+        "dim_date": on_landing(warehouse.load_dim_date),
+        "dim_tier": on_landing(lambda raw: warehouse.load_dim_label(raw, "price_tier")),
+        "dim_band": on_landing(lambda raw: warehouse.load_dim_label(raw, "discount_band")),
+        "dim_product": on_landing(warehouse.load_dim_product),
         "fact_snapshot": on_star(lambda star: star["fact_product_snapshot"].drop("snapshot_key")),
         "star_join": on_star(lambda star: warehouse.product_snapshot(star).drop("snapshot_key")),
         "star_latest": on_star(star_latest),

@@ -258,9 +258,9 @@ QUALIFY ROW_NUMBER() OVER (PARTITION BY l_partkey ORDER BY l_shipdate DESC, l_or
 FROM lineitem GROUP BY l_partkey, l_returnflag, l_discount""",
     "dedup_snapshots_aba": """WITH d AS (SELECT user_id, event_type, MIN(ts) AS ts FROM events GROUP BY user_id, event_type)
 SELECT user_id, event_type, CAST(ts AS VARCHAR) AS ts FROM d
-QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_type) = 1""",
+QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_type DESC) = 1""",
     "dedup_snapshots_newest": """SELECT user_id, event_type, CAST(ts AS VARCHAR) AS ts FROM events
-QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_type) = 1""",
+QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_type DESC) = 1""",
     "intake_stream": """SELECT user_id, event_type, value, props, CAST(MIN(ts) AS VARCHAR) AS ts FROM events
 GROUP BY user_id, event_type, value, props""",
 }
@@ -270,7 +270,7 @@ GROUP BY user_id, event_type, value, props""",
 SN = with_(*SNAPSHOTS)
 DIM = f"""dim AS (SELECT product_id, name, brand, category, region, bottle_size_l, bottle_size_band,
     is_standard_bottle, is_comparable_bottle, abv_percent, abv_band, is_cask_strength, age_years, is_age_stated, age_band
-  FROM snapshots QUALIFY ROW_NUMBER() OVER (PARTITION BY product_id ORDER BY scraped_at DESC, region) = 1)"""
+  FROM snapshots QUALIFY ROW_NUMBER() OVER (PARTITION BY product_id ORDER BY scraped_at DESC, region DESC) = 1)"""
 
 
 def columns(names: list[str], known: set[str], flags: set[str], prefix: str) -> str:
@@ -424,7 +424,7 @@ CLEAN_STEPS = (
     TYPED,
     f"once AS (SELECT {', '.join(OTHERS)}, MIN(scraped_at) AS scraped_at FROM typed GROUP BY {', '.join(OTHERS)})",
     "newest AS (SELECT * FROM once QUALIFY ROW_NUMBER() OVER (PARTITION BY product_id ORDER BY scraped_at DESC NULLS LAST, "
-    + ", ".join(f"{c} ASC NULLS LAST" for c in OTHERS if c != "product_id")
+    + ", ".join(f"{c} DESC NULLS LAST" for c in OTHERS if c != "product_id")
     + ") = 1)",
     tidy("newest", "tidied"),
     f"named AS (SELECT * REPLACE ({TIDY_LIST.format('character_notes')} AS character_notes, {capital(f'({REGION})')} AS region, {brand_name('brand')} AS brand) FROM tidied)",

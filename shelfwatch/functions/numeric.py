@@ -11,17 +11,26 @@ NUMBER_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def to_double(c: Column) -> Column:
-    """Text to double; anything but a plain finite number is NULL.
+    """Text to double; anything but a plain number is NULL.
 
     The guard keeps out ``5d``, ``inf`` and ``nan``, which a bare cast accepts.
+    An exponent beyond the range still gives an infinity; see ``finite``.
     """
-    value = F.when(c.rlike(NUMBER_TEXT), c.try_cast("double"))
-    return F.when(F.abs(value) != float("inf"), value)
+    return F.when(c.rlike(NUMBER_TEXT), c.try_cast("double"))
 
 
-def to_long(c: Column) -> Column:
-    """Text to bigint; ``12.0`` is 12, a fractional or non-numeric text is NULL."""
-    exact = F.when(c.rlike(NUMBER_TEXT), F.trim(c).try_cast("decimal(38,10)"))
+def finite(c: Column) -> Column:
+    """NULL for NaN and both infinities."""
+    return F.when(~F.isnan(c) & (F.abs(c) != float("inf")), c)
+
+
+def to_exact(c: Column) -> Column:
+    """Text to a wide decimal; decimals know no ``5d`` or ``inf``, so no guard is needed."""
+    return F.trim(c).try_cast("decimal(38,10)")
+
+
+def whole(exact: Column) -> Column:
+    """The bigint a decimal stands for, NULL when it has a fraction: ``12.0`` is 12, ``12.5`` is NULL."""
     return F.when(exact == F.floor(exact), exact.try_cast("bigint"))
 
 
@@ -55,11 +64,6 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator, denominator)
 
 
-def null_if_infinite(c: Column) -> Column:
-    """NULL for NaN and both infinities, for numbers that arrive already typed."""
-    return F.when(~F.isnan(c) & (F.abs(c) != float("inf")), c)
-
-
 def band(
     c: Column, edges: Sequence[float | None], labels: Sequence[str], right: bool = True
 ) -> Column:

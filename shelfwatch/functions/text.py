@@ -10,18 +10,24 @@ from pyspark.sql import functions as F
 from shelfwatch.schema import FALSE_WORDS, MISSING_TOKENS, TRUE_WORDS
 
 
+# Fixed value: the characters that count as white space at the ends of a text.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(c: Column) -> Column:
-    """Trim every kind of Unicode white space (``trim`` removes blanks only)."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Trim every kind of Unicode white space (``trim`` alone removes blanks only)."""
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def collapse_spaces(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)\s+", " ")
 
 
-def null_if_token(c: Column, tokens: Iterable[str] = MISSING_TOKENS) -> Column:
-    """Trimmed text, or NULL when it is one of ``tokens`` in any case."""
-    trimmed = strip(c)
+def null_if_token(trimmed: Column, tokens: Iterable[str] = MISSING_TOKENS) -> Column:
+    """A trimmed text, or NULL when it is one of ``tokens`` in any case."""
     return F.when(~F.lower(trimmed).isin(list(tokens)), trimmed)
 
 
@@ -30,11 +36,6 @@ def capitalize(c: Column) -> Column:
     return F.concat(F.upper(F.left(c, F.lit(1))), F.lower(F.substr(c, F.lit(2))))
 
 
-def first_match(c: Column, pattern: str, group: int = 1) -> Column:
-    """Group of the first match; NULL, not ``''``, when nothing matches."""
-    return F.nullif(F.regexp_extract(c, pattern, group), F.lit(""))
-
-
 def tidy_list(c: Column) -> Column:
     """Normalise a ``|``-separated list: no blanks around bars, no outer bars."""
     bars = F.regexp_replace(c, r"(?U)\s*\|\s*", "|")

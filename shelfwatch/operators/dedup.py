@@ -23,23 +23,30 @@ def exact_dedup(df: DataFrame, time_column: str = "scraped_at") -> DataFrame:
 def latest_per_key(
     df: DataFrame,
     keys: Sequence[str],
-    time: str | Column,
-    tie_break: Sequence[Column] = (),
+    time: str,
+    tie_break: Sequence[str] = (),
     nulls: str = "last",
 ) -> DataFrame:
     """The newest row per key; rows with a NULL key form one group.
 
+    Among equal times the largest ``tie_break`` columns win, then the largest
+    remaining columns, so the answer never depends on the order of the input.
     ``nulls="first"`` lets an unreadable time win, the rule of the in-memory
-    cleaning step; the default is the warehouse rule. ``= 1`` on the row number
-    makes Spark drop the older rows of a key inside each task, ahead of the
-    shuffle, so a hot key sends one row per task.
+    cleaning step; the default is the warehouse rule.
+
+    The row is the maximum of a struct that starts with the time. As an
+    aggregate it shrinks every key to one row inside each task before the
+    shuffle, hot keys included, and sorts on the key alone. All columns of
+    ``df`` take part, so select the needed ones first.
     """
     if nulls not in ("first", "last"):
         raise ValueError("nulls must be 'first' or 'last'")
-    when = F.col(time) if isinstance(time, str) else time
-    newest = when.desc_nulls_first() if nulls == "first" else when.desc_nulls_last()
-    order = W.partitionBy(*keys).orderBy(newest, *tie_break)
-    return df.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
+    order = [time, *[c for c in tie_break if c != time]]
+    rest = [c for c in df.columns if c not in order and c not in keys]
+    unread = [F.col(time).isNull().alias("_unread")] if nulls == "first" else []
+    newest = F.max(F.struct(*unread, *[F.col(c) for c in order], *[F.col(c) for c in rest])).alias("_row")
+    picked = df.groupBy(*keys).agg(newest)
+    return picked.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
 
 def top_per_group(
@@ -56,7 +63,7 @@ def dedup_snapshots(
     time_column: str = "scraped_at",
     exact: bool = True,
     nulls: str = "last",
-    tie_break: Sequence[Column] = (),
+    tie_break: Sequence[str] = (),
 ) -> DataFrame:
     """Newest row per key, with or without exact dedup first.
 
@@ -64,6 +71,4 @@ def dedup_snapshots(
     is a copy of the first and B is kept; without it the true newest A is.
     """
     rows = exact_dedup(df, time_column) if exact else df
-    if not tie_break:
-        tie_break = [F.col(c).asc_nulls_last() for c in df.columns if c not in (key, time_column)]
     return latest_per_key(rows, [key], time_column, tie_break, nulls)

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwatch.functions.numeric import band, ratio, round_half_even, to_long
-from shelfwatch.functions.text import first_match
+from shelfwatch.functions.numeric import band, ratio, round_half_even
 from shelfwatch.schema import (
     ABV_BAND,
     AGE_BAND,
@@ -29,19 +28,18 @@ def _at_least(c: Column, limit: float) -> Column:
 
 def price_features(df: DataFrame) -> DataFrame:
     """Reference price, alcohol units, price per unit and tier."""
-    units = round_half_even(F.col("bottle_size_l") * F.col("abv_percent"), 2)
+    units = F.col("alcohol_units")
     return (
         df.withColumns(
             {
                 "reference_price_gbp": F.coalesce("price_before_discount_gbp", "price_inc_vat_gbp"),
-                "alcohol_units": F.when(units > 0, units),
+                "alcohol_units": round_half_even(F.col("bottle_size_l") * F.col("abv_percent"), 2),
             }
         )
+        .withColumn("alcohol_units", F.when(units > 0, units))
         .withColumns(
             {
-                "price_per_alcohol_unit_gbp": round_half_even(
-                    ratio(F.col("reference_price_gbp"), F.col("alcohol_units")), 2
-                ),
+                "price_per_alcohol_unit_gbp": round_half_even(ratio(F.col("reference_price_gbp"), units), 2),
                 "price_tier": band(F.col("reference_price_gbp"), *PRICE_TIER, right=False),
             }
         )
@@ -54,7 +52,8 @@ def discount_features(df: DataFrame) -> DataFrame:
     amount = before - F.col("price_inc_vat_gbp")
     percent = round_half_even(ratio(F.col("discount_amount_gbp"), before) * F.lit(100.0), 2)
     return (
-        df.withColumn("discount_amount_gbp", F.when(amount > 0, amount))
+        df.withColumn("discount_amount_gbp", amount)
+        .withColumn("discount_amount_gbp", F.when(F.col("discount_amount_gbp") > 0, F.col("discount_amount_gbp")))
         .withColumns(
             {
                 "is_discounted": F.col("discount_amount_gbp").isNotNull(),
@@ -69,7 +68,7 @@ def discount_features(df: DataFrame) -> DataFrame:
 
 def stated_age(name: Column) -> Column:
     """Years in an age statement such as ``12 Year Old`` or ``10YO``."""
-    return to_long(first_match(name, AGE_PATTERN))
+    return F.regexp_extract(name, AGE_PATTERN, 1).try_cast("bigint")
 
 
 def age_feature(df: DataFrame) -> DataFrame:

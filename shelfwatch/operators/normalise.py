@@ -24,25 +24,24 @@ from shelfwatch.schema import (
 )
 
 
-def _casts(times: Iterable[str], integers: Iterable[str], numbers: Iterable[str]) -> dict:
-    return (
-        {c: dates.to_time for c in times}
-        | {c: numeric.to_long for c in integers}
-        | {c: numeric.to_double for c in numbers}
-    )
-
-
 def enforce_schema(
     df: DataFrame,
     times: Iterable[str] = TIME_COLUMNS,
     integers: Iterable[str] = INTEGER_COLUMNS,
     numbers: Iterable[str] = NUMERIC_COLUMNS,
 ) -> DataFrame:
-    """Cast every raw text column to its type; unreadable cells become NULL."""
-    casts = _casts(times, integers, numbers)
+    """Cast every raw text column to its type; unreadable cells become NULL.
+
+    Two projections: the first reads each text once, the second checks the
+    number it gave. Nested in one, every check would parse the text again.
+    """
+    read = {c: dates.to_time for c in times}
+    read |= {c: numeric.to_exact for c in integers}
+    read |= {c: numeric.to_double for c in numbers}
+    check = {c: numeric.whole for c in integers} | {c: numeric.finite for c in numbers}
     return df.select(
-        *[casts[c](F.col(c)).alias(c) if c in casts else F.col(c).cast("string").alias(c) for c in df.columns]
-    )
+        *[read[c](F.col(c)).alias(c) if c in read else F.col(c).cast("string").alias(c) for c in df.columns]
+    ).select(*[check[c](F.col(c)).alias(c) if c in check else F.col(c) for c in df.columns])
 
 
 def rejected_cells(
@@ -52,12 +51,13 @@ def rejected_cells(
     numbers: Iterable[str] = NUMERIC_COLUMNS,
 ) -> DataFrame:
     """Per typed column, how many non-missing raw cells typing turns into NULL."""
-    casts = _casts(times, integers, numbers)
-    checks = [
-        F.count_if(text.null_if_token(F.col(c)).isNotNull() & cast(F.col(c)).isNull()).alias(c)
-        for c, cast in casts.items()
-    ]
-    return unpivot_counts(df.agg(*checks), "rejected")
+    times, integers, numbers = list(times), list(integers), list(numbers)
+    names = [*times, *integers, *numbers]
+    texts = standardize_missing(df.select(*names), names)
+    copies = texts.select(*names, *[F.col(c).alias(f"{c}_text") for c in names])
+    typed = enforce_schema(copies, times, integers, numbers)
+    checks = [F.count_if(F.col(f"{c}_text").isNotNull() & F.col(c).isNull()).alias(c) for c in names]
+    return unpivot_counts(typed.agg(*checks), "rejected")
 
 
 def unpivot_counts(one_row: DataFrame, value_name: str) -> DataFrame:
@@ -78,7 +78,8 @@ def standardize_missing(
             f.name for f in df.schema if isinstance(f.dataType, T.StringType) and f.name not in URL_COLUMNS
         ]
     columns, tokens = set(columns), list(tokens)
-    return df.select(
+    trimmed = df.select(*[text.strip(F.col(c)).alias(c) if c in columns else F.col(c) for c in df.columns])
+    return trimmed.select(
         *[text.null_if_token(F.col(c), tokens).alias(c) if c in columns else F.col(c) for c in df.columns]
     )
 
@@ -88,11 +89,6 @@ def normalise_notes(df: DataFrame, column: str = "character_notes") -> DataFrame
     return df.withColumn(column, text.tidy_list(F.col(column)))
 
 
-def _region_name(c):
-    name = F.lower(text.strip(c))
-    return F.coalesce(text.lookup(name, REGION_ALIASES), name)
-
-
 def clean_regions(df: DataFrame) -> DataFrame:
     """One region column out of ``region`` and the fallback ``fact_region``.
 
@@ -100,12 +96,17 @@ def clean_regions(df: DataFrame) -> DataFrame:
     loses a name outside the valid list. The fallback then fills every gap
     unchecked, for both kinds of category.
     """
-    category = F.lower(F.col("category"))
-    own = _region_name(F.col("region"))
+    names = df.withColumns(
+        {c: F.lower(text.strip(F.col(c))) for c in ("region", "fact_region")} | {"_category": F.lower("category")}
+    )
+    names = names.withColumns(
+        {c: F.coalesce(text.lookup(F.col(c), REGION_ALIASES), F.col(c)) for c in ("region", "fact_region")}
+    )
+    own, category = F.col("region"), F.col("_category")
     invalid = (category == REGIONAL_CATEGORY) & ~own.isin(VALID_REGIONS)
     kept = F.when((category == REGIONLESS_CATEGORY) | invalid, F.lit(None)).otherwise(own)
-    region = F.coalesce(kept, _region_name(F.col("fact_region")))
-    return df.withColumn("region", text.capitalize(region)).drop("fact_region")
+    filled = names.withColumn("region", F.coalesce(kept, F.col("fact_region")))
+    return filled.withColumn("region", text.capitalize(F.col("region"))).drop("fact_region", "_category")
 
 
 def standardize_brands(df: DataFrame, aliases: dict[str, str] = BRAND_ALIASES) -> DataFrame:
@@ -113,8 +114,8 @@ def standardize_brands(df: DataFrame, aliases: dict[str, str] = BRAND_ALIASES) -
 
     The alias map is a short literal, so no join is needed.
     """
-    name = text.collapse_spaces(text.strip(F.col("brand")))
-    brand = F.coalesce(text.lookup(F.lower(name), aliases), name)
-    return df.withColumn("brand", brand).withColumn(
-        "is_brand_placeholder", F.col("brand") == F.lit(PLACEHOLDER_BRAND)
+    return (
+        df.withColumn("brand", text.collapse_spaces(text.strip(F.col("brand"))))
+        .withColumn("brand", F.coalesce(text.lookup(F.lower("brand"), aliases), F.col("brand")))
+        .withColumn("is_brand_placeholder", F.col("brand") == F.lit(PLACEHOLDER_BRAND))
     )

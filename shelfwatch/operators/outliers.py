@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwatch.functions.quantiles import grouped_quantile
 from shelfwatch.schema import OUTLIER_MIN_VALUES, OUTLIER_QUANTILE
+from shelfwatch.session import materialise
 
 METRICS = {
     "price_inc_vat_gbp": "is_price_outlier",
@@ -34,13 +37,16 @@ def flag_outliers(
     group: str = "category",
     q: float = OUTLIER_QUANTILE,
     min_values: int = OUTLIER_MIN_VALUES,
+    stage: Callable[[DataFrame, str], DataFrame] = materialise,
 ) -> DataFrame:
     """Flag values strictly above their group's limit; no row is dropped.
 
-    ``df`` is read twice, once for the limits. The limits hold one row per
-    category, so Spark broadcasts them when their size allows.
+    The limits (one row per category) are written first. Spark then knows their
+    size: small ones are broadcast, and the rows stay where they are instead of
+    being shuffled on a key with a handful of values. Too many categories for a
+    broadcast fall back to a shuffled join.
     """
-    limits = outlier_limits(df, group, q, min_values)
+    limits = stage(outlier_limits(df, group, q, min_values), "limits")
     joined = df.join(limits, group, "left")
     flags = {
         flag: F.coalesce(F.col(metric) > F.col(f"_limit_{metric}"), F.lit(False))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwatch.functions.numeric import ratio, round_half_even, to_double
-from shelfwatch.functions.text import first_match, strip
+from shelfwatch.functions.numeric import ratio, round_half_even
+from shelfwatch.functions.text import strip
 from shelfwatch.schema import VAT_FACTOR
 
 # The patterns a product's texts are read with.
@@ -32,40 +32,43 @@ def vat_filled() -> Column:
     return F.count_if(F.col("price_inc_vat_gbp").isNull() & F.col("price_ex_vat_gbp").isNotNull())
 
 
-def bottle_litres(variant: Column) -> Column:
-    """Volume in litres from the first amount with a unit.
+def parse_bottle_and_abv(df: DataFrame) -> DataFrame:
+    """Volume in litres and centilitres and strength out of ``variant``.
 
     The amount is matched in lower case only and the unit in any case, so an
-    upper-case unit has a unit but no amount and the volume stays NULL.
+    upper-case unit has a unit but no amount and the volume stays NULL. Each
+    pattern runs once, in a projection of its own. A group that did not match
+    is ``''``, which casts to NULL.
     """
-    amount = to_double(first_match(variant, AMOUNT_PATTERN))
-    unit = F.lower(first_match(variant, UNIT_PATTERN, 2))
-    return (
+    variant, amount, unit = F.col("variant"), F.col("_amount"), F.col("_unit")
+    litres = (
         F.when(unit == "ml", amount / F.lit(1000.0))
         .when(unit == "cl", amount / F.lit(100.0))
         .when(unit.isin("l", "litre", "liter"), amount)
     )
+    return (
+        df.withColumns(
+            {
+                "_amount": F.regexp_extract(variant, AMOUNT_PATTERN, 1).try_cast("double"),
+                "_unit": F.lower(F.regexp_extract(variant, UNIT_PATTERN, 2)),
+                "abv_percent": F.regexp_extract(variant, STRENGTH_PATTERN, 1).try_cast("double"),
+            }
+        )
+        .withColumn("bottle_size_l", litres)
+        .withColumn("bottle_size_cl", round_half_even(F.col("bottle_size_l") * F.lit(100.0), 2))
+        .drop("_amount", "_unit")
+    )
 
 
-def parse_bottle_and_abv(df: DataFrame) -> DataFrame:
-    return df.withColumns(
-        {
-            "bottle_size_l": bottle_litres(F.col("variant")),
-            "abv_percent": to_double(first_match(F.col("variant"), STRENGTH_PATTERN)),
-        }
-    ).withColumn("bottle_size_cl", round_half_even(F.col("bottle_size_l") * F.lit(100.0), 2))
-
-
-def litre_price(raw: Column) -> Column:
-    """Price per litre from a text such as ``£25.00 per 70cl``.
+def parse_unit_price(df: DataFrame) -> DataFrame:
+    """Price per litre out of a text such as ``£25.00 per 70cl``.
 
     The basis only scales a price when it is understood: a volume with a
     quantity, or a bare litre. A basis quantity of zero gives NULL.
     """
-    price = to_double(first_match(F.translate(raw, "£,", ""), NUMBER_PATTERN))
-    basis = F.replace(F.lower(raw), F.lit(","), F.lit(""))
-    quantity = to_double(strip(first_match(basis, BASIS_PATTERN, 1)))
-    unit = first_match(basis, BASIS_PATTERN, 2)
+    raw = F.col("unit_price_raw")
+    basis = F.translate(F.lower(raw), ",", "")
+    quantity, unit = F.col("_quantity"), F.col("_unit")
     litre = unit.isin("l", "litre", "liter")
     scale = (
         F.when((unit == "ml") & quantity.isNotNull(), ratio(F.lit(1000.0), quantity))
@@ -73,11 +76,17 @@ def litre_price(raw: Column) -> Column:
         .when(litre, ratio(F.lit(1.0), F.coalesce(quantity, F.lit(1.0))))
         .otherwise(F.lit(1.0))
     )
-    return round_half_even(price * scale, 2)
-
-
-def parse_unit_price(df: DataFrame) -> DataFrame:
-    return df.withColumn("unit_price_gbp_per_litre", litre_price(F.col("unit_price_raw")))
+    return (
+        df.withColumns(
+            {
+                "_price": F.regexp_extract(F.translate(raw, "£,", ""), NUMBER_PATTERN, 1).try_cast("double"),
+                "_quantity": strip(F.regexp_extract(basis, BASIS_PATTERN, 1)).try_cast("double"),
+                "_unit": F.regexp_extract(basis, BASIS_PATTERN, 2),
+            }
+        )
+        .withColumn("unit_price_gbp_per_litre", round_half_even(F.col("_price") * scale, 2))
+        .drop("_price", "_quantity", "_unit")
+    )
 
 
 def unit_price_fallback(df: DataFrame) -> DataFrame:

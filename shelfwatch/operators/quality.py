@@ -28,10 +28,12 @@ def uniqueness(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def orphan_keys(child: DataFrame, key: str, parent: DataFrame, parent_key: str | None = None) -> DataFrame:
     """Non-NULL child keys without a parent row, with their row count.
 
-    The child is counted per key first, so a hot key reaches the join as one row.
+    The child is counted per key first, so a hot key reaches the join as one
+    row. ``count`` of the key is 0 for the NULL group and drops it; a NULL
+    filter would be pushed down and recompute a derived key per row.
     """
     parents = parent.select(F.col(parent_key or key).alias(key))
-    counted = child.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("row_count"))
+    counted = child.groupBy(key).agg(F.count(key).alias("row_count")).where("row_count > 0")
     return counted.join(parents, key, "left_anti")
 
 

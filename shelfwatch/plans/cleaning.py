@@ -33,30 +33,27 @@ def enrich_rows(df: DataFrame) -> DataFrame:
     )
 
 
+def _ordered(df: DataFrame) -> DataFrame:
+    return df.select(*CLEAN_COLUMNS, *[c for c in df.columns if c not in CLEAN_COLUMNS])
+
+
 def clean_products(raw: DataFrame, exact: bool = True, nulls: str = "last") -> DataFrame:
     """Cleaned products in landing-column order; any other column (``status``) follows.
 
-    One lazy plan: the dedup shuffles and the per-category limits are the only
-    exchanges, all else is fused expressions.
+    The row-level result is written once, as the outlier limits and the result
+    both read it; without that the dedup shuffles would run twice.
     """
-    rows = outliers.flag_outliers(enrich_rows(type_and_dedup(raw, exact, nulls)))
-    extra = [c for c in rows.columns if c not in CLEAN_COLUMNS]
-    return rows.select(*CLEAN_COLUMNS, *extra)
+    rows = materialise(enrich_rows(type_and_dedup(raw, exact, nulls)), "clean-rows")
+    return _ordered(outliers.flag_outliers(rows))
 
 
 def run_cleaning(raw: DataFrame, exact: bool = True, nulls: str = "last") -> tuple[DataFrame, dict]:
-    """Cleaned rows on shared storage, without a constant ``status``, and the run summary.
+    """The same rows written to shared storage, without a constant ``status``, and the run summary.
 
-    The row-level result is written once, because the outlier limits, the
-    constant check and the sink all read it. The counters ride on that write.
+    The counters ride on the two writes; no extra pass over the data.
     """
-    typed = type_and_dedup(raw, exact, nulls)
-    before = Observation("cleaning_input")
-    typed = typed.observe(before, parsing.vat_filled().alias("vat_filled"))
-    rows = materialise(enrich_rows(typed), "clean-rows")
-    flagged = outliers.flag_outliers(rows)
-    extra = [c for c in flagged.columns if c not in CLEAN_COLUMNS]
-    ordered = quality.drop_constant_columns(flagged.select(*CLEAN_COLUMNS, *extra), ["status"])
-    after = Observation("cleaning_output")
-    result = materialise(quality.observe_counts(ordered, after), "clean")
-    return result, {**before.get, **after.get}
+    before, after = Observation("cleaning_input"), Observation("cleaning_output")
+    typed = type_and_dedup(raw, exact, nulls).observe(before, parsing.vat_filled().alias("vat_filled"))
+    rows = quality.drop_constant_columns(materialise(enrich_rows(typed), "clean-rows"), ["status"])
+    result = quality.observe_counts(_ordered(outliers.flag_outliers(rows)), after)
+    return materialise(result, "clean"), {**before.get, **after.get}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -22,6 +24,7 @@ from shelfwatch.schema import (
     PRODUCT_FLAGS,
     SNAPSHOT_COLUMNS,
 )
+from shelfwatch.session import materialise
 
 
 def to_landing(df: DataFrame) -> DataFrame:
@@ -50,9 +53,15 @@ def load_dim_date(raw: DataFrame) -> DataFrame:
 
 
 def load_dim_label(raw: DataFrame, label: str) -> DataFrame:
-    """Numbered distinct labels; the numbering runs after the distinct, over a handful of rows."""
-    distinct = raw.select(label).where(F.col(label).isNotNull()).distinct()
-    return distinct.select(F.row_number().over(W.orderBy(label)).cast("bigint").alias(f"{label}_key"), label)
+    """Numbered distinct labels; the numbering runs after the distinct, over a handful of rows.
+
+    NULL is numbered last and dropped after the numbering. A filter ahead of it
+    would be pushed below the distinct and compute the label a second time for
+    every landing row.
+    """
+    distinct = raw.select(label).distinct()
+    number = F.row_number().over(W.orderBy(F.col(label).asc_nulls_last())).cast("bigint")
+    return distinct.select(number.alias(f"{label}_key"), label).where(F.col(label).isNotNull())
 
 
 def load_dim_product(raw: DataFrame) -> DataFrame:
@@ -62,9 +71,12 @@ def load_dim_product(raw: DataFrame) -> DataFrame:
     reloads, where a 64-bit hash would start to collide near a billion products
     and a global numbering would need one task.
     """
-    identified = raw.withColumn("product_id", to_key(F.col("product_id"))).where("product_id IS NOT NULL")
-    rest = [F.col(c).asc_nulls_last() for c in PRODUCT_ATTRIBUTES]
-    newest = latest_per_key(identified, ["product_id"], to_time(F.col("scraped_at")), rest)
+    identified = raw.select(
+        to_time(F.col("scraped_at")).alias("scraped_at"),
+        to_key(F.col("product_id")).alias("product_id"),
+        *PRODUCT_ATTRIBUTES,
+    ).where("product_id IS NOT NULL")
+    newest = latest_per_key(identified, ["product_id"], "scraped_at", PRODUCT_ATTRIBUTES)
     return newest.select(
         F.col("product_id").alias("product_key"),
         "product_id",
@@ -104,16 +116,24 @@ def load_fact(
     )
 
 
-def build_star(raw: DataFrame) -> dict[str, DataFrame]:
-    """Dimensions and fact as lazy DataFrames over the same landing rows."""
-    tiers, bands = load_dim_label(raw, "price_tier"), load_dim_label(raw, "discount_band")
-    return {
+def build_star(
+    raw: DataFrame, stage: Callable[[DataFrame, str], DataFrame] = materialise
+) -> dict[str, DataFrame]:
+    """Dimensions and fact over the same landing rows.
+
+    The date and label dimensions are written first. Their joins with the fact
+    then see files of known size and broadcast them, where a lazily computed
+    side would make Spark shuffle the fact on a key with a handful of values.
+    """
+    small = {
         "dim_date": load_dim_date(raw),
-        "dim_price_tier": tiers,
-        "dim_discount_band": bands,
-        "dim_product": load_dim_product(raw),
-        "fact_product_snapshot": load_fact(raw, tiers, bands),
+        "dim_price_tier": load_dim_label(raw, "price_tier"),
+        "dim_discount_band": load_dim_label(raw, "discount_band"),
     }
+    star = {name: stage(table, name) for name, table in small.items()}
+    star["dim_product"] = load_dim_product(raw)
+    star["fact_product_snapshot"] = load_fact(raw, star["dim_price_tier"], star["dim_discount_band"])
+    return star
 
 
 def product_snapshot(star: dict[str, DataFrame]) -> DataFrame:
@@ -133,9 +153,7 @@ def _star_join(fact: DataFrame, star: dict[str, DataFrame]) -> DataFrame:
 
 def latest_of(snapshot: DataFrame) -> DataFrame:
     """Newest snapshot per product of the denormalised view."""
-    return latest_per_key(
-        snapshot, ["product_id"], "full_date", [F.desc_nulls_last("snapshot_ts"), F.desc("snapshot_key")]
-    )
+    return latest_per_key(snapshot, ["product_id"], "full_date", ["snapshot_ts", "snapshot_key"])
 
 
 def product_latest(star: dict[str, DataFrame]) -> DataFrame:
@@ -145,10 +163,7 @@ def product_latest(star: dict[str, DataFrame]) -> DataFrame:
     which :func:`audit` checks. The wide join then sees one row per product.
     """
     newest = latest_per_key(
-        star["fact_product_snapshot"],
-        ["product_key"],
-        "date_key",
-        [F.desc_nulls_last("snapshot_ts"), F.desc("snapshot_key")],
+        star["fact_product_snapshot"], ["product_key"], "date_key", ["snapshot_ts", "snapshot_key"]
     )
     return _star_join(newest, star)
 

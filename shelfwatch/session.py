@@ -27,6 +27,9 @@ def build_session(app: str = "shelfwatch", master: str | None = None, **conf: st
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        # The JVM never compiles a method beyond 8000 bytes of bytecode; the wide
+        # cleaning projections run faster split into small ones than fused.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
     for key, value in settings.items():

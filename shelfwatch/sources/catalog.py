@@ -29,15 +29,19 @@ def write_star(spark: SparkSession, raw: DataFrame, database: str = "curated") -
     keys that are written once. The fact is laid out by date; ``rebalance``
     splits a date that holds too many rows for one task.
     """
-    star = warehouse.build_star(raw)
     tables = {}
-    for name in ["dim_date", "dim_price_tier", "dim_discount_band", "dim_product"]:
-        star[name].write.mode("overwrite").saveAsTable(f"{database}.{name}")
-        tables[name] = spark.table(f"{database}.{name}")
-    fact = warehouse.load_fact(raw, tables["dim_price_tier"], tables["dim_discount_band"])
+
+    def replace(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").saveAsTable(f"{database}.{name}")
+        return spark.table(f"{database}.{name}")
+
+    star = warehouse.build_star(raw, stage=replace)
+    for name in ["dim_date", "dim_price_tier", "dim_discount_band"]:
+        tables[name] = star[name]
+    tables["dim_product"] = replace(star["dim_product"], "dim_product")
     name = "fact_product_snapshot"
     (
-        fact.hint("rebalance", "date_key")
+        star[name].hint("rebalance", "date_key")
         .write.mode("overwrite")
         .partitionBy("date_key")
         .saveAsTable(f"{database}.{name}")

@@ -25,22 +25,26 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def latest_lines(lines: DataFrame) -> DataFrame:
-    """The newest order line per part."""
-    return latest_per_key(lines, ["l_partkey"], "l_shipdate", [F.desc(c) for c in LINE_ORDER])
+    """The newest order line per part, with the columns a snapshot is made of."""
+    lines = lines.select("l_partkey", "l_shipdate", *LINE_ORDER, "l_suppkey", "l_discount", "l_tax")
+    return latest_per_key(lines, ["l_partkey"], "l_shipdate", LINE_ORDER)
 
 
 def _with_parents(spark: SparkSession, folder: str, lines: DataFrame) -> DataFrame:
-    """Lines with part and region; the nation and region tables have a fixed size."""
-    places = (
-        table(spark, folder, "supplier")
-        .join(F.broadcast(table(spark, folder, "nation")), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(F.broadcast(table(spark, folder, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("s_suppkey", "r_name")
-    )
-    part = table(spark, folder, "part")
-    return lines.join(part, lines.l_partkey == part.p_partkey).join(
-        places, F.col("l_suppkey") == F.col("s_suppkey")
-    )
+    """Lines with part and region.
+
+    One table at a time, so that Spark sees the size of each and broadcasts
+    those that are small without moving the lines.
+    """
+    steps = [
+        ("part", "l_partkey", "p_partkey"),
+        ("supplier", "l_suppkey", "s_suppkey"),
+        ("nation", "s_nationkey", "n_nationkey"),
+        ("region", "n_regionkey", "r_regionkey"),
+    ]
+    for name, child, parent in steps:
+        lines = lines.join(table(spark, folder, name), F.col(child) == F.col(parent))
+    return lines
 
 
 def list_price() -> Column:

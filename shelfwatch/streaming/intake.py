@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from shelfwatch.operators.dedup import exact_dedup, latest_per_key
 from shelfwatch.schema import RAW_COLUMNS, text_schema
@@ -60,4 +59,4 @@ def intake_latest(
 ) -> DataFrame:
     """The newest stored row per key; equals the batch result over the same files."""
     rows = intake_rows(spark, out, time_column)
-    return latest_per_key(rows, [key], time_column, [F.asc_nulls_last(c) for c in tie_break])
+    return latest_per_key(rows, [key], time_column, tie_break)
