@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwatch.functions.text import slug
+from shelfwatch.functions.text import slug, strip
 from shelfwatch.schema import DETAIL_COLUMNS
 from shelfwatch.sources import markup
 
@@ -25,14 +25,14 @@ WAS_PRICE = r"(?i)Was\s*£\s*(\d+(?:\.\d+)?)"
 CARD_MARKUP = r"(?i)product"
 PANEL_MARKUP = r"(?i)product-offer__price|flavour-profile|product-facts|<details"
 
-CARD_TYPE = "array<struct<id string, url string, image string, status string, unit_price string, name string, price string>>"
+CARD_TYPE = "struct<id string, url string, image string, status string, unit_price string, name string, price string>"
 PANEL_TYPE = (
     "struct<was string, style array<struct<label string, score string>>,"
     " notes array<string>, facts array<struct<label string, value string>>>"
 )
 ITEM_TYPE = (
-    "item_id string, item_name string, item_brand string, item_variant string, price string,"
-    " item_category3 string, item_category5 string, _url string"
+    "struct<item_id string, item_name string, item_brand string, item_variant string, price string,"
+    " item_category3 string, item_category5 string, _url string>"
 )
 
 
@@ -40,20 +40,25 @@ ITEM_TYPE = (
 
 
 def _walk(reader: Callable, returns: str, html: Column, pattern: str) -> Column:
-    """What ``reader`` finds; a page without the markup goes to Python as NULL, not as text."""
-    return F.pandas_udf(reader, returns)(F.when(html.rlike(pattern), html))
+    """What ``reader`` finds; a page without the markup goes to Python as NULL, not as text.
+
+    Declared non-deterministic so that Spark copies it into no filter and every
+    page is walked once.
+    """
+    return F.pandas_udf(reader, returns).asNondeterministic()(F.when(html.rlike(pattern), html))
 
 
 # -- embedded JSON, all expressions --------------------------------------------------------
 
 
 def _valid_json(texts: Column) -> Column:
-    return F.filter(texts, lambda s: F.try_parse_json(s).isNotNull())
+    """Texts that are one JSON value. As a member of an object, text after the value is an error too."""
+    return F.filter(texts, lambda s: F.try_parse_json(F.concat(F.lit('{"x":'), s, F.lit("}"))).isNotNull())
 
 
 def _elements(json: Column) -> Column:
     """A JSON list as an array of JSON texts, any other value as an array of itself."""
-    return F.when(F.trim(json).startswith("["), F.from_json(json, "array<string>")).otherwise(F.array(F.trim(json)))
+    return F.when(strip(json).startswith("["), F.from_json(json, "array<string>")).otherwise(F.array(strip(json)))
 
 
 def _is_object(json: Column) -> Column:
@@ -75,7 +80,7 @@ def ld_price(objects: Column) -> Column:
 
     # A missing ``offers`` is a NULL array, which would turn the whole flattened list NULL.
     found = F.flatten(F.transform(objects, lambda o: F.coalesce(prices(o), F.array().cast("array<string>"))))
-    return F.trim(F.get(F.filter(found, lambda p: p.isNotNull()), 0))
+    return strip(F.get(F.filter(found, lambda p: p.isNotNull()), 0))
 
 
 def ld_rating(objects: Column) -> Column:
@@ -139,72 +144,62 @@ def listing_rows(pages: DataFrame) -> DataFrame:
     but no items gives one row per card. ``page_url`` and ``position`` give the
     order inside a page.
     """
-    site = F.regexp_extract("url", r"^(https?://[^/]+)", 1)
     html = F.col("html")
     read = pages.select(
         F.col("url").alias("page_url"),
+        F.regexp_extract("url", r"^(https?://[^/]+)", 1).alias("site"),
         F.coalesce(F.col("category"), F.lit("")).alias("page_category"),
-        "fetched_at",
-        site.alias("site"),
-        F.when(F.size(F.coalesce(_script_items(html), F.array())) > 0, _script_items(html))
-        .otherwise(_ld_items(html))
-        .alias("items"),
-        _walk(markup.cards, CARD_TYPE, html, CARD_MARKUP).alias("cards"),
+        F.col("fetched_at").alias("scraped_at"),
+        _script_items(html).alias("script_items"),
+        _ld_items(html).alias("ld_items"),
+        _walk(markup.cards, f"array<{CARD_TYPE}>", html, CARD_MARKUP).alias("cards"),
     )
-    read = read.withColumn("has_items", F.coalesce(F.size("items"), F.lit(0)) > 0)
+    items = F.when(F.coalesce(F.size("script_items"), F.lit(0)) > 0, F.col("script_items")).otherwise(F.col("ld_items"))
+    read = read.withColumn("items", items)
+
+    def entry(item: Column | None, card: Column | None) -> Column:
+        return F.struct(
+            (F.lit(None).cast(ITEM_TYPE) if item is None else item).alias("item"),
+            (F.lit(None).cast(CARD_TYPE) if card is None else card).alias("card"),
+        )
 
-    item = read.where("has_items").select("*", F.posexplode("items").alias("position", "i"))
-    item_id = F.trim(_or(F.col("i.item_id"), F.regexp_extract(F.coalesce("i._url", F.lit("")), markup.PRODUCT_LINK, 1)))
-    item = item.withColumn("product_id", item_id).withColumn(
-        "card", F.get(F.filter("cards", lambda c: c.id == F.col("product_id")), 0)
+    entries = F.when(
+        F.coalesce(F.size("items"), F.lit(0)) > 0, F.transform("items", lambda i: entry(i, None))
+    ).otherwise(F.transform("cards", lambda c: entry(None, c)))
+    rows = read.select("*", F.posexplode(entries).alias("position", "entry")).select("*", "entry.*")
+
+    from_item = F.col("item").isNotNull()
+    number = _or(F.col("item.item_id"), F.regexp_extract(F.coalesce("item._url", F.lit("")), markup.PRODUCT_LINK, 1))
+    rows = rows.withColumn("product_id", F.when(from_item, strip(number)).otherwise(F.col("card.id"))).withColumn(
+        "card",
+        F.when(from_item, F.get(F.filter("cards", lambda c: c.id == F.col("product_id")), 0)).otherwise(F.col("card")),
     )
-    path = _or(
+    link = _or(
         F.col("card.url"),
-        F.col("i._url"),
+        F.col("item._url"),
         F.when(F.col("product_id") != "", F.concat(F.lit("/p/"), F.col("product_id"))),
     )
-    from_items = item.select(
+    rows = rows.withColumn("link", link)
+    return rows.select(
         "page_url",
         "position",
-        F.col("fetched_at").alias("scraped_at"),
-        F.col("page_category").alias("category"),
+        "scraped_at",
+        F.when(from_item, F.col("page_category")).otherwise("").alias("category"),
         "product_id",
-        _or(F.col("i.item_name")).alias("name"),
-        _or(F.col("i.item_brand")).alias("brand"),
-        _or(F.col("i.item_variant")).alias("variant"),
-        _or(F.col("i.price")).alias("price_ex_vat_gbp"),
-        _or(F.col("card.unit_price")).alias("unit_price_raw"),
-        _or(F.col("i.item_category3"), F.lit("N/A")).alias("region"),
-        _or(F.col("i.item_category5")).alias("promo_label"),
+        F.when(from_item, _or(F.col("item.item_name"))).otherwise(F.col("card.name")).alias("name"),
+        _or(F.col("item.item_brand")).alias("brand"),
+        _or(F.col("item.item_variant")).alias("variant"),
+        F.when(from_item, _or(F.col("item.price"))).otherwise(F.col("card.price")).alias("price_ex_vat_gbp"),
+        F.when(from_item, _or(F.col("card.unit_price"))).otherwise("").alias("unit_price_raw"),
+        _or(F.col("item.item_category3"), F.lit("N/A")).alias("region"),
+        _or(F.col("item.item_category5")).alias("promo_label"),
         F.coalesce("card.status", F.lit("Current")).alias("status"),
-        _absolute(path).alias("product_url"),
+        F.when((F.col("link") == "") | F.col("link").startswith("http"), F.col("link"))
+        .otherwise(F.concat("site", "link"))
+        .alias("product_url"),
         _or(F.col("card.image")).alias("image_url"),
     )
 
-    card = read.where("NOT has_items").select("*", F.posexplode("cards").alias("position", "card"))
-    from_cards = card.select(
-        "page_url",
-        "position",
-        F.col("fetched_at").alias("scraped_at"),
-        F.lit("").alias("category"),
-        F.col("card.id").alias("product_id"),
-        F.col("card.name").alias("name"),
-        F.lit("").alias("brand"),
-        F.lit("").alias("variant"),
-        F.col("card.price").alias("price_ex_vat_gbp"),
-        F.lit("").alias("unit_price_raw"),
-        F.lit("N/A").alias("region"),
-        F.lit("").alias("promo_label"),
-        F.col("card.status").alias("status"),
-        _absolute(F.col("card.url")).alias("product_url"),
-        F.col("card.image").alias("image_url"),
-    )
-    return from_items.unionByName(from_cards)
-
-
-def _absolute(path: Column) -> Column:
-    return F.when((path == "") | path.startswith("http"), path).otherwise(F.concat("site", path))
-
 
 def detail_rows(pages: DataFrame) -> DataFrame:
     """The detail fields of product pages ``(url, html)``, empty text where absent."""
@@ -227,8 +222,8 @@ def detail_rows(pages: DataFrame) -> DataFrame:
         return last(valued, lambda p: slug(p.label), name, "value")
 
     fields = {
-        "rating_stars": F.trim(F.get_json_object("rating", "$.ratingValue")),
-        "review_count": F.trim(F.get_json_object("rating", "$.reviewCount")),
+        "rating_stars": strip(F.get_json_object("rating", "$.ratingValue")),
+        "review_count": strip(F.get_json_object("rating", "$.reviewCount")),
         "price_inc_vat_gbp": ld_price(F.col("objects")),
         "price_before_discount_gbp": F.regexp_extract("panels.was", WAS_PRICE, 1),
         **{f"style_{n}": style(n) for n in ("body", "richness", "smoke", "sweetness")},
