@@ -17,13 +17,22 @@ WHITE_SPACE = (
 )
 
 
+# Java's \s, \d and \b know ASCII only; with this flag they match no-break blanks as well.
+UNICODE = "(?U)"
+
+
 def strip(c: Column) -> Column:
     """Trim every kind of Unicode white space (``trim`` alone removes blanks only)."""
     return F.btrim(c, F.lit(WHITE_SPACE))
 
 
+def extract(c: Column, pattern: str, group: int = 1) -> Column:
+    """Group of the first match, ``''`` without one; casts turn that into NULL."""
+    return F.regexp_extract(c, UNICODE + pattern, group)
+
+
 def collapse_spaces(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)\s+", " ")
+    return F.regexp_replace(c, UNICODE + r"\s+", " ")
 
 
 def null_if_token(trimmed: Column, tokens: Iterable[str] = MISSING_TOKENS) -> Column:
@@ -38,7 +47,7 @@ def capitalize(c: Column) -> Column:
 
 def tidy_list(c: Column) -> Column:
     """Normalise a ``|``-separated list: no blanks around bars, no outer bars."""
-    bars = F.regexp_replace(c, r"(?U)\s*\|\s*", "|")
+    bars = F.regexp_replace(c, UNICODE + r"\s*\|\s*", "|")
     return F.regexp_replace(bars, r"^\|+|\|+$", "")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwatch.functions.numeric import band, ratio, round_half_even
+from shelfwatch.functions.text import extract
 from shelfwatch.schema import (
     ABV_BAND,
     AGE_BAND,
@@ -68,7 +69,7 @@ def discount_features(df: DataFrame) -> DataFrame:
 
 def stated_age(name: Column) -> Column:
     """Years in an age statement such as ``12 Year Old`` or ``10YO``."""
-    return F.regexp_extract(name, AGE_PATTERN, 1).try_cast("bigint")
+    return extract(name, AGE_PATTERN, 1).try_cast("bigint")
 
 
 def age_feature(df: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,12 +89,11 @@ def normalise_notes(df: DataFrame, column: str = "character_notes") -> DataFrame
     return df.withColumn(column, text.tidy_list(F.col(column)))
 
 
-def clean_regions(df: DataFrame) -> DataFrame:
-    """One region column out of ``region`` and the fallback ``fact_region``.
+def normalise_regions(df: DataFrame) -> DataFrame:
+    """Unify ``region`` and ``fact_region``; NULL an own region that cannot be.
 
     A category without regions loses its own region and a regional category
-    loses a name outside the valid list. The fallback then fills every gap
-    unchecked, for both kinds of category.
+    loses a name outside the valid list. The fallback is not checked.
     """
     names = df.withColumns(
         {c: F.lower(text.strip(F.col(c))) for c in ("region", "fact_region")} | {"_category": F.lower("category")}
@@ -105,8 +104,29 @@ def clean_regions(df: DataFrame) -> DataFrame:
     own, category = F.col("region"), F.col("_category")
     invalid = (category == REGIONAL_CATEGORY) & ~own.isin(VALID_REGIONS)
     kept = F.when((category == REGIONLESS_CATEGORY) | invalid, F.lit(None)).otherwise(own)
-    filled = names.withColumn("region", F.coalesce(kept, F.col("fact_region")))
-    return filled.withColumn("region", text.capitalize(F.col("region"))).drop("fact_region", "_category")
+    return names.withColumn("region", kept).drop("_category")
+
+
+def region_filled() -> Column:
+    """Aggregate: how many rows :func:`fill_regions` fills, counted on its input."""
+    return F.count_if(F.col("region").isNull() & F.col("fact_region").isNotNull())
+
+
+def fill_regions(df: DataFrame) -> DataFrame:
+    """Fill gaps from ``fact_region``, for every category, and write names with a capital."""
+    filled = df.withColumn("region", F.coalesce("region", "fact_region"))
+    return filled.withColumn("region", text.capitalize(F.col("region"))).drop("fact_region")
+
+
+def clean_regions(df: DataFrame) -> DataFrame:
+    """One region column out of ``region`` and the fallback ``fact_region``."""
+    return fill_regions(normalise_regions(df))
+
+
+def null_infinities(df: DataFrame) -> DataFrame:
+    """NaN and infinities of floating columns to NULL, for input that arrives typed."""
+    floating = {f.name for f in df.schema if isinstance(f.dataType, T.DoubleType | T.FloatType)}
+    return df.select(*[numeric.finite(F.col(c)).alias(c) if c in floating else F.col(c) for c in df.columns])
 
 
 def standardize_brands(df: DataFrame, aliases: dict[str, str] = BRAND_ALIASES) -> DataFrame:

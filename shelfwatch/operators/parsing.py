@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwatch.functions.numeric import ratio, round_half_even
-from shelfwatch.functions.text import strip
+from shelfwatch.functions.text import extract, strip
 from shelfwatch.schema import VAT_FACTOR
 
 # The patterns a product's texts are read with.
@@ -49,9 +49,9 @@ def parse_bottle_and_abv(df: DataFrame) -> DataFrame:
     return (
         df.withColumns(
             {
-                "_amount": F.regexp_extract(variant, AMOUNT_PATTERN, 1).try_cast("double"),
-                "_unit": F.lower(F.regexp_extract(variant, UNIT_PATTERN, 2)),
-                "abv_percent": F.regexp_extract(variant, STRENGTH_PATTERN, 1).try_cast("double"),
+                "_amount": extract(variant, AMOUNT_PATTERN, 1).try_cast("double"),
+                "_unit": F.lower(extract(variant, UNIT_PATTERN, 2)),
+                "abv_percent": extract(variant, STRENGTH_PATTERN, 1).try_cast("double"),
             }
         )
         .withColumn("bottle_size_l", litres)
@@ -79,9 +79,9 @@ def parse_unit_price(df: DataFrame) -> DataFrame:
     return (
         df.withColumns(
             {
-                "_price": F.regexp_extract(F.translate(raw, "£,", ""), NUMBER_PATTERN, 1).try_cast("double"),
-                "_quantity": strip(F.regexp_extract(basis, BASIS_PATTERN, 1)).try_cast("double"),
-                "_unit": F.regexp_extract(basis, BASIS_PATTERN, 2),
+                "_price": extract(F.translate(raw, "£,", ""), NUMBER_PATTERN, 1).try_cast("double"),
+                "_quantity": strip(extract(basis, BASIS_PATTERN, 1)).try_cast("double"),
+                "_unit": extract(basis, BASIS_PATTERN, 2),
             }
         )
         .withColumn("unit_price_gbp_per_litre", round_half_even(F.col("_price") * scale, 2))
@@ -89,8 +89,17 @@ def parse_unit_price(df: DataFrame) -> DataFrame:
     )
 
 
+def _computed_litre_price() -> Column:
+    size = F.col("bottle_size_l")
+    return F.when(size > 0, round_half_even(ratio(F.col("price_inc_vat_gbp"), size), 2))
+
+
+def unit_price_filled() -> Column:
+    """Aggregate: how many rows :func:`unit_price_fallback` fills, counted on its input."""
+    return F.count_if(F.col("unit_price_gbp_per_litre").isNull() & _computed_litre_price().isNotNull())
+
+
 def unit_price_fallback(df: DataFrame) -> DataFrame:
     """Fill a missing price per litre from price and volume."""
-    size = F.col("bottle_size_l")
-    computed = F.when(size > 0, round_half_even(ratio(F.col("price_inc_vat_gbp"), size), 2))
+    computed = _computed_litre_price()
     return df.withColumn("unit_price_gbp_per_litre", F.coalesce(F.col("unit_price_gbp_per_litre"), computed))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwatch.operators.normalise import unpivot_counts
@@ -99,19 +99,8 @@ def load_check(df: DataFrame, rows: int = 10) -> tuple[int, DataFrame]:
     return df.count(), df.limit(rows)
 
 
-def observe_counts(df: DataFrame, observation: Observation) -> DataFrame:
-    """Attach the run summary; its numbers arrive with whatever action runs ``df``."""
-    return df.observe(
-        observation,
-        F.count("*").alias("rows"),
-        F.count_if("is_discounted").alias("discounted"),
-        F.count_if(F.col("price_inc_vat_gbp").isNull()).alias("without_price"),
-        F.count_if("is_outlier").alias("outliers"),
-    )
-
-
 def run_summary(df: DataFrame) -> DataFrame:
-    """The same counters as one row, for use as a query."""
+    """Headline counters as one row."""
     return df.agg(
         F.count("*").alias("row_count"),
         F.count_if("is_discounted").alias("discounted"),

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
 
 from shelfwatch.operators import features, normalise, outliers, parsing, quality
-from shelfwatch.operators.dedup import dedup_snapshots
+from shelfwatch.operators.dedup import dedup_snapshots, exact_dedup
 from shelfwatch.schema import CLEAN_COLUMNS, HELPER_COLUMNS
 from shelfwatch.session import materialise
 
@@ -14,16 +17,28 @@ def type_and_dedup(raw: DataFrame, exact: bool = True, nulls: str = "last") -> D
     return dedup_snapshots(normalise.enforce_schema(raw), exact=exact, nulls=nulls)
 
 
-def enrich_rows(df: DataFrame) -> DataFrame:
-    """Every row-level step; one narrow stage after the dedup."""
+def _unwatched(df: DataFrame, *counters: Column) -> DataFrame:
+    return df
+
+
+def enrich_rows(df: DataFrame, watch: Callable[..., DataFrame] = _unwatched) -> DataFrame:
+    """Every row-level step; one narrow stage after the dedup.
+
+    ``watch`` sees the rows just before each step that fills gaps, with the
+    aggregate that counts what will be filled.
+    """
     return (
         df.transform(normalise.standardize_missing)
         .transform(normalise.normalise_notes)
-        .transform(normalise.clean_regions)
+        .transform(normalise.normalise_regions)
+        .transform(watch, normalise.region_filled().alias("region_filled"))
+        .transform(normalise.fill_regions)
         .transform(normalise.standardize_brands)
+        .transform(watch, parsing.vat_filled().alias("vat_filled"))
         .transform(parsing.vat_fallback)
         .transform(parsing.parse_bottle_and_abv)
         .transform(parsing.parse_unit_price)
+        .transform(watch, parsing.unit_price_filled().alias("unit_price_filled"))
         .transform(parsing.unit_price_fallback)
         .transform(features.price_features)
         .transform(features.discount_features)
@@ -52,8 +67,22 @@ def run_cleaning(raw: DataFrame, exact: bool = True, nulls: str = "last") -> tup
 
     The counters ride on the two writes; no extra pass over the data.
     """
-    before, after = Observation("cleaning_input"), Observation("cleaning_output")
-    typed = type_and_dedup(raw, exact, nulls).observe(before, parsing.vat_filled().alias("vat_filled"))
-    rows = quality.drop_constant_columns(materialise(enrich_rows(typed), "clean-rows"), ["status"])
-    result = quality.observe_counts(_ordered(outliers.flag_outliers(rows)), after)
-    return materialise(result, "clean"), {**before.get, **after.get}
+    seen: list[Observation] = []
+
+    def watch(df: DataFrame, *counters: Column) -> DataFrame:
+        seen.append(Observation())
+        return df.observe(seen[-1], *counters)
+
+    typed = watch(normalise.enforce_schema(raw), F.count("*").alias("rows_read"))
+    once = watch(exact_dedup(typed) if exact else typed, F.count("*").alias("rows_without_copies"))
+    latest = dedup_snapshots(once, exact=False, nulls=nulls)
+    rows = quality.drop_constant_columns(materialise(enrich_rows(latest, watch), "clean-rows"), ["status"])
+    flagged = watch(
+        _ordered(outliers.flag_outliers(rows)),
+        F.count("*").alias("rows"),
+        F.count_if("is_discounted").alias("discounted"),
+        F.count_if(F.col("price_inc_vat_gbp").isNull()).alias("without_price"),
+        F.count_if("is_outlier").alias("outliers"),
+    )
+    result = materialise(flagged, "clean")
+    return result, {name: count for one in seen for name, count in one.get.items()}

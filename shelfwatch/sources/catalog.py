@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwatch.plans import warehouse
+from shelfwatch.plans import analytics, warehouse
 from shelfwatch.schema import CLEAN_COLUMNS, text_schema
 
 LAYERS = ["raw", "stage", "curated"]
@@ -50,12 +50,22 @@ def write_star(spark: SparkSession, raw: DataFrame, database: str = "curated") -
     return tables
 
 
-def create_views(star: dict[str, DataFrame], prefix: str = "") -> None:
-    """Temporary views for SQL users: the star tables, all snapshots, the latest ones."""
-    for name, table in star.items():
-        table.createOrReplaceTempView(f"{prefix}{name}")
-    warehouse.product_snapshot(star).createOrReplaceTempView(f"{prefix}product_snapshot")
-    warehouse.product_latest(star).createOrReplaceTempView(f"{prefix}product_latest")
+def create_views(star: dict[str, DataFrame], latest: DataFrame | None = None, prefix: str = "") -> None:
+    """Temporary views for SQL users: the star tables, all snapshots, the latest ones, the derived reports.
+
+    Pass the published ``latest`` table, so that the reports read one row per
+    product instead of finding it again in the fact.
+    """
+    latest = warehouse.product_latest(star) if latest is None else latest
+    views = star | {
+        "product_snapshot": warehouse.product_snapshot(star),
+        "product_latest": latest,
+        "top_ratings": analytics.top_ratings(latest),
+        "price_premium": analytics.price_premium(latest),
+        "age_roi": analytics.age_roi(latest),
+    }
+    for name, view in views.items():
+        view.createOrReplaceTempView(f"{prefix}{name}")
 
 
 def publish_latest(spark: SparkSession, star: dict[str, DataFrame], table: str = "curated.product_latest") -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwatch.functions.text import slug, strip
+from shelfwatch.functions.text import extract, slug, strip
 from shelfwatch.schema import DETAIL_COLUMNS
 from shelfwatch.sources import markup
 
@@ -145,7 +145,9 @@ def listing_rows(pages: DataFrame) -> DataFrame:
     order inside a page.
     """
     html = F.col("html")
+    kept = [c for c in pages.columns if c not in ("url", "html", "category", "fetched_at")]
     read = pages.select(
+        *kept,
         F.col("url").alias("page_url"),
         F.regexp_extract("url", r"^(https?://[^/]+)", 1).alias("site"),
         F.coalesce(F.col("category"), F.lit("")).alias("page_category"),
@@ -181,6 +183,7 @@ def listing_rows(pages: DataFrame) -> DataFrame:
     )
     rows = rows.withColumn("link", link)
     return rows.select(
+        *kept,
         "page_url",
         "position",
         "scraped_at",
@@ -225,7 +228,7 @@ def detail_rows(pages: DataFrame) -> DataFrame:
         "rating_stars": strip(F.get_json_object("rating", "$.ratingValue")),
         "review_count": strip(F.get_json_object("rating", "$.reviewCount")),
         "price_inc_vat_gbp": ld_price(F.col("objects")),
-        "price_before_discount_gbp": F.regexp_extract("panels.was", WAS_PRICE, 1),
+        "price_before_discount_gbp": extract(F.col("panels.was"), WAS_PRICE),
         **{f"style_{n}": style(n) for n in ("body", "richness", "smoke", "sweetness")},
         "character_notes": F.array_join("panels.notes", "|"),
         **{f"fact_{n}": fact(n) for n in ("bottler", "country", "region", "cask_type", "colouring")},

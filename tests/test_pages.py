@@ -1,6 +1,7 @@
 import pytest
 
-from shelfwatch.schema import DETAIL_COLUMNS
+from shelfwatch.plans import collect
+from shelfwatch.schema import DETAIL_COLUMNS, RAW_COLUMNS
 from shelfwatch.operators import listing
 from shelfwatch.sources import html_tree, pages
 
@@ -147,3 +148,27 @@ def test_enrichment(rows):
     out = listing.enrich(listing_rows, details, fields=["rating_stars"])
     assert sorted((r.product_id, r.rating_stars) for r in out.collect()) == [("1", "4.5"), ("2", ""), ("3", "")]
     assert [tuple(r) for r in listing.rows_per_group(rows("category string", ("a",), ("a",))).collect()] == [("a", 2)]
+
+
+def test_raw_records_from_pages(spark, rows):
+    script = '<script>var items = [{}];</script>'
+    item = '{{"item_id": "{0}", "item_name": "P{0}", "price": "{1}"}}'
+    listings = rows(
+        "url string, html string, category string, fetched_at string, page int",
+        ("https://s.example/c?pg=1", script.format(item.format(1, 10) + "," + item.format(2, 20)), "Single Malt", "t1", 1),
+        ("https://s.example/c?pg=2", script.format(item.format(2, 99) + "," + item.format(3, 30) + "," + item.format(4, 40)), "Single Malt", "t2", 2),
+        ("https://s.example/d?pg=1", script.format(item.format(1, 11)), "Blended", "t3", 1),
+    )
+    details = rows(
+        "url string, html string",
+        ("https://s.example/p/1", LD.format('{"offers": {"price": 12}}')),
+        ("https://s.example/p/1", LD.format('{"offers": {"price": 12}}')),
+        ("https://s.example/p/9", LD.format('{"offers": {"price": 99}}')),
+    )
+    out = collect.raw_records(listings, details, cap=3)
+    assert out.columns == RAW_COLUMNS
+    got = sorted((r.category, r.product_id, r.price_ex_vat_gbp, r.price_inc_vat_gbp, r.scraped_at) for r in out.collect())
+    assert got == [
+        ("Blended", "1", "11", "12", "t3"), ("Single Malt", "1", "10", "12", "t1"),
+        ("Single Malt", "2", "20", "", "t1"), ("Single Malt", "3", "30", "", "t2"),
+    ]

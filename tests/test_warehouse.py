@@ -113,9 +113,14 @@ def test_fact_against_foreign_products(raw, star):
 def test_reload_replaces_and_views_work(spark, raw, star):
     again = catalog.write_star(spark, raw)
     assert again["fact_product_snapshot"].count() == 38
-    catalog.create_views(again, "v_")
+    published = catalog.publish_latest(spark, again)
+    assert published.count() == 9
+    catalog.create_views(again, published, "v_")
     assert spark.sql("SELECT count(*) FROM v_product_latest").first()[0] == 9
-    assert catalog.publish_latest(spark, again).count() == 9
+    assert spark.sql("SELECT count(*) FROM v_product_snapshot").first()[0] == 38
+    assert spark.sql("SELECT count(*) FROM v_price_premium WHERE factor = 'Overall Baseline'").first()[0] == 1
+    spark.sql("SELECT * FROM v_top_ratings").collect()
+    spark.sql("SELECT * FROM v_age_roi").collect()
     pruned = spark.table("curated.fact_product_snapshot").where("date_key = 20260109")
     assert "PartitionFilters: [isnotnull(date_key" in pruned._jdf.queryExecution().toString()
 
