@@ -16,7 +16,7 @@ import oracle_queries  # noqa: E402
 from shelfwatch.functions.numeric import round_report, to_decimal, to_key  # noqa: E402
 from shelfwatch.functions.text import text_flag, tidy_list  # noqa: E402
 from shelfwatch.operators import dedup, features, listing, normalise, outliers, parsing, quality  # noqa: E402
-from shelfwatch.plans import analytics, cleaning, measures, warehouse  # noqa: E402
+from shelfwatch.plans import analytics, cleaning, collect, measures, warehouse  # noqa: E402
 from shelfwatch.schema import INTEGER_COLUMNS, NUMERIC_COLUMNS, TIME_COLUMNS, URL_COLUMNS  # noqa: E402
 from shelfwatch.session import fresh_path, ship_package  # noqa: E402
 from shelfwatch.sources import files, pages, retail_pages  # noqa: E402
@@ -130,6 +130,12 @@ def orphan_keys(spark: SparkSession, folder: str) -> DataFrame:
 # -- cleaning ------------------------------------------------------------------------------
 
 
+def clean_counters(raw: DataFrame) -> DataFrame:
+    """The run summary of the cleaning job, as rows."""
+    _, summary = cleaning.run_cleaning(raw)
+    return raw.sparkSession.createDataFrame(list(summary.items()), "counter string, total bigint")
+
+
 def enforce_schema(raw: DataFrame) -> DataFrame:
     return normalise.enforce_schema(raw).select(*TYPED_COLUMNS, "name")
 
@@ -290,6 +296,11 @@ def pages_detail(spark: SparkSession, folder: str) -> DataFrame:
     return pages.detail_rows(retail_pages.detail_pages(spark, folder))
 
 
+def collect_records(spark: SparkSession, folder: str) -> DataFrame:
+    ship_package(spark)
+    return collect.raw_records(retail_pages.listing_pages(spark, folder), retail_pages.detail_pages(spark, folder))
+
+
 def queries() -> dict[str, Query]:
     """Every registered query by name."""
     return {
@@ -331,6 +342,7 @@ def queries() -> dict[str, Query]:
         "duplicate_keys": on_table("lineitem", lambda t: quality.duplicate_keys(t, ["l_orderkey", "l_linenumber"])),
         "orphan_keys": orphan_keys,
         "clean_products": on_raw(cleaning.clean_products),
+        "clean_counters": on_raw(clean_counters),
         "enforce_schema": on_raw(enforce_schema),
         "rejected_cells": on_raw(normalise.rejected_cells),
         "null_profile": on_raw(lambda raw: quality.null_profile(tidied(raw))),
@@ -360,6 +372,7 @@ def queries() -> dict[str, Query]:
         "category_counts": on_snapshots(listing.rows_per_group),
         "pages_listing": pages_listing,
         "pages_detail": pages_detail,
+        "collect_records": collect_records,
     }
 
 

@@ -454,8 +454,28 @@ def unpivot(source: str, checks: dict[str, str], value: str, cte: str) -> str:
     )
 
 
+OWN_KEPT = (
+    f"CASE WHEN COALESCE(lower(category) = 'blended', FALSE) THEN NULL"
+    f" WHEN COALESCE(lower(category) = 'single malt' AND {OWN} NOT IN ({VALID}), FALSE) THEN NULL ELSE {OWN} END"
+)
+COUNTERS = {
+    "rows_read": "COUNT(*) FROM raw",
+    "rows_without_copies": "COUNT(*) FROM once",
+    "region_filled": f"COUNT(*) FILTER (({OWN_KEPT}) IS NULL AND fact_region IS NOT NULL) FROM tidied",
+    "vat_filled": "COUNT(*) FILTER (price_inc_vat_gbp IS NULL AND price_ex_vat_gbp IS NOT NULL) FROM named",
+    "unit_price_filled": "COUNT(*) FILTER (unit_price IS NULL AND unit_price_gbp_per_litre IS NOT NULL) FROM sized",
+    "rows": "COUNT(*) FROM flagged",
+    "discounted": "COUNT(*) FILTER (is_discounted) FROM flagged",
+    "without_price": "COUNT(*) FILTER (price_inc_vat_gbp IS NULL) FROM flagged",
+    "outliers": "COUNT(*) FILTER (is_price_outlier OR is_value_outlier) FROM flagged",
+}
+
 CLEANING = {
     "clean_products": CLEAN,
+    "clean_counters": with_(*CLEAN_STEPS)
+    + " UNION ALL ".join(f"SELECT '{name}' AS counter, {query}" for name, query in COUNTERS.items()).replace(
+        "COUNT(*) F", "COUNT(*) AS total F", 1
+    ),
     "enforce_schema": with_(RAW, TYPED)
     + f"SELECT {', '.join(c if c != 'scraped_at' else 'CAST(scraped_at AS VARCHAR) AS scraped_at' for c in [*TYPED_NAMES, 'name'])} FROM typed",
     "rejected_cells": unpivot(
@@ -497,19 +517,11 @@ FROM tidied GROUP BY ALL""",
 # -- listings and pages ------------------------------------------------------------------
 
 MONEY = "CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS VARCHAR)"
-LISTING = {
-    "listing_cap": """WITH f AS (SELECT * FROM orders QUALIFY ROW_NUMBER() OVER (PARTITION BY o_orderpriority, o_custkey ORDER BY o_orderdate, o_orderkey) = 1)
-SELECT o_orderpriority AS category, o_custkey AS product_id, o_orderkey AS position FROM f
-QUALIFY ROW_NUMBER() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) <= 600""",
-    "enrich_merge": """WITH d AS (SELECT o_custkey, CAST(COUNT(*) AS VARCHAR) AS review_count, CAST(MAX(o_orderkey) AS VARCHAR) AS rating_stars FROM orders GROUP BY o_custkey)
-SELECT c_custkey, COALESCE(rating_stars, '') AS rating_stars, COALESCE(review_count, '') AS review_count
-FROM customer LEFT JOIN d ON o_custkey = c_custkey AND c_custkey % 10 <> 0""",
-    "detail_urls": "SELECT DISTINCT 'https://shop.example/p/' || CAST(l_partkey AS VARCHAR) || '/' AS product_url FROM lineitem",
-    "category_counts": "SELECT p_type AS category, COUNT(*) AS row_count FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY p_type",
-    "pages_listing": f"""WITH p AS (SELECT *, p_partkey // {PARTS_PER_PAGE} AS page, p_partkey % 7 <> 0 AS has_card FROM part),
-n AS (SELECT *, page % 3 AS layout, ROW_NUMBER() OVER (PARTITION BY page ORDER BY p_partkey) - 1 AS item_no,
-  CAST(COUNT(*) FILTER (has_card) OVER (PARTITION BY page ORDER BY p_partkey) AS BIGINT) - 1 AS card_no FROM p)
-SELECT '{SITE}/c/all?pg=' || CAST(page AS VARCHAR) AS page_url, CASE WHEN layout = 2 THEN card_no ELSE item_no END AS position,
+LISTED = (
+    f"""p AS (SELECT *, p_partkey // {PARTS_PER_PAGE} AS page, p_partkey % 7 <> 0 AS has_card FROM part)""",
+    """n AS (SELECT *, page % 3 AS layout, ROW_NUMBER() OVER (PARTITION BY page ORDER BY p_partkey) - 1 AS item_no,
+  CAST(COUNT(*) FILTER (has_card) OVER (PARTITION BY page ORDER BY p_partkey) AS BIGINT) - 1 AS card_no FROM p)""",
+    f"""listed AS (SELECT page, '{SITE}/c/all?pg=' || CAST(page AS VARCHAR) AS page_url, CASE WHEN layout = 2 THEN card_no ELSE item_no END AS position,
   '2026-01-16 09:00:00' AS scraped_at, CASE WHEN layout = 2 THEN '' ELSE 'Single Malt' END AS category,
   CAST(p_partkey AS VARCHAR) AS product_id, CASE WHEN layout = 2 THEN p_name || ' & Co' ELSE p_name END AS name,
   CASE WHEN layout = 2 THEN '' ELSE p_brand END AS brand,
@@ -520,15 +532,31 @@ SELECT '{SITE}/c/all?pg=' || CAST(page AS VARCHAR) AS page_url, CASE WHEN layout
   CASE WHEN NOT has_card THEN 'Current' WHEN p_partkey % 5 = 0 THEN 'Soldout' ELSE 'In Stock' END AS status,
   '{SITE}/p/' || CAST(p_partkey AS VARCHAR) || CASE WHEN layout = 0 AND NOT has_card THEN '' ELSE '/x' END AS product_url,
   CASE WHEN has_card THEN '/img/' || CAST(p_partkey AS VARCHAR) || '.jpg' ELSE '' END AS image_url
-FROM n WHERE layout <> 2 OR has_card""",
-    "pages_detail": f"""SELECT '{SITE}/p/' || CAST(p_partkey AS VARCHAR) || '/x' AS product_url,
+FROM n WHERE layout <> 2 OR has_card)""",
+)
+DETAILED = f"""detailed AS (SELECT '{SITE}/p/' || CAST(p_partkey AS VARCHAR) || '/x' AS product_url,
   CASE WHEN p_partkey % 3 = 0 THEN '4.5' ELSE '' END AS rating_stars, CASE WHEN p_partkey % 3 = 0 THEN CAST(p_size AS VARCHAR) ELSE '' END AS review_count,
   CASE p_partkey % 3 WHEN 0 THEN {MONEY} WHEN 1 THEN CAST(p_retailprice AS VARCHAR) ELSE '' END AS price_inc_vat_gbp,
   CASE WHEN p_partkey % 2 = 0 THEN CAST(p_size + 100 AS VARCHAR) || '.50' ELSE '' END AS price_before_discount_gbp,
   CAST(p_size % 11 AS VARCHAR) AS style_body, '' AS style_richness, CAST(p_size % 7 AS VARCHAR) AS style_smoke, '' AS style_sweetness,
   'Oak|' || p_type AS character_notes, p_brand || ' & Sons' AS fact_bottler, '' AS fact_country, '' AS fact_region,
   'Sherry' AS fact_cask_type, '' AS fact_colouring FROM part
-UNION ALL SELECT url, '', '', '', '', '', '', '', '', '', '', '', '', '', '' FROM pages""",
+UNION ALL SELECT url, '', '', '', '', '', '', '', '', '', '', '', '', '', '' FROM pages)"""
+LISTING = {
+    "listing_cap": """WITH f AS (SELECT * FROM orders QUALIFY ROW_NUMBER() OVER (PARTITION BY o_orderpriority, o_custkey ORDER BY o_orderdate, o_orderkey) = 1)
+SELECT o_orderpriority AS category, o_custkey AS product_id, o_orderkey AS position FROM f
+QUALIFY ROW_NUMBER() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) <= 600""",
+    "enrich_merge": """WITH d AS (SELECT o_custkey, CAST(COUNT(*) AS VARCHAR) AS review_count, CAST(MAX(o_orderkey) AS VARCHAR) AS rating_stars FROM orders GROUP BY o_custkey)
+SELECT c_custkey, COALESCE(rating_stars, '') AS rating_stars, COALESCE(review_count, '') AS review_count
+FROM customer LEFT JOIN d ON o_custkey = c_custkey AND c_custkey % 10 <> 0""",
+    "detail_urls": "SELECT DISTINCT 'https://shop.example/p/' || CAST(l_partkey AS VARCHAR) || '/' AS product_url FROM lineitem",
+    "category_counts": "SELECT p_type AS category, COUNT(*) AS row_count FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY p_type",
+    "pages_listing": f"{with_(*LISTED)} SELECT * FROM listed",
+    "pages_detail": f"{with_(DETAILED)} SELECT * FROM detailed",
+    "collect_records": f"""{with_(*LISTED, DETAILED)}, capped AS (SELECT * FROM listed
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY category ORDER BY page, position) <= {S.LISTING_CAP})
+SELECT {', '.join(f"COALESCE(d.{c}, '') AS {c}" if c in S.DETAIL_COLUMNS else f"c.{c}" for c in S.RAW_COLUMNS)}
+FROM capped c LEFT JOIN detailed d ON d.product_url = c.product_url""",
 }
 
 

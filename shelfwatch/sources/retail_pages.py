@@ -57,9 +57,11 @@ def listing_pages(spark: SparkSession, folder: str) -> DataFrame:
         html.alias("html"),
         F.lit("Single Malt").alias("category"),
         F.lit("2026-01-16 09:00:00").alias("fetched_at"),
+        F.col("page").alias("page"),
     )
     given = table(spark, folder, "pages").select(
-        "url", "html", F.lit("Blended").alias("category"), F.lit("2026-01-16 09:00:00").alias("fetched_at")
+        "url", "html", F.lit("Blended").alias("category"), F.lit("2026-01-16 09:00:00").alias("fetched_at"),
+        F.col("page_id").alias("page"),
     )
     return listing.unionByName(given)
 
