@@ -260,6 +260,20 @@ def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return files.null_csv_tokens(files.read_text_csv(spark, path))
 
 
+def snapshot_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    """Snapshots out to one folder per scrape month and back, older months pruned by folder."""
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    rows = retail.table(spark, folder, "orders").select(
+        "o_orderkey", "o_orderpriority", F.col("o_totalprice").cast("string").alias("price"), month.alias("scrape_date")
+    )
+    path = fresh_path(spark, "snapshots")
+    files.write_snapshot(rows, path)
+    back = spark.read.option("header", True).csv(path).where("scrape_date >= '1998-06'")
+    return back.groupBy(F.col("scrape_date").cast("string").alias("scrape_date"), "o_orderpriority").agg(
+        F.count("*").alias("row_count"), F.max(F.col("o_orderkey").cast("bigint")).alias("last_order")
+    )
+
+
 # -- listings and pages --------------------------------------------------------------------
 
 
@@ -366,6 +380,7 @@ def queries() -> dict[str, Query]:
         "decimal_casts": on_table("part", decimal_casts),
         "json_props": on_table("events", json_props),
         "csv_round_trip": csv_round_trip,
+        "snapshot_partitions": snapshot_partitions,
         "listing_cap": on_table("orders", listing_cap),
         "enrich_merge": enrich_merge,
         "detail_urls": on_raw(listing.detail_urls),

@@ -511,6 +511,8 @@ FROM tidied GROUP BY ALL""",
     "decimal_casts": """SELECT p_partkey, CAST(CAST(p_retailprice AS DECIMAL(10,1)) AS DOUBLE) AS one_digit,
   CASE WHEN ROUND(p_retailprice) < 1000 THEN CAST(CAST(p_retailprice AS DECIMAL(38,0)) AS DOUBLE) END AS three_places, p_partkey AS key FROM part""",
     "json_props": "SELECT event_type, COUNT(*) AS row_count, CAST(SUM(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS total_k FROM events GROUP BY event_type",
+    "snapshot_partitions": """SELECT strftime(o_orderdate, '%Y-%m') AS scrape_date, o_orderpriority, COUNT(*) AS row_count,
+  MAX(o_orderkey) AS last_order FROM orders WHERE strftime(o_orderdate, '%Y-%m') >= '1998-06' GROUP BY ALL""",
     "csv_round_trip": f"{T} SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, name, variant, CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE unit_price_raw || chr(10) || '\"quoted\", twice' END AS unit_price_raw FROM texts",
 }
 

@@ -10,6 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+_local_folders: dict[str, str] = {}
 
 
 def build_session(app: str = "shelfwatch", master: str | None = None, **conf: str) -> SparkSession:
@@ -48,9 +49,10 @@ def shared_folder(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    fallback = tempfile.mkdtemp(prefix="shelfwatch-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    app = spark.sparkContext.applicationId
+    if app not in _local_folders:
+        _local_folders[app] = tempfile.mkdtemp(prefix="shelfwatch-")
+    return _local_folders[app]
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -1,11 +1,12 @@
 import os
 import time
+from types import SimpleNamespace
 
 import pytest
 from conftest import column
 
 from shelfwatch.schema import CLEAN_COLUMNS, RAW_COLUMNS
-from shelfwatch.session import fresh_path, materialise
+from shelfwatch.session import fresh_path, materialise, shared_folder
 from shelfwatch.sources import catalog, files
 
 
@@ -94,3 +95,17 @@ def test_materialise_uses_the_shared_folder(spark, rows):
     df = materialise(rows("a int, b string", (1, "x")))
     assert df.inputFiles()[0].startswith("file:") and shared in df.inputFiles()[0]
     assert [tuple(r) for r in df.collect()] == [(1, "x")]
+
+
+def test_only_a_local_master_may_use_a_temporary_folder():
+    def session(master, configured=None):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda name, default: configured),
+            sparkContext=SimpleNamespace(master=master, applicationId="app-1"),
+        )
+
+    assert shared_folder(session("spark://x:7077", "s3a://scratch/run/")) == "s3a://scratch/run"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session("yarn"))
+    local = shared_folder(session("local[4]"))
+    assert os.path.isdir(local) and shared_folder(session("local[4]")) == local
