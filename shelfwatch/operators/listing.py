@@ -42,14 +42,14 @@ def enrich(
     """Add detail fields by URL; a row without details gets empty texts.
 
     ``details`` must hold one row per URL, as :func:`detail_urls` asks for.
-    Rows without a URL match nothing; a second join key spreads them, however
-    many there are, instead of sending them all to one task.
+    Rows without a URL match nothing; each gets a join key of its own, which no
+    URL can equal, so that they spread over all tasks however many they are.
     """
     listing = rows.drop(*[c for c in fields if c in rows.columns])
-    linked = F.coalesce(F.col(url) != "", F.lit(False))
-    spread = F.when(linked, F.lit(0)).otherwise(F.pmod(F.xxhash64(*listing.columns), F.lit(1023)) + 1)
-    side = details.where(F.col(url) != "").select(url, F.lit(0).cast("bigint").alias("_spread"), *fields)
-    joined = listing.withColumn("_spread", spread.cast("bigint")).join(side, [url, "_spread"], "left")
+    own_key = F.concat(F.lit("\0"), F.xxhash64(*listing.columns).cast("string"))
+    keyed = listing.withColumn("_key", F.when(F.col(url) != "", F.col(url)).otherwise(own_key))
+    side = details.where(F.col(url) != "").select(F.col(url).alias("_key"), *fields)
+    joined = keyed.join(side, "_key", "left")
     return joined.select(
         *listing.columns, *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in fields]
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwatch.operators import listing
 from shelfwatch.schema import DETAIL_COLUMNS, LISTING_CAP, RAW_COLUMNS
+from shelfwatch.session import materialise
 from shelfwatch.sources import pages
 
 
@@ -25,7 +26,8 @@ def raw_records(listing_pages: DataFrame, detail_pages: DataFrame, cap: int = LI
     Only pages some listing row links to are read. Of several copies of a page
     one is kept, by value, so that the choice is stable.
     """
-    rows = listing_records(listing_pages, cap)
+    # Read twice below, for the wanted URLs and for the result.
+    rows = materialise(listing_records(listing_pages, cap), "listing")
     wanted = listing.detail_urls(rows).withColumnRenamed("product_url", "url")
     found = detail_pages.join(wanted, "url", "left_semi")
     details = pages.detail_rows(found).groupBy("product_url").agg(

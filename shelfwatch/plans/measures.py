@@ -12,6 +12,11 @@ from shelfwatch.schema import PRICE_TIER
 PRICE = "price_inc_vat_gbp"
 
 
+def slice_to(latest: DataFrame, category: str | None = None) -> DataFrame:
+    """The rows of one category view, or all; every measure takes the result."""
+    return latest if category is None else latest.where(F.col("category") == category)
+
+
 def _price_bin(width: float) -> Column:
     return (F.floor(F.col(PRICE) / F.lit(width)) * F.lit(width)).cast("double")
 

@@ -96,6 +96,13 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
 
 
+def write_clean(df: DataFrame, folder: str, input_path: str, prefix: str = "clean") -> str:
+    """Cleaned rows as CSV below ``folder``, named by the date of their input; returns the path."""
+    path = f"{folder.rstrip('/')}/{dated_name(df.sparkSession, prefix, input_path)}"
+    write_csv(df, path)
+    return path
+
+
 def write_snapshot(df: DataFrame, path: str, date_column: str = "scrape_date", fmt: str = "csv") -> None:
     """Append a raw snapshot below one folder per scrape date.
 

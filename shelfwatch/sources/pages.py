@@ -56,9 +56,17 @@ def _valid_json(texts: Column) -> Column:
     return F.filter(texts, lambda s: F.try_parse_json(F.concat(F.lit('{"x":'), s, F.lit("}"))).isNotNull())
 
 
+def _parts(json: Column) -> Column:
+    """The elements of a JSON list as JSON texts; no elements for anything else.
+
+    Never NULL: one NULL array would turn a whole flattened result NULL.
+    """
+    return F.coalesce(F.from_json(json, "array<string>"), F.array().cast("array<string>"))
+
+
 def _elements(json: Column) -> Column:
     """A JSON list as an array of JSON texts, any other value as an array of itself."""
-    return F.when(strip(json).startswith("["), F.from_json(json, "array<string>")).otherwise(F.array(strip(json)))
+    return F.when(strip(json).startswith("["), _parts(json)).otherwise(F.array(strip(json)))
 
 
 def _is_object(json: Column) -> Column:
@@ -78,8 +86,7 @@ def ld_price(objects: Column) -> Column:
         offers = F.filter(_elements(F.get_json_object(obj, "$.offers")), _is_object)
         return F.transform(offers, lambda o: F.get_json_object(o, "$.price"))
 
-    # A missing ``offers`` is a NULL array, which would turn the whole flattened list NULL.
-    found = F.flatten(F.transform(objects, lambda o: F.coalesce(prices(o), F.array().cast("array<string>"))))
+    found = F.flatten(F.transform(objects, prices))
     return strip(F.get(F.filter(found, lambda p: p.isNotNull()), 0))
 
 
@@ -94,7 +101,8 @@ def _script_items(html: Column) -> Column:
     scripts = F.filter(F.regexp_extract_all(html, F.lit(ANY_SCRIPT), F.lit(1)), lambda s: s.contains("var items ="))
     lists = F.transform(scripts, lambda s: F.regexp_extract(s, ITEMS_ARRAY, 1))
     first = F.get(_valid_json(F.filter(lists, lambda s: s != "")), 0)
-    return F.transform(F.from_json(first, "array<string>"), lambda item: F.from_json(item, ITEM_TYPE))
+    items = F.transform(F.filter(_parts(first), _is_object), lambda item: F.from_json(item, ITEM_TYPE))
+    return F.filter(items, lambda item: item.isNotNull())
 
 
 def _ld_items(html: Column) -> Column:
@@ -119,9 +127,7 @@ def _ld_items(html: Column) -> Column:
 
     scripts = _valid_json(F.regexp_extract_all(html, F.lit(LD_SCRIPT), F.lit(1)))
     lists = F.filter(scripts, lambda s: F.get_json_object(s, "$['@type']") == "ItemList")
-    entries = F.flatten(
-        F.transform(lists, lambda s: F.from_json(F.get_json_object(s, "$.itemListElement"), "array<string>"))
-    )
+    entries = F.flatten(F.transform(lists, lambda s: _parts(F.get_json_object(s, "$.itemListElement"))))
     products = F.filter(
         entries, lambda e: F.coalesce(F.get_json_object(e, "$.item").startswith("{\""), F.lit(False))
     )

@@ -257,6 +257,13 @@ def test_slicer_total_covers_every_row(latest):
     assert got["All"] == len(ITEMS) == sum(v for k, v in got.items() if k != "All")
 
 
+def test_measures_of_one_category(latest):
+    whole = {r.category: r.sku_count for r in measures.category_slicer(latest).collect()}
+    sliced = measures.price_skew(measures.slice_to(latest, "Blended")).first().sku_count
+    assert sliced == len([i for i in complete("price_inc_vat_gbp") if i["category"] == "Blended"]) <= whole["Blended"]
+    assert measures.slice_to(latest) is latest
+
+
 def test_brand_tier_mix_covers_priced_rows(latest):
     rows = measures.brand_tier_mix(latest).collect()
     assert sum(r.budget + r.premium + r.luxury for r in rows) == len(complete("brand", "price_tier"))

@@ -62,6 +62,12 @@ def test_dated_name(spark):
     assert len(files.dated_name(spark, "clean", "/data/raw.csv")) == len("clean_2026-01-16")
 
 
+def test_clean_sink_is_named_by_its_input(spark, rows, tmp_path):
+    path = files.write_clean(rows("a int", (1,)), f"{tmp_path}/", "/data/raw_2026-01-16.csv")
+    assert path == f"{tmp_path}/clean_2026-01-16"
+    assert column(files.read_text_csv(spark, path), "a") == ["1"]
+
+
 def test_copy_into_landing(spark, tmp_path):
     catalog.create_layers(spark)
     catalog.recreate_landing(spark)

@@ -115,6 +115,18 @@ def test_item_list_when_there_are_no_script_items(listed):
     assert (c["product_id"], c["brand"], c["price_ex_vat_gbp"], c["product_url"]) == ("6", "", "", "https://shop.example/p/6/c")
 
 
+def test_odd_lists_lose_only_their_own_items(listed):
+    html = (
+        LD.format('{"@type": "ItemList"}')
+        + LD.format('{"@type": "ItemList", "itemListElement": {"item": {"sku": "1"}}}')
+        + LD.format('{"@type": "ItemList", "itemListElement": [{"item": {"sku": 7, "offers": [{"price": 3}]}}, "text", {"item": "x"}]}')
+    )
+    (row,) = listed(html)
+    assert (row["product_id"], row["price_ex_vat_gbp"]) == ("7", "")
+    (row,) = listed('<script>var items = [1, {"item_id": 8}, "x", null];</script>')
+    assert row["product_id"] == "8"
+
+
 def test_cards_alone_are_the_last_resort(listed):
     html = (
         '<ul><li class=product-card><a href="/p/1/a"><h3>One &amp; Only</h3></a><p class="price">now £ 12.50</p></li>'

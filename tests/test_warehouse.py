@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfwatch.plans import warehouse
-from shelfwatch.schema import CLEAN_COLUMNS, SNAPSHOT_COLUMNS
+from shelfwatch.schema import CLEAN_COLUMNS, FACT_DECIMALS, PRODUCT_FLAGS, SNAPSHOT_COLUMNS
 from shelfwatch.sources import catalog
 
 TIERS = ["Budget", "Premium", "Luxury"]
@@ -77,6 +77,16 @@ def test_fact(star):
     assert fact.where("discount_band_key IS NULL").count() == 6 + 2
 
 
+def test_warehouse_types(star):
+    fact = dict(star["fact_product_snapshot"].dtypes)
+    assert (fact["date_key"], fact["product_key"], fact["snapshot_ts"]) == ("int", "bigint", "timestamp_ntz")
+    assert {fact[c] for c in FACT_DECIMALS} == {"decimal(10,2)", "decimal(10,4)", "decimal(6,2)", "decimal(4,2)", "decimal(10,0)"}
+    product = dict(star["dim_product"].dtypes)
+    assert {product[c] for c in PRODUCT_FLAGS} == {"boolean"}
+    assert (product["bottle_size_l"], product["age_years"], product["style_body"]) == ("decimal(10,3)", "decimal(5,0)", "decimal(2,0)")
+    assert dict(star["dim_date"].dtypes)["full_date"] == "date"
+
+
 def test_star_join_keeps_every_fact(star):
     snapshot = warehouse.product_snapshot(star)
     assert snapshot.columns == [*SNAPSHOT_COLUMNS, "snapshot_ts"]
