@@ -46,10 +46,18 @@ def _typed(column: str, decimals: dict, flags: list[str]) -> Column:
     return F.col(column)
 
 
+def _scrape_date() -> Column:
+    return F.to_date(to_time(F.col("scraped_at")))
+
+
 def load_dim_date(raw: DataFrame) -> DataFrame:
     """One row per scrape date."""
-    days = raw.select(F.to_date(to_time(F.col("scraped_at"))).alias("d")).where("d IS NOT NULL").distinct()
-    return days.select(*calendar_parts(F.col("d")))
+    return _dim_date(raw.select(_scrape_date().alias("full_date")))
+
+
+def _dim_date(days: DataFrame) -> DataFrame:
+    distinct = days.select("full_date").where("full_date IS NOT NULL").distinct()
+    return distinct.select(*calendar_parts(F.col("full_date")))
 
 
 def load_dim_label(raw: DataFrame, label: str) -> DataFrame:
@@ -121,17 +129,19 @@ def build_star(
 ) -> dict[str, DataFrame]:
     """Dimensions and fact over the same landing rows.
 
-    The date and label dimensions are written first. Their joins with the fact
-    then see files of known size and broadcast them, where a lazily computed
-    side would make Spark shuffle the fact on a key with a handful of values.
+    One pass finds the combinations of date and labels, a few per date, and
+    writes them. The date and label dimensions follow from that small file, so
+    Spark knows they are small and broadcasts them; a side computed from the
+    landing rows would make it shuffle the fact on a key with a handful of values.
     """
-    small = {
-        "dim_date": load_dim_date(raw),
-        "dim_price_tier": load_dim_label(raw, "price_tier"),
-        "dim_discount_band": load_dim_label(raw, "discount_band"),
+    labels = ["price_tier", "discount_band"]
+    found = stage(raw.select(_scrape_date().alias("full_date"), *labels).distinct(), "labels")
+    star = {
+        "dim_date": _dim_date(found),
+        "dim_price_tier": load_dim_label(found, "price_tier"),
+        "dim_discount_band": load_dim_label(found, "discount_band"),
+        "dim_product": load_dim_product(raw),
     }
-    star = {name: stage(table, name) for name, table in small.items()}
-    star["dim_product"] = load_dim_product(raw)
     star["fact_product_snapshot"] = load_fact(raw, star["dim_price_tier"], star["dim_discount_band"])
     return star
 

@@ -25,23 +25,19 @@ def recreate_landing(spark: SparkSession, table: str = LANDING_TABLE) -> None:
 def write_star(spark: SparkSession, raw: DataFrame, database: str = "curated") -> dict[str, DataFrame]:
     """Full reload of the star: every table is replaced, then read back.
 
-    Dimensions go first, so that the fact meets label tables of known size and
-    keys that are written once. The fact is laid out by date; ``rebalance``
-    splits a date that holds too many rows for one task.
+    Dimensions go first, so that the fact meets keys that are written once. The
+    fact is laid out by date; ``rebalance`` splits a date that holds too many
+    rows for one task.
     """
+    star = warehouse.build_star(raw)
     tables = {}
-
-    def replace(df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").saveAsTable(f"{database}.{name}")
-        return spark.table(f"{database}.{name}")
-
-    star = warehouse.build_star(raw, stage=replace)
-    for name in ["dim_date", "dim_price_tier", "dim_discount_band"]:
-        tables[name] = star[name]
-    tables["dim_product"] = replace(star["dim_product"], "dim_product")
+    for name in ["dim_date", "dim_price_tier", "dim_discount_band", "dim_product"]:
+        star[name].write.mode("overwrite").saveAsTable(f"{database}.{name}")
+        tables[name] = spark.table(f"{database}.{name}")
     name = "fact_product_snapshot"
+    fact = warehouse.load_fact(raw, tables["dim_price_tier"], tables["dim_discount_band"])
     (
-        star[name].hint("rebalance", "date_key")
+        fact.hint("rebalance", "date_key")
         .write.mode("overwrite")
         .partitionBy("date_key")
         .saveAsTable(f"{database}.{name}")
