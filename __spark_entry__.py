@@ -107,6 +107,11 @@ def intake_stream(spark: SparkSession, folder: str) -> DataFrame:
 # -- star schema ---------------------------------------------------------------------------
 
 
+def fact_snapshot(raw: DataFrame) -> DataFrame:
+    small = warehouse.small_dimensions(raw)
+    return warehouse.load_fact(raw, small["dim_price_tier"], small["dim_discount_band"]).drop("snapshot_key")
+
+
 def star_latest(star: dict[str, DataFrame]) -> DataFrame:
     return warehouse.product_latest(star).select(
         "product_id", "name", "brand", "category", "region", "age_band", "full_date"
@@ -346,7 +351,7 @@ def queries() -> dict[str, Query]:
         "dim_tier": on_landing(lambda raw: warehouse.load_dim_label(raw, "price_tier")),
         "dim_band": on_landing(lambda raw: warehouse.load_dim_label(raw, "discount_band")),
         "dim_product": on_landing(warehouse.load_dim_product),
-        "fact_snapshot": on_star(lambda star: star["fact_product_snapshot"].drop("snapshot_key")),
+        "fact_snapshot": on_landing(fact_snapshot),
         "star_join": on_star(lambda star: warehouse.product_snapshot(star).drop("snapshot_key")),
         "star_latest": on_star(star_latest),
         "audit_fk": on_star(warehouse.audit_foreign_keys),

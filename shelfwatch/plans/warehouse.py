@@ -124,24 +124,36 @@ def load_fact(
     )
 
 
-def build_star(
+def small_dimensions(
     raw: DataFrame, stage: Callable[[DataFrame, str], DataFrame] = materialise
 ) -> dict[str, DataFrame]:
-    """Dimensions and fact over the same landing rows.
+    """The date and label dimensions.
 
     One pass finds the combinations of date and labels, a few per date, and
-    writes them. The date and label dimensions follow from that small file, so
-    Spark knows they are small and broadcasts them; a side computed from the
-    landing rows would make it shuffle the fact on a key with a handful of values.
+    writes them. The dimensions follow from that small file, so Spark knows
+    they are small and broadcasts them; a side computed from the landing rows
+    would make it shuffle the fact on a key with a handful of values.
     """
     labels = ["price_tier", "discount_band"]
     found = stage(raw.select(_scrape_date().alias("full_date"), *labels).distinct(), "labels")
-    star = {
+    return {
         "dim_date": _dim_date(found),
         "dim_price_tier": load_dim_label(found, "price_tier"),
         "dim_discount_band": load_dim_label(found, "discount_band"),
-        "dim_product": load_dim_product(raw),
     }
+
+
+def build_star(
+    raw: DataFrame, stage: Callable[[DataFrame, str], DataFrame] = materialise
+) -> dict[str, DataFrame]:
+    """Dimensions and fact over the same landing rows.
+
+    The product dimension is written before the fact meets it. Joined as a
+    table it is broadcast when small, and when large Spark may split the
+    partition of a hot product, which it does not for a side it just aggregated.
+    """
+    star = small_dimensions(raw, stage)
+    star["dim_product"] = stage(load_dim_product(raw), "dim-product")
     star["fact_product_snapshot"] = load_fact(raw, star["dim_price_tier"], star["dim_discount_band"])
     return star
 

@@ -29,7 +29,7 @@ def write_star(spark: SparkSession, raw: DataFrame, database: str = "curated") -
     fact is laid out by date; ``rebalance`` splits a date that holds too many
     rows for one task.
     """
-    star = warehouse.build_star(raw)
+    star = warehouse.small_dimensions(raw) | {"dim_product": warehouse.load_dim_product(raw)}
     tables = {}
     for name in ["dim_date", "dim_price_tier", "dim_discount_band", "dim_product"]:
         star[name].write.mode("overwrite").saveAsTable(f"{database}.{name}")
