@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -320,8 +322,20 @@ def collect_records(spark: SparkSession, folder: str) -> DataFrame:
     return collect.raw_records(retail_pages.listing_pages(spark, folder), retail_pages.detail_pages(spark, folder))
 
 
+def corpus_module(name: str):
+    """A module of the corpus subpackage or its pipeline, or None where those were taken out."""
+    if importlib.util.find_spec("shelfwatch.llm") is None or importlib.util.find_spec("corpus_pipeline") is None:
+        return None
+    return importlib.import_module(name)
+
+
 def queries() -> dict[str, Query]:
     """Every registered query by name."""
+    corpus, pipeline = corpus_module("shelfwatch.llm.queries"), corpus_module("corpus_pipeline")
+    return own_queries() | (corpus.queries() if corpus else {}) | ({"pipeline": pipeline.run} if pipeline else {})
+
+
+def own_queries() -> dict[str, Query]:
     return {
         "q1_brand": on_latest(analytics.brand_positioning),
         "q2_region": on_latest(analytics.region_positioning, category="STANDARD"),
@@ -402,5 +416,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def oracle_sql() -> dict[str, str]:
-    """The SQL twin of every registered query."""
-    return oracle_queries.oracle_sql()
+    """The SQL twins of the registered queries; a query that SQL cannot express has none."""
+    corpus, pipeline = corpus_module("shelfwatch.llm.queries"), corpus_module("corpus_pipeline")
+    twins = oracle_queries.oracle_sql() | (corpus.oracle_sql() if corpus else {})
+    return twins | ({"pipeline": pipeline.ORACLE_SQL} if pipeline and pipeline.ORACLE_SQL else {})
