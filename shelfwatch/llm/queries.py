@@ -5,26 +5,92 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfwatch.llm import oracles
+from shelfwatch.llm import oracles, url_filter
 from shelfwatch.llm.common import table
+from shelfwatch.llm.decontaminate import decontaminate
 from shelfwatch.llm.exact_dedup import exact_dedup
+from shelfwatch.llm.language_id import identify
+from shelfwatch.llm.line_spread import drop_spread_lines
+from shelfwatch.llm.mixing import systematic_mix, word_count
+from shelfwatch.llm.near_join import near_join
+from shelfwatch.llm.repeats import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    model = url_filter.train(url_filter.labelled_urls(spark))
+    return url_filter.judge(table(spark, folder, "pages"), model)
+
+
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = remove_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return identify(table(spark, folder, "documents"))
+
+
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", "n_items",
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = exact_dedup(table(spark, folder, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document its class (smallest id of its group), its copies' smallest id and its number of links."""
+    found = near_join(table(spark, folder, "documents"))
+    groups = found.groupBy("group_no").agg(F.min("doc_id").alias("class_id"))
+    copies = found.groupBy("class_no").agg(F.min("doc_id").alias("copy_id"))
+    return found.join(groups, "group_no").join(copies, "class_no").select(
+        "doc_id", "class_id", "copy_id", "n_links", "group_size"
+    )
+
+
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = drop_spread_lines(table(spark, folder, "documents"))
+    return cleaned.select(
+        "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"),
+        F.sha2("_kept", 256).alias("kept_sha256"),
+    )
+
+
+def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    mixed = systematic_mix(docs, size=F.col("size"))
+    return mixed.select(
+        "doc_id", "size", F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
+        (F.col("_copies") * F.col("size")).alias("taken"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_url_filter": op1_url_filter,
+        "op2_suffix_dedup": op2_suffix_dedup,
+        "op5_language_id": op5_language_id,
+        "op6_decontamination": op6_decontamination,
         "op7_exact_dedup": op7_exact_dedup,
+        "op8_ngram_join": op8_ngram_join,
+        "op9_line_dedup": op9_line_dedup,
+        "op10_mixing": op10_mixing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op6_decontamination": oracles.DECONTAMINATION,
         "op7_exact_dedup": oracles.EXACT_DEDUP,
+        "op9_line_dedup": oracles.LINE_DEDUP,
+        "op10_mixing": oracles.MIXING,
     }
