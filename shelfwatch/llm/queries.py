@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwatch.llm import oracles, url_filter
+from shelfwatch.llm import oracles, pii, url_filter
 from shelfwatch.llm.common import table
 from shelfwatch.llm.decontaminate import decontaminate
 from shelfwatch.llm.exact_dedup import exact_dedup
@@ -16,6 +16,7 @@ from shelfwatch.llm.line_spread import drop_spread_lines
 from shelfwatch.llm.mixing import systematic_mix, word_count
 from shelfwatch.llm.near_join import near_join
 from shelfwatch.llm.repeats import remove_repeats
+from shelfwatch.llm.tool_calls import link_tool_calls, messages_from_turns
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +31,14 @@ def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digest(pii.find_personal_data(table(spark, folder, "documents")))
+
+
+def op4_tool_calls(spark: SparkSession, folder: str) -> DataFrame:
+    return link_tool_calls(messages_from_turns(table(spark, folder, "conversations")))
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify(table(spark, folder, "documents"))
 
@@ -78,6 +87,8 @@ def queries() -> dict[str, Query]:
     return {
         "op1_url_filter": op1_url_filter,
         "op2_suffix_dedup": op2_suffix_dedup,
+        "op3_pii": op3_pii,
+        "op4_tool_calls": op4_tool_calls,
         "op5_language_id": op5_language_id,
         "op6_decontamination": op6_decontamination,
         "op7_exact_dedup": op7_exact_dedup,

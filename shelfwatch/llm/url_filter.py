@@ -104,17 +104,13 @@ def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]] =
 def _grams(text: Column, mark: str, sizes: Sequence[int]) -> Column:
     """Character n-grams of a text with ends marked; the mark tells host from path."""
     framed = F.concat(F.lit("^"), text, F.lit("$"))
-    each = [
-        F.when(
-            F.length(framed) >= n,
-            F.transform(
-                F.sequence(F.lit(1), F.greatest(F.length(framed) - F.lit(n - 1), F.lit(1))),
-                lambda i, n=n: F.concat(F.lit(mark), F.substring(framed, i, n)),
-            ),
-        ).otherwise(F.array().cast("array<string>"))
-        for n in sizes
-    ]
-    return F.concat(*each)
+
+    def of_size(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length(framed) - F.lit(n - 1), F.lit(1)))
+        grams = F.transform(starts, lambda i: F.concat(F.lit(mark), F.substring(framed, i, n)))
+        return F.when(F.length(framed) >= n, grams).otherwise(F.array().cast("array<string>"))
+
+    return F.concat(*[of_size(n) for n in sizes])
 
 
 def features(urls: DataFrame, host: str = "host", path: str = "path", sizes: Sequence[int] = GRAM_SIZES) -> DataFrame:
