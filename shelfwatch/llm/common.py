@@ -25,6 +25,12 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), ASCII_UPPER, ASCII_LOWER)
 
 
+def text_key(text: Column) -> Column:
+    """128 bits that stand for a text, as a struct ``a, b``; NULL counts as empty."""
+    bare = F.coalesce(text.cast("string"), F.lit(""))
+    return F.struct(F.xxhash64(bare).alias("a"), F.xxhash64(F.lit("text"), bare).alias("b"))
+
+
 def slot(key: Column, slots: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(slots))
 

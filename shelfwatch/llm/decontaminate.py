@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwatch.llm.common import staged
+from shelfwatch.llm.common import bit_filter, passes, staged, text_key
 from shelfwatch.llm.text_batches import mix, prefix_hash, slices, span_hash, text_bytes, words
 from shelfwatch.session import ship_package
 
@@ -103,14 +103,15 @@ def fingerprint_batch(
 def fingerprints(
     texts: DataFrame, id_column: str, text_column: str, sizes: list[int], window: int, gram: int, bitmap: np.ndarray | None
 ) -> DataFrame:
-    """One row per text, written: ``row_no, id, n_words, hits``."""
+    """One row per text, written: ``row_no, id, text_a, text_b, n_words, hits``."""
     spark = texts.sparkSession
     ship_package(spark)
     shared = None if bitmap is None else spark.sparkContext.broadcast(bitmap)
     rows = texts.select(
-        F.monotonically_increasing_id().alias("row_no"), F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text")
-    )
-    schema = f"row_no bigint, id {dict(rows.dtypes)['id']}, n_words bigint, hits {HITS}"
+        F.monotonically_increasing_id().alias("row_no"), F.col(id_column).alias("id"),
+        text_key(F.col(text_column)).alias("key"), F.col(text_column).cast("string").alias("text"),
+    ).select("row_no", "id", F.col("key.a").alias("text_a"), F.col("key.b").alias("text_b"), "text")
+    schema = f"row_no bigint, id {dict(rows.dtypes)['id']}, text_a bigint, text_b bigint, n_words bigint, hits {HITS}"
     hits_type = pa.list_(
         pa.struct([
             ("fp", pa.int64()), ("size", pa.int32()),
@@ -121,12 +122,12 @@ def fingerprints(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, last, counts, hits in fingerprint_batch(
-                batch.column(2), sizes, window, gram, None if shared is None else shared.value
+                batch.column(4), sizes, window, gram, None if shared is None else shared.value
             ):
                 part = batch.slice(first, last - first)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(counts, pa.int64()), pa.array(hits, hits_type)],
-                    names=["row_no", "id", "n_words", "hits"],
+                    [*part.columns[:4], pa.array(counts, pa.int64()), pa.array(hits, hits_type)],
+                    names=["row_no", "id", "text_a", "text_b", "n_words", "hits"],
                 )
 
     return staged(rows.mapInArrow(run, schema), "fingerprints")
@@ -173,7 +174,7 @@ def contamination(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """What documents share with the benchmark, in three frames that agree on ``row_no``.
 
-    * one row per document: ``row_no, id, n_words``;
+    * one row per document: ``row_no, id, text_a, text_b, n_words``;
     * one row per shared span: ``row_no, at, size, words`` (position and length in words);
     * one row per document and item with a shared span: ``row_no, item_no, item_id``.
 
@@ -191,7 +192,7 @@ def contamination(
     found = staged(around.join(known, ["size", "words"], "left_semi").select("row_no", "at", "size", "words"), "shared-spans")
     holders = spans.select("size", "words", "item_no", "item_id").distinct()
     items = found.select("row_no", "size", "words").distinct().join(holders, ["size", "words"])
-    return rows.select("row_no", "id", "n_words"), found, items.select("row_no", "item_no", "item_id").distinct()
+    return rows.drop("hits"), found, items.select("row_no", "item_no", "item_id").distinct()
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
@@ -217,3 +218,18 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         F.col("n_hit").isNotNull().alias("contaminated"),
     )
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", **options) -> DataFrame:
+    """The documents that share no span with the benchmark, all columns as they were.
+
+    Whether a document is contaminated depends on its text alone, so texts are what is
+    dropped; documents whose text is not among them by the bitmap pass without a shuffle.
+    """
+    rows, found, _ = contamination(docs, benchmark, text_column=text_column, **options)
+    hit = rows.join(found.select("row_no").distinct(), "row_no", "left_semi")
+    hit = staged(hit.select(F.col("text_a").alias("_a"), F.col("text_b").alias("_b")).distinct(), "contaminated")
+    keyed = docs.withColumn("_key", text_key(F.col(text_column)))
+    maybe = passes(bit_filter(hit, "_a"), F.col("_key.a"))
+    clean = keyed.where(maybe).join(hit, (F.col("_key.a") == F.col("_a")) & (F.col("_key.b") == F.col("_b")), "left_anti")
+    return keyed.where(~maybe).select(docs.columns).unionByName(clean.select(docs.columns))

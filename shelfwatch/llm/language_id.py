@@ -20,7 +20,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwatch.llm.common import staged
 from shelfwatch.llm.text_batches import slices, text_bytes
 from shelfwatch.session import ship_package
 
@@ -236,3 +235,9 @@ def identify(docs: DataFrame, id_column: str = "doc_id", lang: str = "lang", tex
     rows = docs.select(F.col(id_column).alias("doc_id"), held_out(id_column).alias("held_out"), F.col(text).alias("text"))
     found = predict(rows, profiles, keep=["doc_id", "held_out"])
     return found.select("doc_id", "held_out", F.col("_lang_pred").alias("lang_pred"), F.col("_score").alias("score"))
+
+
+def drop_unidentified(docs: DataFrame, id_column: str = "doc_id", lang: str = "lang", text: str = "text") -> DataFrame:
+    """The documents that have a language, all columns as they were; the profiles come from the same documents."""
+    profiles = train(docs.where(~held_out(id_column)), lang, text)
+    return predict(docs, profiles, text).where(F.col("_lang_pred") != UNKNOWN).select(docs.columns)

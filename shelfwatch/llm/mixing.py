@@ -94,7 +94,9 @@ def systematic_mix(
     are equal in all of these are interchangeable. An empty table gives an empty result.
     """
     sized = docs.withColumn("_size", word_count(F.col(text_column)) if size is None else size.cast("bigint"))
-    keys = [F.col(source_column), F.col("_size"), F.col(id_column), *[F.col(c) for c in tie]]
+    # Equal rows are told apart by their place, so that no range grows with them.
+    sized = sized.withColumn("_place", F.monotonically_increasing_id())
+    keys = [F.col(source_column), F.col("_size"), F.col(id_column), *[F.col(c) for c in tie], F.col("_place")]
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The number of the range is stored, so that later steps agree on it.
     dealt = staged(sized.repartitionByRange(width, *keys).withColumn("_range", F.spark_partition_id()), "ranges")
@@ -117,7 +119,8 @@ def systematic_mix(
     )
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, text_column: str = "text", **options) -> DataFrame:
     """The mix itself: every document as often as it is taken, with its ``copy`` number."""
-    taken = systematic_mix(docs, **options).where("_copies > 0")
+    tied = docs.withColumn("_tie", F.xxhash64(F.col(text_column)))
+    taken = systematic_mix(tied, text_column=text_column, tie=["_tie"], **options).where("_copies > 0")
     return taken.select(*docs.columns, F.explode(F.expr("sequence(1L, _copies)")).alias("copy"))

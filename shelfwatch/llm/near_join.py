@@ -19,10 +19,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwatch.llm.common import bit_filter, passes, staged
+from shelfwatch.llm.common import bit_filter, passes, staged, text_key
 from shelfwatch.llm.components import components
 from shelfwatch.llm.decontaminate import _gram_hashes, word_classes
 from shelfwatch.llm.text_batches import mix, prefix_hash, slices, span_hash, text_bytes, words
@@ -86,17 +86,12 @@ def shingle_sets(column: pa.Array, size: int) -> Iterator[tuple[int, int, list[n
         yield first, last, sets
 
 
-def _text_key(text: Column) -> Column:
-    bare = F.coalesce(text.cast("string"), F.lit(""))
-    return F.struct(F.xxhash64(bare).alias("a"), F.xxhash64(F.lit("text"), bare).alias("b"))
-
-
 def sketches(docs: DataFrame, id_column: str, text_column: str, size: int) -> DataFrame:
     """One row per document, written: ``row_no, id, text_key, set_a, set_b, n, labels``."""
     ship_package(docs.sparkSession)
     rows = docs.select(
         F.monotonically_increasing_id().alias("row_no"), F.col(id_column).alias("id"),
-        _text_key(F.col(text_column)).alias("key"), F.col(text_column).cast("string").alias("text"),
+        text_key(F.col(text_column)).alias("key"), F.col(text_column).cast("string").alias("text"),
     ).select("row_no", "id", "key.a", "key.b", "text")
     schema = f"row_no bigint, id {dict(rows.dtypes)['id']}, text_a bigint, text_b bigint, set_a bigint, set_b bigint, n bigint, labels binary"
 
@@ -218,7 +213,7 @@ def verified(sets: DataFrame) -> DataFrame:
 
 def _candidate_sets(docs: DataFrame, wanted: DataFrame, text_column: str, size: int) -> DataFrame:
     """``class_no, comp, ..., shingles`` for the classes in ``wanted``, from one text of each."""
-    key = _text_key(F.col(text_column))
+    key = text_key(F.col(text_column))
     texts = docs.select(key.alias("key"), F.col(text_column).cast("string").alias("text")).select("key.a", "key.b", "text")
     texts = texts.where(passes(bit_filter(wanted, "text_a"), F.col("a"))).dropDuplicates(["a", "b"])
     joined = wanted.join(texts, (F.col("text_a") == F.col("a")) & (F.col("text_b") == F.col("b")))
@@ -297,7 +292,7 @@ def drop_near(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
     marked = staged(
         marked.groupBy("_a", "_b", "_id").agg(F.max("stays").alias("_stays"), F.min("group_no").alias("_group")), "near-marks"
     )
-    keyed = docs.withColumn("_key", _text_key(F.col(text_column)))
+    keyed = docs.withColumn("_key", text_key(F.col(text_column)))
     maybe = passes(bit_filter(marked, "_a"), F.col("_key.a"))
     alone = keyed.where(~maybe).select(docs.columns)
     same = (F.col("_key.a") == F.col("_a")) & (F.col("_key.b") == F.col("_b")) & F.col(id_column).eqNullSafe(F.col("_id"))

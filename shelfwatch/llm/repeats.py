@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwatch.llm.common import bit_filter, passes, staged
+from shelfwatch.llm.common import bit_filter, passes, staged, text_key
 from shelfwatch.llm.text_batches import prefix_hash, slices, span_hash, text_bytes
 from shelfwatch.session import ship_package
 
@@ -77,9 +77,9 @@ def parse(docs: DataFrame, id_column: str, text_column: str, gram: int, length:
     bare = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
     rows = docs.select(
         F.monotonically_increasing_id().alias("row_no"), F.col(id_column).alias("id"),
-        F.xxhash64(bare).alias("text_a"), F.xxhash64(F.lit("text"), bare).alias("text_b"),
+        text_key(F.col(text_column)).alias("key"),
         F.sha2(bare, 256).alias("sha"), F.octet_length(bare).cast("bigint").alias("n_bytes"), bare.alias("text"),
-    )
+    ).select("row_no", "id", F.col("key.a").alias("text_a"), F.col("key.b").alias("text_b"), "sha", "n_bytes", "text")
     lists = {"grams": pa.int64(), "spans": pa.int64(), "starts": pa.int32(), "shapes": pa.int32()}
     schema = f"row_no bigint, id {dict(rows.dtypes)['id']}, text_a bigint, text_b bigint, sha string, n_bytes bigint, "
     schema += "grams array<bigint>, spans array<bigint>, starts array<int>, shapes array<int>"
@@ -234,7 +234,7 @@ def remove_repeats(
     )
     flagged = staged(flagged.join(firsts, "row_no"), "flagged")
     bare = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
-    texts = docs.select(F.xxhash64(bare).alias("a"), F.xxhash64(F.lit("text"), bare).alias("b"), bare.alias("text"))
+    texts = docs.select(text_key(F.col(text_column)).alias("key"), bare.alias("text")).select("key.a", "key.b", "text")
     texts = texts.where(passes(bit_filter(flagged, "text_a"), F.col("a"))).dropDuplicates(["a", "b"])
     affected = staged(
         flagged.join(texts, (F.col("text_a") == F.col("a")) & (F.col("text_b") == F.col("b"))).drop("a", "b"), "affected"
