@@ -260,7 +260,7 @@ def find_personal_data(docs: DataFrame, id_column: str = "doc_id", text_column:
     Offsets are code points, the end exclusive; ``kind`` is a number in ``KINDS``. NULL and
     empty texts have no spans; an empty table gives an empty result; repeated rows are
     judged one by one and alike. A candidate that touches a base span of its own kind is
-    not added; of candidates of one kind that touch each other the first, then the longest, stays.
+    not added; of candidates of one kind that touch each other the likeliest, then the first, stays.
     """
     rows = scan(docs, id_column, text_column)
     tried = rows.select("row_no", "base", F.explode("candidates").alias("c")).select("row_no", "base", "c.*")
@@ -272,18 +272,18 @@ def find_personal_data(docs: DataFrame, id_column: str = "doc_id", text_column:
     fresh = voted.withColumn("number", kind).where(~F.exists(
         "base", lambda b: (b["kind"] == F.col("number")) & (b["start"] < F.col("end")) & (F.col("start") < b["end"])
     ))
-    accepted = fresh.where(chance >= ACCEPT).select(
-        "row_no", F.struct(F.col("start"), F.col("number").alias("kind"), F.col("end")).alias("span"),
-    )
-    listed = accepted.groupBy("row_no").agg(F.collect_set("span").alias("found"))
-    ordered = F.array_sort(F.col("found"), lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).when(
-        a["kind"] != b["kind"], a["kind"] - b["kind"]).otherwise(b["end"] - a["end"]))
-
-    def apart(kept: Column, span: Column) -> Column:
-        touches = F.exists(kept, lambda k: (k["kind"] == span["kind"]) & (k["end"] > span["start"]))
+    span = F.struct(F.col("start"), F.col("number").alias("kind"), F.col("end"))
+    accepted = fresh.withColumn("doubt", F.round(1 - chance, 9)).where(F.col("doubt") <= 1 - ACCEPT)
+    listed = accepted.groupBy("row_no").agg(F.collect_set(F.struct(F.col("doubt"), span.alias("span"))).alias("found"))
+
+    def apart(kept: Column, found: Column) -> Column:
+        span = found["span"]
+        touches = F.exists(
+            kept, lambda k: (k["kind"] == span["kind"]) & (k["start"] < span["end"]) & (span["start"] < k["end"])
+        )
         return F.when(touches, kept).otherwise(F.concat(kept, F.array(span)))
 
-    added = F.aggregate(ordered, F.slice("found", 1, 0), apart)
+    added = F.aggregate(F.array_sort("found"), F.slice(F.col("found.span"), 1, 0), apart)
     none = F.slice("base", 1, 0)
     joined = rows.join(listed, "row_no", "left").withColumn("added", F.when(F.col("found").isNull(), none).otherwise(added))
     return joined.select("doc_id", "base", "added", F.array_sort(F.concat("base", "added")).alias("spans"))

@@ -1,0 +1,71 @@
+import random
+
+from corpus import SCHEMA, awkward, document, prose, words
+
+from shelfwatch.llm.decontaminate import decontaminate, drop_contaminated
+
+ITEMS = "item_id bigint, text string, n_words string"
+
+
+def expected(docs, items, window=10):
+    spans = {}
+    for number, (item_id, text, *_) in enumerate(items):
+        w = words(text)
+        size = min(window, len(w))
+        for i in range(len(w) - size + 1) if w else []:
+            spans.setdefault(tuple(w[i : i + size]), set()).add((number, "" if item_id is None else str(item_id)))
+    sizes = {len(s) for s in spans}
+    out = []
+    for row in docs:
+        w = words(row[1])
+        hit, held = set(), set()
+        for size in sizes:
+            for i in range(len(w) - size + 1):
+                if tuple(w[i : i + size]) in spans:
+                    hit.update(range(i, i + size))
+                    held |= spans[tuple(w[i : i + size])]
+        out.append((row[0], len(w), len(hit), len(held), sorted(i for _, i in held), bool(hit)))
+    return sorted(out, key=str)
+
+
+def check(rows, docs, items):
+    got = decontaminate(rows(SCHEMA, *docs), rows(ITEMS, *items))
+    found = [(r.id, r.n_words, r.n_hit, r.n_items, r["items"], r.contaminated) for r in got.collect()]
+    assert sorted(found, key=str) == expected(docs, items)
+
+
+def test_awkward_rows_and_items_of_every_length(rows):
+    text = prose(50, 80)
+    parts = text.split()
+    docs = [
+        *awkward(), document(20, text), document(21, "x " + " ".join(parts[5:30]) + " y"), document(22, " ".join(parts[5:14])),
+        document(23, ", ".join(parts[20:33]).upper()), document(24, "alpha beta alpha beta alpha beta alpha beta alpha beta alpha beta"),
+    ]
+    items = [
+        (1, text, "a"), (1, " ".join(parts[3:20]), "b"), (None, " ".join(parts[40:47]), "c"), (4, "beta alpha", "d"), (5, "ab", "e"),
+        (6, None, "f"), (7, "", "g"), (8, "?", "h"), (9, " ".join(parts[9:18]), "i"),
+    ]
+    check(rows, docs, items)
+
+
+def test_no_shared_span_is_missed(rows):
+    r = random.Random(5)
+    vocabulary = ["a", "b", "c"]  # few words, so that hashes repeat and windows tie
+    docs = [document(i, " ".join(r.choices(vocabulary, k=r.randint(0, 60)))) for i in range(60)]
+    items = [(i, " ".join(r.choices(vocabulary, k=r.randint(1, 25))), "") for i in range(25)]
+    check(rows, docs, items)
+
+
+def test_empty_tables(rows, spark):
+    none, no_items = spark.createDataFrame([], SCHEMA), spark.createDataFrame([], ITEMS)
+    assert decontaminate(none, rows(ITEMS, (1, prose(1), ""))).count() == 0
+    got = decontaminate(rows(SCHEMA, *awkward()), no_items)
+    assert got.where("contaminated OR n_hit > 0").count() == 0 and got.count() == len(awkward())
+
+
+def test_documents_that_stay(rows):
+    text = prose(60, 40)
+    docs = rows(SCHEMA, *awkward(), document(30, "some words before " + text), document(31, text[:40]))
+    got = drop_contaminated(docs, rows(ITEMS, (1, text, "")))
+    assert got.columns == docs.columns
+    assert got.count() == len(awkward()) + 1 and got.where("doc_id = 30").count() == 0
