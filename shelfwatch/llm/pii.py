@@ -172,7 +172,7 @@ def votes(candidates: DataFrame) -> DataFrame:
     shape = by_kind(
         email=F.when(value.contains("@"), 1).otherwise(0), ip=F.when(value.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"), 1).otherwise(-1),
         card=F.when(value.rlike(r"^[0-9]{14,19}$|^[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{2,4}$"), 1).otherwise(-1),
-        phone=F.when(value.startswith("+"), 1).otherwise(0),
+        phone=F.when(value.startswith("+"), 1).when(value.contains("("), 0).otherwise(-1),
     )
     check = by_kind(
         email=sign(ending.rlike("^[a-z]{2,}$")), ip=sign(valid("ip", value) & ~value.rlike(r"(?:^|\.)0[0-9]")),
@@ -259,8 +259,8 @@ def find_personal_data(docs: DataFrame, id_column: str = "doc_id", text_column:
 
     Offsets are code points, the end exclusive; ``kind`` is a number in ``KINDS``. NULL and
     empty texts have no spans; an empty table gives an empty result; repeated rows are
-    judged one by one and alike. A candidate that touches a base span of its own kind is
-    not added; of candidates of one kind that touch each other the likeliest, then the first, stays.
+    judged one by one and alike. A candidate that touches a base span of its own kind
+    or lies inside one of another is not added; of candidates of one kind that touch each other the likeliest, then the first, stays.
     """
     rows = scan(docs, id_column, text_column)
     tried = rows.select("row_no", "base", F.explode("candidates").alias("c")).select("row_no", "base", "c.*")
@@ -270,7 +270,9 @@ def find_personal_data(docs: DataFrame, id_column: str = "doc_id", text_column:
         return rows.select("doc_id", "base", F.col("base").alias("spans"), F.slice("base", 1, 0).alias("added"))
     kind = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")).cast("int") - 1
     fresh = voted.withColumn("number", kind).where(~F.exists(
-        "base", lambda b: (b["kind"] == F.col("number")) & (b["start"] < F.col("end")) & (F.col("start") < b["end"])
+        "base",
+        lambda b: F.when(b["kind"] == F.col("number"), (b["start"] < F.col("end")) & (F.col("start") < b["end"]))
+        .otherwise((b["start"] <= F.col("start")) & (F.col("end") <= b["end"])),
     ))
     span = F.struct(F.col("start"), F.col("number").alias("kind"), F.col("end"))
     accepted = fresh.withColumn("doubt", F.round(1 - chance, 9)).where(F.col("doubt") <= 1 - ACCEPT)
