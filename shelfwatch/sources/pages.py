@@ -1,59 +1,56 @@
 """Crawled pages to listing rows and product details.
 
-Embedded JSON is read with built-in expressions. Only markup that has to be
-walked as a tree goes through Python, in Arrow batches, and returns the few
-texts it found; merging, defaults and key clean-up are expressions again. A
-page's cards and JSON items meet inside its row, so nothing is shuffled.
+Embedded JSON is read with built-in expressions, and so are cards and panels, out of the
+flat rows of elements that one pass over a page's tokens gives. A page's cards and JSON
+items meet in a map inside its row, so nothing is shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwatch.functions.text import extract, slug, strip
 from shelfwatch.schema import DETAIL_COLUMNS
-from shelfwatch.sources import markup
+from shelfwatch.sources.outline import elements
 
-# The markup that carries product data.
-LD_SCRIPT = r"(?is)<script[^>]*type\s*=\s*[\"']application/ld\+json[\"'][^>]*>(.*?)</script>"
+# The scripts and texts that carry product data.
+LD_SCRIPT = r"(?is)<script[^>]*type\s*=\s*[\"']?application/ld\+json[\"']?[^>]*>(.*?)</script>"
 ANY_SCRIPT = r"(?is)<script[^>]*>(.*?)</script>"
 ITEMS_ARRAY = r"(?s)var items\s*=\s*(\[.*?\]);"
 WAS_PRICE = r"(?i)Was\s*£\s*(\d+(?:\.\d+)?)"
+PRODUCT_LINK = r"/p/(\d+)/"
+CARD_PRICE = r"£\s*(\d+(?:\.\d+)?)"
 CARD_MARKUP = r"(?i)product"
 PANEL_MARKUP = r"(?i)product-offer__price|flavour-profile|product-facts|<details"
 
-CARD_TYPE = "struct<id string, url string, image string, status string, unit_price string, name string, price string>"
-PANEL_TYPE = (
-    "struct<was string, style array<struct<label string, score string>>,"
-    " notes array<string>, facts array<struct<label string, value string>>>"
-)
 ITEM_TYPE = (
     "struct<item_id string, item_name string, item_brand string, item_variant string, price string,"
     " item_category3 string, item_category5 string, _url string>"
 )
 
 
-# -- markup walked in Python ---------------------------------------------------------------
-
+# -- embedded JSON -------------------------------------------------------------------------
 
-def _walk(reader: Callable, returns: str, html: Column, pattern: str) -> Column:
-    """What ``reader`` finds; a page without the markup goes to Python as NULL, not as text.
 
-    Declared non-deterministic so that Spark copies it into no filter and every
-    page is walked once.
-    """
-    return F.pandas_udf(reader, returns).asNondeterministic()(F.when(html.rlike(pattern), html))
+def _field(json: Column, name: str) -> Column:
+    """A member of a JSON object as text, nested JSON as it is written; of repeated keys the last."""
+    return F.from_json(json, f"`{name}` string")[name]
 
 
-# -- embedded JSON, all expressions --------------------------------------------------------
+def _valid_json(texts: Column) -> Column:
+    """Texts that are one JSON value; keys may repeat. As a member of an object, text after the value is an error too."""
 
+    def whole(s: Column) -> Column:
+        read = F.from_json(
+            F.concat(F.lit('{"x":'), s, F.lit("}")), "x string, _bad string", {"columnNameOfCorruptRecord": "_bad"}
+        )
+        return read["_bad"].isNull() & read["x"].isNotNull()
 
-def _valid_json(texts: Column) -> Column:
-    """Texts that are one JSON value. As a member of an object, text after the value is an error too."""
-    return F.filter(texts, lambda s: F.try_parse_json(F.concat(F.lit('{"x":'), s, F.lit("}"))).isNotNull())
+    return F.filter(texts, whole)
 
 
 def _parts(json: Column) -> Column:
@@ -83,8 +80,8 @@ def ld_price(objects: Column) -> Column:
     """The first price found in any object's offers, one offer or a list of them."""
 
     def prices(obj: Column) -> Column:
-        offers = F.filter(_elements(F.get_json_object(obj, "$.offers")), _is_object)
-        return F.transform(offers, lambda o: F.get_json_object(o, "$.price"))
+        offers = F.filter(F.coalesce(_elements(_field(obj, "offers")), F.array().cast("array<string>")), _is_object)
+        return F.transform(offers, lambda o: _field(o, "price"))
 
     found = F.flatten(F.transform(objects, prices))
     return strip(F.get(F.filter(found, lambda p: p.isNotNull()), 0))
@@ -92,7 +89,7 @@ def ld_price(objects: Column) -> Column:
 
 def ld_rating(objects: Column) -> Column:
     """The first aggregate rating of any object, as a JSON text."""
-    ratings = F.transform(objects, lambda o: F.get_json_object(o, "$.aggregateRating"))
+    ratings = F.transform(objects, lambda o: _field(o, "aggregateRating"))
     return F.get(F.filter(ratings, lambda r: r.isNotNull() & _is_object(r)), 0)
 
 
@@ -109,27 +106,30 @@ def _ld_items(html: Column) -> Column:
     """Items of every JSON-LD ``ItemList``."""
 
     def item(entry: Column) -> Column:
-        product = F.get_json_object(entry, "$.item")
+        product = _field(entry, "item")
 
-        def field(path: str) -> Column:
-            return F.coalesce(F.get_json_object(product, path), F.lit(""))
+        def field(name: str, inner: str | None = None) -> Column:
+            value = _field(product, name)
+            if inner:
+                value = F.when(_is_object(value), _field(value, inner))
+            return F.coalesce(value, F.lit(""))
 
         return F.struct(
-            field("$.sku").alias("item_id"),
-            field("$.name").alias("item_name"),
-            field("$.brand.name").alias("item_brand"),
+            field("sku").alias("item_id"),
+            field("name").alias("item_name"),
+            field("brand", "name").alias("item_brand"),
             F.lit("").alias("item_variant"),
-            field("$.offers.price").alias("price"),
+            field("offers", "price").alias("price"),
             F.lit("").alias("item_category3"),
             F.lit("").alias("item_category5"),
-            field("$.url").alias("_url"),
+            field("url").alias("_url"),
         )
 
-    scripts = _valid_json(F.regexp_extract_all(html, F.lit(LD_SCRIPT), F.lit(1)))
-    lists = F.filter(scripts, lambda s: F.get_json_object(s, "$['@type']") == "ItemList")
-    entries = F.flatten(F.transform(lists, lambda s: _parts(F.get_json_object(s, "$.itemListElement"))))
+    scripts = F.filter(_valid_json(F.regexp_extract_all(html, F.lit(LD_SCRIPT), F.lit(1))), lambda s: _is_object(strip(s)))
+    lists = F.filter(scripts, lambda s: _field(s, "@type") == "ItemList")
+    entries = F.flatten(F.transform(lists, lambda s: _parts(_field(s, "itemListElement"))))
     products = F.filter(
-        entries, lambda e: F.coalesce(F.get_json_object(e, "$.item").startswith("{\""), F.lit(False))
+        F.filter(entries, _is_object), lambda e: F.coalesce(_field(e, "item").startswith("{\""), F.lit(False))
     )
     return F.transform(products, item)
 
@@ -139,6 +139,119 @@ def _or(first: Column, *rest: Column) -> Column:
     return F.coalesce(*[F.nullif(c, F.lit("")) for c in (first, *rest)], F.lit(""))
 
 
+# -- elements ------------------------------------------------------------------------------
+
+
+def _is(element: Column, tag: str = "", like: str = "", named: str = "", id: str = "") -> Column:
+    """Condition by tag, class pattern in any case, exact class name, and id."""
+    tests = [
+        *([element["tag"] == tag] if tag else []),
+        *([element["classes"].rlike(f"(?i){like}")] if like else []),
+        *([F.array_contains(F.split(element["classes"], r"\s+"), named)] if named else []),
+        *([element["id"] == id] if id else []),
+    ]
+    out = tests[0]
+    for test in tests[1:]:
+        out &= test
+    return out
+
+
+def _within(rows: Column, outer: Column, test: Callable[[Column], Column]) -> Column:
+    """The elements inside another that pass a test, in document order."""
+    return F.filter(rows, lambda e: (e["first"] > outer["first"]) & (e["last"] <= outer["last"]) & test(e))
+
+
+def _is_given(test: dict, element: Column) -> Column:
+    return _is(element, **test)
+
+
+def _first(found: Column) -> Column:
+    return F.get(found, 0)
+
+
+def _one(rows: str, *choices: dict) -> Column:
+    """The first element by the first choice that has one; NULL without any."""
+    return F.coalesce(*[_first(_all(rows, choice)) for choice in choices])
+
+
+def _card(rows: Column, card: Column) -> Column:
+    """What one card shows; its id is empty without a product link."""
+
+    def inner(field: str, **test: str) -> Column:
+        return _first(_within(rows, card, lambda e: _is(e, **test)))[field]
+
+    link = _first(_within(rows, card, lambda e: _is(e, tag="a") & e["href"].rlike(PRODUCT_LINK)))["href"]
+    title = F.coalesce(
+        inner("text", like="(product.*name|title)"), inner("text", tag="h2"), inner("text", tag="h3"),
+        inner("text", tag="p", like="(name|title)"), F.lit(""),
+    )
+    return F.struct(
+        F.regexp_extract(F.coalesce(link, F.lit("")), PRODUCT_LINK, 1).alias("id"),
+        F.coalesce(link, F.lit("")).alias("url"),
+        F.coalesce(inner("image", tag="img"), F.lit("")).alias("image"),
+        F.coalesce(inner("text", like="(status|badge|stock)"), F.lit("In Stock")).alias("status"),
+        F.coalesce(inner("text", like="unit.price"), F.lit("")).alias("unit_price"),
+        title.alias("name"),
+        F.regexp_extract(F.coalesce(inner("text", like="price(?!.*unit)"), F.lit("")), CARD_PRICE, 1).alias("price"),
+    )
+
+
+def _card_elements(rows: str) -> Column:
+    """The elements that hold a card: those of the first kind present."""
+    # The kinds.
+    kinds = [{"tag": "li", "named": "product-grid__item"}, {"tag": "li", "like": "(product.*item|product-card)"}]
+    choice = F.filter(rows, lambda e: _is(e, tag="div", like="(product-card|product-grid)"))
+    for kind in reversed(kinds):
+        found = _all(rows, kind)
+        choice = F.when(F.size(found) > 0, found).otherwise(choice)
+    return choice
+
+
+def _all(rows: str, test: dict) -> Column:
+    return F.filter(rows, lambda e: _is(e, **test))
+
+
+def _merged(cards: str) -> Column:
+    """One card per id in order of first sight: the first one's name and price, the last one's other fields."""
+    ids = F.array_distinct(F.transform(F.filter(cards, lambda c: c["id"] != ""), lambda c: c["id"]))
+
+    def merge(number: Column) -> Column:
+        def same() -> Column:
+            return F.filter(cards, lambda c: c["id"] == number)
+
+        return F.struct(
+            *[F.try_element_at(same(), F.lit(-1))[f].alias(f) for f in ("id", "url", "image", "status", "unit_price")],
+            *[_first(same())[f].alias(f) for f in ("name", "price")],
+        )
+
+    return F.transform(ids, merge)
+
+
+def _style_entry(rows: Column, item: Column) -> Column:
+    def inner(field: str, **test: str) -> Column:
+        return _first(_within(rows, item, lambda e: _is(e, **test)))[field]
+
+    shown = inner("text", tag="span", named="flavour-profile__content")
+    gauge = strip(inner("gauge", like="flavour-profile__gauge"))
+    return F.struct(
+        inner("text", tag="span", named="flavour-profile__label").alias("label"), F.coalesce(shown, gauge, F.lit("")).alias("value")
+    )
+
+
+def _fact_entry(rows: Column, item: Column) -> Column:
+    def inner(field: str, **test: str) -> Column:
+        return _first(_within(rows, item, lambda e: _is(e, **test)))[field]
+
+    return F.struct(
+        F.coalesce(inner("text", tag="h3"), inner("text", like="(type|key|label)")).alias("label"),
+        F.coalesce(inner("spaced", tag="p"), inner("spaced", like="(data|value)")).alias("value"),
+    )
+
+
+def _valued(entries: Column) -> Column:
+    return F.filter(entries, lambda e: e["label"].isNotNull() & (F.coalesce(e["value"], F.lit("")) != ""))
+
+
 # -- jobs ----------------------------------------------------------------------------------
 
 
@@ -147,10 +260,9 @@ def listing_rows(pages: DataFrame) -> DataFrame:
 
     Items come from ``var items``, else from JSON-LD item lists; each takes its
     card's URL, image, status and unit price by product id. A page with cards
-    but no items gives one row per card. ``page_url`` and ``position`` give the
-    order inside a page.
+    but no items gives one row per card, with an empty ``category``. ``page_category``
+    is the page's own, ``page_url`` and ``position`` give the order inside a page.
     """
-    html = F.col("html")
     kept = [c for c in pages.columns if c not in ("url", "html", "category", "fetched_at")]
     read = pages.select(
         *kept,
@@ -158,48 +270,54 @@ def listing_rows(pages: DataFrame) -> DataFrame:
         F.regexp_extract("url", r"^(https?://[^/]+)", 1).alias("site"),
         F.coalesce(F.col("category"), F.lit("")).alias("page_category"),
         F.col("fetched_at").alias("scraped_at"),
-        _script_items(html).alias("script_items"),
-        _ld_items(html).alias("ld_items"),
-        _walk(markup.cards, f"array<{CARD_TYPE}>", html, CARD_MARKUP).alias("cards"),
+        _script_items(F.col("html")).alias("script_items"),
+        _ld_items(F.col("html")).alias("ld_items"),
+        elements(F.col("html"), CARD_MARKUP).alias("rows"),
     )
+    # Staged one by one: nested, an array would be built once per use.
+    read = read.withColumn("holders", _card_elements("rows"))
+    read = read.withColumn("all_cards", F.transform("holders", lambda e: _card(F.col("rows"), e)))
+    read = read.withColumn("cards", _merged("all_cards"))
     items = F.when(F.coalesce(F.size("script_items"), F.lit(0)) > 0, F.col("script_items")).otherwise(F.col("ld_items"))
     read = read.withColumn("items", items)
+    read = read.withColumn(
+        "by_id", F.map_from_entries(F.transform("cards", lambda c: F.struct(c["id"].alias("key"), c.alias("value"))))
+    )
 
-    def entry(item: Column | None, card: Column | None) -> Column:
-        return F.struct(
-            (F.lit(None).cast(ITEM_TYPE) if item is None else item).alias("item"),
-            (F.lit(None).cast(CARD_TYPE) if card is None else card).alias("card"),
-        )
+    def number(item: Column) -> Column:
+        return strip(_or(item["item_id"], F.regexp_extract(F.coalesce(item["_url"], F.lit("")), PRODUCT_LINK, 1)))
 
-    entries = F.when(
-        F.coalesce(F.size("items"), F.lit(0)) > 0, F.transform("items", lambda i: entry(i, None))
-    ).otherwise(F.transform("cards", lambda c: entry(None, c)))
-    rows = read.select("*", F.posexplode(entries).alias("position", "entry")).select("*", "entry.*")
+    def from_item(item: Column) -> Column:
+        card = F.try_element_at("by_id", number(item))
+        return F.struct(F.lit(True).alias("from_item"), number(item).alias("product_id"), item.alias("item"), card.alias("card"))
 
-    from_item = F.col("item").isNotNull()
-    number = _or(F.col("item.item_id"), F.regexp_extract(F.coalesce("item._url", F.lit("")), markup.PRODUCT_LINK, 1))
-    rows = rows.withColumn("product_id", F.when(from_item, strip(number)).otherwise(F.col("card.id"))).withColumn(
-        "card",
-        F.when(from_item, F.get(F.filter("cards", lambda c: c.id == F.col("product_id")), 0)).otherwise(F.col("card")),
+    none = F.lit(None).cast(ITEM_TYPE)
+    alone = F.transform(
+        "cards", lambda c: F.struct(F.lit(False).alias("from_item"), c["id"].alias("product_id"), none.alias("item"), c.alias("card"))
     )
+    entries = F.when(F.coalesce(F.size("items"), F.lit(0)) > 0, F.transform("items", from_item)).otherwise(alone)
+    rows = read.select(*kept, "page_url", "site", "page_category", "scraped_at", F.posexplode(entries).alias("position", "entry"))
+    rows = rows.select("*", "entry.*").drop("entry")
     link = _or(
         F.col("card.url"),
         F.col("item._url"),
         F.when(F.col("product_id") != "", F.concat(F.lit("/p/"), F.col("product_id"))),
     )
     rows = rows.withColumn("link", link)
+    item = F.col("from_item")
     return rows.select(
         *kept,
         "page_url",
+        "page_category",
         "position",
         "scraped_at",
-        F.when(from_item, F.col("page_category")).otherwise("").alias("category"),
+        F.when(item, F.col("page_category")).otherwise("").alias("category"),
         "product_id",
-        F.when(from_item, _or(F.col("item.item_name"))).otherwise(F.col("card.name")).alias("name"),
+        F.when(item, _or(F.col("item.item_name"))).otherwise(F.col("card.name")).alias("name"),
         _or(F.col("item.item_brand")).alias("brand"),
         _or(F.col("item.item_variant")).alias("variant"),
-        F.when(from_item, _or(F.col("item.price"))).otherwise(F.col("card.price")).alias("price_ex_vat_gbp"),
-        F.when(from_item, _or(F.col("card.unit_price"))).otherwise("").alias("unit_price_raw"),
+        F.when(item, _or(F.col("item.price"))).otherwise(F.col("card.price")).alias("price_ex_vat_gbp"),
+        F.when(item, _or(F.col("card.unit_price"))).otherwise("").alias("unit_price_raw"),
         _or(F.col("item.item_category3"), F.lit("N/A")).alias("region"),
         _or(F.col("item.item_category5")).alias("promo_label"),
         F.coalesce("card.status", F.lit("Current")).alias("status"),
@@ -212,31 +330,58 @@ def listing_rows(pages: DataFrame) -> DataFrame:
 
 def detail_rows(pages: DataFrame) -> DataFrame:
     """The detail fields of product pages ``(url, html)``, empty text where absent."""
-    html = F.col("html")
     read = pages.select(
-        F.col("url").alias("product_url"),
-        ld_objects(html).alias("objects"),
-        _walk(markup.panels, PANEL_TYPE, html, PANEL_MARKUP).alias("panels"),
-    ).withColumn("rating", ld_rating(F.col("objects")))
+        F.col("url").alias("product_url"), ld_objects(F.col("html")).alias("objects"),
+        elements(F.col("html"), PANEL_MARKUP).alias("rows"),
+    )
+    rows = F.col("rows")
+    read = read.withColumns({
+        "style_panel": _one("rows", {"tag": "details", "id": "Style"}, {"like": "flavour-profile.*style"}),
+        "notes_panel": _one("rows", {"tag": "details", "id": "Character"}, {"like": "flavour-profile.*character"}),
+        "facts_panel": _one("rows", {"tag": "details", "id": "ProductFacts"}, {"like": "product-facts"}),
+    })
+
+    def listed(panel: str, *tests: dict) -> Column:
+        outer = F.col(panel)
+        found = [_first(_within(rows, outer, partial(_is_given, test))) for test in tests]
+        return F.coalesce(*found)
+
+    profile = {"tag": "ul", "like": "flavour-profile__list"}
+    read = read.withColumns({
+        "style_list": listed("style_panel", profile),
+        "notes_list": listed("notes_panel", profile),
+        "facts_list": listed("facts_panel", {"tag": "ul", "named": "product-facts"}, {"tag": "ul"}),
+    })
+
+    def entries(outer: str, test: dict, make: Callable[[Column, Column], Column]) -> Column:
+        return F.transform(_within(rows, F.col(outer), partial(_is_given, test)), lambda item: make(rows, item))
+
+    read = read.select(
+        "product_url", "objects", ld_rating(F.col("objects")).alias("rating"),
+        _one("rows", {"tag": "span", "named": "product-offer__price"})["spaced"].alias("was"),
+        _valued(entries("style_list", {"tag": "li", "like": "flavour-profile__item"}, _style_entry)).alias("styles"),
+        F.filter(
+            entries("notes_list", {"tag": "span", "named": "flavour-profile__label"}, lambda _, e: e["text"]), lambda t: t != ""
+        ).alias("notes"),
+        _valued(entries("facts_list", {"tag": "li"}, _fact_entry)).alias("facts"),
+    )
 
-    def last(pairs: str, key: Column, wanted: str, value: str) -> Column:
-        hits = F.filter(pairs, lambda p: key(p) == wanted)
-        return F.try_element_at(hits, F.lit(-1))[value]
+    def last(pairs: str, key, wanted: str, value: str) -> Column:
+        return F.try_element_at(F.filter(pairs, lambda p: key(p["label"]) == wanted), F.lit(-1))[value]
 
     def style(name: str) -> Column:
-        return last("panels.style", lambda p: F.replace(F.lower(p.label), F.lit(" "), F.lit("_")), name, "score")
+        return last("styles", lambda label: F.replace(F.lower(label), F.lit(" "), F.lit("_")), name, "value")
 
     def fact(name: str) -> Column:
-        valued = F.filter("panels.facts", lambda p: p.value != "")
-        return last(valued, lambda p: slug(p.label), name, "value")
+        return last("facts", slug, name, "value")
 
     fields = {
-        "rating_stars": strip(F.get_json_object("rating", "$.ratingValue")),
-        "review_count": strip(F.get_json_object("rating", "$.reviewCount")),
+        "rating_stars": strip(_field(F.col("rating"), "ratingValue")),
+        "review_count": strip(_field(F.col("rating"), "reviewCount")),
         "price_inc_vat_gbp": ld_price(F.col("objects")),
-        "price_before_discount_gbp": extract(F.col("panels.was"), WAS_PRICE),
+        "price_before_discount_gbp": extract(F.col("was"), WAS_PRICE),
         **{f"style_{n}": style(n) for n in ("body", "richness", "smoke", "sweetness")},
-        "character_notes": F.array_join("panels.notes", "|"),
+        "character_notes": F.array_join("notes", "|"),
         **{f"fact_{n}": fact(n) for n in ("bottler", "country", "region", "cask_type", "colouring")},
     }
     return read.select("product_url", *[F.coalesce(fields[c], F.lit("")).alias(c) for c in DETAIL_COLUMNS])

@@ -3,7 +3,8 @@ import pytest
 from shelfwatch.plans import collect
 from shelfwatch.schema import DETAIL_COLUMNS, RAW_COLUMNS
 from shelfwatch.operators import listing
-from shelfwatch.sources import html_tree, pages
+from shelfwatch.sources import pages
+from shelfwatch.sources.outline import outline
 
 LD = '<script type="application/ld+json">{}</script>'
 
@@ -139,11 +140,30 @@ def test_cards_alone_are_the_last_resort(listed):
     assert listed("<p>product</p>") == [] and listed(None) == []
 
 
-def test_tree_survives_sloppy_markup():
-    page = html_tree.parse("<div><p>a<br>b<p>c</div></span><script>var t='</p>';</script><b id=x>d</b>")
-    assert page.text("|") == "a|b|c|d"
-    assert page.first("b", id="x").text() == "d"
-    assert page.first("i") is None
+def test_outline_of_sloppy_markup():
+    page = (
+        '<!-- <li>no</li> --><ul><li CLASS=a href=x href=y>one<ul><li class="b a">two &amp; &eacute;</li></ul>tail</li>'
+        "<li class='c'><p>three<br>four<script>var t='</li>';</script></li></ul></b><b id=x/><p>five"
+    )
+    got = outline(page)
+    assert [(r["tag"], r["text"]) for r in got if r["classes"] or r["tag"] == "p"] == [
+        ("li", "onetwo & étail"), ("li", "two & é"), ("li", "threefour"), ("p", "threefour"), ("p", "five"),
+    ]
+    by_tag = {r["tag"]: r for r in got}
+    inner, outer = got[2], got[0]
+    assert outer["first"] < inner["first"] < inner["last"] < outer["last"] < by_tag["b"]["first"]
+    assert got[1]["href"] == "x" and got[1]["spaced"] == "one two & é tail" and by_tag["b"]["id"] == "x/"
+    assert outline(None) == outline("") == []
+
+
+def test_json_with_repeated_keys_and_bare_script_types(details, listed):
+    got = details(
+        LD.format('{"name": "a", "name": "b", "offers": {"price": 3, "price": 4}}'),
+        '<script type=application/ld+json>{"offers": {"price": 6}, "aggregateRating": {"ratingValue": 1, "ratingValue": 2}}</script>',
+    )
+    assert [(g["price_inc_vat_gbp"], g["rating_stars"]) for g in got] == [("4", ""), ("6", "2")]
+    (row,) = listed('<script>var items = [{"item_id": 1, "item_id": 2, "item_name": "n"}];</script>')
+    assert (row["product_id"], row["name"]) == ("2", "n")
 
 
 def test_listing_cap(rows):
