@@ -108,14 +108,14 @@ def parse(docs: DataFrame, id_column: str, text_column: str, gram: int, length:
     return staged(rows.mapInArrow(run, schema), "parse")
 
 
-def _settled(rows: DataFrame, key: list[str], weight: Column) -> DataFrame:
-    """Per key met more than once: whether all rows of it are ``mixed`` or have one span."""
-    met = rows.groupBy(*key).agg(F.sum(weight).alias("met"), F.min("span").alias("low"), F.max("span").alias("high"))
-    return met.where("met > 1").select(*key, (F.col("low") != F.col("high")).alias("mixed"))
+def _repeated(places: DataFrame) -> DataFrame:
+    """``gram, mixed`` for trigger bytes met more than once; mixed where their phrases differ."""
+    met = places.groupBy("gram").agg(F.count("*").alias("met"), F.min("span").alias("low"), F.max("span").alias("high"))
+    return met.where("met > 1").select("gram", (F.col("low") != F.col("high")).alias("mixed"))
 
 
 def piece_rows(text: bytes, starts: np.ndarray, shapes: np.ndarray, length: int, piece: int) -> tuple[np.ndarray, ...]:
-    """The pieces of some phrases of a text: core hash, span hash, first string, strings, and all string hashes in a row."""
+    """The pieces of some phrases of a text: core hash, span hash, first string, strings, all string hashes in a row, phrase."""
     sums = prefix_hash(np.frombuffer(text, np.uint8))
     many, trigger = shapes & 0xFFF, starts + (shapes >> 12)
     # A string's piece is its distance to the trigger, rounded down.
@@ -128,31 +128,32 @@ def piece_rows(text: bytes, starts: np.ndarray, shapes: np.ndarray, length: int,
     core = span_hash(sums, trigger[which] - step * piece, trigger[which] - (step + 1) * piece + 1 + length)
     strings = high - low + 1
     at = np.arange(strings.sum()) - np.repeat(np.cumsum(strings) - strings, strings) + np.repeat(low, strings)
-    return core, span_hash(sums, low, high + length), low, strings, span_hash(sums, at, at + length)
+    return core, span_hash(sums, low, high + length), low, strings, span_hash(sums, at, at + length), which
 
 
 def pieces(affected: DataFrame, length: int, piece: int) -> DataFrame:
-    """Rows ``row_no, copies, core, span, start, strings`` of the mixed phrases of affected texts, written."""
+    """Rows ``row_no, weight, core, span, start, strings`` of the mixed phrases of affected texts, written."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, copies, text, mixed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for row, text, mixed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 starts = np.array([m["start"] for m in mixed], np.int64)
                 shapes = np.array([m["shape"] for m in mixed], np.int64)
-                core, span, low, many, strings = piece_rows(text.encode(), starts, shapes, length, piece)
+                core, span, low, many, strings, phrase = piece_rows(text.encode(), starts, shapes, length, piece)
+                weight = np.array([m["weight"] for m in mixed], np.int64)[phrase]
                 ends = np.concatenate([[0], np.cumsum(many)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(len(core), row)), pa.array(np.full(len(core), copies)),
+                        pa.array(np.full(len(core), row)), pa.array(weight),
                         pa.array(core.view(np.int64)), pa.array(span.view(np.int64)), pa.array(low.astype(np.int32)),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(strings.view(np.int64))),
                     ],
-                    names=["row_no", "copies", "core", "span", "start", "strings"],
+                    names=["row_no", "weight", "core", "span", "start", "strings"],
                 )
 
-    rows = affected.where(F.size("mixed") > 0).select("row_no", "copies", "text", "mixed")
+    rows = affected.where(F.size("mixed") > 0).select("row_no", "text", "mixed")
     return staged(
-        rows.mapInArrow(run, "row_no bigint, copies bigint, core bigint, span bigint, start int, strings array<bigint>"), "pieces"
+        rows.mapInArrow(run, "row_no bigint, weight bigint, core bigint, span bigint, start int, strings array<bigint>"), "pieces"
     )
 
 
@@ -221,18 +222,30 @@ def remove_repeats(
         "row_no", F.col("p.grams").alias("gram"), F.col("p.spans").alias("span"),
         F.col("p.starts").alias("start"), F.col("p.shapes").alias("shape"),
     )
-    # Copies of a text take part with one row and their number.
-    firsts = parsed.where(F.size("grams") > 0).groupBy("text_a", "text_b").agg(
-        F.min("row_no").alias("row_no"), F.count("*").alias("copies")
-    )
-    repeated = staged(_settled(placed, ["gram"], F.lit(1)), "repeated")
+    repeated = staged(_repeated(placed), "repeated")
     slots = 1 << 24
-    open_places = placed.where(passes(bit_filter(repeated, "gram", slots), F.col("gram"), slots))
-    flagged = open_places.join(repeated, "gram").groupBy("row_no").agg(
-        F.collect_list(F.when(~F.col("mixed"), F.struct("start", F.col("shape").bitwiseAND(0xFFF).alias("many")))).alias("sure"),
-        F.collect_list(F.when(F.col("mixed"), F.struct("start", "shape"))).alias("mixed"),
+    met = staged(placed.where(passes(bit_filter(repeated, "gram", slots), F.col("gram"), slots)).join(repeated, "gram"), "met")
+    mixed = met.where("mixed")
+    # Of equal phrases the first takes part in the next step, for all of them. Its row is the first of its text.
+    kinds = staged(
+        mixed.groupBy("gram", "span").agg(F.count("*").alias("weight"), F.min(F.struct("row_no", "start", "shape")).alias("first")),
+        "kinds",
+    )
+    again = mixed.join(kinds.where("weight > 1").select("gram", "span"), ["gram", "span"], "left_semi")
+    sure = met.where(~F.col("mixed")).unionByName(again.select(met.columns)).select(
+        "row_no", F.struct("start", F.col("shape").bitwiseAND(0xFFF).alias("many")).alias("sure"),
+        F.lit(None).cast("struct<start: int, shape: int, weight: bigint>").alias("mixed"),
+    )
+    still = kinds.select(
+        "first.row_no", F.lit(None).cast("struct<start: int, many: int>").alias("sure"),
+        F.struct("first.start", "first.shape", "weight").alias("mixed"),
+    )
+    # The first document of every text stands for its copies.
+    firsts = parsed.where(F.size("grams") > 0).groupBy("text_a", "text_b").agg(F.min("row_no").alias("row_no"))
+    listed = sure.unionByName(still).groupBy("row_no").agg(
+        F.collect_list("sure").alias("sure"), F.collect_list("mixed").alias("mixed")
     )
-    flagged = staged(flagged.join(firsts, "row_no"), "flagged")
+    flagged = staged(listed.join(firsts, "row_no"), "flagged")
     bare = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
     texts = docs.select(text_key(F.col(text_column)).alias("key"), bare.alias("text")).select("key.a", "key.b", "text")
     texts = texts.where(passes(bit_filter(flagged, "text_a"), F.col("a"))).dropDuplicates(["a", "b"])
@@ -240,12 +253,23 @@ def remove_repeats(
         flagged.join(texts, (F.col("text_a") == F.col("a")) & (F.col("text_b") == F.col("b"))).drop("a", "b"), "affected"
     )
     broken = pieces(affected, length, piece)
-    core = staged(_settled(broken, ["core"], F.col("copies")), "cores")
-    met = broken.join(core, "core")
-    whole = met.where(~F.col("mixed")).select("row_no", "start", F.size("strings").alias("many"))
-    single = met.where("mixed").select("row_no", "copies", "core", "start", F.posexplode("strings").alias("at", "string"))
-    twice = single.groupBy("core", "string").agg(F.sum("copies").alias("met")).where("met > 1").select("core", "string")
-    alone = single.join(twice, ["core", "string"]).select(
+    # Equal pieces once more count as one.
+    spans = staged(
+        broken.groupBy("core", "span").agg(F.sum("weight").alias("held"), F.min(F.struct("row_no", "start")).alias("first")), "spans"
+    )
+    whole = broken.where("weight = 1").select("row_no", "core", "span", "start", F.size("strings").alias("many")).join(
+        spans.where("held > 1").select("core", "span"), ["core", "span"], "left_semi"
+    ).select("row_no", "start", "many")
+    differ = staged(spans.groupBy("core").agg(F.count("*").alias("spans")).where("spans > 1").select("core"), "cores")
+    open_spans = spans.join(differ, "core").select("core", "span", "held", "first.row_no", "first.start")
+    open_pieces = broken.where(passes(bit_filter(differ, "core", slots), F.col("core"), slots)).select(
+        "row_no", "core", "span", "start", "strings"
+    )
+    single = open_pieces.join(open_spans, ["core", "span", "row_no", "start"]).select(
+        "row_no", "held", "core", "start", F.posexplode("strings").alias("at", "string")
+    )
+    twice = single.groupBy("core", "string").agg(F.sum("held").alias("met")).where("met > 1").select("core", "string")
+    alone = single.where("held = 1").join(twice, ["core", "string"], "left_semi").select(
         "row_no", (F.col("start") + F.col("at")).alias("start"), F.lit(1).alias("many")
     )
     sure = affected.select("row_no", F.explode("sure").alias("s")).select("row_no", "s.start", "s.many")
