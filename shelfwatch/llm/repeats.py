@@ -115,7 +115,7 @@ def _repeated(places: DataFrame) -> DataFrame:
 
 
 def piece_rows(text: bytes, starts: np.ndarray, shapes: np.ndarray, length: int, piece: int) -> tuple[np.ndarray, ...]:
-    """The pieces of some phrases of a text: core hash, span hash, first string, strings, all string hashes in a row, phrase."""
+    """The pieces of some phrases of a text: core hash, span hash, first string, number of strings, phrase."""
     sums = prefix_hash(np.frombuffer(text, np.uint8))
     many, trigger = shapes & 0xFFF, starts + (shapes >> 12)
     # A string's piece is its distance to the trigger, rounded down.
@@ -126,35 +126,54 @@ def piece_rows(text: bytes, starts: np.ndarray, shapes: np.ndarray, length: int,
     low = np.maximum(trigger[which] - (step + 1) * piece + 1, starts[which])
     high = np.minimum(trigger[which] - step * piece, starts[which] + many[which] - 1)
     core = span_hash(sums, trigger[which] - step * piece, trigger[which] - (step + 1) * piece + 1 + length)
-    strings = high - low + 1
-    at = np.arange(strings.sum()) - np.repeat(np.cumsum(strings) - strings, strings) + np.repeat(low, strings)
-    return core, span_hash(sums, low, high + length), low, strings, span_hash(sums, at, at + length), which
+    return core, span_hash(sums, low, high + length), low, high - low + 1, which
 
 
 def pieces(affected: DataFrame, length: int, piece: int) -> DataFrame:
-    """Rows ``row_no, weight, core, span, start, strings`` of the mixed phrases of affected texts, written."""
+    """Rows ``row_no, weight, core, span, start, many`` of the mixed phrases of affected texts, written."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, text, mixed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 starts = np.array([m["start"] for m in mixed], np.int64)
                 shapes = np.array([m["shape"] for m in mixed], np.int64)
-                core, span, low, many, strings, phrase = piece_rows(text.encode(), starts, shapes, length, piece)
+                core, span, low, many, phrase = piece_rows(text.encode(), starts, shapes, length, piece)
                 weight = np.array([m["weight"] for m in mixed], np.int64)[phrase]
-                ends = np.concatenate([[0], np.cumsum(many)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(len(core), row)), pa.array(weight),
-                        pa.array(core.view(np.int64)), pa.array(span.view(np.int64)), pa.array(low.astype(np.int32)),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(strings.view(np.int64))),
+                        pa.array(np.full(len(core), row)), pa.array(weight), pa.array(core.view(np.int64)),
+                        pa.array(span.view(np.int64)), pa.array(low.astype(np.int32)), pa.array(many.astype(np.int32)),
                     ],
-                    names=["row_no", "weight", "core", "span", "start", "strings"],
+                    names=["row_no", "weight", "core", "span", "start", "many"],
                 )
 
     rows = affected.where(F.size("mixed") > 0).select("row_no", "text", "mixed")
-    return staged(
-        rows.mapInArrow(run, "row_no bigint, weight bigint, core bigint, span bigint, start int, strings array<bigint>"), "pieces"
-    )
+    return staged(rows.mapInArrow(run, "row_no bigint, weight bigint, core bigint, span bigint, start int, many int"), "pieces")
+
+
+def strings(affected: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
+    """Rows ``row_no, held, core, start, string``: every string of the pieces ``row_no, held, core, start, many``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, text, listed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                sums = prefix_hash(np.frombuffer(text.encode(), np.uint8))
+                many = np.array([p["many"] for p in listed], np.int64)
+                which = np.repeat(np.arange(len(listed)), many)
+                start = np.array([p["start"] for p in listed], np.int64)[which]
+                start = start + np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(which), row)), pa.array(np.array([p["held"] for p in listed], np.int64)[which]),
+                        pa.array(np.array([p["core"] for p in listed], np.int64)[which]), pa.array(start.astype(np.int32)),
+                        pa.array(span_hash(sums, start, start + length).view(np.int64)),
+                    ],
+                    names=["row_no", "held", "core", "start", "string"],
+                )
+
+    listed = wanted.groupBy("row_no").agg(F.collect_list(F.struct("held", "core", "start", "many")).alias("pieces"))
+    rows = affected.select("row_no", "text").join(listed, "row_no").select("row_no", "text", "pieces")
+    return staged(rows.mapInArrow(run, "row_no bigint, held bigint, core bigint, start int, string bigint"), "strings")
 
 
 def cut(text: bytes, runs: list[tuple[int, int]], length: int) -> tuple[list[tuple[int, int]], bytes]:
@@ -255,23 +274,20 @@ def remove_repeats(
     broken = pieces(affected, length, piece)
     # Equal pieces once more count as one.
     spans = staged(
-        broken.groupBy("core", "span").agg(F.sum("weight").alias("held"), F.min(F.struct("row_no", "start")).alias("first")), "spans"
+        broken.groupBy("core", "span").agg(
+            F.sum("weight").alias("held"), F.min(F.struct("row_no", "start", "many")).alias("first")
+        ),
+        "spans",
     )
-    whole = broken.where("weight = 1").select("row_no", "core", "span", "start", F.size("strings").alias("many")).join(
+    whole = broken.where("weight = 1").join(
         spans.where("held > 1").select("core", "span"), ["core", "span"], "left_semi"
     ).select("row_no", "start", "many")
-    differ = staged(spans.groupBy("core").agg(F.count("*").alias("spans")).where("spans > 1").select("core"), "cores")
-    open_spans = spans.join(differ, "core").select("core", "span", "held", "first.row_no", "first.start")
-    open_pieces = broken.where(passes(bit_filter(differ, "core", slots), F.col("core"), slots)).select(
-        "row_no", "core", "span", "start", "strings"
-    )
-    single = open_pieces.join(open_spans, ["core", "span", "row_no", "start"]).select(
-        "row_no", "held", "core", "start", F.posexplode("strings").alias("at", "string")
-    )
+    differ = spans.groupBy("core").agg(F.count("*").alias("spans")).where("spans > 1").select("core")
+    open_pieces = spans.join(differ, "core").select("first.row_no", "held", "core", "first.start", "first.many")
+    single = strings(affected, open_pieces, length)
+    # A string of a piece held once, that another piece holds too.
     twice = single.groupBy("core", "string").agg(F.sum("held").alias("met")).where("met > 1").select("core", "string")
-    alone = single.where("held = 1").join(twice, ["core", "string"], "left_semi").select(
-        "row_no", (F.col("start") + F.col("at")).alias("start"), F.lit(1).alias("many")
-    )
+    alone = single.where("held = 1").join(twice, ["core", "string"], "left_semi").select("row_no", "start", F.lit(1).alias("many"))
     sure = affected.select("row_no", F.explode("sure").alias("s")).select("row_no", "s.start", "s.many")
     done = _cut_texts(affected, sure.unionByName(whole).unionByName(alone), length, with_bytes)
     result = parsed.drop("grams", "spans", "starts", "shapes").join(done, ["text_a", "text_b"], "left")
