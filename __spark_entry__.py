@@ -5,6 +5,7 @@ from __future__ import annotations
 import importlib
 import importlib.util
 import sys
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -19,9 +20,9 @@ from shelfwatch.functions.numeric import round_report, to_decimal, to_key  # noq
 from shelfwatch.functions.text import text_flag, tidy_list  # noqa: E402
 from shelfwatch.operators import dedup, features, listing, normalise, outliers, parsing, quality  # noqa: E402
 from shelfwatch.plans import analytics, cleaning, collect, measures, warehouse  # noqa: E402
-from shelfwatch.schema import INTEGER_COLUMNS, NUMERIC_COLUMNS, TIME_COLUMNS, URL_COLUMNS  # noqa: E402
+from shelfwatch.schema import FACT_MEASURES, INTEGER_COLUMNS, NUMERIC_COLUMNS, TIME_COLUMNS, URL_COLUMNS  # noqa: E402
 from shelfwatch.session import fresh_path, ship_package  # noqa: E402
-from shelfwatch.sources import files, pages, retail_pages  # noqa: E402
+from shelfwatch.sources import catalog, files, pages, retail_pages  # noqa: E402
 from shelfwatch.sources import retail_tables as retail  # noqa: E402
 from shelfwatch.streaming import intake  # noqa: E402
 
@@ -42,6 +43,13 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*[column(f) for f in df.schema])
 
 
+def union_all(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def on_latest(query: Callable[..., DataFrame], **options) -> Query:
     return lambda spark, folder: plain(query(retail.latest_products(spark, folder), **options))
 
@@ -116,8 +124,21 @@ def fact_snapshot(raw: DataFrame) -> DataFrame:
 
 def star_latest(star: dict[str, DataFrame]) -> DataFrame:
     return warehouse.product_latest(star).select(
-        "product_id", "name", "brand", "category", "region", "age_band", "full_date"
+        "product_id", "name", "brand", "category", "region", "age_band", "full_date", "snapshot_ts", *FACT_MEASURES
+    )
+
+
+def damaged(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """A star with faults that the audits must find: repeated and missing products, unnamed ones, gaps in every dimension."""
+    products = star["dim_product"].where("product_key % 13 <> 0").withColumn(
+        "name", F.expr("CASE WHEN product_key % 7 <> 0 THEN name END")
     )
+    return star | {
+        "dim_product": products.unionByName(products.where("product_key % 10 = 0")),
+        "dim_date": star["dim_date"].where("day <> 1"),
+        "dim_price_tier": star["dim_price_tier"].where("price_tier <> 'Luxury'"),
+        "dim_discount_band": star["dim_discount_band"].where("discount_band <> 'No Discount'"),
+    }
 
 
 def audit_unique(spark: SparkSession, folder: str) -> DataFrame:
@@ -130,8 +151,10 @@ def audit_unique(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def orphan_keys(spark: SparkSession, folder: str) -> DataFrame:
-    urgent = retail.table(spark, folder, "orders").where("o_orderpriority = '1-URGENT'")
-    return quality.orphan_keys(retail.table(spark, folder, "events"), "user_id", urgent, "o_custkey")
+    """Documents without a label."""
+    return quality.orphan_keys(
+        retail.table(spark, folder, "documents"), "doc_id", retail.table(spark, folder, "labels"), "doc_id"
+    )
 
 
 # -- cleaning ------------------------------------------------------------------------------
@@ -264,23 +287,95 @@ def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     rows = retail.part_texts(spark, folder).select("p_partkey", "name", "variant", unit.alias("unit_price_raw"))
     path = fresh_path(spark, "csv")
     files.write_csv(rows, path)
-    return files.null_csv_tokens(files.read_text_csv(spark, path))
+    return files.null_csv_tokens(files.read_text_csv(spark, path, multiline=True))
 
 
 def snapshot_partitions(spark: SparkSession, folder: str) -> DataFrame:
-    """Snapshots out to one folder per scrape month and back, older months pruned by folder."""
+    """Snapshots out to one folder per scrape month and back."""
     month = F.date_format("o_orderdate", "yyyy-MM")
     rows = retail.table(spark, folder, "orders").select(
         "o_orderkey", "o_orderpriority", F.col("o_totalprice").cast("string").alias("price"), month.alias("scrape_date")
     )
     path = fresh_path(spark, "snapshots")
     files.write_snapshot(rows, path)
-    back = spark.read.option("header", True).csv(path).where("scrape_date >= '1998-06'")
+    back = spark.read.option("header", True).csv(path)
     return back.groupBy(F.col("scrape_date").cast("string").alias("scrape_date"), "o_orderpriority").agg(
         F.count("*").alias("row_count"), F.max(F.col("o_orderkey").cast("bigint")).alias("last_order")
     )
 
 
+def cleaned_landing(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw records as CSV, read and checked, cleaned, as landing rows."""
+    path = fresh_path(spark, "raw-csv")
+    files.write_csv(retail.raw_records(spark, folder), path)
+    clean, _ = cleaning.run_cleaning(files.load_raw(spark, path), nulls="last")
+    return warehouse.to_landing(clean)
+
+
+def chain_brand(spark: SparkSession, folder: str) -> DataFrame:
+    """The main chain: CSV, cleaning, landing, star, latest view, brand positioning."""
+    star = warehouse.build_star(cleaned_landing(spark, folder))
+    return plain(analytics.brand_positioning(warehouse.product_latest(star)))
+
+
+def chain_latest(spark: SparkSession, folder: str) -> DataFrame:
+    """The latest view at the end of the same chain, all attributes and measures."""
+    star = warehouse.build_star(cleaned_landing(spark, folder))
+    return plain(warehouse.product_latest(star).drop("snapshot_key"))
+
+
+def copy_into(spark: SparkSession, folder: str) -> DataFrame:
+    """Two CSV files appended to an emptied landing table, null tokens to NULL, columns by name in any case."""
+    name = f"landing_{uuid.uuid4().hex}"
+    catalog.recreate_landing(spark, name)
+    rows = retail.raw_records(spark, folder).select(
+        F.col("product_id").alias("PRODUCT_ID"), "name", F.expr("CASE WHEN brand = 'None' THEN 'NULL' ELSE brand END").alias("Brand")
+    )
+    for _ in range(2):
+        path = fresh_path(spark, "copy")
+        files.write_csv(rows, path)
+        files.copy_into(spark, path, name)
+    landed = spark.table(name).groupBy("product_id", "name", "brand", "region").agg(F.count("*").alias("row_count"))
+    return landed
+
+
+def newest_file(spark: SparkSession, folder: str) -> DataFrame:
+    """Of dated sinks the newest is found and read back."""
+    path = fresh_path(spark, "newest")
+    for date, low in (("2026-01-15", 500), ("2026-01-16", 0)):
+        rows = retail.table(spark, folder, "part").where(f"p_size >= {low}").select(F.col("p_partkey").cast("string"), "p_name")
+        files.write_clean(rows, f"{path}/{date}", f"raw_{date}.csv")
+    newest = files.latest_file(spark, f"{path}/2026-01-16/*", "*.csv")
+    back = files.read_text_csv(spark, newest.rsplit("/", 1)[0])
+    return back.select("*", files.file_date(F.lit(newest.rsplit("/", 1)[0])).alias("file_date"))
+
+
+def full_reload(spark: SparkSession, folder: str) -> DataFrame:
+    """The star written twice to catalog tables, and rows per view over it."""
+    name = f"star_{uuid.uuid4().hex}"
+    catalog.create_layers(spark, [name])
+    landing = retail.landing_rows(spark, folder)
+    for _ in range(2):
+        star = catalog.write_star(spark, landing, name, by_date=False)
+    latest = catalog.publish_latest(spark, star, f"{name}.product_latest")
+    catalog.create_views(star, latest, prefix=f"{name}_")
+    views = ["dim_date", "dim_product", "fact_product_snapshot", "product_snapshot", "product_latest"]
+    return union_all([
+        spark.table(f"{name}_{v}").agg(F.count("*").alias("row_count")).select(F.lit(v).alias("view_name"), "row_count") for v in views
+    ])
+
+
+def unread_first(raw: DataFrame) -> DataFrame:
+    """The newest row per product where an unreadable time counts as newest."""
+    typed = normalise.enforce_schema(raw).select("product_id", "scraped_at", "price_ex_vat_gbp")
+    return dedup.latest_per_key(typed, ["product_id"], "scraped_at", nulls="first")
+
+
+def infinities(part: DataFrame) -> DataFrame:
+    ratio = F.expr("CASE p_partkey % 4 WHEN 0 THEN DOUBLE('Infinity') WHEN 1 THEN DOUBLE('-Infinity') ELSE p_retailprice END")
+    return normalise.null_infinities(part.select("p_partkey", ratio.alias("ratio")))
+
+
 # -- listings and pages --------------------------------------------------------------------
 
 
@@ -289,7 +384,7 @@ def listing_cap(orders: DataFrame) -> DataFrame:
         F.col("o_orderpriority").alias("category"), F.col("o_custkey").alias("product_id"),
         F.col("o_orderdate").alias("page"), F.col("o_orderkey").alias("position"),
     )
-    return listing.listing_cap(rows).select("category", "product_id", "position")
+    return listing.listing_cap(rows, cap=600).select("category", "product_id", "position")
 
 
 def enrich_merge(spark: SparkSession, folder: str) -> DataFrame:
@@ -309,7 +404,7 @@ def enrich_merge(spark: SparkSession, folder: str) -> DataFrame:
 
 def pages_listing(spark: SparkSession, folder: str) -> DataFrame:
     ship_package(spark)
-    return pages.listing_rows(retail_pages.listing_pages(spark, folder))
+    return pages.listing_rows(retail_pages.listing_pages(spark, folder)).drop("page_category")
 
 
 def pages_detail(spark: SparkSession, folder: str) -> DataFrame:
@@ -368,9 +463,9 @@ def own_queries() -> dict[str, Query]:
         "fact_snapshot": on_landing(fact_snapshot),
         "star_join": on_star(lambda star: warehouse.product_snapshot(star).drop("snapshot_key")),
         "star_latest": on_star(star_latest),
-        "audit_fk": on_star(warehouse.audit_foreign_keys),
-        "audit_star_unique": on_star(warehouse.audit_unique),
-        "audit_nulls": on_star(warehouse.audit_not_null),
+        "audit_fk": on_star(lambda star: warehouse.audit_foreign_keys(damaged(star))),
+        "audit_star_unique": on_star(lambda star: warehouse.audit_unique(damaged(star))),
+        "audit_nulls": on_star(lambda star: warehouse.audit_not_null(damaged(star))),
         "audit_unique": audit_unique,
         "duplicate_keys": on_table("lineitem", lambda t: quality.duplicate_keys(t, ["l_orderkey", "l_linenumber"])),
         "orphan_keys": orphan_keys,
@@ -404,6 +499,13 @@ def own_queries() -> dict[str, Query]:
         "enrich_merge": enrich_merge,
         "detail_urls": on_raw(listing.detail_urls),
         "category_counts": on_snapshots(listing.rows_per_group),
+        "chain_brand": chain_brand,
+        "chain_latest": chain_latest,
+        "copy_into": copy_into,
+        "newest_file": newest_file,
+        "full_reload": full_reload,
+        "unread_first": on_raw(unread_first),
+        "infinities": on_table("part", infinities),
         "pages_listing": pages_listing,
         "pages_detail": pages_detail,
         "collect_records": collect_records,

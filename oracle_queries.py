@@ -3,11 +3,28 @@
 from __future__ import annotations
 
 from shelfwatch import schema as S
-from shelfwatch.functions.numeric import NUMBER_TEXT
-from shelfwatch.operators import features, parsing
 from shelfwatch.sources import retail_tables as R
 from shelfwatch.sources.retail_pages import PARTS_PER_PAGE, SITE
 
+# Fixed values, written out here so that a wrong rule in the library shows.
+NUMBER_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+AGE_PATTERN = r"(?i)\b(\d{1,2})\s*(?:year(?:s)?(?:\s+old)?|yo)\b"
+AMOUNT_PATTERN = r"(\d+(?:\.\d+)?)\s*(?:ml|cl|l|litre|liter)"
+UNIT_PATTERN = r"(?i)(\d+(?:\.\d+)?)\s*(ml|cl|l|litre|liter)"
+STRENGTH_PATTERN = r"(\d+(?:\.\d+)?)\s*%"
+NUMBER_PATTERN = r"(\d+(?:\.\d+)?)"
+BASIS_PATTERN = r"(?:per|/)\s*([0-9]+(?:\.[0-9]+)?\s*)?(ml|cl|l|litre|liter)"
+PRICE_TIER = ([0, 40, 120, None], ["Budget", "Premium", "Luxury"])
+DISCOUNT_BAND = (
+    [-0.01, 0, 10, 20, 40, None], ["No Discount", "Low (≤10%)", "Medium (10–20%)", "High (20–40%)", "Very High (>40%)"],
+)
+AGE_BAND = ([0, 10, 15, 18, 25, None], ["≤10", "11–15", "16–18", "19–25", "25+"])
+BOTTLE_BAND = (
+    [0, 0.35, 0.7, 1.0, None],
+    ["Mini/Small (≤35cl)", "Half–Standard (35–70cl)", "Standard–Large (70cl–1L)", "Extra Large (>1L)"],
+)
+ABV_BAND = ([0, 40, 43, 46, 50, None], ["≤40%", "40–43%", "43–46%", "46–50%", "50%+"])
+
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
@@ -79,17 +96,17 @@ def price_cte(source: str, out: str) -> str:
   FROM {source}),
 {out}_prices AS (
   SELECT *, {even("reference_price_gbp / alcohol_units")} AS price_per_alcohol_unit_gbp,
-    {band("reference_price_gbp", *S.PRICE_TIER, right=False)} AS price_tier,
+    {band("reference_price_gbp", *PRICE_TIER, right=False)} AS price_tier,
     discount_amount_gbp IS NOT NULL AS is_discounted,
     CASE WHEN discount_amount_gbp IS NULL THEN 0.0::DOUBLE ELSE {even("discount_amount_gbp / price_before_discount_gbp * 100.0::DOUBLE")} END AS discount_percent
   FROM {out}_units),
-{out} AS (SELECT *, {band("discount_percent", *S.DISCOUNT_BAND)} AS discount_band FROM {out}_prices)"""
+{out} AS (SELECT *, {band("discount_percent", *DISCOUNT_BAND)} AS discount_band FROM {out}_prices)"""
 
 
-BANDS = f"""age_years IS NOT NULL AS is_age_stated, {band("age_years", *S.AGE_BAND)} AS age_band,
-    {band("bottle_size_l", *S.BOTTLE_BAND)} AS bottle_size_band,
+BANDS = f"""age_years IS NOT NULL AS is_age_stated, {band("age_years", *AGE_BAND)} AS age_band,
+    {band("bottle_size_l", *BOTTLE_BAND)} AS bottle_size_band,
     COALESCE(bottle_size_l >= 0.7, FALSE) AS is_standard_bottle, COALESCE(bottle_size_l >= 0.35, FALSE) AS is_comparable_bottle,
-    {band("abv_percent", *S.ABV_BAND)} AS abv_band, COALESCE(abv_percent >= 50, FALSE) AS is_cask_strength"""
+    {band("abv_percent", *ABV_BAND)} AS abv_band, COALESCE(abv_percent >= 50, FALSE) AS is_cask_strength"""
 
 SNAPSHOTS = (MAPPED, price_cte("mapped", "priced"), f"snapshots AS (SELECT *, {BANDS} FROM priced)")
 
@@ -313,30 +330,29 @@ STAR = {
     "star_join": f"""{with_(*SNAPSHOTS, DIM)} SELECT CAST(CAST(s.scraped_at AS DATE) AS VARCHAR) AS full_date, dim.product_id,
   {columns(VIEW_DIM, DIM_KNOWN, FLAGS, 'dim')}, s.price_tier, s.discount_band, {columns(S.FACT_MEASURES, FACT_KNOWN, FLAGS, 's')},
   CAST(s.scraped_at AS VARCHAR) AS snapshot_ts FROM snapshots s JOIN dim USING (product_id)""",
-    "star_latest": f"""{with_(*SNAPSHOTS, DIM)} SELECT dim.product_id, name, brand, category, region, age_band,
-  (SELECT CAST(CAST(MAX(scraped_at) AS DATE) AS VARCHAR) FROM snapshots s WHERE s.product_id = dim.product_id) AS full_date FROM dim""",
-    "audit_fk": """SELECT * FROM (VALUES ('dim_date'), ('dim_product'), ('dim_price_tier'), ('dim_discount_band')) t(dimension),
-  (SELECT COUNT(*) AS orphan_rows FROM lineitem LEFT JOIN part ON p_partkey = l_partkey WHERE p_partkey IS NULL)""",
+    "star_latest": f"""{with_(*SNAPSHOTS, DIM)}, m AS (SELECT product_id, scraped_at, {columns(S.FACT_MEASURES, FACT_KNOWN, FLAGS, 's')} FROM snapshots s),
+newest AS (SELECT * FROM m QUALIFY ROW_NUMBER() OVER (PARTITION BY product_id ORDER BY scraped_at DESC, {', '.join(f'{c} DESC NULLS LAST' for c in S.FACT_MEASURES)}) = 1)
+SELECT dim.product_id, name, brand, category, region, age_band, CAST(CAST(scraped_at AS DATE) AS VARCHAR) AS full_date,
+  CAST(scraped_at AS VARCHAR) AS snapshot_ts, {', '.join(f'newest.{c}' for c in S.FACT_MEASURES)} FROM dim JOIN newest USING (product_id)""",
+    "audit_fk": f"""{SN} SELECT 'dim_date' AS dimension, (SELECT COUNT(*) FROM lineitem WHERE day(l_shipdate) = 1) AS orphan_rows
+UNION ALL SELECT 'dim_product', (SELECT COUNT(*) FROM lineitem WHERE l_partkey % 13 = 0)
+UNION ALL SELECT 'dim_price_tier', (SELECT COUNT(*) FROM snapshots WHERE price_tier = 'Luxury')
+UNION ALL SELECT 'dim_discount_band', (SELECT COUNT(*) FROM snapshots WHERE discount_band = 'No Discount')""",
     "audit_unique": """WITH d AS (SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem GROUP BY ALL)
 SELECT 'lineitem' AS table_name, MAX(n) <= 1 AS is_unique, COUNT(*) AS distinct_keys, CAST(SUM(n - 1) AS BIGINT) AS surplus_rows FROM d
 UNION ALL SELECT 'part', COUNT(*) = COUNT(DISTINCT p_partkey), COUNT(DISTINCT p_partkey), COUNT(*) - COUNT(DISTINCT p_partkey) FROM part
 UNION ALL SELECT 'orders', COUNT(*) = COUNT(DISTINCT o_orderkey), COUNT(DISTINCT o_orderkey), COUNT(*) - COUNT(DISTINCT o_orderkey) FROM orders""",
-    "audit_star_unique": "SELECT * FROM (VALUES "
-    + ", ".join(
-        f"('{t}', '{k}', TRUE, CAST(0 AS BIGINT))"
-        for t, k in [
-            ("dim_date", "date_key"), ("dim_price_tier", "price_tier_key"), ("dim_price_tier", "price_tier"),
-            ("dim_discount_band", "discount_band_key"), ("dim_discount_band", "discount_band"),
-            ("dim_product", "product_key"), ("dim_product", "product_id"), ("fact_product_snapshot", "snapshot_key"),
-        ]
-    )
-    + ") t(table_name, key_name, is_unique, surplus_rows)",
-    "audit_nulls": "SELECT * FROM (VALUES "
-    + ", ".join(f"('{t}', '{c}', CAST(0 AS BIGINT))" for t, cs in S.NOT_NULL_COLUMNS.items() for c in cs)
-    + ") t(table_name, column_name, null_count)",
+    "audit_star_unique": """WITH twice AS (SELECT COUNT(DISTINCT l_partkey) AS n FROM lineitem WHERE l_partkey % 13 <> 0 AND l_partkey % 10 = 0)
+SELECT table_name, key_name, table_name <> 'dim_product' OR n = 0 AS is_unique, CASE WHEN table_name = 'dim_product' THEN n ELSE 0 END AS surplus_rows
+FROM twice, (VALUES ('dim_date', 'date_key'), ('dim_price_tier', 'price_tier_key'), ('dim_price_tier', 'price_tier'),
+  ('dim_discount_band', 'discount_band_key'), ('dim_discount_band', 'discount_band'), ('dim_product', 'product_key'),
+  ('dim_product', 'product_id'), ('fact_product_snapshot', 'snapshot_key')) t(table_name, key_name)""",
+    "audit_nulls": """WITH k AS (SELECT DISTINCT l_partkey AS key FROM lineitem WHERE l_partkey % 13 <> 0 AND l_partkey % 7 = 0)
+SELECT table_name, column_name, CAST(CASE WHEN column_name = 'name' THEN (SELECT COUNT(*) + COUNT(*) FILTER (key % 10 = 0) FROM k) ELSE 0 END AS BIGINT) AS null_count
+FROM (VALUES ('dim_date', 'date_key'), ('dim_date', 'full_date'), ('dim_price_tier', 'price_tier'), ('dim_discount_band', 'discount_band'),
+  ('dim_product', 'product_id'), ('dim_product', 'name'), ('fact_product_snapshot', 'date_key'), ('fact_product_snapshot', 'product_key')) t(table_name, column_name)""",
     "duplicate_keys": "SELECT l_orderkey, l_linenumber, COUNT(*) AS row_count FROM lineitem GROUP BY ALL HAVING COUNT(*) > 1",
-    "orphan_keys": """SELECT user_id, COUNT(*) AS row_count FROM events
-WHERE user_id NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT') GROUP BY user_id""",
+    "orphan_keys": "SELECT doc_id, COUNT(*) AS row_count FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) GROUP BY doc_id",
 }
 
 # -- raw records and cleaning ------------------------------------------------------------
@@ -386,20 +402,20 @@ def brand_name(c: str) -> str:
 
 
 def litres(c: str) -> str:
-    amount = f"TRY_CAST({match(c, parsing.AMOUNT_PATTERN)} AS DOUBLE)"
-    unit = f"lower({match(c, parsing.UNIT_PATTERN, 2)})"
+    amount = f"TRY_CAST({match(c, AMOUNT_PATTERN)} AS DOUBLE)"
+    unit = f"lower({match(c, UNIT_PATTERN, 2)})"
     return f"CASE {unit} WHEN 'ml' THEN {amount} / 1000.0::DOUBLE WHEN 'cl' THEN {amount} / 100.0::DOUBLE WHEN 'l' THEN {amount} WHEN 'litre' THEN {amount} WHEN 'liter' THEN {amount} END"
 
 
 def abv(c: str) -> str:
-    return f"TRY_CAST({match(c, parsing.STRENGTH_PATTERN)} AS DOUBLE)"
+    return f"TRY_CAST({match(c, STRENGTH_PATTERN)} AS DOUBLE)"
 
 
 def litre_price(c: str) -> str:
-    price = f"TRY_CAST({match(f'''replace(replace({c}, '£', ''), ',', '')''', parsing.NUMBER_PATTERN)} AS DOUBLE)"
+    price = f"TRY_CAST({match(f'''replace(replace({c}, '£', ''), ',', '')''', NUMBER_PATTERN)} AS DOUBLE)"
     basis = f"replace(lower({c}), ',', '')"
-    qty = f"TRY_CAST(trim({match(basis, parsing.BASIS_PATTERN, 1)}) AS DOUBLE)"
-    unit = match(basis, parsing.BASIS_PATTERN, 2)
+    qty = f"TRY_CAST(trim({match(basis, BASIS_PATTERN, 1)}) AS DOUBLE)"
+    unit = match(basis, BASIS_PATTERN, 2)
     scale = (
         f"CASE WHEN {unit} = 'ml' AND {qty} IS NOT NULL THEN 1000.0::DOUBLE / NULLIF({qty}, 0)"
         f" WHEN {unit} = 'cl' AND {qty} IS NOT NULL THEN 100.0::DOUBLE / NULLIF({qty}, 0)"
@@ -408,7 +424,7 @@ def litre_price(c: str) -> str:
     return even(f"{price} * {scale}")
 
 
-AGE = f"CAST({match('name', features.AGE_PATTERN)} AS BIGINT)"
+AGE = f"CAST({match('name', AGE_PATTERN)} AS BIGINT)"
 
 OTHERS = [c for c in S.RAW_COLUMNS if c != "scraped_at"]
 LIMITS = """limits AS (SELECT category,
@@ -441,6 +457,27 @@ CLEAN = (
 )
 CLEAN = f"SELECT {', '.join(c if c != 'scraped_at' else 'CAST(scraped_at AS VARCHAR) AS scraped_at' for c in [*S.CLEAN_COLUMNS, 'status'])} FROM ({CLEAN})"
 
+CHAIN_COLUMNS = [c for c in S.SNAPSHOT_COLUMNS if c not in ("snapshot_key", "full_date", "product_id")]
+CHAINED = f"""chained AS (SELECT CAST(CAST(scraped_at AS DATE) AS VARCHAR) AS full_date, CAST(product_id AS BIGINT) AS product_id,
+  {columns(CHAIN_COLUMNS, set(CHAIN_COLUMNS), FLAGS, 'c')}, CAST(scraped_at AS VARCHAR) AS snapshot_ts
+FROM ({CLEAN}) c WHERE scraped_at IS NOT NULL)"""
+CHAIN = {
+    "chain_latest": f"WITH {CHAINED} SELECT * FROM chained",
+    "chain_brand": f"""WITH {CHAINED}, latest AS (SELECT * REPLACE (CAST(price_inc_vat_gbp AS DECIMAL(10,2)) AS price_inc_vat_gbp,
+  CAST(rating_stars AS DECIMAL(4,2)) AS rating_stars, CAST(review_count AS DECIMAL(10,0)) AS review_count) FROM chained)
+SELECT {positioning("brand")}, {report(ON_SALE, 1)} AS pct_skus_on_sale_now
+FROM latest WHERE {RATED} AND brand IS NOT NULL GROUP BY brand HAVING COUNT(*) >= 5""",
+    "copy_into": f"""{with_(RAW)} SELECT product_id, name, CASE WHEN brand NOT IN ('', 'NULL', 'null', 'None') THEN brand END AS brand,
+  CAST(NULL AS VARCHAR) AS region, 2 * COUNT(*) AS row_count FROM raw GROUP BY ALL""",
+    "newest_file": "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, '2026-01-16' AS file_date FROM part",
+    "full_reload": """SELECT 'dim_date' AS view_name, COUNT(DISTINCT CAST(l_shipdate AS DATE)) AS row_count FROM lineitem
+UNION ALL SELECT name, COUNT(DISTINCT l_partkey) FROM lineitem, (VALUES ('dim_product'), ('product_latest')) t(name) GROUP BY name
+UNION ALL SELECT name, COUNT(*) FROM lineitem, (VALUES ('fact_product_snapshot'), ('product_snapshot')) t(name) GROUP BY name""",
+    "unread_first": f"""{with_(RAW, TYPED)} SELECT product_id, CAST(scraped_at AS VARCHAR) AS scraped_at, price_ex_vat_gbp FROM typed
+QUALIFY ROW_NUMBER() OVER (PARTITION BY product_id ORDER BY scraped_at IS NULL DESC, scraped_at DESC, price_ex_vat_gbp DESC NULLS LAST) = 1""",
+    "infinities": "SELECT p_partkey, CASE WHEN p_partkey % 4 > 1 THEN p_retailprice END AS ratio FROM part",
+}
+
 PART = (
     f"texts AS (SELECT p_partkey, p_size, p_brand, p_type, p_retailprice, {R.NAME_TEXT} AS name, {R.VARIANT_TEXT} AS variant,"
     f" {R.UNIT_PRICE_TEXT} AS unit_price_raw FROM part)"
@@ -512,7 +549,7 @@ FROM tidied GROUP BY ALL""",
   CASE WHEN ROUND(p_retailprice) < 1000 THEN CAST(CAST(p_retailprice AS DECIMAL(38,0)) AS DOUBLE) END AS three_places, p_partkey AS key FROM part""",
     "json_props": "SELECT event_type, COUNT(*) AS row_count, CAST(SUM(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS total_k FROM events GROUP BY event_type",
     "snapshot_partitions": """SELECT strftime(o_orderdate, '%Y-%m') AS scrape_date, o_orderpriority, COUNT(*) AS row_count,
-  MAX(o_orderkey) AS last_order FROM orders WHERE strftime(o_orderdate, '%Y-%m') >= '1998-06' GROUP BY ALL""",
+  MAX(o_orderkey) AS last_order FROM orders GROUP BY ALL""",
     "csv_round_trip": f"{T} SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, name, variant, CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE unit_price_raw || chr(10) || '\"quoted\", twice' END AS unit_price_raw FROM texts",
 }
 
@@ -536,6 +573,9 @@ LISTED = (
   CASE WHEN has_card THEN '/img/' || CAST(p_partkey AS VARCHAR) || '.jpg' ELSE '' END AS image_url
 FROM n WHERE layout <> 2 OR has_card)""",
 )
+# Pages of cards alone are shown in a second category as well.
+SHOWN = f"""shown AS (SELECT * FROM listed
+UNION ALL SELECT * REPLACE ('{SITE}/c/blend?pg=' || CAST(page AS VARCHAR) AS page_url) FROM listed WHERE page % 3 = 2)"""
 DETAILED = f"""detailed AS (SELECT '{SITE}/p/' || CAST(p_partkey AS VARCHAR) || '/x' AS product_url,
   CASE WHEN p_partkey % 3 = 0 THEN '4.5' ELSE '' END AS rating_stars, CASE WHEN p_partkey % 3 = 0 THEN CAST(p_size AS VARCHAR) ELSE '' END AS review_count,
   CASE p_partkey % 3 WHEN 0 THEN {MONEY} WHEN 1 THEN CAST(p_retailprice AS VARCHAR) ELSE '' END AS price_inc_vat_gbp,
@@ -553,12 +593,11 @@ SELECT c_custkey, COALESCE(rating_stars, '') AS rating_stars, COALESCE(review_co
 FROM customer LEFT JOIN d ON o_custkey = c_custkey AND c_custkey % 10 <> 0""",
     "detail_urls": "SELECT DISTINCT 'https://shop.example/p/' || CAST(l_partkey AS VARCHAR) || '/' AS product_url FROM lineitem",
     "category_counts": "SELECT p_type AS category, COUNT(*) AS row_count FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY p_type",
-    "pages_listing": f"{with_(*LISTED)} SELECT * FROM listed",
+    "pages_listing": f"{with_(*LISTED, SHOWN)} SELECT * FROM shown",
     "pages_detail": f"{with_(DETAILED)} SELECT * FROM detailed",
-    "collect_records": f"""{with_(*LISTED, DETAILED)}, capped AS (SELECT * FROM listed
-  QUALIFY ROW_NUMBER() OVER (PARTITION BY category ORDER BY page, position) <= {S.LISTING_CAP})
+    "collect_records": f"""{with_(*LISTED, SHOWN, DETAILED)}
 SELECT {', '.join(f"COALESCE(d.{c}, '') AS {c}" if c in S.DETAIL_COLUMNS else f"c.{c}" for c in S.RAW_COLUMNS)}
-FROM capped c LEFT JOIN detailed d ON d.product_url = c.product_url""",
+FROM shown c LEFT JOIN detailed d ON d.product_url = c.product_url""",
 }
 
 
@@ -567,4 +606,4 @@ def oracle_sql() -> dict[str, str]:
         "q1_brand": Q1, "q2_region": Q2, "q3_best_value": Q3, "q4_discounts": Q4,
         "q5_top_ratings": Q5, "q6_price_premium": Q6, "q7_age_roi": Q7,
     }
-    return seven | MEASURES | DEDUP | STAR | CLEANING | LISTING
+    return seven | MEASURES | DEDUP | STAR | CLEANING | LISTING | CHAIN

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -19,63 +21,68 @@ def _bucket(value: Column) -> Column:
     return F.coalesce((F.signum(value) * size).cast("int"), F.lit(0))
 
 
-def grouped_quantile(df: DataFrame, keys: list[str], value: str, q: float) -> DataFrame:
-    """Interpolated quantile and value count per group, exact.
+def quantiles_of_counts(counts: DataFrame, keys: list[str], qs: Sequence[float]) -> DataFrame:
+    """``keys, value_count, quantiles`` (an array in the order of ``qs``) for rows ``keys, v, n``; exact, interpolated.
 
-    ``percentile`` keeps all distinct values of a group in one task. Here the
-    rows are first counted per (group, value), so a hot group spreads over all
-    tasks. A histogram of those counts then names the buckets that hold the two
-    ranks around the quantile, and only the values of those buckets are ordered.
-    Returns ``keys, value_count, quantile``; rows with a NULL key or value are
-    outside.
+    ``v`` is a double that occurs ``n`` times. A histogram names the buckets that hold the
+    two ranks around each quantile, and only the values of those buckets are ordered, so a
+    group's values never meet in one task. A NULL key is a group like any other.
     """
-    keep = F.col(value).isNotNull()
-    for key in keys:
-        keep &= F.col(key).isNotNull()
-    counts = (
-        df.where(keep)
-        .groupBy(*keys, F.col(value).cast("double").alias("v"))
-        .agg(F.count("*").alias("n"))
-        .withColumn("bucket", _bucket(F.col("v")))
-    )
-
-    group = W.partitionBy(*keys)
-    position = (F.col("value_count") - 1) * F.lit(q)
+    keyed = counts.select(F.struct(*keys).alias("_k"), "v", "n").withColumn("bucket", _bucket(F.col("v")))
+    group = W.partitionBy("_k")
+    wanted = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(q)).alias("q")) for i, q in enumerate(qs)])
+    position = (F.col("value_count") - 1) * F.col("q")
     histogram = (
-        counts.groupBy(*keys, "bucket")
+        keyed.groupBy("_k", "bucket")
         .agg(F.sum("n").alias("in_bucket"))
         .withColumn("upto", F.sum("in_bucket").over(group.orderBy("bucket")))
         .withColumn("value_count", F.sum("in_bucket").over(group))
+        .withColumn("before", F.col("upto") - F.col("in_bucket"))
+        .select("*", F.inline(wanted))
         .withColumn("low", F.floor(position))
         .withColumn("high", F.ceil(position))
         .withColumn("weight", position - F.floor(position))
-        .withColumn("before", F.col("upto") - F.col("in_bucket"))
     )
 
     def holds(rank: str) -> Column:
         return (F.col("before") <= F.col(rank)) & (F.col(rank) < F.col("upto"))
 
     targets = histogram.where(holds("low") | holds("high")).select(
-        *keys, "bucket", "before", "value_count", "low", "high", "weight"
+        "_k", "bucket", "i", "before", "value_count", "low", "high", "weight"
     )
-    inside = W.partitionBy(*keys, "bucket").orderBy("v")
+    inside = W.partitionBy("_k", "bucket", "i").orderBy("v")
     ranked = (
-        counts.join(targets, [*keys, "bucket"])
+        keyed.join(targets, ["_k", "bucket"])
         .withColumn("upto", F.col("before") + F.sum("n").over(inside))
         .withColumn("before", F.col("upto") - F.col("n"))
     )
-    return (
+    each = (
         ranked.where(holds("low") | holds("high"))
-        .groupBy(*keys)
+        .groupBy("_k", "i")
         .agg(
             F.max("value_count").alias("value_count"),
             F.max("weight").alias("weight"),
             F.max(F.when(holds("low"), F.col("v"))).alias("at_low"),
             F.max(F.when(holds("high"), F.col("v"))).alias("at_high"),
         )
-        .select(
-            *keys,
-            "value_count",
-            (F.col("at_low") + (F.col("at_high") - F.col("at_low")) * F.col("weight")).alias("quantile"),
-        )
+        .withColumn("quantile", F.col("at_low") + (F.col("at_high") - F.col("at_low")) * F.col("weight"))
     )
+    listed = F.sort_array(F.collect_list(F.struct("i", "quantile")))
+    return (
+        each.groupBy("_k")
+        .agg(F.max("value_count").alias("value_count"), F.transform(listed, lambda x: x["quantile"]).alias("quantiles"))
+        .select(*[F.col("_k")[k].alias(k) for k in keys], "value_count", "quantiles")
+    )
+
+
+def grouped_quantile(df: DataFrame, keys: list[str], value: str, q: float) -> DataFrame:
+    """``keys, value_count, quantile`` of a column; rows with a NULL key or value are outside.
+
+    Rows are counted per (group, value) first, so a hot group spreads over its values.
+    """
+    keep = F.col(value).isNotNull()
+    for key in keys:
+        keep &= F.col(key).isNotNull()
+    counts = df.where(keep).groupBy(*keys, F.col(value).cast("double").alias("v")).agg(F.count("*").alias("n"))
+    found = quantiles_of_counts(counts, keys, [q])
+    return found.select(*keys, "value_count", F.get("quantiles", 0).alias("quantile"))

@@ -49,11 +49,26 @@ def latest_per_key(
     return picked.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
 
+#: Rows per group up to which the planner prunes a ranking inside each task by itself.
+PLANNER_PRUNES = 1000
+#: Parts that a group is ranked in first, beyond that.
+RANKING_PARTS = 64
+
+
 def top_per_group(
     df: DataFrame, groups: Sequence[str], order: Sequence[str | Column], n: int
 ) -> DataFrame:
-    """The first ``n`` rows per group; pruned per task ahead of the shuffle."""
+    """The first ``n`` rows per group; a hot group is pruned before it meets in one task.
+
+    Up to 1,000 rows the planner does that inside each task. Beyond, a group is first
+    dealt into parts by its rows' values and each part ranked alone, so that the last
+    task of a group sees ``n`` rows of each part at most.
+    """
     ranking = W.partitionBy(*groups).orderBy(*order)
+    if n > PLANNER_PRUNES:
+        parted = df.withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(RANKING_PARTS)))
+        inner = W.partitionBy(*groups, "_part").orderBy(*order)
+        df = parted.withColumn("_rank", F.row_number().over(inner)).where(F.col("_rank") <= n).drop("_rank", "_part")
     return df.withColumn("_rank", F.row_number().over(ranking)).where(F.col("_rank") <= n).drop("_rank")
 
 

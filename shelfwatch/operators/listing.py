@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwatch.operators.dedup import top_per_group
-from shelfwatch.schema import DETAIL_COLUMNS, LISTING_CAP
+from shelfwatch.schema import DETAIL_COLUMNS
 
 
 def listing_cap(
@@ -16,16 +16,16 @@ def listing_cap(
     group: str = "category",
     key: str = "product_id",
     order: Sequence[str | Column] = ("page", "position"),
-    cap: int = LISTING_CAP,
+    cap: int | None = None,
 ) -> DataFrame:
-    """First occurrence per key inside a group, then the first ``cap`` rows per group.
+    """First occurrence per key inside a group, then, if asked for, the first ``cap`` rows per group.
 
     Both steps prune inside each task, so a hot group sends at most ``cap``
     rows per task to the final ranking.
     """
     present = df.where(F.col(key).isNotNull() & (F.col(key).cast("string") != ""))
     firsts = top_per_group(present, [group, key], order, 1)
-    return top_per_group(firsts, [group], order, cap)
+    return firsts if cap is None else top_per_group(firsts, [group], order, cap)
 
 
 def detail_urls(df: DataFrame, url: str = "product_url") -> DataFrame:

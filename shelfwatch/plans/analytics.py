@@ -13,7 +13,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shelfwatch.functions.numeric import ratio, round_report
+from shelfwatch.functions.quantiles import quantiles_of_counts
 from shelfwatch.operators.dedup import top_per_group
+from shelfwatch.session import materialise
 
 PRICE = "price_inc_vat_gbp"
 
@@ -28,6 +30,16 @@ def _mean(total: str, n: str = "n") -> Column:
     return ratio(F.sum(total), F.sum(n))
 
 
+def _with_quantiles(groups: DataFrame, counts: DataFrame, keys: list[str], qs: list[float]) -> DataFrame:
+    """The groups with an array ``q`` of price quantiles, NULL where a group has no price."""
+    priced = counts.where(F.col(PRICE).isNotNull()).select(*keys, F.col(PRICE).cast("double").alias("v"), "n")
+    found = quantiles_of_counts(priced, keys, qs).select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("quantiles").alias("q"))
+    same = F.lit(True)
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return groups.join(found, same, "left").drop(*[f"_{k}" for k in keys])
+
+
 def _positioning(rows: DataFrame, key: str, min_skus: int) -> DataFrame:
     """Unrounded price, rating and promotion figures per ``key``."""
     rating, reviews = F.col("rating_stars"), F.col("review_count")
@@ -38,12 +50,12 @@ def _positioning(rows: DataFrame, key: str, min_skus: int) -> DataFrame:
         F.sum(reviews).alias("reviews"),
         F.count_if("is_discounted").alias("on_sale"),
     )
-    return (
+    per_price = materialise(per_price, "per-price")
+    groups = (
         per_price.withColumn("paid", F.col(PRICE) * F.col("n"))
         .groupBy(key)
         .agg(
             F.sum("n").alias("sku_count"),
-            F.percentile(PRICE, [0.1, 0.5, 0.9], F.col("n")).alias("q"),
             _mean("paid").alias("avg_price"),
             F.min(PRICE).alias("min_price"),
             F.max(PRICE).alias("max_price"),
@@ -54,6 +66,7 @@ def _positioning(rows: DataFrame, key: str, min_skus: int) -> DataFrame:
         )
         .where(F.col("sku_count") >= min_skus)
     )
+    return _with_quantiles(groups, per_price, [key], [0.1, 0.5, 0.9])
 
 
 def _positioning_columns(key: str) -> list[Column]:
@@ -246,15 +259,17 @@ def price_premium(latest: DataFrame, min_age_skus: int = 5, min_region_skus: int
         F.lit(0).cast("bigint").alias("n"),
     )
     is_base = F.col("factor") == BASELINE
+    counted = materialise(counted.unionByName(empty), "per-level")
     per_level = (
-        counted.unionByName(empty)
-        .groupBy("factor", "category")
+        counted.groupBy("factor", "category")
         .agg(
             F.sum("n").alias("sku_count"),
             ratio(F.sum(F.col(PRICE) * F.col("n")), F.sum("n")).alias("mean"),
-            F.percentile(F.when(is_base, F.col(PRICE)), 0.5, F.col("n")).cast("decimal(28,6)").alias("median"),
         )
     )
+    per_level = _with_quantiles(per_level, counted.where(is_base), ["factor", "category"], [0.5]).withColumn(
+        "median", F.get("q", 0).cast("decimal(28,6)")
+    )
     least = F.when(F.col("factor") == "Age Tier Premium", min_age_skus).when(
         F.col("factor") == "Region Premium", min_region_skus
     )
@@ -289,6 +304,7 @@ def age_roi(latest: DataFrame) -> DataFrame:
         F.sum("price_per_alcohol_unit_gbp").alias("unit_prices"),
         F.count("price_per_alcohol_unit_gbp").alias("n_unit_prices"),
     )
+    per_price = materialise(per_price, "per-price")
     bands = (
         per_price.withColumn("paid", F.col(PRICE) * F.col("n"))
         .groupBy("age_band")
@@ -296,12 +312,14 @@ def age_roi(latest: DataFrame) -> DataFrame:
             round_report(_mean("ages"), 1).alias("avg_age_years"),
             F.sum("n").alias("sku_count"),
             round_report(_mean("paid"), 2).alias("avg_price"),
-            round_report(F.percentile(PRICE, 0.5, F.col("n")), 2).alias("median_price"),
             round_report(_mean("per_year", "n_per_year"), 2).alias("price_per_year_aged"),
             round_report(_mean("ratings", "n_ratings"), 2).alias("avg_rating"),
             round_report(_mean("unit_prices", "n_unit_prices"), 2).alias("avg_price_per_unit"),
         )
     )
+    bands = _with_quantiles(bands, per_price, ["age_band"], [0.5])
+    order = [c for b in bands.columns if b != "q" for c in ([b, "median_price"] if b == "avg_price" else [b])]
+    bands = bands.withColumn("median_price", round_report(F.get("q", 0), 2)).select(*order)
     # One task, over at most one row per age band.
     by_age = W.orderBy("avg_age_years", "age_band")
     price_step = F.col("avg_price") - F.lag("avg_price").over(by_age)

@@ -143,18 +143,25 @@ def small_dimensions(
     }
 
 
+STAR_COLUMNS = list(
+    dict.fromkeys(["scraped_at", "product_id", "price_tier", "discount_band", *PRODUCT_ATTRIBUTES, *FACT_MEASURES])
+)
+
+
 def build_star(
     raw: DataFrame, stage: Callable[[DataFrame, str], DataFrame] = materialise
 ) -> dict[str, DataFrame]:
     """Dimensions and fact over the same landing rows.
 
-    The product dimension is written before the fact meets it. Joined as a
-    table it is broadcast when small, and when large Spark may split the
-    partition of a hot product, which it does not for a side it just aggregated.
+    The landing rows are written once, as the columns that the star reads, and read three
+    times with pruned columns. The product dimension is written before the fact meets it:
+    joined as a table it is broadcast when small, and when large Spark may split the
+    partition of a hot product. The fact is written too, which fixes its keys.
     """
-    star = small_dimensions(raw, stage)
-    star["dim_product"] = stage(load_dim_product(raw), "dim-product")
-    star["fact_product_snapshot"] = load_fact(raw, star["dim_price_tier"], star["dim_discount_band"])
+    landing = stage(raw.select(*STAR_COLUMNS), "landing")
+    star = small_dimensions(landing, stage)
+    star["dim_product"] = stage(load_dim_product(landing), "dim-product")
+    star["fact_product_snapshot"] = stage(load_fact(landing, star["dim_price_tier"], star["dim_discount_band"]), "fact")
     return star
 
 
@@ -174,8 +181,8 @@ def _star_join(fact: DataFrame, star: dict[str, DataFrame]) -> DataFrame:
 
 
 def latest_of(snapshot: DataFrame) -> DataFrame:
-    """Newest snapshot per product of the denormalised view."""
-    return latest_per_key(snapshot, ["product_id"], "full_date", ["snapshot_ts", "snapshot_key"])
+    """Newest snapshot per product of the denormalised view; equal times are settled by the measures."""
+    return latest_per_key(snapshot, ["product_id"], "full_date", ["snapshot_ts", *FACT_MEASURES])
 
 
 def product_latest(star: dict[str, DataFrame]) -> DataFrame:
@@ -185,7 +192,7 @@ def product_latest(star: dict[str, DataFrame]) -> DataFrame:
     which :func:`audit` checks. The wide join then sees one row per product.
     """
     newest = latest_per_key(
-        star["fact_product_snapshot"], ["product_key"], "date_key", ["snapshot_ts", "snapshot_key"]
+        star["fact_product_snapshot"], ["product_key"], "date_key", ["snapshot_ts", *FACT_MEASURES]
     )
     return _star_join(newest, star)
 
@@ -221,15 +228,24 @@ def audit_unique(star: dict[str, DataFrame]) -> DataFrame:
 
 
 def audit_foreign_keys(star: dict[str, DataFrame]) -> DataFrame:
-    """Fact rows per foreign key that point to no dimension row."""
-    fact = star["fact_product_snapshot"]
-    checks = [
-        orphan_keys(fact, key, star[table]).agg(
-            F.lit(table).alias("dimension"), F.coalesce(F.sum("row_count"), F.lit(0)).alias("orphan_rows")
-        )
+    """Fact rows per foreign key that point to no dimension row; a NULL key points to none and is no orphan.
+
+    One pass over the fact: it is counted by all keys at once, each dimension marks the
+    keys it has, and one aggregate adds up the unmarked.
+    """
+    keys = [key for key, _ in FOREIGN_KEYS]
+    counted = star["fact_product_snapshot"].groupBy(*keys).agg(F.count("*").alias("n"))
+    for key, table in FOREIGN_KEYS:
+        counted = counted.join(star[table].select(key, F.lit(True).alias(f"_{table}")).distinct(), key, "left")
+    sums = [
+        F.sum(F.when(F.col(key).isNotNull() & F.col(f"_{table}").isNull(), F.col("n")).otherwise(0)).alias(table)
         for key, table in FOREIGN_KEYS
     ]
-    return _union(checks)
+    total = counted.agg(*sums)
+    rows = F.array(*[
+        F.struct(F.lit(t).alias("dimension"), F.coalesce(F.col(t), F.lit(0)).cast("bigint").alias("orphan_rows")) for _, t in FOREIGN_KEYS
+    ])
+    return total.select(F.inline(rows))
 
 
 def audit_not_null(star: dict[str, DataFrame]) -> DataFrame:

@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
-_local_folders: dict[str, str] = {}
+_stages: dict[str, list[str]] = {}
 
 
 def build_session(app: str = "shelfwatch", master: str | None = None, **conf: str) -> SparkSession:
@@ -39,20 +39,11 @@ def build_session(app: str = "shelfwatch", master: str | None = None, **conf: st
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``.
-
-    Only a local master may fall back to a temporary folder; on a cluster that
-    folder would vanish with its machine, so a missing setting is an error.
-    """
+    """The cluster's ``spark.checkpoint.dir``; without it a folder in the session's warehouse, which is shared as well."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="shelfwatch-")
-    return _local_folders[app]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shelfwatch-stages"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -68,9 +59,22 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
+    _stages.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_stages(spark: SparkSession) -> int:
+    """Delete what ``materialise`` has written for this application; returns how many tables.
+
+    Call it when the results that were read from them are stored.
+    """
+    paths = _stages.pop(spark.sparkContext.applicationId, [])
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return len(paths)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, once per application.
 

@@ -22,12 +22,14 @@ def recreate_landing(spark: SparkSession, table: str = LANDING_TABLE) -> None:
     empty.write.mode("overwrite").saveAsTable(table)
 
 
-def write_star(spark: SparkSession, raw: DataFrame, database: str = "curated") -> dict[str, DataFrame]:
+def write_star(
+    spark: SparkSession, raw: DataFrame, database: str = "curated", by_date: bool = True
+) -> dict[str, DataFrame]:
     """Full reload of the star: every table is replaced, then read back.
 
     Dimensions go first, so that the fact meets keys that are written once. The
-    fact is laid out by date; ``rebalance`` splits a date that holds too many
-    rows for one task.
+    fact is laid out by date unless ``by_date`` is off; ``rebalance`` splits a date
+    that holds too many rows for one task.
     """
     star = warehouse.small_dimensions(raw) | {"dim_product": warehouse.load_dim_product(raw)}
     tables = {}
@@ -36,12 +38,11 @@ def write_star(spark: SparkSession, raw: DataFrame, database: str = "curated") -
         tables[name] = spark.table(f"{database}.{name}")
     name = "fact_product_snapshot"
     fact = warehouse.load_fact(raw, tables["dim_price_tier"], tables["dim_discount_band"])
-    (
-        fact.hint("rebalance", "date_key")
-        .write.mode("overwrite")
-        .partitionBy("date_key")
-        .saveAsTable(f"{database}.{name}")
-    )
+    if by_date:
+        writer = fact.hint("rebalance", "date_key").write.partitionBy("date_key")
+    else:
+        writer = fact.hint("rebalance").write
+    writer.mode("overwrite").saveAsTable(f"{database}.{name}")
     tables[name] = spark.table(f"{database}.{name}")
     return tables
 

@@ -8,18 +8,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwatch.schema import CLEAN_COLUMNS, CSV_NULL_TOKENS, RAW_COLUMNS, text_schema
+from shelfwatch.session import materialise
 
 DATE_IN_NAME = r"(\d{4}-\d{2}-\d{2})"
 
 
 def read_text_csv(
-    spark: SparkSession, path: str | Sequence[str], multiline: bool = True, fail_fast: bool = False
+    spark: SparkSession, path: str | Sequence[str], multiline: bool = False, fail_fast: bool = False
 ) -> DataFrame:
     """CSV with a header, every column text, header names trimmed.
 
     ``multiline`` admits line breaks in quoted cells, at the price that one file
-    is one task; turn it off for large files known to hold none. All files must
-    share one header: another column order raises instead of shifting cells.
+    is one task; without it large files are split. All files must share one header:
+    another column order raises instead of shifting cells. Rows with too many or too
+    few cells are read as far as they go; see :func:`malformed_rows`, or set ``fail_fast``.
     """
     options = {
         "header": True,
@@ -33,6 +35,16 @@ def read_text_csv(
     return df.toDF(*[c.strip() for c in header])
 
 
+def malformed_rows(spark: SparkSession, path: str | Sequence[str], multiline: bool = False) -> DataFrame:
+    """The rows whose number of cells is not the header's, as ``line`` text: what a permissive read would cut or pad."""
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": multiline}
+    header = spark.read.options(**options).csv(path).columns
+    schema = text_schema([*header, "_line"])
+    rows = spark.read.options(**options, columnNameOfCorruptRecord="_line").schema(schema).csv(path)
+    # Written with all cells: Spark refuses a query for the malformed lines alone.
+    return materialise(rows.where(F.col("_line").isNotNull()), "malformed").select(F.col("_line").alias("line"))
+
+
 def require_columns(df: DataFrame, required: Iterable[str] = RAW_COLUMNS) -> DataFrame:
     missing = [c for c in required if c not in df.columns]
     if missing:
@@ -40,7 +52,7 @@ def require_columns(df: DataFrame, required: Iterable[str] = RAW_COLUMNS) -> Dat
     return df
 
 
-def load_raw(spark: SparkSession, path: str | Sequence[str], multiline: bool = True) -> DataFrame:
+def load_raw(spark: SparkSession, path: str | Sequence[str], multiline: bool = False) -> DataFrame:
     """A raw product snapshot; raises when a required column is missing."""
     return require_columns(read_text_csv(spark, path, multiline))
 
@@ -65,7 +77,7 @@ def null_csv_tokens(df: DataFrame, tokens: Sequence[str] = CSV_NULL_TOKENS) -> D
 
 def copy_into(
     spark: SparkSession, path: str | Sequence[str], table: str, columns: Sequence[str] = CLEAN_COLUMNS,
-    multiline: bool = True,
+    multiline: bool = False,
 ) -> None:
     """Append named files to a landing table, columns matched by name in any case.
 
@@ -92,8 +104,9 @@ def dated_name(spark: SparkSession, prefix: str, input_path: str) -> str:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV part files with a header and quotes that survive a round trip."""
-    df.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
+    """CSV part files with a header; quotes and the blanks around a cell survive a round trip."""
+    options = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(**options).csv(path)
 
 
 def write_clean(df: DataFrame, folder: str, input_path: str, prefix: str = "clean") -> str:

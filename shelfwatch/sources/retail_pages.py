@@ -59,16 +59,20 @@ def listing_pages(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("2026-01-16 09:00:00").alias("fetched_at"),
         F.col("page").alias("page"),
     )
+    # Pages of cards alone are shown in a second category as well.
+    again = listing.where("page % 3 = 2").withColumns(
+        {"url": F.concat(F.lit(f"{SITE}/c/blend?pg="), F.col("page").cast("string")), "category": F.lit("Blended")}
+    )
     given = table(spark, folder, "pages").select(
         "url", "html", F.lit("Blended").alias("category"), F.lit("2026-01-16 09:00:00").alias("fetched_at"),
         F.col("page_id").alias("page"),
     )
-    return listing.unionByName(given)
+    return listing.unionByName(again).unionByName(given)
 
 
 DETAIL_HTML = (
     """'<html><head>' || CASE p_partkey % 3"""
-    """ WHEN 0 THEN '<script type="application/ld+json">{"@type": "Product", "offers": {"price": "' || CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS STRING)"""
+    """ WHEN 0 THEN '<script type=application/ld+json>{"@type": "Thing", "@type": "Product", "offers": {"price": "0", "price": "' || CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS STRING)"""
     """ || '"}, "aggregateRating": {"ratingValue": "4.5", "reviewCount": ' || CAST(p_size AS STRING) || '}}</script>'"""
     """ WHEN 1 THEN '<script type="application/ld+json">{"broken": </script><script type="application/ld+json">[{"@type": "Crumbs"}, {"offers": [{"price": null}, {"price": '"""
     """ || CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS STRING) || '}]}]</script>' ELSE '' END || '</head><body>'"""

@@ -16,12 +16,14 @@ from shelfwatch.operators.dedup import exact_dedup, latest_per_key
 from shelfwatch.schema import RAW_COLUMNS, text_schema
 
 
-def csv_stream(spark: SparkSession, folder: str, pattern: str = "*.csv", files_per_batch: int = 1000) -> DataFrame:
-    """Raw snapshot files of a folder as a stream of text rows."""
+def csv_stream(
+    spark: SparkSession, folder: str, pattern: str = "*.csv", files_per_batch: int = 1000, multiline: bool = False
+) -> DataFrame:
+    """Raw snapshot files of a folder as a stream of text rows; ``multiline`` as in :func:`read_text_csv`."""
     return (
         spark.readStream.schema(text_schema(RAW_COLUMNS))
         .options(
-            header=True, quote='"', escape='"', multiLine=True, enforceSchema=False,
+            header=True, quote='"', escape='"', multiLine=multiline, enforceSchema=False,
             pathGlobFilter=pattern, maxFilesPerTrigger=files_per_batch,
         )
         .csv(folder)

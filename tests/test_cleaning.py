@@ -10,28 +10,29 @@ from shelfwatch.plans import cleaning
 from shelfwatch.schema import CLEAN_COLUMNS, RAW_COLUMNS
 
 
-# -- the cases of the original unit tests --------------------------------------------------
+# -- row-level rules -----------------------------------------------------------------------
 
 
 def test_missing_tokens(rows):
-    df = rows("i int, brand string", (0, " Macallan "), (1, "n/a"), (2, "NONE"), (3, ""))
-    assert column(normalise.standardize_missing(df), "brand", "i") == ["Macallan", None, None, None]
+    texts = ["  Oban\t", "Undefined", " NaN", "   ", "nan value", "Null", None]
+    df = rows("i int, brand string", *enumerate(texts))
+    assert column(normalise.standardize_missing(df), "brand", "i") == ["Oban", None, None, None, "nan value", None, None]
 
 
 def test_brands(rows):
-    df = rows("i int, brand string", (0, "chivas"), (1, " Chivas Regal "), (2, "Unknown Distillery"), (3, "Macallan"), (4, None))
-    out = normalise.standardize_brands(df)
-    assert column(out, "brand", "i") == ["Chivas Regal", "Chivas Regal", "Independent/Unknown", "Macallan", None]
-    assert column(out, "is_brand_placeholder", "i") == [False, False, True, False, None]
+    texts = ["CHIVAS", "chivas   REGAL", "Secret distillery ", "Talisker  Bay", "chivas extra", None]
+    out = normalise.standardize_brands(rows("i int, brand string", *enumerate(texts)))
+    assert column(out, "brand", "i") == ["Chivas Regal", "Chivas Regal", "Independent/Unknown", "Talisker Bay", "chivas extra", None]
+    assert column(out, "is_brand_placeholder", "i") == [False, False, True, False, False, None]
 
 
 REGIONS = "i int, category string, region string, fact_region string"
 
 
 def test_invalid_regions(rows):
-    df = rows(REGIONS, (0, "Single Malt", "Islay", None), (1, "Single Malt", "Not A Real Region", None), (2, "Blended", "Highland", None))
+    df = rows(REGIONS, (0, "single malt", " CAMPBELTOWN", None), (1, "Single Malt", "Wales", None), (2, "BLENDED", "Lowland", None), (3, "Grain", "Wales", None))
     out = normalise.clean_regions(df)
-    assert column(out, "region", "i") == ["Islay", None, None]
+    assert column(out, "region", "i") == ["Campbeltown", None, None, "Wales"]
     assert "fact_region" not in out.columns
 
 
@@ -48,23 +49,23 @@ def test_region_fallback(rows):
 
 
 def test_vat_fallback(rows):
-    df = rows("i int, price_ex_vat_gbp double, price_inc_vat_gbp double", (0, 100.0, None), (1, 50.0, 60.0), (2, None, None))
-    assert column(parsing.vat_fallback(df), "price_inc_vat_gbp", "i") == [120.0, 60.0, None]
+    df = rows("i int, price_ex_vat_gbp double, price_inc_vat_gbp double", (0, 37.5, None), (1, 12.34, 99.0), (2, None, None), (3, None, 8.0))
+    assert column(parsing.vat_fallback(df), "price_inc_vat_gbp", "i") == [45.0, 99.0, None, 8.0]
     assert df.agg(parsing.vat_filled().alias("n")).first().n == 1
 
 
 def test_bottle_and_abv(rows):
-    texts = ["70cl / 40%", "1l / 43%", "500ml / 46%", "70CL / 40%", "12 large 70cl", "0.7 litre", "n/a", None]
+    texts = ["35cl / 57.1%", "1.75l / 37.5%", "50ml / 62%", "70CL / 40%", "12 large 70cl", "0.7 litre", "n/a", None]
     out = parsing.parse_bottle_and_abv(rows("i int, variant string", *enumerate(texts)))
-    assert column(out, "bottle_size_cl", "i") == [70.0, 100.0, 50.0, None, 1200.0, 70.0, None, None]
-    assert column(out, "abv_percent", "i") == [40.0, 43.0, 46.0, 40.0, None, None, None, None]
+    assert column(out, "bottle_size_cl", "i") == [35.0, 175.0, 5.0, None, 1200.0, 70.0, None, None]
+    assert column(out, "abv_percent", "i") == [57.1, 37.5, 62.0, 40.0, None, None, None, None]
     assert set(out.columns) == {"i", "variant", "abv_percent", "bottle_size_l", "bottle_size_cl"}
 
 
 def test_unit_price(rows):
-    texts = ["£50.00/ltr", "£25.00 per 70cl", "(£1,012.50 per litre)", "£9 per 0cl", "£8 per cl", "£30 per 2 litre", "£5 / 500 ml", "POA", None]
+    texts = ["£64.20/ltr", "£14.00 per 35cl", "(£1,012.50 per litre)", "£9 per 0cl", "£8 per cl", "£30 per 2 litre", "£5 / 500 ml", "POA", None]
     out = parsing.parse_unit_price(rows("i int, unit_price_raw string", *enumerate(texts)))
-    assert column(out, "unit_price_gbp_per_litre", "i") == [50.0, 35.71, 1012.5, None, 8.0, 15.0, 10.0, None, None]
+    assert column(out, "unit_price_gbp_per_litre", "i") == [64.2, 40.0, 1012.5, None, 8.0, 15.0, 10.0, None, None]
 
 
 def test_unit_price_fallback(rows):
@@ -90,10 +91,10 @@ def test_price_features(rows):
 
 def test_age_and_cask(rows):
     df = rows("i int, name string, bottle_size_l double, abv_percent double",
-              (0, "Glenfiddich 12 Year Old", 0.7, 40.0), (1, "Ardbeg 10YO", 0.35, 46.0), (2, "No Age Statement", 0.7, 51.0),
+              (0, "Oban 14 years old", 0.7, 43.0), (1, "Talisker 8yo", 0.35, 45.8), (2, "Nameless Malt", 0.75, 57.0),
               (3, "0 years old", None, None), (4, "1812 Years", 0.34, 50.0))
     out = features.band_features(features.age_feature(df))
-    assert column(out, "age_years", "i") == [12, 10, None, 0, None]
+    assert column(out, "age_years", "i") == [14, 8, None, 0, None]
     assert column(out, "is_age_stated", "i") == [True, True, False, True, False]
     assert column(out, "age_band", "i") == ["11–15", "≤10", None, None, None]
     assert column(out, "is_cask_strength", "i") == [False, False, True, False, True]

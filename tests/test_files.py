@@ -6,7 +6,7 @@ import pytest
 from conftest import column
 
 from shelfwatch.schema import CLEAN_COLUMNS, RAW_COLUMNS
-from shelfwatch.session import fresh_path, materialise, shared_folder
+from shelfwatch.session import drop_stages, fresh_path, materialise, shared_folder
 from shelfwatch.sources import catalog, files
 
 
@@ -36,14 +36,14 @@ def test_another_column_order_raises_instead_of_shifting(spark, tmp_path):
 
 def test_quotes_line_breaks_and_null_tokens(spark, tmp_path):
     path = write(tmp_path / "q.csv", 'i,t\n1,"two ""quoted"", lines\nhere"\n2,NULL\n3,null\n4,""\n5,\n6,Null\n')
-    out = files.null_csv_tokens(files.read_text_csv(spark, path))
+    out = files.null_csv_tokens(files.read_text_csv(spark, path, multiline=True))
     assert column(out, "t", "i") == ['two "quoted", lines\nhere', None, None, None, None, "Null"]
 
 
 def test_round_trip(spark, rows, tmp_path):
-    df = rows("i string, t string", ("1", 'a "b"\nc,d'), ("2", "£5 – x"), ("3", None))
+    df = rows("i string, t string", ("1", 'a "b"\nc,d'), ("2", "  £5 – x "), ("3", None))
     files.write_csv(df, str(tmp_path / "out"))
-    back = files.null_csv_tokens(files.read_text_csv(spark, str(tmp_path / "out")))
+    back = files.null_csv_tokens(files.read_text_csv(spark, str(tmp_path / "out"), multiline=True))
     assert sorted(back.collect(), key=str) == sorted(df.collect(), key=str)
 
 
@@ -103,15 +103,35 @@ def test_materialise_uses_the_shared_folder(spark, rows):
     assert [tuple(r) for r in df.collect()] == [(1, "x")]
 
 
-def test_only_a_local_master_may_use_a_temporary_folder():
-    def session(master, configured=None):
-        return SimpleNamespace(
-            conf=SimpleNamespace(get=lambda name, default: configured),
-            sparkContext=SimpleNamespace(master=master, applicationId="app-1"),
-        )
+def test_without_a_setting_the_warehouse_is_the_shared_folder():
+    def session(**settings):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda name, default=None: settings.get(name, default)))
 
-    assert shared_folder(session("spark://x:7077", "s3a://scratch/run/")) == "s3a://scratch/run"
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(session("yarn"))
-    local = shared_folder(session("local[4]"))
-    assert os.path.isdir(local) and shared_folder(session("local[4]")) == local
+    warehouse = {"spark.sql.warehouse.dir": "s3a://lake/warehouse/"}
+    assert shared_folder(session(**warehouse, **{"spark.checkpoint.dir": "s3a://scratch/run/"})) == "s3a://scratch/run"
+    assert shared_folder(session(**warehouse)) == "s3a://lake/warehouse/shelfwatch-stages"
+
+
+def test_stages_are_dropped(spark, rows):
+    drop_stages(spark)
+    paths = [materialise(rows("a int", (i,))).inputFiles()[0].removeprefix("file://") for i in range(3)]
+    assert all(os.path.exists(p) for p in paths)
+    assert drop_stages(spark) == 3 and drop_stages(spark) == 0
+    assert not any(os.path.exists(p) for p in paths)
+
+
+def test_malformed_rows_are_found(spark, tmp_path):
+    path = write(tmp_path / "ragged.csv", "a,b\n1,2\n3,4,5\n6\n7,8\n")
+    assert sorted(r.line for r in files.malformed_rows(spark, path).collect()) == ["3,4,5", "6"]
+    good = write(tmp_path / "good.csv", "a,b\n1,2\n")
+    assert files.malformed_rows(spark, good).count() == 0
+
+
+def test_large_files_are_split_unless_cells_hold_line_breaks(spark, tmp_path):
+    path = write(tmp_path / "long.csv", "a,b\n" + "1,2\n" * 50_000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        assert files.read_text_csv(spark, path).rdd.getNumPartitions() > 2
+        assert files.read_text_csv(spark, path, multiline=True).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

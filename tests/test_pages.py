@@ -173,6 +173,32 @@ def test_listing_cap(rows):
     assert sorted((r.category, r.product_id, r.page) for r in out.collect()) == [("a", "1", 1), ("a", "2", 1), ("b", "1", 1)]
 
 
+def test_every_row_stays_without_a_cap_and_long_rankings_are_exact(rows):
+    df = rows("category string, product_id string, page int, position int", *[("a", str(i), i % 7, i) for i in range(3000)])
+    assert listing.listing_cap(df).count() == 3000
+    got = [(r.page, r.position) for r in listing.listing_cap(df, cap=1500).collect()]
+    assert sorted(got) == sorted((i % 7, i) for i in range(3000))[:1500]
+
+
+def test_cards_of_one_product_in_two_categories_stay_apart(rows):
+    page = "".join(CARD.format(id=i, extra="") for i in (1, 2)), "".join(CARD.format(id=i, extra="") for i in (1, 3))
+    df = rows("url string, html string, category string, fetched_at string, page int",
+              ("https://s.example/a", page[0], "Single Malt", "t", 1), ("https://s.example/b", page[1], "Blended", "t", 1))
+    got = sorted((r.page_category, r.category, r.product_id) for r in collect.listing_records(df).collect())
+    assert got == [("Blended", "", "1"), ("Blended", "", "3"), ("Single Malt", "", "1"), ("Single Malt", "", "2")]
+
+
+def test_no_html_is_shuffled(spark, rows):
+    listings = rows("url string, html string, category string, fetched_at string, page int", ("https://s.example/a", CARD.format(id=1, extra=""), "x", "t", 1))
+    details = rows("url string, html string", ("https://s.example/p/1/x", "<p>x</p>"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = collect.raw_records(listings, details)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not [line for line in plan.split("\n") if "Exchange" in line and "html" in line]
+
+
 def test_enrichment(rows):
     listing_rows = rows("product_id string, product_url string, rating_stars string", ("1", "u1", "old"), ("2", "u2", "old"), ("3", "", "old"))
     details = rows("product_url string, rating_stars string", ("u1", "4.5"))

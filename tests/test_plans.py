@@ -21,16 +21,16 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.own_queries()))
 def test_no_all_pairs_join_and_no_python(spark, name):
-    text = plan(entry.queries()[name](spark, FOLDER))
+    text = plan(entry.own_queries()[name](spark, FOLDER))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert "BatchEvalPython" not in text
     assert text.count("ArrowEvalPython") == (name in PAGES)
 
 
 def test_latest_shrinks_before_the_shuffle_and_before_the_joins(spark):
-    text = plan(analytics.brand_positioning(retail_tables.latest_products(spark, FOLDER)))
+    text = plan(retail_tables.latest_products(spark, FOLDER))
     scan, first_join = text.index("lineitem.parquet"), text.rindex("Join")
     assert text.rindex("partial_max(struct(") < scan
     assert first_join < text.rindex("partial_max(struct(")

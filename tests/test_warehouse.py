@@ -145,3 +145,21 @@ def test_landing_matches_names_in_any_case(rows):
 def test_small_dimensions_reach_the_fact_without_a_shuffle(star):
     plan = warehouse.product_snapshot(star)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan
+
+
+def test_ties_in_time_are_settled_by_the_measures(spark, rows):
+    def latest(*prices):
+        landing = warehouse.to_landing(rows(
+            "scraped_at string, product_id string, name string, price_inc_vat_gbp string, price_tier string, discount_band string",
+            *[("2026-01-16 09:00:00", "1", "n", str(p), "Budget", "No Discount") for p in prices],
+        ))
+        return [float(r.price_inc_vat_gbp) for r in warehouse.product_latest(warehouse.build_star(landing)).collect()]
+
+    assert latest(10, 20) == latest(20, 10) == [20.0]
+
+
+def test_landing_rows_are_read_once(rows):
+    landing = warehouse.to_landing(rows("scraped_at string, product_id string, name string", ("2026-01-16", "1", "n")))
+    star = warehouse.build_star(landing)
+    for name, table in star.items():
+        assert all("landing" in f or "labels" in f or "dim-product" in f or "fact" in f for f in table.inputFiles()), name
