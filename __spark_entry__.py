@@ -419,7 +419,8 @@ def collect_records(spark: SparkSession, folder: str) -> DataFrame:
 
 def corpus_module(name: str):
     """A module of the corpus subpackage or its pipeline, or None where those were taken out."""
-    if importlib.util.find_spec("shelfwatch.llm") is None or importlib.util.find_spec("corpus_pipeline") is None:
+    specs = [importlib.util.find_spec(n) for n in ("shelfwatch.llm", "corpus_pipeline")]
+    if any(spec is None or spec.origin is None for spec in specs):  # a folder without modules has no origin
         return None
     return importlib.import_module(name)
 
