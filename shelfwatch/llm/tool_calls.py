@@ -173,7 +173,7 @@ def messages_from_turns(conversations: DataFrame) -> DataFrame:
     size = F.length("text")
     ident = F.concat(F.lit("c"), F.col("turn").cast("string"))
     arguments = (
-        F.when(size % 3 == 0, F.to_json(F.struct(F.substring("text", 1, 40).alias("query"), size.alias("limit"))))
+        F.when(size % 3 == 0, F.to_json(F.struct(F.col("text").alias("query"), size.alias("limit"))))
         .when((size % 3 == 1) & (size % 5 == 0), F.to_json(F.struct(F.col("text"), F.lit("many").alias("max_words"))))
         .when(size % 3 == 1, F.to_json(F.struct(F.col("text"), size.alias("max_words"))))
         .when(size % 7 == 0, F.to_json(F.struct(F.col("text"))))

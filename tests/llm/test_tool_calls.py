@@ -73,3 +73,12 @@ def test_messages_of_conversations(spark):
     assert set(found) == users | answers
     assert {k for k, r in found.items() if r.n_results} == answers
     assert {"ok", "missing to", "type max_words", "no result"} <= {r.status for r in found.values()}
+
+
+def test_calls_of_turns_hold_the_whole_text(rows):
+    texts = ["a" * 45 + end for end in ("one", "two")] + ["b" * 400 + "cd", "é\n\"" * 20]
+    assert all(len(t) % 3 == 0 for t in texts)
+    turns = rows("conv_id bigint, turn bigint, role string, text string", *[(i, 0, "user", t) for i, t in enumerate(texts)])
+    got = link_tool_calls(messages_from_turns(turns)).collect()
+    assert {r.conv_id: json.loads(r.record)["arguments"]["query"] for r in got} == dict(enumerate(texts))
+    assert {r.name for r in got} == {"search"}
