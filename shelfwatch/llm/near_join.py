@@ -189,6 +189,9 @@ def verified(sets: DataFrame) -> DataFrame:
             if len(rows) < 2:
                 return
             keys, blocks = np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows])
+            # A pair of blocks of which one is empty: its links are those of the other block's own group.
+            if group[1] != group[2] and blocks.min() == blocks.max():
+                return
             links, least = count_links(keys, [r[2] for r in rows], blocks)
             there = links > 0
             yield pa.RecordBatch.from_arrays(

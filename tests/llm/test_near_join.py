@@ -61,6 +61,13 @@ def test_components_in_blocks(rows, monkeypatch):
     check(rows, near_corpus())
 
 
+def test_links_where_a_block_is_empty(rows, monkeypatch):
+    monkeypatch.setattr(module, "BLOCK_SHINGLES", 200)
+    data = [document(2 * i + j, prose(700 + i, 150) + " end" * j) for i in range(8) for j in range(2)]
+    # Two classes of about 146 shingles need two blocks; hashing puts some pairs into one of them.
+    check(rows, data)
+
+
 def test_documents_that_stay(rows):
     data = near_corpus()
     docs = rows(SCHEMA, *data)
