@@ -3,8 +3,9 @@
 Messages hold JSON: a call ``{"tool_call": {"id", "name", "arguments", "after"}}`` or a
 result ``{"tool_result": {"id", "content"}}``. Calls and results are first brought to one
 row per conversation and identifier, then joined on both. ``after`` names the call whose
-result a call uses; the length of that chain is the call's step, found by pointer doubling,
-so sorting by conversation, step and turn gives a topological order without bringing a
+result a call uses, or lists several; the longest path through them is the call's step.
+Chains are found by pointer doubling, calls with several dependencies level by level, so
+sorting by conversation, step and turn gives a topological order without bringing a
 conversation together in one task. Arguments are validated against the tool's schema, and
 each link is written as canonical JSON: keys sorted, no blanks.
 """
@@ -65,42 +66,90 @@ def arguments_problem(name: Column, arguments: Column, schemas: Schemas) -> Colu
     return problem
 
 
+def _same(left: str, right: str) -> Column:
+    return F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col(left) == F.col(right))
+
+
 def steps(calls: DataFrame) -> DataFrame:
-    """``conv_id, id, step, broken`` for calls ``conv_id, id, after`` with unique identifiers.
+    """``conv_id, id, step, broken`` for calls ``conv_id, id, needs`` with unique identifiers.
 
-    ``step`` counts the calls in the chain before. ``broken`` is ``missing`` where the chain
-    ends at a call that does not exist, ``cycle`` where it never ends; ``step`` is then NULL
-    for a cycle. Each round doubles the distance looked back, so the rounds are the
-    logarithm of the longest chain.
+    ``step`` counts the calls on the longest path before. ``broken`` is ``cycle`` where a
+    path never ends, else ``missing`` where one ends at a call that does not exist; ``step``
+    is NULL for a cycle. Each round doubles the distance looked back, up to a call with no or
+    several dependencies, so these rounds are the logarithm of the longest chain. Calls with
+    several are then settled once all they depend on are, one level of them a round.
     """
     named = calls.select(F.col("conv_id").alias("_c"), F.col("id").alias("_i"))
-    linked = calls.join(named, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("after") == F.col("_i")), "left")
+    wanted = calls.select("conv_id", "id", F.explode_outer(F.array_distinct("needs")).alias("need"))
+    edges = staged(
+        wanted.join(named, _same("need", "_i"), "left").select(
+            "conv_id", "id", F.col("_i").alias("up"), (F.col("need").isNotNull() & F.col("_i").isNull()).alias("missing")
+        ),
+        "edges",
+    )
+    state = edges.groupBy("conv_id", "id").agg(
+        F.count("up").alias("n_up"), F.max("up").alias("up"), F.max("missing").alias("missing")
+    )
+    one = F.col("n_up") == 1
     state = staged(
-        linked.select(
-            "conv_id", "id", F.col("_i").alias("up"), F.col("_i").isNotNull().cast("bigint").alias("step"),
-            (F.col("after").isNotNull() & F.col("_i").isNull()).alias("missing"),
+        state.select(
+            "conv_id", "id", F.when(one, F.col("up")).alias("up"), F.when(one, F.col("up")).otherwise(F.col("id")).alias("base"),
+            one.cast("bigint").alias("step"), "missing", (F.col("n_up") > 1).alias("joins"),
         ),
         "steps",
     )
     total, reach = state.count(), 1
     while reach <= 2 * total and state.where("up IS NOT NULL").limit(1).count():
         above = state.select(
-            F.col("conv_id").alias("_c"), F.col("id").alias("_i"), F.col("up").alias("_up"), F.col("step").alias("_step"),
-            F.col("missing").alias("_missing"),
+            F.col("conv_id").alias("_c"), F.col("id").alias("_i"), F.col("up").alias("_up"), F.col("base").alias("_base"),
+            F.col("step").alias("_step"), F.col("missing").alias("_missing"),
         )
-        joined = state.join(above, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("up") == F.col("_i")), "left")
         state = staged(
-            joined.select(
-                "conv_id", "id", F.col("_up").alias("up"), (F.col("step") + F.coalesce("_step", F.lit(0))).alias("step"),
-                (F.col("missing") | F.coalesce("_missing", F.lit(False))).alias("missing"),
+            state.join(above, _same("up", "_i"), "left").select(
+                "conv_id", "id", F.col("_up").alias("up"), F.coalesce("_base", "base").alias("base"),
+                (F.col("step") + F.coalesce("_step", F.lit(0))).alias("step"),
+                (F.col("missing") | F.coalesce("_missing", F.lit(False))).alias("missing"), "joins",
             ),
             "steps",
         )
         reach *= 2
     cycle = F.col("up").isNotNull()
-    return state.select(
-        "conv_id", "id", F.when(~cycle, F.col("step")).alias("step"),
-        F.when(cycle, "cycle").when(F.col("missing"), "missing").alias("broken"),
+    if not state.where("joins").limit(1).count():
+        return state.select(
+            "conv_id", "id", F.when(~cycle, F.col("step")).alias("step"),
+            F.when(cycle, "cycle").when(F.col("missing"), "missing").alias("broken"),
+        )
+    # What each call with several dependencies needs: the ends of their chains, that are settled or such calls themselves.
+    bases = state.select(F.col("conv_id").alias("_c"), F.col("id").alias("_i"), "base", "step", F.col("missing").alias("gap"), cycle.alias("loop"))
+    joins = state.where("joins").select(F.col("conv_id").alias("_jc"), F.col("id").alias("_ji"))
+    inner = edges.join(joins, F.col("conv_id").eqNullSafe(F.col("_jc")) & (F.col("id") == F.col("_ji")), "left_semi")
+    paths = staged(
+        inner.where("up IS NOT NULL").join(bases, _same("up", "_i")).select(
+            "conv_id", "id", "base", (F.col("step") + 1).alias("step"), (F.col("missing") | F.col("gap")).alias("gap"), "loop"
+        ),
+        "paths",
+    )
+    own = state.where("joins").select("conv_id", "id", F.col("missing").alias("own"))
+    ends = state.where("up IS NULL AND NOT joins").select(
+        F.col("conv_id").alias("_c"), F.col("id").alias("_b"), F.lit(0).cast("bigint").alias("at"), F.lit(False).alias("lacks")
+    )
+    settled, known = staged(ends, "settled"), -1
+    while known < (now := settled.count()):
+        known = now
+        ready = paths.join(settled, _same("base", "_b"), "left").groupBy("conv_id", "id").agg(
+            F.max(F.col("at") + F.col("step")).alias("at"), F.max(F.col("gap") | F.coalesce("lacks", F.lit(False))).alias("lacks"),
+            F.bool_and(F.col("at").isNotNull() & ~F.col("loop")).alias("done"),
+        ).where("done")
+        mine = own.select(F.col("conv_id").alias("_c"), F.col("id").alias("_i"), "own")
+        level = ready.join(mine, _same("id", "_i")).select(
+            F.col("conv_id").alias("_c"), F.col("id").alias("_b"), "at", (F.col("lacks") | F.col("own")).alias("lacks")
+        )
+        settled = staged(ends.unionByName(level), "settled")
+    found = state.join(settled, _same("base", "_b"), "left")
+    lost = cycle | F.col("at").isNull()
+    return found.select(
+        "conv_id", "id", F.when(~lost, F.col("step") + F.col("at")).alias("step"),
+        F.when(lost, "cycle").when(F.col("missing") | F.col("lacks"), "missing").alias("broken"),
     )
 
 
@@ -128,19 +177,20 @@ def link_tool_calls(
             "conv_id", "turn", "raw", F.coalesce(get("$.tool_call.id"), get("$.tool_result.id")).alias("id"),
             get("$.tool_call.id").isNotNull().alias("is_call"), get("$.tool_call.name").alias("name"),
             F.to_json(get("$.tool_call.arguments", "variant")).alias("arguments"),
-            get("$.tool_call.after").alias("after"), get("$.tool_result.content").alias("content"),
+            get("$.tool_call.after").alias("after"), get("$.tool_call.after", "array<string>").alias("several"), get("$.tool_result.content").alias("content"),
         ).where("id IS NOT NULL"),
         "tool-messages",
     )
     first = F.struct("turn", "raw")
     calls = said.where("is_call").groupBy("conv_id", "id").agg(
-        F.count("*").alias("n_calls"), F.min_by(F.struct("turn", "name", "arguments", "after"), first).alias("call")
+        F.count("*").alias("n_calls"), F.min_by(F.struct("turn", "name", "arguments", "after", "several"), first).alias("call")
     ).select("conv_id", "id", "n_calls", "call.*")
     calls = staged(calls, "calls")
     results = said.where(~F.col("is_call")).groupBy(F.col("conv_id").alias("_conv"), F.col("id").alias("_id")).agg(
         F.count("*").alias("n_results"), F.min_by(F.struct("turn", "content"), first).alias("result")
     )
-    order = steps(calls).select(F.col("conv_id").alias("_oc"), F.col("id").alias("_oi"), "step", "broken")
+    needs = F.coalesce(F.array_compact("several"), F.array("after"))
+    order = steps(calls.select("conv_id", "id", needs.alias("needs"))).select(F.col("conv_id").alias("_oc"), F.col("id").alias("_oi"), "step", "broken")
     placed = calls.join(order, F.col("conv_id").eqNullSafe(F.col("_oc")) & (F.col("id") == F.col("_oi")))
     both = placed.join(results, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("id") == F.col("_id")), "full")
     arguments = F.try_parse_json("arguments")
@@ -152,7 +202,8 @@ def link_tool_calls(
         F.when(F.col("result.turn") <= F.col("turn"), F.lit("early result")), F.lit("ok"),
     )
     record = F.to_json(F.struct(
-        F.col("after"), arguments.alias("arguments"), F.col("id"), F.col("name"), F.col("result.content").alias("result"), F.col("step"),
+        F.when(F.col("several").isNotNull(), F.try_parse_json("after")).otherwise(F.col("after").cast("variant")).alias("after"),
+        arguments.alias("arguments"), F.col("id"), F.col("name"), F.col("result.content").alias("result"), F.col("step"),
     ))
     return both.select(
         F.coalesce("conv_id", "_conv").alias("conv_id"), F.coalesce("id", "_id").alias("id"), F.coalesce("turn", "result.turn").alias("turn"),
@@ -168,7 +219,8 @@ def messages_from_turns(conversations: DataFrame) -> DataFrame:
 
     A user's turn calls a tool, chosen with its arguments by the turn's length; an
     assistant's turn is the result of the call one turn before. Some calls lack an argument
-    or have one of a wrong type, some use the result of the call two turns before.
+    or have one of a wrong type, some use the result of the call two turns before. Turns of
+    any other role, or none, are messages without an identifier.
     """
     size = F.length("text")
     ident = F.concat(F.lit("c"), F.col("turn").cast("string"))
@@ -187,5 +239,6 @@ def messages_from_turns(conversations: DataFrame) -> DataFrame:
     result = F.to_json(F.struct(F.struct(
         F.concat(F.lit("c"), (F.col("turn") - 1).cast("string")).alias("id"), F.col("text").alias("content")
     ).alias("tool_result")))
-    said = F.when(F.col("role") == "user", call).when(F.col("role") == "assistant", result)
-    return conversations.select("conv_id", "turn", said.alias("text")).where("text IS NOT NULL")
+    other = F.to_json(F.struct(F.struct(F.col("role"), F.col("text").alias("content")).alias("message")))
+    said = F.when(F.col("role") == "user", call).when(F.col("role") == "assistant", result).otherwise(other)
+    return conversations.select("conv_id", "turn", said.alias("text"))

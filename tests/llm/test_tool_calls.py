@@ -82,3 +82,26 @@ def test_calls_of_turns_hold_the_whole_text(rows):
     got = link_tool_calls(messages_from_turns(turns)).collect()
     assert {r.conv_id: json.loads(r.record)["arguments"]["query"] for r in got} == dict(enumerate(texts))
     assert {r.name for r in got} == {"search"}
+
+
+def test_several_dependencies(rows):
+    after = {
+        "a": None, "b": "a", "c": "b", "d": ["a", "c"], "e": ["d"], "f": ["b", "e", "d"], "g": [], "h": ["a", "gone"], "i": "h",
+        "l": ["a", "m"], "m": "l", "n": ["m", "b"], "o": ["i", "a"], "p": ["b", None, "b"],
+    }
+    got = linked(rows, *[call(1, t, i, after=needs) for t, (i, needs) in enumerate(after.items())])
+    assert {i: r.step for (_, i), r in got.items()} == {
+        "a": 0, "b": 1, "c": 2, "d": 3, "e": 4, "f": 5, "g": 0, "h": 1, "i": 2, "l": None, "m": None, "n": None, "o": 3, "p": 2,
+    }
+    assert {i: r.status for (_, i), r in got.items() if r.status != "no result"} == {
+        **dict.fromkeys("hio", "missing dependency"), **dict.fromkeys("lmn", "cycle"),
+    }
+    assert json.loads(got[1, "d"].record)["after"] == ["a", "c"]
+
+
+def test_turns_of_other_roles_stay_messages(rows):
+    turns = rows("conv_id bigint, turn bigint, role string, text string", (1, 0, "system", "s"), (1, 1, "user", "u"), (1, 2, None, "n"))
+    messages = messages_from_turns(turns)
+    got = {r.turn: json.loads(r.text) for r in messages.collect()}
+    assert got[0] == {"message": {"role": "system", "content": "s"}} and got[2] == {"message": {"content": "n"}}
+    assert [r.id for r in link_tool_calls(messages).collect()] == ["c1"]
