@@ -114,3 +114,29 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
   sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN hit USING (row_no) LEFT JOIN items USING (row_no)
 """
+
+FILL_IN_MIDDLE = """
+WITH hashed AS (
+    SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), numbers AS (
+    SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n,
+        CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+        CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4
+    FROM hashed
+), cuts AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+        CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+            WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM numbers
+), parts AS (
+    SELECT *, substr(t, 1, low) AS prefix, substr(t, low + 1, high - low) AS middle, substr(t, high + 1) AS suffix FROM cuts
+)
+SELECT doc_id, n, form,
+    CASE WHEN form <> 'plain' THEN low END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN high - low END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t
+        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+    sha256(t) AS restored_sha256
+FROM parts
+"""

@@ -11,11 +11,14 @@ from shelfwatch.llm import oracles, pii, url_filter
 from shelfwatch.llm.common import table
 from shelfwatch.llm.decontaminate import decontaminate
 from shelfwatch.llm.exact_dedup import exact_dedup
+from shelfwatch.llm.fill_in_middle import fill_in_middle, restored
 from shelfwatch.llm.language_id import identify
 from shelfwatch.llm.line_spread import drop_spread_lines
 from shelfwatch.llm.mixing import systematic_mix, word_count
 from shelfwatch.llm.near_join import near_join
 from shelfwatch.llm.repeats import remove_repeats
+from shelfwatch.llm.token_alignment import align_tokens
+from shelfwatch.llm.token_counts import TOKEN_LIMIT, count_tokens
 from shelfwatch.llm.tool_calls import link_tool_calls, messages_from_turns
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +86,26 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    counts = count_tokens(table(spark, folder, "documents"))
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    aligned = align_tokens(table(spark, folder, "documents"))
+    return aligned.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    made = fill_in_middle(table(spark, folder, "documents"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("form"), F.col("output")), 256).alias("restored_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -95,6 +118,9 @@ def queries() -> dict[str, Query]:
         "op8_ngram_join": op8_ngram_join,
         "op9_line_dedup": op9_line_dedup,
         "op10_mixing": op10_mixing,
+        "op11_token_counts": op11_token_counts,
+        "op12_tokenizer_alignment": op12_tokenizer_alignment,
+        "op13_fill_in_middle": op13_fill_in_middle,
     }
 
 
@@ -104,4 +130,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_exact_dedup": oracles.EXACT_DEDUP,
         "op9_line_dedup": oracles.LINE_DEDUP,
         "op10_mixing": oracles.MIXING,
+        "op13_fill_in_middle": oracles.FILL_IN_MIDDLE,
     }
