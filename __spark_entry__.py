@@ -16,15 +16,16 @@ from pyspark.sql import types as T
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import oracle_queries  # noqa: E402
+from shelfwatch.functions import distinct  # noqa: E402
 from shelfwatch.functions.numeric import round_report, to_decimal, to_key  # noqa: E402
 from shelfwatch.functions.text import text_flag, tidy_list  # noqa: E402
-from shelfwatch.operators import dedup, features, listing, normalise, outliers, parsing, quality  # noqa: E402
+from shelfwatch.operators import dedup, features, listing, normalise, ordering, outliers, parsing, quality  # noqa: E402
 from shelfwatch.plans import analytics, cleaning, collect, measures, warehouse  # noqa: E402
-from shelfwatch.schema import FACT_MEASURES, INTEGER_COLUMNS, NUMERIC_COLUMNS, TIME_COLUMNS, URL_COLUMNS  # noqa: E402
-from shelfwatch.session import fresh_path, ship_package  # noqa: E402
-from shelfwatch.sources import catalog, files, pages, retail_pages  # noqa: E402
+from shelfwatch.schema import CLEAN_COLUMNS, FACT_MEASURES, INTEGER_COLUMNS, NUMERIC_COLUMNS, TIME_COLUMNS, URL_COLUMNS  # noqa: E402
+from shelfwatch.session import fresh_path, materialise, ship_package, stage_once  # noqa: E402
+from shelfwatch.sources import catalog, files, pages, retail_pages, star_store  # noqa: E402
 from shelfwatch.sources import retail_tables as retail  # noqa: E402
-from shelfwatch.streaming import intake  # noqa: E402
+from shelfwatch.streaming import intake, upsert  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 TYPED_COLUMNS = [*TIME_COLUMNS, *INTEGER_COLUMNS, *NUMERIC_COLUMNS]
@@ -54,8 +55,13 @@ def on_latest(query: Callable[..., DataFrame], **options) -> Query:
     return lambda spark, folder: plain(query(retail.latest_products(spark, folder), **options))
 
 
+def retail_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The star of the retail tables, loaded once per application and read by the queries on it."""
+    return stage_once(spark, ("star", folder), lambda: warehouse.build_star(retail.landing_rows(spark, folder)))
+
+
 def on_star(view: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
-    return lambda spark, folder: plain(view(warehouse.build_star(retail.landing_rows(spark, folder))))
+    return lambda spark, folder: plain(view(retail_star(spark, folder)))
 
 
 def on_landing(load: Callable[[DataFrame], DataFrame]) -> Query:
@@ -119,13 +125,69 @@ def intake_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 def fact_snapshot(raw: DataFrame) -> DataFrame:
     small = warehouse.small_dimensions(raw)
-    return warehouse.load_fact(raw, small["dim_price_tier"], small["dim_discount_band"]).drop("snapshot_key")
+    return warehouse.fact_rows(raw, small["dim_price_tier"], small["dim_discount_band"])
+
+
+def star_load(spark: SparkSession, folder: str) -> DataFrame:
+    """The load itself: rows per table of a star that is written anew."""
+    star = warehouse.build_star(retail.landing_rows(spark, folder))
+    return union_all([t.agg(F.count("*").alias("row_count")).select(F.lit(n).alias("table_name"), "row_count") for n, t in star.items()])
+
+
+def star_reload(spark: SparkSession, folder: str) -> DataFrame:
+    """A star that is reloaded under a reader: tables as seen by the reader from before, and by one from after.
+
+    The first load has the snapshots up to 1995, the second all of them.
+    """
+    root, database = fresh_path(spark, "star"), f"star_{uuid.uuid4().hex}"
+    landing = materialise(retail.landing_rows(spark, folder), "landing")
+    star_store.reload_star(spark, landing.where("scraped_at < '1996-01-01'"), root, database, buckets=8)
+    before = star_store.read_star(spark, root)
+    star_store.reload_star(spark, landing, root, database, buckets=8)
+    after = star_store.read_star(spark, root)
+    seen = []
+    for reader, star in (("before", before), ("after", after)):
+        for name, rows in (("latest", warehouse.product_latest(star)), ("fact", star["fact_product_snapshot"])):
+            totals = rows.agg(F.count("*").alias("row_count"), F.sum("price_inc_vat_gbp").alias("price_total"))
+            seen.append(totals.select(F.lit(reader).alias("reader"), F.lit(name).alias("table_name"), "*"))
+    return plain(union_all(seen))
+
+
+def snapshot_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact's keys after two loads from landing rows in different order; a key that changed comes twice."""
+    root, database = fresh_path(spark, "star"), f"star_{uuid.uuid4().hex}"
+    landing = materialise(retail.landing_rows(spark, folder), "landing")
+    loads = []
+    for rows in (landing, landing.repartition(5, "review_count").sortWithinPartitions(F.desc("product_id"))):
+        fact = star_store.reload_star(spark, rows, root, database, buckets=8, audited=False)["fact_product_snapshot"]
+        loads.append(fact.select("snapshot_key", "product_key", "date_key", "price_inc_vat_gbp"))
+    return plain(loads[0].unionByName(loads[1]).distinct())
+
+
+def intake_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """Three arrivals of cleaned files through the stream into the incremental store; the latest view over it.
+
+    The middle arrival is the oldest, and its batch is offered to the store a second time.
+    """
+    source, root, state = fresh_path(spark, "arrivals"), fresh_path(spark, "store"), fresh_path(spark, "store-state")
+    landing = materialise(retail.landing_rows(spark, folder), "landing")
+    for batch, when in enumerate(("year >= 1994 AND year < 1996", "year < 1994 OR year IS NULL", "year >= 1996")):
+        rows = landing.withColumn("year", F.year(F.to_date("scraped_at"))).where(when).drop("year")
+        files.append_csv(rows, source)
+        upsert.run_upsert(intake.csv_stream(spark, source, columns=CLEAN_COLUMNS, files_per_batch=100_000), root, state, parts=16)
+        if batch == 1:
+            upsert.upsert(spark, root, warehouse.to_landing(rows), batch)
+    return plain(star_latest_columns(upsert.latest_snapshots(upsert.read_store(spark, root))))
+
+
+def star_latest_columns(latest: DataFrame) -> DataFrame:
+    return latest.select(
+        "product_id", "name", "brand", "category", "region", "age_band", "full_date", "snapshot_ts", *FACT_MEASURES
+    )
 
 
 def star_latest(star: dict[str, DataFrame]) -> DataFrame:
-    return warehouse.product_latest(star).select(
-        "product_id", "name", "brand", "category", "region", "age_band", "full_date", "snapshot_ts", *FACT_MEASURES
-    )
+    return star_latest_columns(warehouse.product_latest(star))
 
 
 def damaged(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -342,8 +404,8 @@ def copy_into(spark: SparkSession, folder: str) -> DataFrame:
 def newest_file(spark: SparkSession, folder: str) -> DataFrame:
     """Of dated sinks the newest is found and read back."""
     path = fresh_path(spark, "newest")
-    for date, low in (("2026-01-15", 500), ("2026-01-16", 0)):
-        rows = retail.table(spark, folder, "part").where(f"p_size >= {low}").select(F.col("p_partkey").cast("string"), "p_name")
+    for date in ("2026-01-15", "2026-01-16"):
+        rows = retail.table(spark, folder, "part").select(F.col("p_partkey").cast("string"), "p_name")
         files.write_clean(rows, f"{path}/{date}", f"raw_{date}.csv")
     newest = files.latest_file(spark, f"{path}/2026-01-16/*", "*.csv")
     back = files.read_text_csv(spark, newest.rsplit("/", 1)[0])
@@ -365,6 +427,45 @@ def full_reload(spark: SparkSession, folder: str) -> DataFrame:
     ])
 
 
+def newest_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Three files of one date, of which each category's newest is read; the newest file is not the last by name."""
+    path = fresh_path(spark, "snapshots")
+    part = retail.table(spark, folder, "part").select(
+        F.col("p_partkey").cast("string").alias("product_id"), F.col("p_type").alias("category"), F.col("p_size").cast("string").alias("size")
+    )
+    versions_of = {"c": part, "a": part.where("category <> 'PROMO'"), "b": part.where("category IN ('ECONOMY', 'STANDARD')")}
+    for name, rows in versions_of.items():
+        tagged = rows.withColumn("seen_in", F.lit(name))
+        files.write_csv(tagged, f"{path}/{name}-2026-01-16")
+    return files.newest_rows(spark, f"{path}/*")
+
+
+def load_check(raw: DataFrame) -> DataFrame:
+    """Row count and size of the preview after a load."""
+    total, preview = quality.load_check(raw)
+    return preview.agg(F.count("*").alias("preview_rows")).select(F.lit(total).alias("row_count"), "preview_rows")
+
+
+def distinct_products(rows: DataFrame) -> DataFrame:
+    """Different products per category and year, and per category over all years from the same bitmaps."""
+    yearly = materialise(
+        distinct.distinct_bitmaps(rows.withColumn("year", F.year("scraped_at")), ["category", "year"], "product_id"), "bitmaps"
+    )
+    overall = distinct.merge_bitmaps(yearly, ["category"])
+    return distinct.count_bitmaps(yearly, ["category", "year"], "sku_count").unionByName(
+        distinct.count_bitmaps(overall, ["category"], "sku_count").withColumn("year", F.lit(None).cast("int"))
+    )
+
+
+def ordered_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    """All snapshots written in an order of several keys, NULL discounts last, and read back with their positions."""
+    path = fresh_path(spark, "ordered")
+    rows = retail.snapshots(spark, folder).select(*SNAPSHOT_ID, "category", "discount_amount_gbp")
+    order = ["category", F.desc_nulls_last("discount_amount_gbp"), F.desc("scraped_at"), "l_orderkey", "l_linenumber"]
+    ordering.write_ordered(rows, order, path)
+    return plain(spark.read.parquet(path))
+
+
 def unread_first(raw: DataFrame) -> DataFrame:
     """The newest row per product where an unreadable time counts as newest."""
     typed = normalise.enforce_schema(raw).select("product_id", "scraped_at", "price_ex_vat_gbp")
@@ -462,6 +563,10 @@ def own_queries() -> dict[str, Query]:
         "dim_band": on_landing(lambda raw: warehouse.load_dim_label(raw, "discount_band")),
         "dim_product": on_landing(warehouse.load_dim_product),
         "fact_snapshot": on_landing(fact_snapshot),
+        "star_load": star_load,
+        "star_reload": star_reload,
+        "snapshot_keys": snapshot_keys,
+        "intake_upsert": intake_upsert,
         "star_join": on_star(lambda star: warehouse.product_snapshot(star).drop("snapshot_key")),
         "star_latest": on_star(star_latest),
         "audit_fk": on_star(lambda star: warehouse.audit_foreign_keys(damaged(star))),
@@ -504,6 +609,10 @@ def own_queries() -> dict[str, Query]:
         "chain_latest": chain_latest,
         "copy_into": copy_into,
         "newest_file": newest_file,
+        "newest_rows": newest_rows,
+        "load_check": on_raw(load_check),
+        "distinct_products": on_snapshots(distinct_products),
+        "ordered_snapshots": ordered_snapshots,
         "full_reload": full_reload,
         "unread_first": on_raw(unread_first),
         "infinities": on_table("part", infinities),

@@ -315,6 +315,12 @@ FACT_KNOWN = {
 FLAGS = set(S.PRODUCT_FLAGS + S.FACT_FLAGS)
 VIEW_DIM = [c for c in S.SNAPSHOT_COLUMNS[3:26]]
 
+# The text of a measure in a snapshot's key: its declared decimal, or '-' for NULL.
+KEY_TEXTS = ", ".join(
+    "'-'" if c not in FACT_KNOWN else f"COALESCE(CAST(s.{c} AS VARCHAR), '-')" if c in FLAGS
+    else "COALESCE(CAST(CAST(s.{} AS DECIMAL({},{})) AS VARCHAR), '-')".format(c, *S.FACT_DECIMALS[c])
+    for c in S.FACT_MEASURES
+)
 DATE_KEY = "CAST(strftime(scraped_at, '%Y%m%d') AS INTEGER)"
 STAR = {
     "dim_date": """SELECT DISTINCT CAST(strftime(l_shipdate, '%Y%m%d') AS INTEGER) AS date_key, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS full_date,
@@ -334,6 +340,18 @@ STAR = {
 newest AS (SELECT * FROM m QUALIFY ROW_NUMBER() OVER (PARTITION BY product_id ORDER BY scraped_at DESC, {', '.join(f'{c} DESC NULLS LAST' for c in S.FACT_MEASURES)}) = 1)
 SELECT dim.product_id, name, brand, category, region, age_band, CAST(CAST(scraped_at AS DATE) AS VARCHAR) AS full_date,
   CAST(scraped_at AS VARCHAR) AS snapshot_ts, {', '.join(f'newest.{c}' for c in S.FACT_MEASURES)} FROM dim JOIN newest USING (product_id)""",
+    "star_load": f"""{SN} SELECT 'dim_date' AS table_name, COUNT(DISTINCT CAST(scraped_at AS DATE)) AS row_count FROM snapshots
+UNION ALL SELECT 'dim_price_tier', COUNT(DISTINCT price_tier) FROM snapshots UNION ALL SELECT 'dim_discount_band', COUNT(DISTINCT discount_band) FROM snapshots
+UNION ALL SELECT 'dim_product', COUNT(DISTINCT product_id) FROM snapshots UNION ALL SELECT 'fact_product_snapshot', COUNT(*) FROM snapshots""",
+    "star_reload": f"""{SN}, m AS (SELECT 'after' AS reader, * FROM snapshots UNION ALL SELECT 'before', * FROM snapshots WHERE scraped_at < TIMESTAMP '1996-01-01'),
+t AS (SELECT reader, product_id, scraped_at, {columns(S.FACT_MEASURES, FACT_KNOWN, FLAGS, 'm')} FROM m),
+newest AS (SELECT * FROM t QUALIFY ROW_NUMBER() OVER (PARTITION BY reader, product_id ORDER BY scraped_at DESC, {', '.join(f'{c} DESC NULLS LAST' for c in S.FACT_MEASURES)}) = 1)
+SELECT reader, 'latest' AS table_name, COUNT(*) AS row_count, CAST(SUM(CAST(price_inc_vat_gbp AS DECIMAL(18,2))) AS DOUBLE) AS price_total FROM newest GROUP BY reader
+UNION ALL SELECT reader, 'fact', COUNT(*), CAST(SUM(CAST(price_inc_vat_gbp AS DECIMAL(18,2))) AS DOUBLE) FROM t GROUP BY reader""",
+    "snapshot_keys": f"""{SN}, said AS (SELECT product_id, scraped_at, concat_ws('|', CAST(product_id AS VARCHAR), CAST(scraped_at AS VARCHAR),
+    COALESCE(price_tier, '-'), COALESCE(discount_band, '-'), {KEY_TEXTS}) AS words, price_inc_vat_gbp FROM snapshots s)
+SELECT md5(words || '|' || ROW_NUMBER() OVER (PARTITION BY words) || '|0') AS snapshot_key, product_id AS product_key, {DATE_KEY} AS date_key,
+  CAST(CAST(price_inc_vat_gbp AS DECIMAL(10,2)) AS DOUBLE) AS price_inc_vat_gbp FROM said""",
     "audit_fk": f"""{SN} SELECT 'dim_date' AS dimension, (SELECT COUNT(*) FROM lineitem WHERE day(l_shipdate) = 1) AS orphan_rows
 UNION ALL SELECT 'dim_product', (SELECT COUNT(*) FROM lineitem WHERE l_partkey % 13 = 0)
 UNION ALL SELECT 'dim_price_tier', (SELECT COUNT(*) FROM snapshots WHERE price_tier = 'Luxury')
@@ -470,6 +488,13 @@ FROM latest WHERE {RATED} AND brand IS NOT NULL GROUP BY brand HAVING COUNT(*) >
     "copy_into": f"""{with_(RAW)} SELECT product_id, name, CASE WHEN brand NOT IN ('', 'NULL', 'null', 'None') THEN brand END AS brand,
   CAST(NULL AS VARCHAR) AS region, 2 * COUNT(*) AS row_count FROM raw GROUP BY ALL""",
     "newest_file": "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, '2026-01-16' AS file_date FROM part",
+    "newest_rows": """SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_type AS category, CAST(p_size AS VARCHAR) AS size,
+  CASE WHEN p_type IN ('ECONOMY', 'STANDARD') THEN 'b' WHEN p_type <> 'PROMO' THEN 'a' ELSE 'c' END AS seen_in, '2026-01-16' AS file_date FROM part""",
+    "load_check": "SELECT COUNT(*) AS row_count, LEAST(COUNT(*), 10) AS preview_rows FROM lineitem JOIN part ON p_partkey = l_partkey",
+    "distinct_products": f"""{with_(*SNAPSHOTS)} SELECT category, CAST(year(scraped_at) AS INTEGER) AS year, COUNT(DISTINCT product_id) AS sku_count
+FROM snapshots GROUP BY ALL UNION ALL SELECT category, NULL, COUNT(DISTINCT product_id) FROM snapshots GROUP BY category""",
+    "ordered_snapshots": f"""{with_(*SNAPSHOTS)} SELECT product_id, CAST(scraped_at AS VARCHAR) AS scraped_at, l_orderkey, l_linenumber, category, discount_amount_gbp,
+  ROW_NUMBER() OVER (ORDER BY category, discount_amount_gbp DESC NULLS LAST, scraped_at DESC, l_orderkey, l_linenumber) AS position FROM snapshots""",
     "full_reload": """SELECT 'dim_date' AS view_name, COUNT(DISTINCT CAST(l_shipdate AS DATE)) AS row_count FROM lineitem
 UNION ALL SELECT name, COUNT(DISTINCT l_partkey) FROM lineitem, (VALUES ('dim_product'), ('product_latest')) t(name) GROUP BY name
 UNION ALL SELECT name, COUNT(*) FROM lineitem, (VALUES ('fact_product_snapshot'), ('product_snapshot')) t(name) GROUP BY name""",
@@ -601,6 +626,9 @@ FROM shown c LEFT JOIN detailed d ON d.product_url = c.product_url""",
 }
 
 
+STAR["intake_upsert"] = STAR["star_latest"]
+
+
 def oracle_sql() -> dict[str, str]:
     seven = {
         "q1_brand": Q1, "q2_region": Q2, "q3_best_value": Q3, "q4_discounts": Q4,

@@ -79,32 +79,32 @@ def load_dim_product(raw: DataFrame) -> DataFrame:
     reloads, where a 64-bit hash would start to collide near a billion products
     and a global numbering would need one task.
     """
-    identified = raw.select(
+    newest = latest_per_key(identified(raw), ["product_key"], "scraped_at", PRODUCT_ATTRIBUTES)
+    return typed_products(newest)
+
+
+def identified(raw: DataFrame) -> DataFrame:
+    """Time, parsed id and attributes of the landing rows with a readable id."""
+    return raw.select(
         to_time(F.col("scraped_at")).alias("scraped_at"),
-        to_key(F.col("product_id")).alias("product_id"),
+        to_key(F.col("product_id")).alias("product_key"),
         *PRODUCT_ATTRIBUTES,
-    ).where("product_id IS NOT NULL")
-    newest = latest_per_key(identified, ["product_id"], "scraped_at", PRODUCT_ATTRIBUTES)
+    ).where("product_key IS NOT NULL")
+
+
+def typed_products(newest: DataFrame) -> DataFrame:
+    """The product dimension of the newest identified rows."""
     return newest.select(
-        F.col("product_id").alias("product_key"),
-        "product_id",
+        "product_key",
+        F.col("product_key").alias("product_id"),
         *[_typed(c, PRODUCT_DECIMALS, PRODUCT_FLAGS) for c in PRODUCT_ATTRIBUTES],
     )
 
 
-def load_fact(
-    raw: DataFrame,
-    dim_price_tier: DataFrame,
-    dim_discount_band: DataFrame,
-    dim_product: DataFrame | None = None,
+def _measured(
+    raw: DataFrame, dim_price_tier: DataFrame, dim_discount_band: DataFrame, dim_product: DataFrame | None
 ) -> DataFrame:
-    """One row per landing row with a readable time and id.
-
-    The product key follows from the id, so the lookup join is only needed when
-    ``dim_product`` comes from other landing rows. The label dimensions are a
-    few rows that Spark broadcasts by their size. ``snapshot_key`` is unique
-    over all tasks without a shuffle; it is fixed once the fact is written.
-    """
+    """The fact's columns but its key, and the two labels."""
     rows = (
         raw.withColumn("snapshot_ts", to_time(F.col("scraped_at")))
         .withColumn("product_key", to_key(F.col("product_id")))
@@ -114,16 +114,64 @@ def load_fact(
         rows = rows.join(dim_product.select("product_key"), "product_key", "left_semi")
     looked_up = rows.join(dim_price_tier, "price_tier", "left").join(dim_discount_band, "discount_band", "left")
     return looked_up.select(
-        F.monotonically_increasing_id().alias("snapshot_key"),
         date_key(F.to_date("snapshot_ts")).alias("date_key"),
         "product_key",
         "price_tier_key",
         "discount_band_key",
         "snapshot_ts",
         *[_typed(c, FACT_DECIMALS, FACT_FLAGS) for c in FACT_MEASURES],
+        "price_tier",
+        "discount_band",
     )
 
 
+def fact_rows(
+    raw: DataFrame,
+    dim_price_tier: DataFrame,
+    dim_discount_band: DataFrame,
+    dim_product: DataFrame | None = None,
+) -> DataFrame:
+    """The fact without its key, for readers that do not need one."""
+    return _measured(raw, dim_price_tier, dim_discount_band, dim_product).drop("price_tier", "discount_band")
+
+
+#: Rows that one step of :func:`_repeated` makes at once.
+REPEATS_AT_ONCE = 1 << 16
+
+
+def _repeated(counted: DataFrame) -> DataFrame:
+    """Every row ``_n`` times, with its place ``_nth``; in two steps, so that no array grows with ``_n``."""
+    parts = counted.withColumn("_part", F.explode(F.expr(f"sequence(0L, (_n - 1) div {REPEATS_AT_ONCE})")))
+    first, last = f"_part * {REPEATS_AT_ONCE}L + 1", f"least((_part + 1) * {REPEATS_AT_ONCE}L, _n)"
+    return parts.withColumn("_nth", F.explode(F.expr(f"sequence({first}, {last})")))
+
+
+def load_fact(
+    raw: DataFrame,
+    dim_price_tier: DataFrame,
+    dim_discount_band: DataFrame,
+    dim_product: DataFrame | None = None,
+    arrival: int = 0,
+) -> DataFrame:
+    """One row per landing row with a readable time and id.
+
+    The product key follows from the id, so the lookup join is only needed when
+    ``dim_product`` comes from other landing rows. The label dimensions are a
+    few rows that Spark broadcasts by their size.
+
+    ``snapshot_key`` is a digest (128 bits, as hex) of what the row says, its place among
+    rows that say the same, and the number of the ``arrival`` it came with. So it is the same
+    after every reload, in whatever order the rows come; :func:`audit_unique` would show a
+    collision. Equal rows are counted, combined in each task before the shuffle, and not ranked.
+    """
+    rows = _measured(raw, dim_price_tier, dim_discount_band, dim_product)
+    each = _repeated(rows.groupBy(*rows.columns).agg(F.count("*").alias("_n")))
+    said = ["product_key", "snapshot_ts", "price_tier", "discount_band", *FACT_MEASURES, "_nth"]
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in said]
+    key = F.md5(F.concat_ws("|", *texts, F.lit(str(arrival))))
+    return each.select(key.alias("snapshot_key"), *rows.drop("price_tier", "discount_band").columns)
+
+
 def small_dimensions(
     raw: DataFrame, stage: Callable[[DataFrame, str], DataFrame] = materialise
 ) -> dict[str, DataFrame]:
@@ -167,10 +215,11 @@ def build_star(
 
 def product_snapshot(star: dict[str, DataFrame]) -> DataFrame:
     """Denormalised snapshots; product attributes are today's, whatever the snapshot's age."""
-    return _star_join(star["fact_product_snapshot"], star)
+    return star_join(star["fact_product_snapshot"], star)
 
 
-def _star_join(fact: DataFrame, star: dict[str, DataFrame]) -> DataFrame:
+def star_join(fact: DataFrame, star: dict[str, DataFrame]) -> DataFrame:
+    """Some rows of the fact with the columns of their dimensions."""
     joined = (
         fact.join(star["dim_date"].select("date_key", "full_date"), "date_key")
         .join(star["dim_product"], "product_key")
@@ -194,7 +243,7 @@ def product_latest(star: dict[str, DataFrame]) -> DataFrame:
     newest = latest_per_key(
         star["fact_product_snapshot"], ["product_key"], "date_key", ["snapshot_ts", *FACT_MEASURES]
     )
-    return _star_join(newest, star)
+    return star_join(newest, star)
 
 
 # Primary, unique and foreign keys of the star.

@@ -145,6 +145,28 @@ SNAPSHOT_COLUMNS = [
     *FACT_MEASURES,
 ]
 
+def _declared(columns: list[str], decimals: dict, flags: list[str]) -> dict[str, str]:
+    return {c: "decimal({},{})".format(*decimals[c]) if c in decimals else "boolean" if c in flags else "string" for c in columns}
+
+
+# The types each star table is declared with, in column order.
+STAR_TYPES = {
+    "dim_date": {
+        "date_key": "int", "full_date": "date", "year": "int", "month": "int", "day": "int", "week": "int", "day_name": "string",
+    },
+    "dim_price_tier": {"price_tier_key": "bigint", "price_tier": "string"},
+    "dim_discount_band": {"discount_band_key": "bigint", "discount_band": "string"},
+    "dim_product": {"product_key": "bigint", "product_id": "bigint"}
+    | _declared(PRODUCT_ATTRIBUTES, PRODUCT_DECIMALS, PRODUCT_FLAGS),
+    "fact_product_snapshot": {
+        "snapshot_key": "string", "date_key": "int", "product_key": "bigint", "price_tier_key": "bigint",
+        "discount_band_key": "bigint", "snapshot_ts": "timestamp_ntz",
+    }
+    | _declared(FACT_MEASURES, FACT_DECIMALS, FACT_FLAGS),
+}
+# The tables that are bucketed, and by what.
+BUCKET_KEYS = {"dim_product": "product_key", "fact_product_snapshot": "product_key"}
+
 # Columns the warehouse declares NOT NULL, per table.
 NOT_NULL_COLUMNS = {
     "dim_date": ["date_key", "full_date"],

@@ -5,12 +5,16 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
 _shipped: set[str] = set()
 _stages: dict[str, list[str]] = {}
+_once: dict[str, dict] = {}
 
 
 def build_session(app: str = "shelfwatch", master: str | None = None, **conf: str) -> SparkSession:
@@ -47,8 +51,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that no earlier run has used."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path below the shared folder that no earlier run has used; ``drop_stages`` deletes it."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _stages.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -59,26 +65,48 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
-    _stages.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, name: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def stage_once(spark: SparkSession, key: tuple, build: Callable[[], T]) -> T:
+    """What ``build`` returns, built once per application and ``key``; for tables that several queries read.
+
+    Built again where a path that it wrote has been deleted since.
+    """
+    app = spark.sparkContext.applicationId
+    known = _once.setdefault(app, {})
+    if key in known:
+        made, paths = known[key]
+        if all(system.exists(path) for system, path in (_file_system(spark, p) for p in paths)):
+            return made
+    before = len(_stages.setdefault(app, []))
+    made = build()
+    known[key] = made, _stages[app][before:]
+    return made
+
+
 def drop_stages(spark: SparkSession) -> int:
-    """Delete what ``materialise`` has written for this application; returns how many tables.
+    """Delete what was written below paths of ``fresh_path`` for this application; returns how many paths.
 
     Call it when the results that were read from them are stored.
     """
+    _once.pop(spark.sparkContext.applicationId, None)
     paths = _stages.pop(spark.sparkContext.applicationId, [])
     for name in paths:
-        path = spark._jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        system, path = _file_system(spark, name)
+        system.delete(path, True)
     return len(paths)
 
 
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, once per application.
 
-    Needed by the page jobs only, whose Python runs inside tasks; not needed
+    Needed by jobs whose Python runs inside tasks (pages, some corpus operators); not needed
     when the job was submitted with the package in ``--py-files``.
     """
     app = spark.sparkContext.applicationId

@@ -66,6 +66,28 @@ def latest_file(spark: SparkSession, folder: str, pattern: str) -> str:
     return newest.path
 
 
+def newest_rows(
+    spark: SparkSession, path: str | Sequence[str], by: Sequence[str] = ("category",), multiline: bool = False
+) -> DataFrame:
+    """The rows of the newest file per date and values of ``by``, with the last date in its path as ``file_date``.
+
+    Age is the modification time the scan itself reports; of equal times the larger path
+    wins. Files are read where they lie, and the choice, a row per date and group, is joined
+    by path: nothing is listed on the driver. NULL is a group of its own.
+    """
+    df = read_text_csv(spark, path, multiline)
+    rows = df.select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_modification_time").alias("_time")
+    ).withColumn("file_date", F.regexp_extract("_file", f".*{DATE_IN_NAME}", 1))
+    groups = ["file_date", *by]
+    newest = rows.groupBy(*groups).agg(F.max(F.struct("_time", "_file")).alias("_newest"))
+    chosen = newest.select(*[F.col(c).alias(f"_{c}") for c in groups], F.col("_newest._file").alias("_chosen"))
+    same = F.col("_file") == F.col("_chosen")
+    for c in groups:
+        same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return rows.join(chosen, same, "left_semi").drop("_file", "_time")
+
+
 def null_csv_tokens(df: DataFrame, tokens: Sequence[str] = CSV_NULL_TOKENS) -> DataFrame:
     """The null texts of the landing format, on every column.
 
@@ -103,10 +125,17 @@ def dated_name(spark: SparkSession, prefix: str, input_path: str) -> str:
     return f"{prefix}_{tag}"
 
 
+_WRITTEN = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV part files with a header; quotes and the blanks around a cell survive a round trip."""
-    options = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    df.write.mode("overwrite").options(**options).csv(path)
+    df.write.mode("overwrite").options(**_WRITTEN).csv(path)
+
+
+def append_csv(df: DataFrame, path: str) -> None:
+    """The same, beside the files that are there: an arrival for a stream."""
+    df.write.mode("append").options(**_WRITTEN).csv(path)
 
 
 def write_clean(df: DataFrame, folder: str, input_path: str, prefix: str = "clean") -> str:

@@ -17,11 +17,12 @@ from shelfwatch.schema import RAW_COLUMNS, text_schema
 
 
 def csv_stream(
-    spark: SparkSession, folder: str, pattern: str = "*.csv", files_per_batch: int = 1000, multiline: bool = False
+    spark: SparkSession, folder: str, pattern: str = "*.csv", files_per_batch: int = 1000, multiline: bool = False,
+    columns: Sequence[str] = RAW_COLUMNS,
 ) -> DataFrame:
-    """Raw snapshot files of a folder as a stream of text rows; ``multiline`` as in :func:`read_text_csv`."""
+    """Snapshot files of a folder as a stream of text rows; ``multiline`` as in :func:`read_text_csv`."""
     return (
-        spark.readStream.schema(text_schema(RAW_COLUMNS))
+        spark.readStream.schema(text_schema(list(columns)))
         .options(
             header=True, quote='"', escape='"', multiLine=multiline, enforceSchema=False,
             pathGlobFilter=pattern, maxFilesPerTrigger=files_per_batch,

@@ -1,4 +1,5 @@
 import os
+import shutil
 import time
 from types import SimpleNamespace
 
@@ -6,7 +7,7 @@ import pytest
 from conftest import column
 
 from shelfwatch.schema import CLEAN_COLUMNS, RAW_COLUMNS
-from shelfwatch.session import drop_stages, fresh_path, materialise, shared_folder
+from shelfwatch.session import drop_stages, fresh_path, materialise, shared_folder, stage_once
 from shelfwatch.sources import catalog, files
 
 
@@ -135,3 +136,41 @@ def test_large_files_are_split_unless_cells_hold_line_breaks(spark, tmp_path):
         assert files.read_text_csv(spark, path, multiline=True).rdd.getNumPartitions() == 1
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_newest_rows_by_file_time_not_name(spark, rows, tmp_path):
+    def write(name, seconds, *values):
+        path = tmp_path / name
+        path.write_text("category,size\n" + "".join(f"{c},{n}\n" for c, n in values), encoding="utf-8")
+        os.utime(path, (seconds, seconds))
+
+    write("raw_2026-01-15.csv", 3000, ("a", 1))
+    write("x_2026-01-16.csv", 1000, ("a", 2), ("b", 3), ("", 9))
+    write("b_2026-01-16.csv", 2000, ("a", 4), ("a", 5))
+    write("c_2026-01-16.csv", 2000, ("c", 6))
+    write("d_2026-01-16.csv", 2000, ("c", 7))
+    got = files.newest_rows(spark, str(tmp_path / "*.csv"))
+    assert got.columns == ["category", "size", "file_date"]
+    assert sorted(tuple(r) for r in got.fillna("-").collect()) == [
+        ("-", "9", "2026-01-16"), ("a", "1", "2026-01-15"), ("a", "4", "2026-01-16"), ("a", "5", "2026-01-16"),
+        ("b", "3", "2026-01-16"), ("c", "7", "2026-01-16"),
+    ]
+
+
+def test_append_csv_adds_files(spark, rows, tmp_path):
+    for value in ("x", "y"):
+        files.append_csv(rows("a string", (value,)), str(tmp_path / "in"))
+    assert sorted(r.a for r in files.read_text_csv(spark, str(tmp_path / "in")).collect()) == ["x", "y"]
+
+
+def test_stage_once_builds_again_when_its_files_are_gone(spark, rows):
+    built = []
+
+    def build():
+        built.append(1)
+        return materialise(rows("a int", (len(built),)), "once")
+
+    assert stage_once(spark, ("t", 1), build).first().a == 1 == stage_once(spark, ("t", 1), build).first().a
+    folder = stage_once(spark, ("t", 1), build).inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    shutil.rmtree(folder)
+    assert stage_once(spark, ("t", 1), build).first().a == 2
