@@ -156,9 +156,14 @@ def _is(element: Column, tag: str = "", like: str = "", named: str = "", id: str
     return out
 
 
+def _inside(rows: Column, outer: Column) -> Column:
+    """The elements inside another: the rows that follow it."""
+    return F.slice(rows, outer["at"] + 2, outer["size"])
+
+
 def _within(rows: Column, outer: Column, test: Callable[[Column], Column]) -> Column:
     """The elements inside another that pass a test, in document order."""
-    return F.filter(rows, lambda e: (e["first"] > outer["first"]) & (e["last"] <= outer["last"]) & test(e))
+    return F.filter(_inside(rows, outer), test)
 
 
 def _is_given(test: dict, element: Column) -> Column:
@@ -174,13 +179,13 @@ def _one(rows: str, *choices: dict) -> Column:
     return F.coalesce(*[_first(_all(rows, choice)) for choice in choices])
 
 
-def _card(rows: Column, card: Column) -> Column:
-    """What one card shows; its id is empty without a product link."""
+def _card(inside: Column) -> Column:
+    """What one card shows, from the elements inside it; its id is empty without a product link."""
 
     def inner(field: str, **test: str) -> Column:
-        return _first(_within(rows, card, lambda e: _is(e, **test)))[field]
+        return _first(F.filter(inside, lambda e: _is(e, **test)))[field]
 
-    link = _first(_within(rows, card, lambda e: _is(e, tag="a") & e["href"].rlike(PRODUCT_LINK)))["href"]
+    link = _first(F.filter(inside, lambda e: _is(e, tag="a") & e["href"].rlike(PRODUCT_LINK)))["href"]
     title = F.coalesce(
         inner("text", like="(product.*name|title)"), inner("text", tag="h2"), inner("text", tag="h3"),
         inner("text", tag="p", like="(name|title)"), F.lit(""),
@@ -211,20 +216,35 @@ def _all(rows: str, test: dict) -> Column:
     return F.filter(rows, lambda e: _is(e, **test))
 
 
-def _merged(cards: str) -> Column:
-    """One card per id in order of first sight: the first one's name and price, the last one's other fields."""
-    ids = F.array_distinct(F.transform(F.filter(cards, lambda c: c["id"] != ""), lambda c: c["id"]))
+def _by_id(cards: str) -> Column:
+    """The cards with an id as ``id, place, card``, cards of one id side by side in page order."""
+    placed = F.transform(cards, lambda c, i: F.struct(c["id"].alias("id"), i.alias("place"), c.alias("card")))
+    return F.array_sort(F.filter(placed, lambda p: p["id"] != ""))
+
+
+def _at_edge(sorted_cards: str, step: int) -> Column:
+    """The first (step -1) or last (step 1) card of every id."""
 
-    def merge(number: Column) -> Column:
-        def same() -> Column:
-            return F.filter(cards, lambda c: c["id"] == number)
+    def edge(p: Column, i: Column) -> Column:
+        beside = F.get(sorted_cards, i + step)  # beyond the ends there is none
+        return beside.isNull() | (beside["id"] != p["id"])
+
+    return F.filter(sorted_cards, edge)
+
+
+def _merged(first: str, last: str) -> Column:
+    """One card per id in order of first sight: the first one's name and price, the last one's other fields."""
 
+    def merge(a: Column, b: Column) -> Column:
         return F.struct(
-            *[F.try_element_at(same(), F.lit(-1))[f].alias(f) for f in ("id", "url", "image", "status", "unit_price")],
-            *[_first(same())[f].alias(f) for f in ("name", "price")],
+            a["place"].alias("place"),
+            F.struct(
+                *[b["card"][f].alias(f) for f in ("id", "url", "image", "status", "unit_price")],
+                *[a["card"][f].alias(f) for f in ("name", "price")],
+            ).alias("card"),
         )
 
-    return F.transform(ids, merge)
+    return F.transform(F.array_sort(F.zip_with(first, last, merge)), lambda m: m["card"])
 
 
 def _style_entry(rows: Column, item: Column) -> Column:
@@ -276,8 +296,11 @@ def listing_rows(pages: DataFrame) -> DataFrame:
     )
     # Staged one by one: nested, an array would be built once per use.
     read = read.withColumn("holders", _card_elements("rows"))
-    read = read.withColumn("all_cards", F.transform("holders", lambda e: _card(F.col("rows"), e)))
-    read = read.withColumn("cards", _merged("all_cards"))
+    read = read.withColumn("insides", F.transform("holders", lambda e: _inside(F.col("rows"), e)))
+    read = read.withColumn("all_cards", F.transform("insides", _card))
+    read = read.withColumn("sorted_cards", _by_id("all_cards"))
+    read = read.withColumn("first_cards", _at_edge("sorted_cards", -1)).withColumn("last_cards", _at_edge("sorted_cards", 1))
+    read = read.withColumn("cards", _merged("first_cards", "last_cards"))
     items = F.when(F.coalesce(F.size("script_items"), F.lit(0)) > 0, F.col("script_items")).otherwise(F.col("ld_items"))
     read = read.withColumn("items", items)
     read = read.withColumn(

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from shelfwatch.plans import collect
@@ -230,3 +232,36 @@ def test_raw_records_from_pages(spark, rows):
         ("Blended", "1", "11", "12", "t3"), ("Single Malt", "1", "10", "12", "t1"),
         ("Single Malt", "2", "20", "", "t1"), ("Single Malt", "3", "30", "", "t2"),
     ]
+
+
+def test_rows_inside_an_element_are_the_slice_behind_it():
+    page = "<ul class=a><li><b>x</b><img><p>y<li>z</ul></li></b><div><div/><span>t</div>u</div><i>"
+    got = outline(page)
+    for r in got:
+        inside = [e["at"] for e in got if r["first"] < e["first"] and e["last"] <= r["last"]]
+        assert inside == list(range(r["at"] + 1, r["at"] + 1 + r["size"]))
+
+
+def test_cards_of_one_id_anywhere_on_the_page(listed):
+    def card(number, name, image):
+        return f'<li class="product-grid__item"><a href="/p/{number}/"><img src="{image}"><p class="name">{name}</p></a></li>'
+
+    got = listed("<ul>" + card(20, "A", "1") + card(3, "B", "2") + card(20, "C", "3") + '<li class="product-grid__item">no link</li>' + card(3, "D", "4") + card(20, "E", "5") + "</ul>")
+    assert [(g["product_id"], g["name"], g["image_url"]) for g in got] == [("20", "A", "5"), ("3", "B", "4")]
+
+
+def test_a_page_with_many_cards_takes_time_in_proportion(rows):
+    def seconds(cards):
+        page = "<ul>" + "".join(
+            f'<li class="product-grid__item"><a href="/p/{i}/x"><img src="{i}.jpg"><p class="product-card__name">N {i}</p>'
+            f'<p class="product-card__price">£{i}</p></a></li>' for i in range(cards)
+        ) + "</ul>"
+        df = rows("url string, html string, category string, fetched_at string", ("https://x.example/c", page, "c", "t"))
+        start = time.perf_counter()
+        got = pages.listing_rows(df).select("product_id", "name", "price_ex_vat_gbp").collect()
+        assert [tuple(g) for g in got[:2]] == [("0", "N 0", "0"), ("1", "N 1", "1")] and len(got) == cards
+        return time.perf_counter() - start
+
+    seconds(100)
+    small, large = seconds(1000), seconds(10_000)
+    assert large < 10 * small + 5
