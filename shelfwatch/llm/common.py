@@ -20,6 +20,26 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return materialise(df, label)
 
 
+def own_columns(docs: DataFrame) -> list[Column]:
+    """The columns of ``docs``, whatever signs their names hold."""
+    return [F.col(quoted(c)) for c in docs.columns]
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def unused(docs: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened by underscores until no column of ``docs`` has it in any case."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z, every other character as it is; NULL counts as empty."""
     return F.translate(F.coalesce(text, F.lit("")), ASCII_UPPER, ASCII_LOWER)

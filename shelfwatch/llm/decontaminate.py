@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwatch.llm.common import bit_filter, passes, staged, text_key
+from shelfwatch.llm.common import bit_filter, own_columns, passes, staged, text_key, unused
 from shelfwatch.llm.text_batches import mix, prefix_hash, slices, span_hash, text_bytes, words
 from shelfwatch.session import ship_package
 
@@ -225,11 +225,15 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_column: str =
 
     Whether a document is contaminated depends on its text alone, so texts are what is
     dropped; documents whose text is not among them by the bitmap pass without a shuffle.
+    NULL and empty texts stay, rows with equal texts go or stay together, an empty table
+    stays empty. Columns may have any names; none is read or changed but the text.
     """
+    a, b, key = unused(docs, "_a", "_b", "_key")
     rows, found, _ = contamination(docs, benchmark, text_column=text_column, **options)
     hit = rows.join(found.select("row_no").distinct(), "row_no", "left_semi")
-    hit = staged(hit.select(F.col("text_a").alias("_a"), F.col("text_b").alias("_b")).distinct(), "contaminated")
-    keyed = docs.withColumn("_key", text_key(F.col(text_column)))
-    maybe = passes(bit_filter(hit, "_a"), F.col("_key.a"))
-    clean = keyed.where(maybe).join(hit, (F.col("_key.a") == F.col("_a")) & (F.col("_key.b") == F.col("_b")), "left_anti")
-    return keyed.where(~maybe).select(docs.columns).unionByName(clean.select(docs.columns))
+    hit = staged(hit.select(F.col("text_a").alias(a), F.col("text_b").alias(b)).distinct(), "contaminated")
+    own = own_columns(docs)
+    keyed = docs.withColumn(key, text_key(F.col(text_column)))
+    maybe = passes(bit_filter(hit, a), F.col(key)["a"])
+    clean = keyed.where(maybe).join(hit, (F.col(key)["a"] == F.col(a)) & (F.col(key)["b"] == F.col(b)), "left_anti")
+    return keyed.where(~maybe).select(own).unionByName(clean.select(own))

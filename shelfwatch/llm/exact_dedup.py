@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwatch.llm.common import ascii_lower, bit_filter, passes, staged
+from shelfwatch.llm.common import ascii_lower, bit_filter, own_columns, passes, staged, unused
 from shelfwatch.session import fresh_path
 
 #: Bits of the digest that the directory may use at most.
@@ -123,18 +123,21 @@ def drop_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
     Documents without a copy, by the bitmap of texts with copies, pass without a
     shuffle. Where rows repeat both id and text, the one whose columns hash highest stays.
+    NULL counts as empty, so of NULL and empty texts one row stays; an empty table stays
+    empty. Columns may have any names; none is read or changed but the id and the text.
     """
     found = exact_dedup(docs, id_column, text_column, **options)
+    digest, keep, held = unused(docs, "_digest", "_keep", "_row")
     owners = staged(
-        found.where("kept AND group_size > 1").select(F.col("text_sha256").alias("_digest"), F.col("keep_id").alias("_keep")),
+        found.where("kept AND group_size > 1").select(F.col("text_sha256").alias(digest), F.col("keep_id").alias(keep)),
         "owners",
     )
-    keyed = docs.withColumn("_digest", F.sha2(ascii_lower(F.col(text_column)), 256))
-    maybe = passes(bit_filter(owners, "_digest"), F.col("_digest"))
-    alone = keyed.where(~maybe).select(docs.columns)
-    met = keyed.where(maybe).join(owners, "_digest", "left")
-    stays = met.where(F.col("_keep").isNull() | (F.col(id_column) == F.col("_keep")))
+    own = own_columns(docs)
+    keyed = docs.withColumn(digest, F.sha2(ascii_lower(F.col(text_column)), 256))
+    maybe = passes(bit_filter(owners, digest), F.col(digest))
+    alone = keyed.where(~maybe).select(own)
+    met = keyed.where(maybe).join(owners, digest, "left")
+    stays = met.where(F.col(keep).isNull() | (F.col(id_column) == F.col(keep)))
     # Groups of NULL ids only, and rows that repeat the id: one row per digest; a lone row has its own digest.
-    row = F.struct(*[F.col(c) for c in docs.columns])
-    one = stays.groupBy("_digest").agg(F.max_by(row, F.xxhash64(*[F.col(c) for c in docs.columns])).alias("_row"))
-    return alone.unionByName(one.select("_row.*"))
+    one = stays.groupBy(digest).agg(F.max_by(F.struct(*own), F.xxhash64(*own)).alias(held))
+    return alone.unionByName(one.select(f"{held}.*"))

@@ -20,12 +20,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwatch.llm.common import own_columns, quoted, unused
 from shelfwatch.llm.text_batches import slices, text_bytes
 from shelfwatch.session import ship_package
 
 DIMENSIONS = 1024
 #: Label values a model may have; their prototypes are held by the driver and every task (4 KiB each).
 MOST_LANGUAGES = 4096
+#: Texts, and distinct trigrams, whose vectors a task holds at once.
+HELD_TEXTS, HELD_TRIGRAMS = 512, 4096
+#: Cells up to which occurrences are counted in a table instead of being sorted.
+TABLE_CELLS = 1 << 22
 #: Trigram counts a training task holds before it passes them on.
 HELD_COUNTS = 1 << 20
 UNKNOWN = "und"
@@ -43,20 +48,25 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(p).isalpha() for p in range(0x110000)), bool, 0x110000)
 
 
-@lru_cache(maxsize=1 << 16)
+@lru_cache(maxsize=1 << 15)
 def letter_vector(point: int, dimensions: int) -> np.ndarray:
     """The random vector of a letter (or of the gap between words, 0), the same everywhere."""
     bits = np.random.Generator(np.random.PCG64([dimensions, point])).integers(0, 2, dimensions, np.int8)
     return bits * 2 - 1
 
 
+@lru_cache(maxsize=1 << 16)
+def _rolled(point: int, dimensions: int, shift: int) -> np.ndarray:
+    return np.roll(letter_vector(point, dimensions), shift)
+
+
 def trigram_vectors(grams: np.ndarray, dimensions: int) -> np.ndarray:
     """One row per packed trigram: the bound vectors of its letters."""
     mask = np.uint64((1 << 21) - 1)
     bound = np.ones((len(grams), dimensions), np.int8)
     for place in range(3):
         points, at = np.unique((grams >> np.uint64(21 * (2 - place))) & mask, return_inverse=True)
-        table = np.stack([np.roll(letter_vector(int(p), dimensions), 2 - place) for p in points])
+        table = np.stack([_rolled(p, dimensions, 2 - place) for p in points.tolist()])
         bound *= table[at]
     return bound
 
@@ -103,8 +113,22 @@ def _numbered(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _parts(column: pa.Array) -> Iterator[tuple[int, int, list[str]]]:
     _, offsets = text_bytes(column)
-    for first, last in slices(offsets):
-        yield first, last, column.slice(first, last - first).fill_null("").to_pylist()
+    for begin, end in slices(offsets):
+        for first in range(begin, end, HELD_TEXTS):
+            last = min(first + HELD_TEXTS, end)
+            yield first, last, column.slice(first, last - first).fill_null("").to_pylist()
+
+
+def _occurrences(number: np.ndarray, group: np.ndarray, groups: int, grams: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs of trigram and group that occur, by trigram and then group, and how often each does."""
+    cells = number.astype(np.int64) * groups + group
+    if groups * grams <= TABLE_CELLS:
+        table = np.bincount(cells, minlength=groups * grams)
+        found = np.flatnonzero(table)
+        often = table[found]
+    else:
+        found, often = np.unique(cells, return_counts=True)
+    return found // groups, found % groups, often
 
 
 def count_trigrams(labelled: DataFrame, lang: str, text: str) -> DataFrame:
@@ -130,11 +154,11 @@ def count_trigrams(labelled: DataFrame, lang: str, text: str) -> DataFrame:
             for first, last, texts in _parts(batch.column(1)):
                 grams, number, text_of = trigrams(texts)
                 names, which = np.unique(np.array(langs.slice(first, last - first).to_pylist(), object).astype(str), return_inverse=True)
-                counts = np.bincount(which[text_of] * len(grams) + number, minlength=len(names) * len(grams))
-                for name, row in zip(names, counts.reshape(len(names), -1), strict=True):
-                    there = np.flatnonzero(row)
-                    held.setdefault(str(name), []).append((grams[there], row[there]))
-                    size += len(there)
+                at, of, often = _occurrences(number, which[text_of], len(names), len(grams))
+                for label, name in enumerate(names):
+                    there = np.flatnonzero(of == label) if len(names) > 1 else slice(None)
+                    held.setdefault(str(name), []).append((grams[at[there]], often[there]))
+                size += len(at)
                 if size > HELD_COUNTS:
                     yield from out()
                     size = 0
@@ -181,15 +205,22 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", dimensions: i
 def cosines(texts: list[str], prototypes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Cosine of every text with every prototype, and how many trigrams each text has."""
     grams, number, text_of = trigrams(texts)
-    counts = np.bincount(text_of * len(grams) + number, minlength=len(texts) * len(grams))
-    counts = counts.reshape(len(texts), len(grams)).astype(np.float32)
-    bundles = counts @ trigram_vectors(grams, prototypes.shape[1]).astype(np.float32)
+    at, of, often = _occurrences(number, text_of, len(texts), len(grams))
+    bundles = np.zeros((len(texts), prototypes.shape[1]), np.float32)
+    for first in range(0, len(grams), HELD_TRIGRAMS):
+        part = grams[first : first + HELD_TRIGRAMS]
+        here = slice(*np.searchsorted(at, [first, first + len(part)]))
+        counts = np.zeros((len(texts), len(part)), np.float32)
+        counts[of[here], at[here] - first] = often[here]
+        bundles += counts @ trigram_vectors(part, prototypes.shape[1]).astype(np.float32)
     length = np.linalg.norm(bundles, axis=1, keepdims=True)
-    return bundles @ prototypes.T / np.where(length > 0, length, 1), counts.sum(axis=1)
+    return bundles @ prototypes.T / np.where(length > 0, length, 1), np.bincount(of, often, len(texts))
 
 
 def predict(docs: DataFrame, profiles: Profiles, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (all, unless named) of ``docs`` with ``_lang_pred`` and ``_score``, the cosine cut to 0 to 1.
+    """The columns ``keep`` (all, unless named) of ``docs``, the predicted language and its score, the cosine cut to 0 to 1.
+
+    The two are called ``_lang_pred`` and ``_score``, with underscores behind where ``docs`` has such columns.
 
     A NULL text, a text without letters and a model without languages give ``und`` and
     0. Of languages with equal cosine the first by name wins.
@@ -198,9 +229,12 @@ def predict(docs: DataFrame, profiles: Profiles, text: str = "text", keep: list[
     ship_package(spark)
     shared = spark.sparkContext.broadcast(profiles)
     names = list(docs.columns) if keep is None else list(keep)
-    sent = docs.select(*names, *([] if text in names else [text]))
-    at = sent.columns.index(text)
-    schema = docs.limit(0).select(*names, F.lit("").alias("_lang_pred"), F.lit(0.0).alias("_score")).schema
+    given = [*names, *([] if text in names else [text])]
+    at = given.index(text)
+    # Sent by place: a name may hold signs that the task's frame could not be asked for.
+    sent = docs.select(*[F.col(quoted(n)).alias(f"c{i}") for i, n in enumerate(given)])
+    added = unused(docs, "_lang_pred", "_score")
+    schema = docs.limit(0).select(*[F.col(quoted(n)) for n in names], F.lit("").alias(added[0]), F.lit(0.0).alias(added[1])).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -218,7 +252,7 @@ def predict(docs: DataFrame, profiles: Profiles, text: str = "text", keep: list[
                 scores += np.where(total > 0, score, 0.0).tolist()
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[: len(names)], pa.array(found, pa.string()), pa.array(scores, pa.float64())],
-                names=[*names, "_lang_pred", "_score"],
+                names=[*names, *added],
             )
 
     return sent.mapInArrow(run, schema)
@@ -230,7 +264,12 @@ def held_out(id_column: str = "doc_id"):
 
 
 def identify(docs: DataFrame, id_column: str = "doc_id", lang: str = "lang", text: str = "text") -> DataFrame:
-    """Profiles from the rows that are not held out, then a prediction for every row."""
+    """``doc_id, held_out, lang_pred, score``: profiles from the rows that are not held out, then a prediction for every row.
+
+    A NULL or empty text and one without letters is ``und`` with score 0; rows without id are
+    held out. Of languages with equal cosine the first by name wins; repeated rows are judged
+    alike, each gives a row. An empty table gives no rows, other columns are ignored.
+    """
     profiles = train(docs.where(~held_out(id_column)), lang, text)
     rows = docs.select(F.col(id_column).alias("doc_id"), held_out(id_column).alias("held_out"), F.col(text).alias("text"))
     found = predict(rows, profiles, keep=["doc_id", "held_out"])
@@ -238,6 +277,11 @@ def identify(docs: DataFrame, id_column: str = "doc_id", lang: str = "lang", tex
 
 
 def drop_unidentified(docs: DataFrame, id_column: str = "doc_id", lang: str = "lang", text: str = "text") -> DataFrame:
-    """The documents that have a language, all columns as they were; the profiles come from the same documents."""
+    """The documents that have a language, all columns as they were; the profiles come from the same documents.
+
+    NULL and empty texts and those without letters go, and all documents where none has a
+    label to learn from; repeated rows go or stay together. Columns may have any names.
+    """
     profiles = train(docs.where(~held_out(id_column)), lang, text)
-    return predict(docs, profiles, text).where(F.col("_lang_pred") != UNKNOWN).select(docs.columns)
+    found = unused(docs, "_lang_pred")[0]
+    return predict(docs, profiles, text).where(F.col(found) != UNKNOWN).select(own_columns(docs))

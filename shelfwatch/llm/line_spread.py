@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwatch.llm.common import staged
+from shelfwatch.llm.common import own_columns, staged, unused
 
 #: Distinct sites from which on a line is boilerplate.
 MIN_SITES = 10
@@ -70,25 +70,27 @@ def drop_spread_lines(
 
     A NULL or empty text has one, empty, line and stays empty. Blank lines stay. What
     leaves a text depends on the text alone, so the positions are worked out once per
-    different text, however many documents hold it. The rows of an empty table are none.
+    different text, however many documents hold it. The rows of an empty table are none;
+    NULL sites are one site, repeated rows are cleaned alike. A document's own column of an
+    added name stays, the added one then has underscores behind its name.
     """
+    key, gone_at, of = unused(docs, "_digest", "_gone", "_of")
+    kept_name, lines_name, removed_name = unused(docs, "_kept", "_n_lines", "_n_removed")
     boilerplate = spread_lines(docs, text_column, site_column, min_sites)
     digest = F.sha2(F.coalesce(F.col(text_column), F.lit("")), 256)
     placed = docs.select(digest.alias("_digest"), F.posexplode(_lines(F.col(text_column))).alias("_at", "_line")).where(
         F.trim("_line") != ""
     )
     hits = placed.select("_digest", "_at", line_key(F.col("_line")).alias("line")).join(boilerplate, "line", "left_semi")
-    gone = hits.groupBy("_digest").agg(F.collect_set("_at").alias("_gone")).withColumnRenamed("_digest", "_of")
-    joined = docs.withColumn("_digest", digest).join(
-        gone.hint("shuffle_hash"), F.col("_digest") == F.col("_of"), "left"
-    )
+    gone = hits.groupBy(F.col("_digest").alias(of)).agg(F.collect_set("_at").alias(gone_at))
+    joined = docs.withColumn(key, digest).join(gone.hint("shuffle_hash"), F.col(key) == F.col(of), "left")
     lines = _lines(F.col(text_column))
-    left = F.when(F.col("_gone").isNull(), lines).otherwise(
-        F.filter(lines, lambda line, at: ~F.array_contains(F.col("_gone"), at))
+    left = F.when(F.col(gone_at).isNull(), lines).otherwise(
+        F.filter(lines, lambda line, at: ~F.array_contains(F.col(gone_at), at))
     )
     return joined.select(
-        *docs.columns,
-        F.concat_ws("\n", left).alias("_kept"),
-        F.size(lines).cast("bigint").alias("_n_lines"),
-        F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(F.size("_gone")).cast("bigint").alias("_n_removed"),
+        *own_columns(docs),
+        F.concat_ws("\n", left).alias(kept_name),
+        F.size(lines).cast("bigint").alias(lines_name),
+        F.when(F.col(gone_at).isNull(), F.lit(0)).otherwise(F.size(gone_at)).cast("bigint").alias(removed_name),
     )

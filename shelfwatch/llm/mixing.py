@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwatch.llm.common import staged
+from shelfwatch.llm.common import own_columns, staged, unused
 
 WEIGHTS = (5, 2, 1)
 #: Words of the mix as a share of all words, and the most a document may be taken, both in halves.
@@ -76,6 +76,11 @@ def offset(source: Column, seed: str = SEED) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
+def added_names(docs: DataFrame) -> list[str]:
+    """The names of the size, the source's size, its target and the copies in the result for ``docs``."""
+    return unused(docs, "_size", "_source_size", "_target", "_copies")
+
+
 def systematic_mix(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -92,35 +97,50 @@ def systematic_mix(
     empty text has size 0; a source of size 0 has target 0 and nothing of it is taken.
     Documents of one size are ordered by id (NULL first), then by ``tie``; rows that
     are equal in all of these are interchangeable. An empty table gives an empty result.
+    A document's own column of an added name stays as it is; the added one then has
+    underscores behind its name (:func:`added_names`).
     """
-    sized = docs.withColumn("_size", word_count(F.col(text_column)) if size is None else size.cast("bigint"))
+    size_name, source_size, target, copies_name = added_names(docs)
+    place_name, held, rank, *plan_names = unused(
+        docs, "_place", "_range", "_rank", "_s", "_r", "_shift", "_plan_size", "_plan_target"
+    )
+    of_source, of_range, shift, plan_size, plan_target = plan_names
+    sized = docs.withColumn(size_name, word_count(F.col(text_column)) if size is None else size.cast("bigint"))
     # Equal rows are told apart by their place, so that no range grows with them.
-    sized = sized.withColumn("_place", F.monotonically_increasing_id())
-    keys = [F.col(source_column), F.col("_size"), F.col(id_column), *[F.col(c) for c in tie], F.col("_place")]
+    sized = sized.withColumn(place_name, F.monotonically_increasing_id())
+    keys = [F.col(source_column), F.col(size_name), F.col(id_column), *[F.col(c) for c in tie], F.col(place_name)]
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The number of the range is stored, so that later steps agree on it.
-    dealt = staged(sized.repartitionByRange(width, *keys).withColumn("_range", F.spark_partition_id()), "ranges")
-    goals = staged(targets(dealt.select(F.col(source_column).alias("source"), F.col("_size").alias("size")), weights), "targets")
-    counted = dealt.groupBy(F.col(source_column).alias("_s"), F.col("_range").alias("_r")).agg(F.count("*").alias("_n"))
-    earlier = Window.partitionBy("_s").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = counted.select("_s", "_r", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_shift"))
-    plan = shifts.join(goals, F.col("_s").eqNullSafe(F.col("source"))).select(
-        "_s", "_r", "_shift", F.col("source_size").alias("_source_size"), F.col("target").alias("_target")
+    dealt = staged(sized.repartitionByRange(width, *keys).withColumn(held, F.spark_partition_id()), "ranges")
+    goals = staged(targets(dealt.select(F.col(source_column).alias("source"), F.col(size_name).alias("size")), weights), "targets")
+    counted = dealt.groupBy(F.col(source_column).alias(of_source), F.col(held).alias(of_range)).agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy(of_source).orderBy(of_range).rowsBetween(Window.unboundedPreceding, -1)
+    shifts = counted.select(of_source, of_range, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(shift))
+    plan = shifts.join(goals, F.col(of_source).eqNullSafe(F.col("source"))).select(
+        of_source, of_range, shift, F.col("source_size").alias(plan_size), F.col("target").alias(plan_target)
     )
-    within = Window.partitionBy(source_column, "_range").orderBy(*keys[1:])
-    ranked = dealt.withColumn("_rank", F.row_number().over(within))
-    joined = ranked.join(plan, F.col(source_column).eqNullSafe(F.col("_s")) & (F.col("_range") == F.col("_r")))
-    rate = F.when(F.col("_source_size") > 0, F.col("_target") / F.col("_source_size")).otherwise(F.lit(0.0))
-    place = F.col("_rank") + F.col("_shift")
+    within = Window.partitionBy(source_column, held).orderBy(*keys[1:])
+    ranked = dealt.withColumn(rank, F.row_number().over(within))
+    joined = ranked.join(plan, F.col(source_column).eqNullSafe(F.col(of_source)) & (F.col(held) == F.col(of_range)))
+    rate = F.when(F.col(plan_size) > 0, F.col(plan_target) / F.col(plan_size)).otherwise(F.lit(0.0))
+    place = F.col(rank) + F.col(shift)
     start = offset(F.col(source_column), seed)
     copies = F.floor(rate * place + start) - F.floor(rate * (place - 1) + start)
     return joined.select(
-        *docs.columns, "_size", "_source_size", "_target", copies.cast("bigint").alias("_copies")
+        *own_columns(docs), size_name, F.col(plan_size).alias(source_size), F.col(plan_target).alias(target),
+        copies.cast("bigint").alias(copies_name),
     )
 
 
 def mixed_documents(docs: DataFrame, text_column: str = "text", **options) -> DataFrame:
-    """The mix itself: every document as often as it is taken, with its ``copy`` number."""
-    tied = docs.withColumn("_tie", F.xxhash64(F.col(text_column)))
-    taken = systematic_mix(tied, text_column=text_column, tie=["_tie"], **options).where("_copies > 0")
-    return taken.select(*docs.columns, F.explode(F.expr("sequence(1L, _copies)")).alias("copy"))
+    """The mix itself: every document as often as it is taken, with the number of the copy.
+
+    That number is the last column, ``copy``, or ``copy_`` and so on where documents have a
+    ``copy`` of their own; all their columns stay as they are. NULL and empty texts have size
+    0; a source without words is not taken from. An empty table gives no rows.
+    """
+    number, tie = unused(docs, "copy", "_tie")
+    tied = docs.withColumn(tie, F.xxhash64(F.col(text_column)))
+    copies = F.col(added_names(tied)[-1])
+    taken = systematic_mix(tied, text_column=text_column, tie=[tie], **options).where(copies > 0)
+    return taken.select(*own_columns(docs), F.explode(F.sequence(F.lit(1).cast("bigint"), copies)).alias(number))

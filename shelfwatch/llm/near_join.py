@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwatch.llm.common import bit_filter, passes, staged, text_key
+from shelfwatch.llm.common import bit_filter, own_columns, passes, staged, text_key, unused
 from shelfwatch.llm.components import components
 from shelfwatch.llm.decontaminate import _gram_hashes, word_classes
 from shelfwatch.llm.text_batches import mix, prefix_hash, slices, span_hash, text_bytes, words
@@ -285,22 +285,25 @@ def drop_near(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
 
     Documents whose text is in no group pass without a shuffle. Of rows that repeat both
     id and text of the one that stays, the one whose columns hash highest stays.
+    Texts without words (NULL, empty) all stay; an empty table stays empty. Columns may
+    have any names; none is read or changed but the id and the text.
     """
+    a, b, same_id, stays, group, key, held = unused(docs, "_a", "_b", "_id", "_stays", "_group", "_key", "_row")
     found = near_join(docs, id_column, text_column, **options).where("group_size > 1")
     best = found.groupBy("group_no").agg(F.max(F.struct("doc_id", "row_no")).alias("best"))
     marked = found.join(best, "group_no").select(
-        F.col("text_a").alias("_a"), F.col("text_b").alias("_b"), F.col("doc_id").alias("_id"), "group_no",
+        F.col("text_a").alias(a), F.col("text_b").alias(b), F.col("doc_id").alias(same_id), "group_no",
         (F.col("row_no") == F.col("best.row_no")).alias("stays"),
     )
     marked = staged(
-        marked.groupBy("_a", "_b", "_id").agg(F.max("stays").alias("_stays"), F.min("group_no").alias("_group")), "near-marks"
+        marked.groupBy(a, b, same_id).agg(F.max("stays").alias(stays), F.min("group_no").alias(group)), "near-marks"
     )
-    keyed = docs.withColumn("_key", text_key(F.col(text_column)))
-    maybe = passes(bit_filter(marked, "_a"), F.col("_key.a"))
-    alone = keyed.where(~maybe).select(docs.columns)
-    same = (F.col("_key.a") == F.col("_a")) & (F.col("_key.b") == F.col("_b")) & F.col(id_column).eqNullSafe(F.col("_id"))
+    own = own_columns(docs)
+    keyed = docs.withColumn(key, text_key(F.col(text_column)))
+    maybe = passes(bit_filter(marked, a), F.col(key)["a"])
+    alone = keyed.where(~maybe).select(own)
+    same = (F.col(key)["a"] == F.col(a)) & (F.col(key)["b"] == F.col(b)) & F.col(id_column).eqNullSafe(F.col(same_id))
     met = keyed.where(maybe).join(marked, same, "left")
-    free = met.where(F.col("_group").isNull()).select(docs.columns)
-    row = F.struct(*[F.col(c) for c in docs.columns])
-    one = met.where("_stays").groupBy("_group").agg(F.max_by(row, F.xxhash64(*[F.col(c) for c in docs.columns])).alias("_row"))
-    return alone.unionByName(free).unionByName(one.select("_row.*"))
+    free = met.where(F.col(group).isNull()).select(own)
+    one = met.where(F.col(stays)).groupBy(group).agg(F.max_by(F.struct(*own), F.xxhash64(*own)).alias(held))
+    return alone.unionByName(free).unionByName(one.select(f"{held}.*"))

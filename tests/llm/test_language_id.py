@@ -1,5 +1,7 @@
+import random
+
 import numpy as np
-from corpus import SCHEMA, awkward, document
+from corpus import SCHEMA, awkward, document, prose
 
 from shelfwatch.llm import language_id
 from shelfwatch.llm.language_id import Profiles, cosines, drop_unidentified, identify, letter_vector, predict, train
@@ -85,3 +87,38 @@ def test_training_flushes_what_it_holds(rows, monkeypatch):
     whole = language_id.count_trigrams(rows(SCHEMA, *data), "lang", "text").count()
     monkeypatch.setattr(language_id, "HELD_COUNTS", 1)
     assert language_id.count_trigrams(rows(SCHEMA, *data), "lang", "text").count() == whole
+
+
+def test_many_short_texts_and_one_long_one_in_little_memory():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from shelfwatch.llm.language_id import _parts, cosines
+
+    r = random.Random(4)
+    short = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz ", k=100)) for _ in range(10_000)]
+    long = "".join(map(chr, r.choices(range(0x4E00, 0x9FA5), k=300_000)))
+    prototypes = np.random.default_rng(1).normal(size=(4, 1024)).astype(np.float32)
+    for texts in (short, [long]):
+        tracemalloc.start()
+        column = pa.array(texts)
+        rows = sum(len(cosines(part, prototypes)[1]) for _, _, part in _parts(column))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert rows == len(texts) and peak < 300e6, peak
+
+
+def test_parts_of_trigrams_add_up(monkeypatch):
+    import numpy as np
+
+    from shelfwatch.llm import language_id
+
+    texts = [prose(i, 1 + i % 9) for i in range(40)] + ["", "a"]
+    prototypes = np.random.default_rng(1).normal(size=(3, 1024)).astype(np.float32)
+    near, total = language_id.cosines(texts, prototypes)
+    for name, value in (("HELD_TRIGRAMS", 7), ("TABLE_CELLS", 0)):
+        monkeypatch.setattr(language_id, name, value)
+        again, same = language_id.cosines(texts, prototypes)
+        assert np.allclose(near, again, atol=1e-5) and (total == same).all()
