@@ -23,7 +23,7 @@ from shelfwatch.operators import dedup, features, listing, normalise, ordering,
 from shelfwatch.plans import analytics, cleaning, collect, measures, warehouse  # noqa: E402
 from shelfwatch.schema import CLEAN_COLUMNS, FACT_MEASURES, INTEGER_COLUMNS, NUMERIC_COLUMNS, TIME_COLUMNS, URL_COLUMNS  # noqa: E402
 from shelfwatch.session import fresh_path, materialise, ship_package, stage_once  # noqa: E402
-from shelfwatch.sources import catalog, files, pages, retail_pages, star_store  # noqa: E402
+from shelfwatch.sources import catalog, files, pages, retail_pages, star_store, views  # noqa: E402
 from shelfwatch.sources import retail_tables as retail  # noqa: E402
 from shelfwatch.streaming import intake, upsert  # noqa: E402
 
@@ -153,6 +153,28 @@ def star_reload(spark: SparkSession, folder: str) -> DataFrame:
     return plain(union_all(seen))
 
 
+def published_views(spark: SparkSession, folder: str) -> str:
+    """The database with the views over a star of the retail tables, loaded once per application."""
+
+    def load() -> str:
+        root, database = fresh_path(spark, "star"), f"star_{uuid.uuid4().hex}"
+        star_store.reload_star(spark, retail.landing_rows(spark, folder), root, database, buckets=8)
+        views.publish_views(spark, root, f"{database}_views")
+        return f"{database}_views"
+
+    return stage_once(spark, ("views", folder), load)
+
+
+def on_view(name: str) -> Query:
+    """A view as another session sees it, by name."""
+
+    def read(spark: SparkSession, folder: str) -> DataFrame:
+        database = published_views(spark, folder)
+        return spark.newSession().table(f"{database}.{name}")
+
+    return read
+
+
 def snapshot_keys(spark: SparkSession, folder: str) -> DataFrame:
     """The fact's keys after two loads from landing rows in different order; a key that changed comes twice."""
     root, database = fresh_path(spark, "star"), f"star_{uuid.uuid4().hex}"
@@ -567,6 +589,9 @@ def own_queries() -> dict[str, Query]:
         "star_reload": star_reload,
         "snapshot_keys": snapshot_keys,
         "intake_upsert": intake_upsert,
+        "view_top_ratings": on_view("top_ratings"),
+        "view_price_premium": on_view("price_premium"),
+        "view_age_roi": on_view("age_roi"),
         "star_join": on_star(lambda star: warehouse.product_snapshot(star).drop("snapshot_key")),
         "star_latest": on_star(star_latest),
         "audit_fk": on_star(lambda star: warehouse.audit_foreign_keys(damaged(star))),

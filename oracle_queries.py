@@ -628,6 +628,17 @@ FROM shown c LEFT JOIN detailed d ON d.product_url = c.product_url""",
 
 STAR["intake_upsert"] = STAR["star_latest"]
 
+# The latest rows as the star's view has them: equal days are settled by the measures, attributes are the dimension's.
+_DECIMAL_MEASURES = ", ".join(
+    "CAST(newest.review_count AS BIGINT) AS review_count" if c == "review_count"
+    else "CAST(newest.{0} AS DECIMAL({1},{2})) AS {0}".format(c, *S.FACT_DECIMALS[c]) if c in S.FACT_DECIMALS else f"newest.{c}"
+    for c in S.FACT_MEASURES
+)
+LV = f"""{with_(*SNAPSHOTS, DIM)}, m AS (SELECT product_id, scraped_at, {columns(S.FACT_MEASURES, FACT_KNOWN, FLAGS, 's')} FROM snapshots s),
+newest AS (SELECT * FROM m QUALIFY ROW_NUMBER() OVER (PARTITION BY product_id ORDER BY scraped_at DESC, {', '.join(f'{c} DESC NULLS LAST' for c in S.FACT_MEASURES)}) = 1),
+latest AS (SELECT dim.*, {_DECIMAL_MEASURES} FROM dim JOIN newest USING (product_id))"""
+STAR |= {f"view_{name}": text.replace(L, LV, 1) for name, text in (("top_ratings", Q5), ("price_premium", Q6), ("age_roi", Q7))}
+
 
 def oracle_sql() -> dict[str, str]:
     seven = {

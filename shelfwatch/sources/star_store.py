@@ -52,13 +52,13 @@ def _write(df: DataFrame, name: str, table: str, path: str, buckets: int) -> Non
     dealt.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table, format="parquet")
 
 
-def _table(state: dict, name: str) -> str:
+def table_name(state: dict, name: str) -> str:
     return f"{state['database']}.{name}__{state['version']}"
 
 
 def _register(spark: SparkSession, state: dict, name: str) -> str:
     """The catalog table of a published star; declared again where this catalog does not know it."""
-    table = _table(state, name)
+    table = table_name(state, name)
     if not spark.catalog.tableExists(table):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {state['database']}")
         columns = ", ".join(f"{c} {t}" for c, t in STAR_TYPES[name].items())
@@ -96,7 +96,7 @@ def reload_star(
     try:
         staged = warehouse.build_star(raw)
         for name, df in staged.items():
-            _write(df, name, _table(state, name), state["paths"][name], buckets)
+            _write(df, name, table_name(state, name), state["paths"][name], buckets)
         star = _frames(spark, state)
         faults = audit(star) if audited else []
         if faults:
@@ -114,7 +114,7 @@ def _frames(spark: SparkSession, state: dict) -> dict[str, DataFrame]:
 
 def _drop(spark: SparkSession, root: str, state: dict) -> None:
     for name in STAR_TYPES:
-        spark.sql(f"DROP TABLE IF EXISTS {_table(state, name)}")
+        spark.sql(f"DROP TABLE IF EXISTS {table_name(state, name)}")
     versions.delete(spark, f"{root}/{state['version']}")
 
 

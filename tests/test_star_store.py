@@ -106,7 +106,7 @@ def test_another_catalog_finds_the_star_by_its_pointer(spark, root):
     state = versions.state(spark, root)
     want = sorted(star_store.read_star(spark, root)["dim_product"].collect(), key=str)
     for name in STAR_TYPES:
-        spark.sql(f"DROP TABLE {star_store._table(state, name)}")  # external: the files stay
+        spark.sql(f"DROP TABLE {star_store.table_name(state, name)}")  # external: the files stay
     again = star_store.read_star(spark, root)
     assert sorted(again["dim_product"].collect(), key=str) == want
     assert sum(r.row_count for r in star_store.bucket_rows(again, 4).collect()) == 38
@@ -126,3 +126,28 @@ def test_rows_that_repeat_often_are_counted_not_listed(rows, monkeypatch):
     made = warehouse._repeated(rows("a string, _n long", ("x", 1), ("y", 4), ("z", 11)))
     got = sorted((r.a, r._nth) for r in made.collect())
     assert got == [("x", 1), *[("y", i) for i in range(1, 5)], *[("z", i) for i in range(1, 12)]]
+
+
+def test_views_resolve_in_another_session_and_follow_a_reload(spark, root):
+    from shelfwatch.plans import analytics
+    from shelfwatch.sources import views
+
+    star = star_store.reload_star(spark, landing(spark, named()), root, buckets=4)
+    names = views.publish_views(spark, root, "shelf_views")
+    other = spark.newSession()
+    assert {t.name for t in other.catalog.listTables("shelf_views")} == set(names) and not other.catalog.tableExists("product_latest")
+    latest = warehouse.product_latest(star)
+    for view, want in (("product_latest", latest), ("product_snapshot", warehouse.product_snapshot(star))):
+        got = other.table(f"shelf_views.{view}").select(want.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+    def rounded(df):
+        return sorted(str([float(c) if hasattr(c, "as_tuple") else c for c in r]) for r in df.collect())
+
+    for view, report in (("top_ratings", analytics.top_ratings), ("price_premium", analytics.price_premium), ("age_roi", analytics.age_roi)):
+        want = report(latest)
+        assert rounded(other.table(f"shelf_views.{view}").select(want.columns)) == rounded(want), view
+    star_store.reload_star(spark, landing(spark, named()[:9]), root, buckets=4)
+    assert other.table("shelf_views.product_snapshot").count() == 38
+    views.publish_views(spark, root, "shelf_views")
+    assert other.table("shelf_views.product_snapshot").count() == 9
