@@ -20,6 +20,7 @@ from collections.abc import Callable
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shelfwatch.llm.common import staged
@@ -64,6 +65,10 @@ LABELERS = ("shape", "check", "gazetteer", "context", "borders")
 #: What is thought of a labeler before any vote is seen: reliability and how many votes that is worth.
 PRIOR = {"shape": (0.7, 50), "check": (0.95, 5000), "gazetteer": (0.75, 200), "context": (0.8, 200), "borders": (0.7, 200)}
 ACCEPT = 0.9
+#: Characters of the pieces that context is cut from, and how many large pieces a text is cut into first.
+PIECE, FIRST_PIECES = 4096, 256
+#: Spans that gather in one list before it is put aside.
+GATHERED = 256
 
 
 def _digits(value: Column) -> Column:
@@ -99,7 +104,7 @@ def _found(text: Column, pattern: str, worth: Column) -> Column:
     Matches and the stretches between them come from the same pattern, so the lengths
     of what lies before a match add up to its place.
     """
-    empty = "array<struct<start: int, end: int, value: string>>"
+    spans, parted = "array<struct<start: int, end: int, value: string>>", "array<array<struct<start: int, end: int, value: string>>>"
     gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
     parts = F.zip_with(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), gaps, lambda m, g: F.struct(m.alias("m"), g.alias("g"))
@@ -108,13 +113,31 @@ def _found(text: Column, pattern: str, worth: Column) -> Column:
     def step(acc: Column, part: Column) -> Column:
         start = acc["at"] + part["g"]
         end = start + F.length(part["m"])
-        span = F.struct(start.alias("start"), end.alias("end"), part["m"].alias("value"))
-        return F.when(part["m"].isNull(), acc).otherwise(
-            F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+        span = F.array(F.struct(start.alias("start"), end.alias("end"), part["m"].alias("value")))
+        # Spans gather in a short list first, as every added one copies the list it joins.
+        full = F.size(acc["near"]) >= GATHERED
+        near = F.when(full, span).otherwise(F.concat(acc["near"], span))
+        done = F.when(full, F.concat(acc["done"], F.array(acc["near"]))).otherwise(acc["done"])
+        return F.when(part["m"].isNull(), acc).otherwise(F.struct(end.alias("at"), near.alias("near"), done.alias("done")))
+
+    first = F.struct(F.lit(0).alias("at"), F.array().cast(spans).alias("near"), F.array().cast(parted).alias("done"))
+    found = F.aggregate(parts, first, step, lambda acc: F.concat(F.flatten(acc["done"]), acc["near"]))
+    return F.when(worth, found).otherwise(F.array().cast(spans))
+
+
+def _pieces(text: Column, worth: Column) -> Column:
+    """The text in pieces of ``PIECE`` characters, each with the start of the next; two steps keep long texts linear."""
+
+    def cut(whole: Column, size: Column, more: int) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.floor(F.length(whole) / size).cast("int")),
+            lambda i: F.substr(whole, (i * size + 1).cast("int"), (size + more).cast("int")),
         )
 
-    first = F.struct(F.lit(0).alias("at"), F.array().cast(empty).alias("out"))
-    return F.when(worth, F.aggregate(parts, first, step, lambda acc: acc["out"])).otherwise(F.array().cast(empty))
+    large = F.lit(PIECE) * F.ceil((F.length(text) + 1) / (PIECE * FIRST_PIECES)).cast("int")
+    # A large piece ends where the next begins, but for the characters that its last small piece shares with it.
+    small = F.transform(cut(text, large, AROUND), lambda part: F.slice(cut(part, F.lit(PIECE), AROUND), F.lit(1), (large / PIECE).cast("int")))
+    return F.when(worth, F.flatten(small))
 
 
 def scan(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -137,21 +160,29 @@ def scan(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
     base = F.concat(*[spans(k) for k in KINDS])
 
+    rows = rows.withColumn("pieces", _pieces(text, worth["email"] | worth["card"] | loose_worth["email"]))
+
+    def near(start: Column, length: Column) -> Column:
+        """Some characters of the text from ``start`` on, found without reading what lies before their piece."""
+        return F.substr(F.get("pieces", (start / PIECE).cast("int")), start % PIECE + 1, length)
+
     def candidate(kind: str) -> Callable[[Column], Column]:
         def make(s: Column) -> Column:
-            before = F.substr(text, F.greatest(s["start"] - AROUND + 1, F.lit(1)), F.least(s["start"], F.lit(AROUND)))
+            before = near(F.greatest(s["start"] - AROUND, F.lit(0)), F.least(s["start"], F.lit(AROUND)))
             return F.struct(
                 F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"),
-                before.alias("before"), F.substr(text, s["end"] + 1, F.lit(AROUND)).alias("after"),
+                before.alias("before"), near(s["end"], F.lit(AROUND)).alias("after"),
             )
 
         return make
 
-    # Candidates: what the base patterns match, passed or not, and what the looser ones do.
-    tried = F.array_distinct(F.concat(
+    # Candidates: what the base patterns match, passed or not, and what the looser ones do; sorted, copies lie side by side.
+    tried = F.array_sort(F.concat(
         *[F.transform(F.col(f"{way}_{k}"), candidate(k)) for k in KINDS for way in ("base", "loose")]
     ))
-    return staged(rows.select("row_no", "doc_id", F.array_sort(base).alias("base"), tried.alias("candidates")), "pii-scan")
+    rows = rows.select("row_no", "doc_id", F.array_sort(base).alias("base"), tried.alias("tried"))
+    once = F.filter("tried", lambda c, i: (i == 0) | (F.get("tried", i - 1) != c))
+    return staged(rows.select("row_no", "doc_id", "base", once.alias("candidates")), "pii-scan")
 
 
 def votes(candidates: DataFrame) -> DataFrame:
@@ -263,34 +294,63 @@ def find_personal_data(docs: DataFrame, id_column: str = "doc_id", text_column:
     or lies inside one of another is not added; of candidates of one kind that touch each other the likeliest, then the first, stays.
     """
     rows = scan(docs, id_column, text_column)
-    tried = rows.select("row_no", "base", F.explode("candidates").alias("c")).select("row_no", "base", "c.*")
+    tried = rows.select("row_no", F.explode("candidates").alias("c")).select("row_no", "c.*")
     voted = staged(votes(tried), "pii-votes")
     chance = classifier(voted)
     if chance is None:
         return rows.select("doc_id", "base", F.col("base").alias("spans"), F.slice("base", 1, 0).alias("added"))
     kind = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind")).cast("int") - 1
-    fresh = voted.withColumn("number", kind).where(~F.exists(
-        "base",
-        lambda b: F.when(b["kind"] == F.col("number"), (b["start"] < F.col("end")) & (F.col("start") < b["end"]))
-        .otherwise((b["start"] <= F.col("start")) & (F.col("end") <= b["end"])),
-    ))
-    span = F.struct(F.col("start"), F.col("number").alias("kind"), F.col("end"))
-    accepted = fresh.withColumn("doubt", F.round(1 - chance, 9)).where(F.col("doubt") <= 1 - ACCEPT)
-    listed = accepted.groupBy("row_no").agg(F.collect_set(F.struct(F.col("doubt"), span.alias("span"))).alias("found"))
-
-    def apart(kept: Column, found: Column) -> Column:
-        span = found["span"]
-        touches = F.exists(
-            kept, lambda k: (k["kind"] == span["kind"]) & (k["start"] < span["end"]) & (span["start"] < k["end"])
-        )
-        return F.when(touches, kept).otherwise(F.concat(kept, F.array(span)))
-
-    added = F.aggregate(F.array_sort("found"), F.slice(F.col("found.span"), 1, 0), apart)
+    accepted = voted.withColumn("doubt", F.round(1 - chance, 9)).where(F.col("doubt") <= 1 - ACCEPT)
+    found = accepted.select("row_no", kind.alias("kind"), "start", "end", "doubt")
+    held = rows.select("row_no", F.explode("base").alias("b")).select("row_no", "b.kind", "b.start", "b.end")
+    listed = _apart(_free(found, held)).groupBy("row_no").agg(
+        F.array_sort(F.collect_list(F.struct("doubt", F.struct("start", "kind", "end").alias("span")))).alias("found")
+    )
     none = F.slice("base", 1, 0)
-    joined = rows.join(listed, "row_no", "left").withColumn("added", F.when(F.col("found").isNull(), none).otherwise(added))
+    joined = rows.join(listed, "row_no", "left").withColumn("added", F.coalesce(F.col("found.span"), none))
     return joined.select("doc_id", "base", "added", F.array_sort(F.concat("base", "added")).alias("spans"))
 
 
+def _free(found: DataFrame, base: DataFrame) -> DataFrame:
+    """The spans ``row_no, kind, start, end, doubt`` that touch no base span of their kind and lie in none of another.
+
+    Both are sorted together along each text. A span touches one of its kind if, of those that
+    start before its end, the farthest end lies behind its start; it lies in one of another
+    kind if, of those that start no later, the farthest end of another kind reaches its end.
+    """
+    both = found.withColumn("held", F.lit(False)).unionByName(
+        base.withColumn("doubt", F.lit(None).cast("double")).withColumn("held", F.lit(True))
+    )
+    so_far = (W.unboundedPreceding, W.currentRow)
+    own = W.partitionBy("row_no", "kind").orderBy(F.when(F.col("held"), F.col("start")).otherwise(F.col("end")), "held")
+    along = W.partitionBy("row_no").orderBy("start", F.desc("held"))
+    ends = {k: F.max(F.when(F.col("held") & (F.col("kind") == k), F.col("end"))).over(along.rowsBetween(*so_far)) for k in range(len(KINDS))}
+    marked = both.withColumn("own_end", F.max(F.when(F.col("held"), F.col("end"))).over(own.rowsBetween(*so_far)))
+    marked = marked.withColumns({f"end_{k}": end for k, end in ends.items()})
+    others = F.greatest(*[F.when(F.col("kind") != k, F.coalesce(F.col(f"end_{k}"), F.lit(-1))).otherwise(-1) for k in ends])
+    touches = F.coalesce(F.col("own_end"), F.lit(-1)) > F.col("start")
+    return marked.where(~F.col("held") & ~touches & (others < F.col("end"))).select("row_no", "kind", "start", "end", "doubt")
+
+
+def _apart(spans: DataFrame) -> DataFrame:
+    """Of spans of one kind that touch each other the likeliest, then the first, stays.
+
+    Spans that are linked by touching form a cluster along the text; a choice reaches no farther.
+    """
+    along = W.partitionBy("row_no", "kind").orderBy("start", "end")
+    before = F.max("end").over(along.rowsBetween(W.unboundedPreceding, -1))
+    opened = spans.withColumn("opens", (F.col("start") >= F.coalesce(before, F.lit(0))).cast("int"))
+    numbered = opened.withColumn("cluster", F.sum("opens").over(along.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    near = numbered.groupBy("row_no", "kind", "cluster").agg(F.array_sort(F.collect_set(F.struct("doubt", "start", "end"))).alias("found"))
+
+    def take(kept: Column, span: Column) -> Column:
+        touches = F.exists(kept, lambda k: (k["start"] < span["end"]) & (span["start"] < k["end"]))
+        return F.when(touches, kept).otherwise(F.concat(kept, F.array(span)))
+
+    kept = F.aggregate("found", F.slice("found", 1, 0), take)
+    return near.select("row_no", "kind", F.explode(kept).alias("k")).select("row_no", "kind", "k.start", "k.end", "k.doubt")
+
+
 def digest(found: DataFrame) -> DataFrame:
     """Counts per kind, the digest of the base spans, and all spans as text."""
 

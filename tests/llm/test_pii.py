@@ -82,3 +82,13 @@ def test_empty_tables(spark, rows):
     assert find_personal_data(spark.createDataFrame([], SCHEMA)).count() == 0
     got = digest(find_personal_data(rows(SCHEMA, document(1, "nothing here"), document(2, None))))
     assert [r.spans for r in got.collect()] == ["", ""]
+
+
+def test_a_text_with_many_matches(rows):
+    """Several thousand spans in one text; pieces, gathered lists and clusters are crossed."""
+    mails = [f"u{i}@mail{i % 97}.example.com" for i in range(1500)]
+    text = "é " + " ".join(f"{m} {i * 7919 % 90000}" for i, m in enumerate(mails))
+    got = digest(find_personal_data(rows(SCHEMA, document(1, text), document(2, None)))).orderBy("doc_id").collect()
+    want = base(text)
+    assert got[0].n_email == 1500 and got[0].base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest()
+    assert set(want) <= set(got[0].spans.split(",")) and got[1].spans == ""
