@@ -2,15 +2,17 @@
 
 Texts with the same set of word shingles are one class. Every class has a label of
 ``depth`` minimum hashes in each of ``trees`` trees. Classes that agree on a prefix of
-their labels in some tree are neighbours in that tree's sorted trie. Prefixes start at
-the full depth and are shortened until a pair at the threshold is met in at least one
-tree with the target recall.
+their labels in some tree are neighbours in that tree's sorted trie. A task walks its
+part of the tries from the full depth to the shortest prefix that the target recall
+needs. Of the neighbours under a prefix it compares those that no longer prefix has
+joined yet, by two bits of each of their minimum hashes, and joins those that look
+alike; so classes that met by chance, or share boilerplate only, stay apart.
 
-Neighbours are gathered into components, so that the shingles of a class travel once,
+The joined are gathered into components, so that the shingles of a class travel once,
 and components are verified exactly: intersections are counted by shingle, never by
 listing pairs. A component too large for one task is cut into blocks, and every pair of
-blocks is a task of its own. What leaves a task is one row per class: its number of
-links and the smallest class it is connected to.
+blocks is a task of its own, as are the classes under one prefix. What leaves a task is
+one row per class: its number of links and the smallest class it is connected to.
 """
 
 from __future__ import annotations
@@ -36,6 +38,11 @@ RECALL = 0.9999
 #: Classes and shingles of one block; a task holds two blocks.
 BLOCK_CLASSES = 1024
 BLOCK_SHINGLES = 1 << 21
+#: Classes under one prefix that one block of the forest holds; a task compares two blocks.
+FOREST_BLOCK = 4096
+#: Similarity, as two bits of every minimum hash tell it, from which neighbours are joined.
+#: A pair at the threshold lies almost seven standard errors above.
+LOOKS_ALIKE = 0.6
 _LABEL = 2  # bytes kept of each minimum hash
 
 
@@ -63,6 +70,66 @@ def min_hashes(shingles: np.ndarray, factors: np.ndarray, shifts: np.ndarray) ->
     return mix(least.astype(np.uint64)).astype(np.uint16)
 
 
+def sketch_bits(labels: np.ndarray) -> bytes:
+    """Two bits of every minimum hash, packed."""
+    two = (labels & np.uint16(3)).astype(np.uint8).reshape(-1, 4)
+    return (two[:, 0] | two[:, 1] << 2 | two[:, 2] << 4 | two[:, 3] << 6).tobytes()
+
+
+def agreeing(bits: np.ndarray, ones: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """How many minimum hashes of the rows of ``bits`` (words of 64 bits) agree in both bits."""
+    differ = bits[ones] ^ bits[others]
+    differ = (differ | differ >> np.uint64(1)) & np.uint64(0x5555555555555555)
+    return 32 * bits.shape[1] - np.bitwise_count(differ).sum(axis=1, dtype=np.int64)
+
+
+def _pairs(starts: np.ndarray, ends: np.ndarray, most: int = 1 << 18) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of rows inside each run, some ``most`` at a time."""
+    sizes = ends - starts
+    places = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    rows = np.repeat(starts, sizes) + places
+    behind = np.repeat(sizes, sizes) - 1 - places
+    parts = np.cumsum(behind) // most
+    for part in np.split(np.arange(len(rows)), np.flatnonzero(np.diff(parts)) + 1):
+        many = behind[part]
+        ones = np.repeat(rows[part], many)
+        steps = np.arange(len(ones)) - np.repeat(np.cumsum(many) - many, many)
+        yield ones, ones + 1 + steps
+
+
+def _united(root: np.ndarray, ones: np.ndarray, others: np.ndarray) -> np.ndarray:
+    while True:
+        a, b = root[ones], root[others]
+        apart = a != b
+        if not apart.any():
+            return root
+        np.minimum.at(root, np.maximum(a, b)[apart], np.minimum(a, b)[apart])
+        while (root[root] != root).any():
+            root = root[root]
+
+
+def walk_tries(groups: np.ndarray, deep: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """For each row the first row it is joined to.
+
+    Rows are sorted by their group, the shortest prefix, and by the labels ``deep`` that
+    follow it. Runs under the longest prefix come first. Under a shorter one only rows
+    that are not joined yet are compared, and runs that are one already are passed by.
+    """
+    root = np.arange(len(groups))
+    least = int(32 * bits.shape[1] * (LOOKS_ALIKE + (1 - LOOKS_ALIKE) / 4))
+    for kept in range(deep.shape[1], -1, -1):
+        change = (groups[1:] != groups[:-1]).any(axis=1) | (deep[1:, :kept] != deep[:-1, :kept]).any(axis=1)
+        starts = np.concatenate([[0], np.flatnonzero(change) + 1])
+        ends = np.append(starts[1:], len(groups))
+        several = np.minimum.reduceat(root, starts) != np.maximum.reduceat(root, starts)
+        for ones, others in _pairs(starts[several], ends[several]):
+            apart = root[ones] != root[others]
+            ones, others = ones[apart], others[apart]
+            met = agreeing(bits, ones, others) >= least
+            root = _united(root, ones[met], others[met])
+    return root
+
+
 def shingle_sets(column: pa.Array, size: int) -> Iterator[tuple[int, int, list[np.ndarray]]]:
     """Per slice of a batch the sorted distinct shingle hashes of each text.
 
@@ -87,51 +154,94 @@ def shingle_sets(column: pa.Array, size: int) -> Iterator[tuple[int, int, list[n
 
 
 def sketches(docs: DataFrame, id_column: str, text_column: str, size: int) -> DataFrame:
-    """One row per document, written: ``row_no, id, text_key, set_a, set_b, n, labels``."""
+    """One row per document, written: ``row_no, id, text_key, set_a, set_b, n, labels, bits``."""
     ship_package(docs.sparkSession)
     rows = docs.select(
         F.monotonically_increasing_id().alias("row_no"), F.col(id_column).alias("id"),
         text_key(F.col(text_column)).alias("key"), F.col(text_column).cast("string").alias("text"),
     ).select("row_no", "id", "key.a", "key.b", "text")
-    schema = f"row_no bigint, id {dict(rows.dtypes)['id']}, text_a bigint, text_b bigint, set_a bigint, set_b bigint, n bigint, labels binary"
+    schema = f"row_no bigint, id {dict(rows.dtypes)['id']}, text_a bigint, text_b bigint, set_a bigint, set_b bigint, n bigint, labels binary, bits binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors, shifts = _seeds(TREES * DEPTH)
         for batch in batches:
             for first, last, sets in shingle_sets(batch.column(4), size):
                 part = batch.slice(first, last - first)
-                labels = [min_hashes(s, factors, shifts).tobytes() if len(s) else None for s in sets]
+                least = [min_hashes(s, factors, shifts) if len(s) else None for s in sets]
+                labels = [None if h is None else h.tobytes() for h in least]
+                bits = [None if h is None else sketch_bits(h) for h in least]
                 sums = np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
                 folds = np.array([np.bitwise_xor.reduce(mix(s)) for s in sets], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *part.columns[:4], pa.array(sums), pa.array(folds),
-                        pa.array([len(s) for s in sets], pa.int64()), pa.array(labels, pa.binary()),
+                        pa.array([len(s) for s in sets], pa.int64()), pa.array(labels, pa.binary()), pa.array(bits, pa.binary()),
                     ],
-                    names=["row_no", "id", "text_a", "text_b", "set_a", "set_b", "n", "labels"],
+                    names=["row_no", "id", "text_a", "text_b", "set_a", "set_b", "n", "labels", "bits"],
                 )
 
     return staged(rows.mapInArrow(run, schema), "sketches")
 
 
 def _classes(rows: DataFrame) -> DataFrame:
-    """One row per class: ``set_a, set_b, n, class_no, labels, text_a, text_b`` of its first document."""
+    """One row per class: ``set_a, set_b, n, class_no, labels, bits, text_a, text_b`` of its first document."""
     own = rows.where("n > 0")
-    first = F.min_by(F.struct("labels", "text_a", "text_b"), "row_no")
+    first = F.min_by(F.struct("labels", "bits", "text_a", "text_b"), "row_no")
     return own.groupBy("set_a", "set_b", "n").agg(F.min("row_no").alias("class_no"), first.alias("first")).select(
         "set_a", "set_b", "n", "class_no", "first.*"
     )
 
 
 def neighbours(classes: DataFrame, recall: float = RECALL) -> DataFrame:
-    """Edges ``a, b``: each class with the first class of every trie prefix it shares with others."""
-    width = _LABEL * prefix_depth(recall)
+    """Edges ``a, b``: classes that meet under a trie prefix and look alike, each with one it is joined to.
+
+    The classes under a prefix are one group of rows, or, where they are many, one group
+    for every pair of blocks.
+    """
+    depth = prefix_depth(recall)
+    at = f"tree * {_LABEL * DEPTH}"
     labelled = classes.select("class_no", "labels", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
-    prefix = F.expr(f"substring(labels, tree * {_LABEL * DEPTH} + 1, {width})")
-    placed = staged(labelled.select(F.xxhash64("tree", prefix).alias("prefix"), "class_no"), "forest")
-    shared = placed.groupBy("prefix").agg(F.min("class_no").alias("first"), F.max("class_no").alias("last"))
-    met = placed.join(shared.where("first != last").select("prefix", "first"), "prefix")
-    return met.select(F.col("class_no").alias("a"), F.col("first").alias("b")).distinct()
+    prefix = F.expr(f"substring(labels, {at} + 1, {_LABEL * depth})")
+    deep = F.expr(f"substring(labels, {at} + {_LABEL * depth + 1}, {_LABEL * (DEPTH - depth)})")
+    placed = staged(labelled.select(F.xxhash64("tree", prefix).alias("prefix"), deep.alias("deep"), "class_no"), "forest")
+    shared = placed.groupBy("prefix").agg(F.count("*").alias("held")).where("held > 1")
+    met = placed.join(shared.select("prefix", F.ceil(F.col("held") / FOREST_BLOCK).alias("blocks")), "prefix")
+    met = met.join(classes.select("class_no", "bits"), "class_no")
+    block = F.pmod(F.xxhash64("class_no"), F.col("blocks"))
+    dealt = met.withColumn("block", block).withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)"))).select(
+        "prefix", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "deep", "bits", "class_no"
+    )
+    group = ["prefix", "low", "high"]
+    ordered = dealt.repartition(*group).sortWithinPartitions(*group, "deep")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def joined(groups: np.ndarray, deep: np.ndarray, bits: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
+            root = walk_tries(groups, deep, bits)
+            there = np.flatnonzero(root != np.arange(len(root)))
+            return pa.RecordBatch.from_arrays([pa.array(keys[there]), pa.array(keys[root[there]])], names=["a", "b"])
+
+        held = None
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            new = (
+                np.stack([batch.column(i).to_numpy() for i in range(3)], axis=1),
+                np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint16).reshape(n, DEPTH - depth),
+                np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint64).reshape(n, -1),
+                batch.column(5).to_numpy(),
+            )
+            held = new if held is None else tuple(np.concatenate(pair) for pair in zip(held, new, strict=True))
+            # The last group may go on in the next batch.
+            inside = np.flatnonzero((held[0] != held[0][-1]).any(axis=1))
+            whole = inside[-1] + 1 if len(inside) else 0
+            if whole:
+                yield joined(*[column[:whole] for column in held])
+                held = tuple(column[whole:] for column in held)
+        if held is not None:
+            yield joined(*held)
+
+    return ordered.mapInArrow(run, "a bigint, b bigint")
 
 
 def count_links(keys: np.ndarray, sets: list[np.ndarray], blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -269,7 +379,7 @@ def near_join(
     described = classes.select("set_a", "set_b", "n", "class_no").join(links, "class_no", "left").join(
         groups.select(F.col("node").alias("class_no"), F.col("root").alias("group_no")), "class_no", "left"
     )
-    joined = rows.drop("labels").join(described, ["set_a", "set_b", "n"], "left").select(
+    joined = rows.drop("labels", "bits").join(described, ["set_a", "set_b", "n"], "left").select(
         "row_no", F.col("id").alias("doc_id"), "text_a", "text_b",
         F.coalesce("group_no", "class_no", "row_no").alias("group_no"),
         F.coalesce("class_no", "row_no").alias("class_no"),

@@ -7,7 +7,7 @@ from corpus import SCHEMA, awkward, document, prose, words
 
 from shelfwatch.llm import near_join as module
 from shelfwatch.llm.components import components
-from shelfwatch.llm.near_join import count_links, drop_near, near_join, prefix_depth
+from shelfwatch.llm.near_join import count_links, drop_near, near_join, neighbours, prefix_depth, walk_tries
 
 
 def shingles(text):
@@ -61,6 +61,42 @@ def test_components_in_blocks(rows, monkeypatch):
     check(rows, near_corpus())
 
 
+def test_prefixes_in_blocks(rows, monkeypatch):
+    monkeypatch.setattr(module, "FOREST_BLOCK", 3)
+    check(rows, near_corpus())
+
+
+def test_shared_boilerplate_makes_no_candidates(rows):
+    r = random.Random(4)
+    common = prose(40, 110)
+    data = [document(i, common + " " + " ".join(f"w{r.randint(0, 10**9)}" for _ in range(110))) for i in range(600)]
+    pair = shingles(data[0][1]), shingles(data[1][1])
+    assert 0.28 < len(pair[0] & pair[1]) / len(pair[0] | pair[1]) < 0.36
+    data.append(document(1000, data[7][1] + " end"))
+    docs = rows(SCHEMA, *data)
+    classes = module._classes(module.sketches(docs, "doc_id", "text", 5)).cache()
+    found = neighbours(classes).distinct().collect()
+    # A prefix of 6 lets 1 - (1 - 0.32**6)**32 of the 180,000 pairs meet, some 6,000.
+    assert 1 <= len(found) <= 5
+    got = {d.doc_id: d for d in near_join(docs).collect()}
+    assert {i for i, d in got.items() if d.n_links} == {7, 1000} and got[7].group_no == got[1000].group_no
+    classes.unpersist()
+
+
+def test_walk_joins_what_looks_alike_under_any_prefix():
+    r = np.random.default_rng(1)
+    base = r.integers(0, 1 << 63, (6, 8)).astype(np.uint64)
+    family = r.integers(0, 6, 700)
+    bits = base[family] ^ (np.uint64(1) << r.integers(0, 64, (700, 8)).astype(np.uint64))
+    deep = r.integers(0, 3, (700, 2)).astype(np.uint16)
+    groups = np.stack([r.integers(0, 4, 700), np.zeros(700, int), np.zeros(700, int)], axis=1)
+    order = np.lexsort((deep[:, 1], deep[:, 0], groups[:, 0]))
+    family, bits, deep, groups = family[order], bits[order], deep[order], groups[order]
+    root = walk_tries(groups, deep, bits)
+    for i in range(700):
+        assert root[i] == np.flatnonzero((groups[:, 0] == groups[i, 0]) & (family == family[i]))[0]
+
+
 def test_links_where_a_block_is_empty(rows, monkeypatch):
     monkeypatch.setattr(module, "BLOCK_SHINGLES", 200)
     data = [document(2 * i + j, prose(700 + i, 150) + " end" * j) for i in range(8) for j in range(2)]
