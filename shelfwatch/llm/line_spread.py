@@ -1,10 +1,11 @@
 """Line dedup by how many distinct sites a line is on.
 
-Every line gets a HyperLogLog sketch of its sites. Sketches are built inside each
-task, merged by aggregation, and estimate the spread of the line; a line on every
-page of the corpus is one small sketch per task. Where the estimate lies near the
-threshold, its error could decide, so those lines are counted exactly. Lines spread
-over at least ``min_sites`` sites are boilerplate and leave every document.
+Every line gets a HyperLogLog sketch of its sites, built from the lines as they stand.
+Sketches are built inside each task, merged by aggregation, and estimate the spread of
+the line; a line on every page of the corpus is one small sketch per task. Where the
+estimate lies near the threshold, its error could decide, so the sites of those lines,
+and of no others, are listed and counted exactly. Lines spread over at least
+``min_sites`` sites are boilerplate and leave every document.
 """
 
 from __future__ import annotations
@@ -14,12 +15,14 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwatch.llm.common import own_columns, staged, unused
+from shelfwatch.llm.common import bit_filter, own_columns, passes, staged, unused
 
 #: Distinct sites from which on a line is boilerplate.
 MIN_SITES = 10
 #: Registers of a sketch, as a power of two.
 LOG_REGISTERS = 12
+#: Standard errors of a sketch, on either side of the threshold, within which sites are counted.
+ERRORS = 6
 
 
 def line_key(line: Column) -> Column:
@@ -42,22 +45,23 @@ def spread_lines(
     """The keys (``line``) of boilerplate lines.
 
     Blank lines have no key. A NULL site counts as one site of its own. The band in
-    which a line is counted exactly is three standard errors of the sketch and one site at least.
+    which a line is counted exactly is ``ERRORS`` standard errors of the sketch and one site at least.
     """
     site = F.coalesce(F.concat(F.lit("s"), F.col(site_column).cast("string")), F.lit("none"))
     seen = docs.select(F.explode(_lines(F.col(text_column))).alias("_line"), site.alias("_site")).where(
         F.trim("_line") != ""
     )
-    # One row per line and site, copies combined inside the task; three branches read it.
-    pairs = staged(seen.groupBy(line_key(F.col("_line")).alias("line"), "_site").agg(F.lit(1).alias("one")), "line-sites")
-    sketches = pairs.groupBy("line").agg(F.hll_sketch_agg("_site", log_registers).alias("sketch"))
+    seen = seen.select(line_key(F.col("_line")).alias("line"), "_site")
+    sketches = seen.groupBy("line").agg(F.hll_sketch_agg("_site", log_registers).alias("sketch"))
     spread = sketches.select("line", F.hll_sketch_estimate("sketch").alias("sites"))
-    margin = max(1.0, 3 * 1.04 / math.sqrt(2**log_registers) * min_sites)
+    margin = max(1.0, ERRORS * 1.04 / math.sqrt(2**log_registers) * min_sites)
     spread = staged(spread.where(F.col("sites") >= min_sites - margin), "line-spread")
     clear = spread.where(F.col("sites") > min_sites + margin).select("line")
     near = spread.where(F.col("sites") <= min_sites + margin).select("line")
+    # A bitmap keeps most other lines out of the shuffle, the join the rest; copies combine inside the task.
+    maybe = seen.where(passes(bit_filter(near.select(F.col("line.a").alias("a")), "a"), F.col("line.a")))
     exact = (
-        pairs.join(near, "line", "left_semi").groupBy("line").agg(F.countDistinct("_site").alias("sites"))
+        maybe.distinct().join(near, "line", "left_semi").groupBy("line").agg(F.count("*").alias("sites"))
         .where(F.col("sites") >= min_sites).select("line")
     )
     return staged(clear.unionByName(exact), "boilerplate")

@@ -3,6 +3,7 @@ from collections import defaultdict
 
 from corpus import SCHEMA, awkward, document, prose
 
+from shelfwatch.llm import line_spread
 from shelfwatch.llm.line_spread import drop_spread_lines
 
 
@@ -49,3 +50,22 @@ def test_sketches_decide_only_away_from_the_threshold(rows):
     data = [document(i, "rare" if i >= 3000 else "rare\nother", source=f"s{i}") for i in range(5000)]
     got = drop_spread_lines(rows(SCHEMA, *data), min_sites=4000)
     assert {re.sub("\n", "|", r._kept) for r in got.select("_kept").distinct().collect()} == {"", "other"}
+
+
+def test_a_line_just_on_either_side_of_a_large_threshold(rows):
+    # Estimates of 998 to 1002 sites err by some 16; only counting tells them apart.
+    data = [
+        document(i, "\n".join(f"line {n}" for n in range(998, 1003) if i < n), source=f"s{i}") for i in range(1002)
+    ]
+    for least in (999, 1001):
+        check(rows, data, least)
+
+
+def test_steps_written(rows, monkeypatch):
+    """Of lines far below the threshold nothing is written, neither sketch nor sites."""
+    written = {}
+    plain = line_spread.staged
+    monkeypatch.setattr(line_spread, "staged", lambda df, label: written.setdefault(label, plain(df, label)))
+    line_spread.spread_lines(rows(SCHEMA, *lines()), min_sites=10)
+    assert list(written) == ["line-spread", "boilerplate"]
+    assert sorted(r.sites for r in written["line-spread"].collect())[0] == 9
