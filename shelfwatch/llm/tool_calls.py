@@ -28,6 +28,8 @@ TYPES = {
     "array": "^ARRAY<",
     "object": "^OBJECT<",
 }
+#: What is read of a message that is JSON but has no value as a variant, as it repeats a key.
+SPOILT = "tool_call struct<id:string,name:string>, tool_result struct<id:string,content:string>"
 #: Schemas become an expression evaluated per call.
 MOST_TOOLS = 500
 
@@ -160,10 +162,12 @@ def link_tool_calls(
 
     Of calls that share conversation and identifier the first by turn counts, of results
     likewise; equal turns are settled by the text. ``status`` is the first that holds of
-    ``no call``, ``repeated call``, ``cycle``, ``missing dependency``, a problem of the
+    ``no call``, ``repeated call``, ``cycle``, ``missing dependency``, ``repeated key`` (the
+    call's JSON repeats one, so its arguments and dependencies are not read), a problem of the
     arguments, ``no result``, ``early result`` (at or before its call's turn), ``ok``. Messages
     that are NULL, empty, no JSON object or without an identifier link to nothing and give no
-    row. A NULL conversation is one of its own. ``record`` is the link as canonical JSON, and
+    row. A NULL conversation is one of its own; a NULL turn comes before any other. An empty
+    table gives an empty result, columns other than the three are ignored. ``record`` is the link as canonical JSON, and
     NULL without a call.
     """
     value = F.try_parse_json(F.col(text).cast("string"))
@@ -172,18 +176,23 @@ def link_tool_calls(
         return F.try_variant_get("value", path, kind)
 
     read = messages.select(F.col(conv).alias("conv_id"), F.col(turn).alias("turn"), F.col(text).cast("string").alias("raw"), value.alias("value"))
+    read = read.withColumn("spoilt", F.when(F.col("value").isNull(), F.from_json("raw", SPOILT)))
     said = staged(
         read.select(
-            "conv_id", "turn", "raw", F.coalesce(get("$.tool_call.id"), get("$.tool_result.id")).alias("id"),
-            get("$.tool_call.id").isNotNull().alias("is_call"), get("$.tool_call.name").alias("name"),
+            "conv_id", "turn", "raw", F.coalesce(
+                get("$.tool_call.id"), get("$.tool_result.id"), "spoilt.tool_call.id", "spoilt.tool_result.id"
+            ).alias("id"),
+            F.coalesce(get("$.tool_call.id"), "spoilt.tool_call.id").isNotNull().alias("is_call"),
+            F.coalesce(get("$.tool_call.name"), "spoilt.tool_call.name").alias("name"),
+            F.col("value").isNull().alias("twice"),
             F.to_json(get("$.tool_call.arguments", "variant")).alias("arguments"),
-            get("$.tool_call.after").alias("after"), get("$.tool_call.after", "array<string>").alias("several"), get("$.tool_result.content").alias("content"),
+            get("$.tool_call.after").alias("after"), get("$.tool_call.after", "array<string>").alias("several"), F.coalesce(get("$.tool_result.content"), "spoilt.tool_result.content").alias("content"),
         ).where("id IS NOT NULL"),
         "tool-messages",
     )
     first = F.struct("turn", "raw")
     calls = said.where("is_call").groupBy("conv_id", "id").agg(
-        F.count("*").alias("n_calls"), F.min_by(F.struct("turn", "name", "arguments", "after", "several"), first).alias("call")
+        F.count("*").alias("n_calls"), F.min_by(F.struct("turn", "name", "arguments", "after", "several", "twice"), first).alias("call")
     ).select("conv_id", "id", "n_calls", "call.*")
     calls = staged(calls, "calls")
     results = said.where(~F.col("is_call")).groupBy(F.col("conv_id").alias("_conv"), F.col("id").alias("_id")).agg(
@@ -197,7 +206,7 @@ def link_tool_calls(
     status = F.coalesce(
         F.when(F.col("n_calls").isNull(), F.lit("no call")), F.when(F.col("n_calls") > 1, F.lit("repeated call")),
         F.when(F.col("broken") == "cycle", F.lit("cycle")), F.when(F.col("broken") == "missing", F.lit("missing dependency")),
-        arguments_problem(F.col("name"), arguments, schemas),
+        F.when(F.col("twice"), F.lit("repeated key")), arguments_problem(F.col("name"), arguments, schemas),
         F.when(F.col("n_results").isNull(), F.lit("no result")),
         F.when(F.col("result.turn") <= F.col("turn"), F.lit("early result")), F.lit("ok"),
     )
@@ -220,10 +229,13 @@ def messages_from_turns(conversations: DataFrame) -> DataFrame:
     A user's turn calls a tool, chosen with its arguments by the turn's length; an
     assistant's turn is the result of the call one turn before. Some calls lack an argument
     or have one of a wrong type, some use the result of the call two turns before. Turns of
-    any other role, or none, are messages without an identifier.
+    any other role, or none, are messages without an identifier. A turn without a number is
+    identified by its text: no result can name such a call, no call such a result.
     """
     size = F.length("text")
-    ident = F.concat(F.lit("c"), F.col("turn").cast("string"))
+    digest = F.substring(F.sha2(F.coalesce("text", F.lit("")), 256), 1, 16)
+    ident = F.coalesce(F.concat(F.lit("c"), F.col("turn").cast("string")), F.concat(F.lit("call "), digest))
+    answered = F.coalesce(F.concat(F.lit("c"), (F.col("turn") - 1).cast("string")), F.concat(F.lit("result "), digest))
     arguments = (
         F.when(size % 3 == 0, F.to_json(F.struct(F.col("text").alias("query"), size.alias("limit"))))
         .when((size % 3 == 1) & (size % 5 == 0), F.to_json(F.struct(F.col("text"), F.lit("many").alias("max_words"))))
@@ -237,7 +249,7 @@ def messages_from_turns(conversations: DataFrame) -> DataFrame:
         ident.alias("id"), name.alias("name"), F.parse_json(arguments).alias("arguments"), after.alias("after")
     ).alias("tool_call")))
     result = F.to_json(F.struct(F.struct(
-        F.concat(F.lit("c"), (F.col("turn") - 1).cast("string")).alias("id"), F.col("text").alias("content")
+        answered.alias("id"), F.col("text").alias("content")
     ).alias("tool_result")))
     other = F.to_json(F.struct(F.struct(F.col("role"), F.col("text").alias("content")).alias("message")))
     said = F.when(F.col("role") == "user", call).when(F.col("role") == "assistant", result).otherwise(other)

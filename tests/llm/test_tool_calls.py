@@ -105,3 +105,27 @@ def test_turns_of_other_roles_stay_messages(rows):
     got = {r.turn: json.loads(r.text) for r in messages.collect()}
     assert got[0] == {"message": {"role": "system", "content": "s"}} and got[2] == {"message": {"content": "n"}}
     assert [r.id for r in link_tool_calls(messages).collect()] == ["c1"]
+
+
+def test_repeated_keys_keep_their_row(rows):
+    raw = [
+        '{"tool_call": {"id": "a", "name": "translate", "arguments": {"text": "t", "text": "u", "to": "de"}}}',
+        '{"tool_call": {"id": "b", "name": "search", "name": "translate", "arguments": {}}}',
+        '{"tool_result": {"id": "a", "content": "one", "content": "two"}}',
+        '{"tool_call": {"id": "open"', "[1, 2]", "{}", '{"tool_call": 1, "tool_call": 2}',
+    ]
+    got = linked(rows, *[(1, i, text, "x", "y", "z") for i, text in enumerate(raw)], call(1, 20, "c", after="a"))
+    assert {i: r.status for (_, i), r in got.items()} == {"a": "repeated key", "b": "repeated key", "c": "no result"}
+    assert json.loads(got[1, "a"].record)["result"] == "two" and "arguments" not in json.loads(got[1, "a"].record)
+    assert got[1, "c"].step == 1
+
+
+def test_turns_without_a_number_keep_their_row(rows):
+    turns = rows(
+        "conv_id bigint, turn bigint, role string, text string",
+        (1, None, "user", "abc"), (1, None, "user", "abd"), (1, None, "assistant", "abc"), (1, None, "user", None), (1, 0, "user", "abc"), (1, 1, "assistant", "r"),
+    )
+    got = link_tool_calls(messages_from_turns(turns)).collect()
+    assert sorted(r.status for r in got) == ["no call", "no result", "no result", "ok", "unknown tool"]
+    assert {r.id for r in got if r.status == "ok"} == {"c0"}
+    assert [r.n_results for r in got if r.id.startswith("result ")] == [1]
