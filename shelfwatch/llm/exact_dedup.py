@@ -1,88 +1,128 @@
 """Exact dedup with an extendible-hash index on shared files.
 
-Every text gets a digest; its first bits are the index key. The index holds one
-entry per different text, however many copies there are, so a group with a third
-of all rows is one entry. The directory starts with one bucket and doubles: a
-bucket with more than ``capacity`` entries is split by the next bit until every
-bucket fits. Buckets lie in folders of their own below the shared folder, and the
-task that owns a range of buckets counts, chains and compares what falls into it.
-
-Texts with the same key but different digests are links of one chain. Texts with
-equal digests are compared byte by byte: grouped by the text itself, with copies
-combined inside each task before the shuffle.
+Every text gets a digest; its first bits are the index key. Rows are combined to
+postings, at most ``SHARES`` per text, so a group with a third of all rows is a
+handful of postings. The directory starts with one bucket and doubles: a bucket
+with more than ``capacity`` postings is split by the next bit until every bucket
+fits. The directory sends each posting to its bucket, and owner tasks take ranges
+of buckets: what a task receives it merges to one entry per text, chains by key and
+writes to the shared folder. Texts that have copies are sent to the owners of their
+buckets in the same way and compared there, byte by byte.
+
+Texts with the same key but different digests are links of one chain.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelfwatch.llm.common import ascii_lower, bit_filter, own_columns, passes, staged, unused
-from shelfwatch.session import fresh_path
 
 #: Bits of the digest that the directory may use at most.
 MAX_DEPTH = 20
+#: Postings of a bucket before it is split.
+CAPACITY = 1 << 14
+#: Postings, and texts to compare, that one group of copies may send to its owner.
+SHARES = 8
 
 
 def _cell(key: Column) -> Column:
     return F.conv(F.substring(key, 1, MAX_DEPTH // 4), 16, 10).cast("bigint")
 
 
-def directory(entries: DataFrame, capacity: int, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """Per occupied cell of ``max_depth`` bits: its bucket's depth and number.
+def _share(row_no: Column) -> Column:
+    """Which share of a group a row belongs to; rows of one task are in one share."""
+    return F.pmod(F.shiftright(row_no, 33), F.lit(SHARES))
 
-    The depth is the smallest at which the bucket of the cell holds at most
-    ``capacity`` entries, which is where repeated doubling ends; a bucket that no
-    bit can split stays overfull at ``max_depth`` and grows a chain instead.
+
+def directory(postings: DataFrame, capacity: int, max_depth: int = MAX_DEPTH) -> DataFrame:
+    """The buckets that hold anything, ``depth, bucket``, once doubling has ended.
+
+    A bucket stays whole at the smallest depth at which it holds at most ``capacity``
+    postings, which is where repeated doubling ends. One that no bit can split stays
+    overfull at ``max_depth`` and its owner works through a longer range.
     """
-    cells = entries.groupBy(_cell(F.col("key")).alias("cell")).agg(F.count("*").alias("held"))
+    cells = postings.groupBy(_cell(F.col("key")).alias("cell")).agg(F.count("*").alias("held"))
     # One count per depth that a doubling could stop at.
     levels = cells.withColumn("depth", F.explode(F.sequence(F.lit(0), F.lit(max_depth))))
-    prefix = F.expr(f"shiftright(cell, {max_depth} - depth)")
-    levels = levels.withColumn("bucket", prefix)
+    levels = levels.withColumn("bucket", F.expr(f"shiftright(cell, {MAX_DEPTH} - depth)"))
     loads = levels.groupBy("depth", "bucket").agg(F.sum("held").alias("load"))
-    fits = loads.where((F.col("load") <= capacity) | (F.col("depth") == max_depth)).select("depth", "bucket")
-    best = levels.join(fits, ["depth", "bucket"]).groupBy("cell").agg(F.min(F.struct("depth", "bucket")).alias("at"))
-    return best.select("cell", "at.depth", "at.bucket")
+    overfull = (F.col("load") > capacity) & (F.col("depth") < max_depth)
+    # Halves of a split bucket, whose own count does not call for another split.
+    split = loads.where(overfull).select(
+        (F.col("depth") + 1).alias("depth"), F.explode(F.array(F.col("bucket") * 2, F.col("bucket") * 2 + 1)).alias("bucket")
+    )
+    whole = loads.where(~overfull).select("depth", "bucket")
+    return whole.where("depth = 0").unionByName(whole.join(split, ["depth", "bucket"]))
+
 
+def pointers(buckets: DataFrame) -> tuple[DataFrame, int]:
+    """The directory's pointers, ``pointer, depth, bucket, first_cell``, and its depth, that of the deepest bucket."""
+    depth = buckets.agg(F.max("depth")).first()[0] or 0
+    first = f"shiftleft(bucket, {depth} - depth)"
+    spread = F.expr(f"explode(sequence({first}, {first} + shiftleft(1L, {depth} - depth) - 1))")
+    return buckets.select(
+        spread.alias("pointer"), "depth", "bucket", F.expr(f"shiftleft(bucket, {MAX_DEPTH} - depth)").alias("first_cell")
+    ), depth
 
-def build_index(rows: DataFrame, capacity: int = 1 << 20) -> DataFrame:
-    """The index over rows with ``key, digest, doc_id, row_no``, written and read back.
 
-    One entry per (key, digest): how many rows share the text and which stays. The
-    row with the largest doc_id stays, a NULL doc_id losing against any other;
+def to_owners(rows: DataFrame, buckets: DataFrame) -> DataFrame:
+    """``rows`` with ``depth, bucket, first_cell`` of their key's bucket, each range of buckets in one task.
+
+    No bucket is cut, so what is grouped by ``first_cell`` and more needs no further exchange.
+    """
+    table, depth = pointers(buckets)
+    found = rows.withColumn("pointer", F.shiftright(_cell(F.col("key")), MAX_DEPTH - depth)).join(table, "pointer")
+    return found.drop("pointer").repartitionByRange("first_cell")
+
+
+def build_index(rows: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame, DataFrame]:
+    """The index over rows with ``key, digest, doc_id, row_no``, and its buckets, written and read back.
+
+    One entry per (key, digest): ``group_size``, ``owner`` (doc_id and row_no of the row that
+    stays), ``chain_length`` (different digests under the key) and the bucket's ``depth, bucket``.
+    The row with the largest doc_id stays, a NULL doc_id losing against any other;
     among rows that repeat that doc_id, the last one read.
     """
-    entries = staged(
-        rows.groupBy("key", "digest").agg(
-            F.count("*").alias("group_size"), F.max(F.struct("doc_id", "row_no")).alias("owner")
+    postings = staged(
+        rows.groupBy("key", "digest", _share(F.col("row_no")).alias("share")).agg(
+            F.count("*").alias("held"), F.max(F.struct("doc_id", "row_no")).alias("last")
         ),
-        "entries",
+        "postings",
+    )
+    buckets = staged(directory(postings, capacity), "directory")
+    bucket = ["first_cell", "depth", "bucket"]
+    merged = to_owners(postings, buckets).groupBy(*bucket, "key", "digest").agg(
+        F.sum("held").alias("group_size"), F.max("last").alias("owner")
     )
-    found = directory(entries, capacity)
-    bucketed = entries.withColumn("cell", _cell(F.col("key"))).join(found, "cell").drop("cell")
-    path = fresh_path(rows.sparkSession, "hash-index")
-    # Owner tasks: a range of buckets each, so that a folder is written by one task or a few.
-    bucketed.repartitionByRange("depth", "bucket").write.partitionBy("depth", "bucket").parquet(path)
-    schema = T.StructType([*entries.schema.fields, T.StructField("depth", T.IntegerType()), T.StructField("bucket", T.LongType())])
-    return rows.sparkSession.read.schema(schema).parquet(path)
+    chain = Window.partitionBy("first_cell", "key")
+    entries = merged.withColumn("chain_length", F.count("*").over(chain))
+    return staged(entries.drop("first_cell"), "hash-index"), buckets
 
 
-def unequal_bytes(texts: DataFrame, index: DataFrame) -> DataFrame:
+def unequal_bytes(texts: DataFrame, index: DataFrame, buckets: DataFrame) -> DataFrame:
     """Digests under which different texts lie; empty unless the digest itself collides.
 
-    Only texts with an entry of several rows are compared. A bitmap of fixed size
-    keeps most others out of the shuffle; the join settles the rest.
+    ``texts`` has ``key, digest, norm, row_no``. Only texts whose entry holds several rows are
+    compared: a bitmap of fixed size keeps most others out of the shuffle. The least and the
+    greatest text of a share go to the owner of the bucket; bytes are equal where these are.
     """
     several = index.where("group_size > 1").select("digest")
     kept = texts.where(passes(bit_filter(several, "digest"), F.col("digest")))
-    different = kept.groupBy("digest", "norm").agg(F.count("*").alias("copies"))
-    return different.groupBy("digest").agg(F.count("*").alias("texts")).where("texts > 1").select("digest")
+    shares = kept.groupBy("key", "digest", _share(F.col("row_no")).alias("share")).agg(
+        F.min("norm").alias("least"), F.max("norm").alias("greatest")
+    )
+    # Equal ends go on as one text.
+    ends = shares.withColumn("greatest", F.when(F.col("greatest") != F.col("least"), F.col("greatest")))
+    met = to_owners(ends, buckets).groupBy("first_cell", "key", "digest").agg(
+        F.min("least").alias("least"), F.greatest(F.max("least"), F.max("greatest")).alias("greatest")
+    )
+    return met.where("least != greatest").select("digest")
 
 
 def exact_dedup(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", capacity: int = 1 << 20, key_digits: int = 16
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", capacity: int = CAPACITY, key_digits: int = 16
 ) -> DataFrame:
     """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256, chain_length``.
 
@@ -100,21 +140,21 @@ def exact_dedup(
         .withColumn("row_no", F.monotonically_increasing_id()),
         "digests",
     )
-    index = build_index(rows, capacity)
-    texts = docs.select(norm.alias("norm")).withColumn("digest", F.sha2("norm", 256))
-    clash = unequal_bytes(texts, index).take(1)
+    index, buckets = build_index(rows, capacity)
+    texts = docs.select(norm.alias("norm")).withColumn("digest", F.sha2("norm", 256)).select(
+        F.substring("digest", 1, key_digits).alias("key"), "digest", "norm", F.monotonically_increasing_id().alias("row_no")
+    )
+    clash = unequal_bytes(texts, index, buckets).take(1)
     if clash:
         raise ValueError(f"two different texts have the digest {clash[0]['digest']}")
-    chains = index.groupBy("key").agg(F.count("*").alias("chain_length")).where("chain_length > 1")
-    entries = index.select("key", "digest", "group_size", "owner")
-    linked = rows.join(entries, ["key", "digest"]).join(chains, "key", "left")
-    return linked.select(
+    entries = index.select("key", "digest", "group_size", "owner", "chain_length")
+    return rows.join(entries, ["key", "digest"]).select(
         "doc_id",
         F.col("owner.doc_id").alias("keep_id"),
         "group_size",
         (F.col("row_no") == F.col("owner.row_no")).alias("kept"),
         F.col("digest").alias("text_sha256"),
-        F.coalesce("chain_length", F.lit(1).cast("bigint")).alias("chain_length"),
+        "chain_length",
     )
 
 
