@@ -1,6 +1,6 @@
 """Mixing sources to target weights by systematic sampling.
 
-Targets come from one small row per source. Each document of a source is expected
+Targets come from sums along the sources, one row each. Each document of a source is expected
 ``target / source size`` times. The expected copies are summed up along the
 documents of the source in order of size, one random offset is added, and a
 document is taken once for every whole number that its stretch of the sum crosses.
@@ -33,39 +33,53 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit("[^\\x20\\x09-\\x0D]+")), F.lit(0)).cast("bigint")
 
 
+def _with_sums_before(rows: DataFrame, order: Sequence[Column], *columns: str) -> DataFrame:
+    """``rows`` with, per column, the sum over the rows before in a strict ``order`` as ``<column>_before``.
+
+    Ranges of the order are dealt to tasks and summed there; one row per range meets in a task.
+    """
+    dealt = staged(rows.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), "sums")
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+
+    def before(column: str, window) -> Column:
+        return F.coalesce(F.sum(column).over(window), F.lit(0))
+
+    per_range = dealt.groupBy("range").agg(*[F.sum(c).alias(c) for c in columns])
+    shifts = per_range.select("range", *[before(c, earlier).alias(f"{c}_shift") for c in columns])
+    summed = dealt.withColumns({f"{c}_here": before(c, within) for c in columns}).join(shifts, "range")
+    return summed.select(*rows.columns, *[(F.col(f"{c}_here") + F.col(f"{c}_shift")).alias(f"{c}_before") for c in columns])
+
+
 def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS) -> DataFrame:
     """``source, weight, source_size, target`` from rows with ``source, size``.
 
     The common level is where the sum of ``min(weight x level, 2 x size)`` meets the
     total. Sources are ordered by the level at which they are full; those before the
-    first that stays below its cap are full. One row per source reaches the windows.
+    first that stays below its cap are full. Numbers and sums along the sources come from
+    ranges, so a source per host or per document is no task's burden. An empty table has none.
     """
-    per_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    by_name = Window.orderBy(F.col("source").isNull(), "source")
+    per_source = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.lit(1).cast("bigint").alias("one"))
+    by_name = [F.col("source").isNull(), F.col("source")]
     choice = F.array(*[F.lit(w).cast("bigint") for w in weights])
-    weighed = per_source.withColumn(
-        "weight", F.element_at(choice, ((F.row_number().over(by_name) - 1) % len(weights) + 1).cast("int"))
+    weighed = _with_sums_before(per_source, by_name, "one").select(
+        "source", "source_size",
+        F.element_at(choice, (F.col("one_before") % len(weights) + 1).cast("int")).alias("weight"),
+        (F.lit(MOST_COPIES) * F.col("source_size")).alias("cap"),
     )
-    cap = F.lit(MOST_COPIES) * F.col("source_size")
     # Full at the level cap / weight; names settle equal levels.
-    before = Window.orderBy(cap / F.col("weight"), F.col("source").isNull(), "source").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    summed = (
-        weighed.withColumn("cap", cap)
-        .withColumn("full_before", F.coalesce(F.sum("cap").over(before), F.lit(0)))
-        .withColumn("weight_left", F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0)))
-        .withColumn("halves_left", F.lit(TOTAL_HALVES) * F.sum("source_size").over(everything) - 2 * F.col("full_before"))
+    summed = staged(_with_sums_before(weighed, [F.col("cap") / F.col("weight"), *by_name], "cap", "weight"), "levels")
+    total = summed.agg(F.struct(F.sum("weight").alias("weight"), F.sum("source_size").alias("size")).alias("total")).scalar()
+    left = summed.withColumn("weight_left", total["weight"] - F.col("weight_before")).withColumn(
+        "halves_left", F.lit(TOTAL_HALVES) * total["size"] - 2 * F.col("cap_before")
     )
     # cap / weight < left / weight left: the source is full. Levels rise, so the full ones come first.
-    full = 2 * F.col("cap") * F.col("weight_left") <= F.col("halves_left") * F.col("weight")
-    flagged = summed.withColumn("full", full)
-    level = F.min(F.when(~F.col("full"), F.struct("full_before", "halves_left", "weight_left"))).over(everything)
-    return flagged.withColumn("at", level).select(
+    flagged = left.withColumn("full", 2 * F.col("cap") * F.col("weight_left") <= F.col("halves_left") * F.col("weight"))
+    level = flagged.where("NOT full").agg(F.min(F.struct("cap_before", "halves_left", "weight_left")).alias("at")).scalar()
+    return flagged.select(
         "source", "weight", "source_size",
         F.when(F.col("full"), F.col("cap").cast("double"))
-        .otherwise(F.col("weight") * F.col("at.halves_left") / (2 * F.col("at.weight_left")))
+        .otherwise(F.col("weight") * level["halves_left"] / (2 * level["weight_left"]))
         .alias("target"),
     )
 

@@ -33,6 +33,15 @@ def test_targets(rows):
         assert {r.source: round(r.target, 6) for r in got} == {n: round(v, 6) for n, v in want.items()}
 
 
+def test_targets_of_many_sources(rows, spark):
+    sizes = {f"host{i * 7919 % 3001}": i * i % 977 for i in range(3001)}
+    made = spark.createDataFrame(list(sizes.items()), "source string, size bigint").repartition(5)
+    got = {r.source: r.target for r in targets(made).collect()}
+    want = shares(sizes)
+    assert got.keys() == want.keys() and all(abs(got[s] - want[s]) < 1e-6 for s in want)
+    assert targets(made.where("false")).count() == 0
+
+
 def corpus():
     return [document(i, prose(i, 1 + i * 7 % 90), source="hot" if i % 3 == 0 else f"s{i % 7}") for i in range(600)]
 
