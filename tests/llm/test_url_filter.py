@@ -2,7 +2,7 @@ import re
 
 import pytest
 
-from shelfwatch.llm.url_filter import MOST_RULES, RULES, judge, labelled_urls, matching_rule, train
+from shelfwatch.llm.url_filter import MOST_RULES, RULES, judge, labelled_urls, matching_rule, split_by_host, train
 
 PAGES = "page_id bigint, url string, html string, host string, rule string"
 
@@ -57,6 +57,15 @@ def test_unwanted_hosts_of_the_pages_are_found(spark, model):
     assert counts.get((False, True), 0) <= 0.02 * counts[False, False]
 
 
+def test_hosts_held_out_are_judged_right(spark):
+    taught, held = split_by_host(labelled_urls(spark))
+    rows = held.selectExpr("CAST(label AS BIGINT) AS page_id", "url")
+    total, right = rows.count(), judge(rows, train(taught)).where("(score > 0.5) = (page_id = 1)").count()
+    print(f"held out: {right} of {total}")
+    assert total > 150 and right >= 0.95 * total
+    assert taught.count() + total == labelled_urls(spark).count()
+
+
 def test_longest_rule_wins_and_rules_are_bounded(rows, spark):
     table = rows("h string, p string", ("a.b.c", "/x/y"))
     choice = matching_rule(table.h, table.p, [("c/", "block"), ("b.c/x/", "allow"), ("c/x/y/", "block"), ("a.b.c", "block"), ("b.c/x?", "block")])
