@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from shelfwatch.operators.keyfilter import MOST_SLOTS, SLOTS, bit_filter, passes
+from shelfwatch.session import materialise
+
 
 def exact_dedup(df: DataFrame, time_column: str = "scraped_at") -> DataFrame:
     """One row per set of rows that agree on every column but the time.
@@ -49,6 +52,30 @@ def latest_per_key(
     return picked.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
 
+def near_newest(
+    df: DataFrame,
+    keys: Sequence[str],
+    time: str,
+    nulls: str = "last",
+    stage: Callable[[DataFrame, str], DataFrame] = materialise,
+) -> DataFrame:
+    """All rows that have the newest time of their key, and few others; for wide rows ahead of :func:`latest_per_key`.
+
+    The newest time per key is found from the narrow columns alone, by hash. Only rows that
+    pass a bitmap of the pairs of key and time go on, so that :func:`latest_per_key` does not
+    sort every wide row of an input split. Reads ``df`` twice; its first read needs the keys
+    and the time only.
+    """
+    newest = F.max(time)
+    if nulls == "first":
+        newest = F.when(F.count_if(F.col(time).isNull()) == 0, newest)
+    found = stage(df.groupBy(*keys).agg(newest.alias(time)).select(F.xxhash64(*keys, time).alias("_at")), "newest")
+    slots = SLOTS
+    while slots < min(16 * found.count(), MOST_SLOTS):
+        slots *= 2
+    return df.where(passes(bit_filter(found, "_at", slots), F.xxhash64(*keys, time), slots))
+
+
 #: Rows per group up to which the planner prunes a ranking inside each task by itself.
 PLANNER_PRUNES = 1000
 #: Parts that a group is ranked in first, beyond that.

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SLOTS = 1 << 20
+#: The largest bitmap, 8 MB.
+MOST_SLOTS = 1 << 26
 
 
 def _slot(key: Column, slots: int) -> Column:

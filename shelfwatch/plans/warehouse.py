@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from shelfwatch.functions.dates import calendar_parts, date_key, to_time
 from shelfwatch.functions.numeric import to_decimal, to_key
 from shelfwatch.functions.text import text_flag
-from shelfwatch.operators.dedup import latest_per_key
+from shelfwatch.operators.dedup import latest_per_key, near_newest
 from shelfwatch.operators.quality import not_null_violations, orphan_keys, uniqueness
 from shelfwatch.schema import (
     CLEAN_COLUMNS,
@@ -79,7 +79,8 @@ def load_dim_product(raw: DataFrame) -> DataFrame:
     reloads, where a 64-bit hash would start to collide near a billion products
     and a global numbering would need one task.
     """
-    newest = latest_per_key(identified(raw), ["product_key"], "scraped_at", PRODUCT_ATTRIBUTES)
+    rows = near_newest(identified(raw), ["product_key"], "scraped_at")
+    newest = latest_per_key(rows, ["product_key"], "scraped_at", PRODUCT_ATTRIBUTES)
     return typed_products(newest)
 
 
@@ -152,6 +153,7 @@ def load_fact(
     dim_discount_band: DataFrame,
     dim_product: DataFrame | None = None,
     arrival: int = 0,
+    buckets: int | None = None,
 ) -> DataFrame:
     """One row per landing row with a readable time and id.
 
@@ -162,9 +164,15 @@ def load_fact(
     ``snapshot_key`` is a digest (128 bits, as hex) of what the row says, its place among
     rows that say the same, and the number of the ``arrival`` it came with. So it is the same
     after every reload, in whatever order the rows come; :func:`audit_unique` would show a
-    collision. Equal rows are counted, combined in each task before the shuffle, and not ranked.
+    collision. Equal rows are counted and not ranked.
+
+    Nearly all rows differ. They are dealt out first and counted where they arrive, because
+    counting them in each input split as well would hold the whole split and shrink nothing.
+    With ``buckets`` they are dealt by product key into that many parts and stay there, ready
+    to be written as buckets.
     """
     rows = _measured(raw, dim_price_tier, dim_discount_band, dim_product)
+    rows = rows.repartition(*rows.columns) if buckets is None else rows.repartition(buckets, "product_key")
     each = _repeated(rows.groupBy(*rows.columns).agg(F.count("*").alias("_n")))
     said = ["product_key", "snapshot_ts", "price_tier", "discount_band", *FACT_MEASURES, "_nth"]
     texts = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in said]
@@ -197,19 +205,25 @@ STAR_COLUMNS = list(
 
 
 def build_star(
-    raw: DataFrame, stage: Callable[[DataFrame, str], DataFrame] = materialise
+    raw: DataFrame,
+    stage: Callable[[DataFrame, str], DataFrame] = materialise,
+    buckets_for: Callable[[DataFrame], int] | None = None,
 ) -> dict[str, DataFrame]:
     """Dimensions and fact over the same landing rows.
 
     The landing rows are written once, as the columns that the star reads, and read three
     times with pruned columns. The product dimension is written before the fact meets it:
     joined as a table it is broadcast when small, and when large Spark may split the
-    partition of a hot product. The fact is written too, which fixes its keys.
+    partition of a hot product. The fact is written too, which fixes its keys;
+    ``buckets_for`` tells from the written landing rows into how many buckets.
     """
     landing = stage(raw.select(*STAR_COLUMNS), "landing")
+    buckets = buckets_for(landing) if buckets_for else None
     star = small_dimensions(landing, stage)
     star["dim_product"] = stage(load_dim_product(landing), "dim-product")
-    star["fact_product_snapshot"] = stage(load_fact(landing, star["dim_price_tier"], star["dim_discount_band"]), "fact")
+    star["fact_product_snapshot"] = stage(
+        load_fact(landing, star["dim_price_tier"], star["dim_discount_band"], buckets=buckets), "fact"
+    )
     return star
 
 

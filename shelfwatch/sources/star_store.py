@@ -21,9 +21,15 @@ from pyspark.sql import functions as F
 
 from shelfwatch.plans import warehouse
 from shelfwatch.schema import BUCKET_KEYS, STAR_TYPES
+from shelfwatch.session import materialise
 from shelfwatch.sources import versions
 
+#: Buckets of a small star.
 BUCKETS = 64
+#: Landing rows per bucket beyond that: a bucket is written, sorted and read by one task.
+ROWS_PER_BUCKET = 500_000
+#: The tables that are written as they are built.
+BUILT = {"dim-product": "dim_product", "fact": "fact_product_snapshot"}
 
 
 class StarRefused(ValueError):
@@ -47,8 +53,8 @@ def _write(df: DataFrame, name: str, table: str, path: str, buckets: int) -> Non
         # Labels and dates, one file.
         checked.coalesce(1).write.option("path", path).saveAsTable(table, format="parquet")
         return
-    # The same hash deals rows to tasks and to buckets: one file per bucket.
-    dealt = checked.repartition(buckets, key)
+    # The same hash deals rows to tasks and to buckets: one file per bucket. The fact comes dealt.
+    dealt = checked if name == "fact_product_snapshot" else checked.repartition(buckets, key)
     dealt.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table, format="parquet")
 
 
@@ -81,6 +87,9 @@ def reload_star(
 ) -> dict[str, DataFrame]:
     """Load the star of the landing rows ``raw`` and make it current; returns it.
 
+    ``buckets`` is the least number of buckets; there are more where a bucket would get more
+    than ``ROWS_PER_BUCKET`` rows. The fact moves once, to its buckets, and is written there.
+
     Raises :class:`StarRefused` where a table does not conform or an audit finds a fault,
     and :class:`versions.ConcurrentPublish` where another reload was faster; the star
     that was current stays current then, and what was written is deleted.
@@ -93,10 +102,23 @@ def reload_star(
         "paths": {name: f"{root}/{version}/{name}" for name in STAR_TYPES},
     }
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+
+    def buckets_for(landing: DataFrame) -> int:
+        state["buckets"] = max(buckets, -(-landing.count() // ROWS_PER_BUCKET))
+        return state["buckets"]
+
+    def write(df: DataFrame, name: str) -> DataFrame:
+        _write(df, name, table_name(state, name), state["paths"][name], state["buckets"])
+        return spark.table(table_name(state, name))
+
+    def stage(df: DataFrame, label: str) -> DataFrame:
+        return write(df, BUILT[label]) if label in BUILT else materialise(df, label)
+
     try:
-        staged = warehouse.build_star(raw)
+        staged = warehouse.build_star(raw, stage, buckets_for)
         for name, df in staged.items():
-            _write(df, name, table_name(state, name), state["paths"][name], buckets)
+            if name not in BUILT.values():
+                write(df, name)
         star = _frames(spark, state)
         faults = audit(star) if audited else []
         if faults:

@@ -151,3 +151,28 @@ def test_views_resolve_in_another_session_and_follow_a_reload(spark, root):
     assert other.table("shelf_views.product_snapshot").count() == 38
     views.publish_views(spark, root, "shelf_views")
     assert other.table("shelf_views.product_snapshot").count() == 9
+
+
+def test_buckets_grow_with_the_rows(spark, root, monkeypatch):
+    monkeypatch.setattr(star_store, "ROWS_PER_BUCKET", 5)
+    star = star_store.reload_star(spark, landing(spark, named()), root, buckets=4)
+    state = versions.state(spark, root)
+    assert state["buckets"] == 8  # 38 rows
+    again = star_store.read_star(spark, root)["fact_product_snapshot"]
+    assert again.count() == star["fact_product_snapshot"].count() == 38
+    assert again.select(F.input_file_name()).distinct().count() <= 8
+    assert warehouse.audit_unique(star).where("NOT is_unique").count() == 0
+
+
+def test_the_fact_moves_once(spark, root, monkeypatch):
+    plans = []
+    write = star_store._write
+
+    def seen(df, name, *rest):
+        plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return write(df, name, *rest)
+
+    monkeypatch.setattr(star_store, "_write", seen)
+    star_store.reload_star(spark, landing(spark, named()), root, buckets=4)
+    plan = next(text for name, text in plans if name == "fact_product_snapshot")
+    assert plan.count("RepartitionByExpression [product_key") == 1 and plan.index("Aggregate") < plan.index("RepartitionByExpression")

@@ -163,3 +163,13 @@ def test_landing_rows_are_read_once(rows):
     star = warehouse.build_star(landing)
     for name, table in star.items():
         assert all("landing" in f or "labels" in f or "dim-product" in f or "fact" in f for f in table.inputFiles()), name
+
+
+def test_the_fact_is_counted_after_it_is_dealt(spark, rows):
+    cells = [tuple(c.get(n) for n in CLEAN_COLUMNS) for c in landing_cells()]
+    raw = rows(", ".join(f"{c} string" for c in CLEAN_COLUMNS), *cells)
+    small = warehouse.small_dimensions(raw)
+    fact = warehouse.load_fact(raw, small["dim_price_tier"], small["dim_discount_band"])
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    wide = [line for line in plan.splitlines() if "Exchange hashpartitioning(date_key" in line]
+    assert len(wide) == 1 and "REPARTITION_BY_COL" in wide[0]  # no second exchange, no count ahead of the first
