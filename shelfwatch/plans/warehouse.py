@@ -293,22 +293,17 @@ def audit_unique(star: dict[str, DataFrame]) -> DataFrame:
 def audit_foreign_keys(star: dict[str, DataFrame]) -> DataFrame:
     """Fact rows per foreign key that point to no dimension row; a NULL key points to none and is no orphan.
 
-    One pass over the fact: it is counted by all keys at once, each dimension marks the
-    keys it has, and one aggregate adds up the unmarked.
+    Every key is counted alone, in each task before the shuffle, so that what moves is a row
+    per value and task. Counted by all keys at once nearly every fact row would be a group.
     """
-    keys = [key for key, _ in FOREIGN_KEYS]
-    counted = star["fact_product_snapshot"].groupBy(*keys).agg(F.count("*").alias("n"))
-    for key, table in FOREIGN_KEYS:
-        counted = counted.join(star[table].select(key, F.lit(True).alias(f"_{table}")).distinct(), key, "left")
-    sums = [
-        F.sum(F.when(F.col(key).isNotNull() & F.col(f"_{table}").isNull(), F.col("n")).otherwise(0)).alias(table)
+    fact = star["fact_product_snapshot"]
+    checks = [
+        orphan_keys(fact, key, star[table]).agg(
+            F.lit(table).alias("dimension"), F.coalesce(F.sum("row_count"), F.lit(0)).cast("bigint").alias("orphan_rows")
+        )
         for key, table in FOREIGN_KEYS
     ]
-    total = counted.agg(*sums)
-    rows = F.array(*[
-        F.struct(F.lit(t).alias("dimension"), F.coalesce(F.col(t), F.lit(0)).cast("bigint").alias("orphan_rows")) for _, t in FOREIGN_KEYS
-    ])
-    return total.select(F.inline(rows))
+    return _union(checks)
 
 
 def audit_not_null(star: dict[str, DataFrame]) -> DataFrame:

@@ -173,3 +173,20 @@ def test_the_fact_is_counted_after_it_is_dealt(spark, rows):
     plan = fact._jdf.queryExecution().executedPlan().toString()
     wide = [line for line in plan.splitlines() if "Exchange hashpartitioning(date_key" in line]
     assert len(wide) == 1 and "REPARTITION_BY_COL" in wide[0]  # no second exchange, no count ahead of the first
+
+
+def test_each_foreign_key_is_counted_alone(rows):
+    star = {
+        "fact_product_snapshot": rows(
+            "date_key int, product_key long, price_tier_key long, discount_band_key long",
+            (1, 1, 1, None), (2, 1, 1, 1), (2, 9, None, 1), (None, 9, 3, 1),
+        ),
+        "dim_date": rows("date_key int", (1,), (1,)),
+        "dim_product": rows("product_key long", (1,), (2,)),
+        "dim_price_tier": rows("price_tier_key long", (1,)),
+        "dim_discount_band": rows("discount_band_key long", (1,)),
+    }
+    found = warehouse.audit_foreign_keys(star)
+    assert [tuple(r) for r in found.collect()] == [("dim_date", 2), ("dim_product", 2), ("dim_price_tier", 1), ("dim_discount_band", 0)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "keys=[date_key" in plan and not [line for line in plan.splitlines() if "keys=[date_key" in line and "product_key" in line]
