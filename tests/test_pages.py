@@ -265,3 +265,15 @@ def test_a_page_with_many_cards_takes_time_in_proportion(rows):
     seconds(100)
     small, large = seconds(1000), seconds(10_000)
     assert large < 10 * small + 5
+
+
+def test_rows_of_a_batch_leave_in_runs():
+    import pandas as pd
+
+    from shelfwatch.sources import outline as module
+
+    page = "<p>" + "x" * (module.OUTLINED_AT_ONCE // 4) + "</p>"
+    batch = pd.Series([page] * 9 + [None, "<p>last</p>"])
+    made = list(module._outlines(iter([batch, batch[:0]])))
+    assert [len(part) for part in made] == [4, 4, 3]
+    assert [rows for part in made for rows in part] == [module.outline(p, module.LABEL_CLASSES) for p in batch]
