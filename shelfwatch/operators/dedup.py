@@ -52,28 +52,65 @@ def latest_per_key(
     return picked.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
 
+def _at_any(df: DataFrame, found: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
+    """Rows whose key and time are among the written ``found``, and few others; nothing is shuffled."""
+    slots = SLOTS
+    while slots < min(16 * found.count(), MOST_SLOTS):
+        slots *= 2
+    pairs = found.select(F.xxhash64(*keys, time).alias("_at"))
+    return df.where(passes(bit_filter(pairs, "_at", slots), F.xxhash64(*keys, time), slots))
+
+
 def near_newest(
     df: DataFrame,
     keys: Sequence[str],
     time: str,
     nulls: str = "last",
     stage: Callable[[DataFrame, str], DataFrame] = materialise,
+    read: DataFrame | None = None,
 ) -> DataFrame:
     """All rows that have the newest time of their key, and few others; for wide rows ahead of :func:`latest_per_key`.
 
     The newest time per key is found from the narrow columns alone, by hash. Only rows that
     pass a bitmap of the pairs of key and time go on, so that :func:`latest_per_key` does not
-    sort every wide row of an input split. Reads ``df`` twice; its first read needs the keys
-    and the time only.
+    sort every wide row of an input split. Reads ``df`` twice; its first read, for which
+    ``read`` may stand in, needs the keys and the time only.
     """
     newest = F.max(time)
     if nulls == "first":
         newest = F.when(F.count_if(F.col(time).isNull()) == 0, newest)
-    found = stage(df.groupBy(*keys).agg(newest.alias(time)).select(F.xxhash64(*keys, time).alias("_at")), "newest")
-    slots = SLOTS
-    while slots < min(16 * found.count(), MOST_SLOTS):
-        slots *= 2
-    return df.where(passes(bit_filter(found, "_at", slots), F.xxhash64(*keys, time), slots))
+    found = stage((df if read is None else read).groupBy(*keys).agg(newest.alias(time)), "newest")
+    return _at_any(df, found, keys, time)
+
+
+def newest_distinct(
+    df: DataFrame,
+    keys: Sequence[str],
+    time: str,
+    nulls: str = "last",
+    stage: Callable[[DataFrame, str], DataFrame] = materialise,
+    read: DataFrame | None = None,
+    watch: Callable[[DataFrame], DataFrame] = lambda found: found,
+) -> DataFrame:
+    """:func:`exact_dedup`, then :func:`latest_per_key`, for wide rows: only those that can win are moved.
+
+    Copies are found by key and a 128-bit hash of all columns but the time. The earliest time
+    of each set of copies and the newest of those per key follow from these narrow rows;
+    ``watch`` sees one for each set. The rows themselves are read again for the winners.
+    """
+    others = [c for c in df.columns if c != time]
+    # Hashes skip NULLs, so which columns are NULL is hashed as well.
+    gaps = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in others])
+    halves = {f"_half_{i}": F.xxhash64(F.lit(i), gaps, *others) for i in (1, 2)}
+    same = [*keys, *halves]
+    narrow = (df if read is None else read).withColumns(halves).select(*same, time)
+    sets = watch(narrow.groupBy(*same).agg(F.min(time).alias(time)))
+    newest = F.col(time).desc_nulls_first() if nulls == "first" else F.col(time).desc_nulls_last()
+    ranked = sets.withColumn("_rank", F.rank().over(W.partitionBy(*keys).orderBy(newest)))
+    found = stage(ranked.where("_rank = 1").drop("_rank"), "newest")
+    rows, won = _at_any(df, found, keys, time).withColumns(halves).alias("r"), found.alias("w")
+    agree = [F.col(f"r.{c}").eqNullSafe(F.col(f"w.{c}")) for c in (*same, time)]
+    return latest_per_key(rows.join(won, agree, "left_semi").select(*df.columns), keys, time, nulls=nulls)
 
 
 #: Rows per group up to which the planner prunes a ranking inside each task by itself.

@@ -8,19 +8,27 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shelfwatch.operators import features, normalise, outliers, parsing, quality
-from shelfwatch.operators.dedup import dedup_snapshots, exact_dedup
+from shelfwatch.operators.dedup import latest_per_key, near_newest, newest_distinct
 from shelfwatch.schema import CLEAN_COLUMNS, HELPER_COLUMNS
 from shelfwatch.session import materialise
 
 
-def type_and_dedup(raw: DataFrame, exact: bool = True, nulls: str = "last") -> DataFrame:
-    return dedup_snapshots(normalise.enforce_schema(raw), exact=exact, nulls=nulls)
-
-
 def _unwatched(df: DataFrame, *counters: Column) -> DataFrame:
     return df
 
 
+def type_and_dedup(
+    raw: DataFrame, exact: bool = True, nulls: str = "last", watch: Callable[..., DataFrame] = _unwatched
+) -> DataFrame:
+    """Typed rows, the newest per product; ``watch`` as in :func:`enrich_rows`, for rows read and rows without copies."""
+    typed = normalise.enforce_schema(raw)
+    read = watch(typed, F.count("*").alias("rows_read"))
+    copies, key, time = F.count("*").alias("rows_without_copies"), ["product_id"], "scraped_at"
+    if exact:
+        return newest_distinct(typed, key, time, nulls, read=read, watch=lambda found: watch(found, copies))
+    return latest_per_key(near_newest(typed, key, time, nulls, read=watch(read, copies)), key, time, nulls=nulls)
+
+
 def enrich_rows(df: DataFrame, watch: Callable[..., DataFrame] = _unwatched) -> DataFrame:
     """Every row-level step; one narrow stage after the dedup.
 
@@ -56,7 +64,7 @@ def clean_products(raw: DataFrame, exact: bool = True, nulls: str = "last") -> D
     """Cleaned products in landing-column order; any other column (``status``) follows.
 
     The row-level result is written once, as the outlier limits and the result
-    both read it; without that the dedup shuffles would run twice.
+    both read it; without that the dedup would run twice.
     """
     rows = materialise(enrich_rows(type_and_dedup(raw, exact, nulls)), "clean-rows")
     return _ordered(outliers.flag_outliers(rows))
@@ -65,7 +73,7 @@ def clean_products(raw: DataFrame, exact: bool = True, nulls: str = "last") -> D
 def run_cleaning(raw: DataFrame, exact: bool = True, nulls: str = "last") -> tuple[DataFrame, dict]:
     """The same rows written to shared storage, without a constant ``status``, and the run summary.
 
-    The counters ride on the two writes; no extra pass over the data.
+    The counters ride on the writes; no extra pass over the data.
     """
     seen: list[Observation] = []
 
@@ -73,9 +81,7 @@ def run_cleaning(raw: DataFrame, exact: bool = True, nulls: str = "last") -> tup
         seen.append(Observation())
         return df.observe(seen[-1], *counters)
 
-    typed = watch(normalise.enforce_schema(raw), F.count("*").alias("rows_read"))
-    once = watch(exact_dedup(typed) if exact else typed, F.count("*").alias("rows_without_copies"))
-    latest = dedup_snapshots(once, exact=False, nulls=nulls)
+    latest = type_and_dedup(raw, exact, nulls, watch)
     rows = quality.drop_constant_columns(materialise(enrich_rows(latest, watch), "clean-rows"), ["status"])
     flagged = watch(
         _ordered(outliers.flag_outliers(rows)),
