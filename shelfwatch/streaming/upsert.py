@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwatch.functions.dates import calendar_parts, to_time
-from shelfwatch.operators.dedup import latest_per_key
+from shelfwatch.operators.dedup import latest_per_key, near_newest
 from shelfwatch.plans import warehouse
 from shelfwatch.schema import FACT_MEASURES, PRODUCT_ATTRIBUTES, STAR_TYPES
 from shelfwatch.session import materialise
@@ -70,8 +70,9 @@ def _merge(spark: SparkSession, root: str, state: dict, table: str, rows: DataFr
     """The newest rows per key of a batch put into the keyed table; ``state`` then names the rewritten parts."""
     key, time, tie_break = KEYED[table]
     folders = state["folders"][table]
+    near = near_newest(rows, [key], time)
     newest = materialise(
-        latest_per_key(rows, [key], time, tie_break).withColumn("part", _part(key, state["parts"])), f"newest-{table}"
+        latest_per_key(near, [key], time, tie_break).withColumn("part", _part(key, state["parts"])), f"newest-{table}"
     )
     touched = sorted(r.part for r in newest.select("part").distinct().collect())  # at most PARTS rows
     old = [f"{root}/{table}/batch_id={folders[str(p)]}/part={p}" for p in touched if str(p) in folders]
