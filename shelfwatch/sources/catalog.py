@@ -41,7 +41,7 @@ def write_star(
     if by_date:
         writer = fact.hint("rebalance", "date_key").write.partitionBy("date_key")
     else:
-        writer = fact.hint("rebalance").write
+        writer = fact.write  # it comes dealt over all tasks
     writer.mode("overwrite").saveAsTable(f"{database}.{name}")
     tables[name] = spark.table(f"{database}.{name}")
     return tables

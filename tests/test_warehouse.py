@@ -190,3 +190,12 @@ def test_each_foreign_key_is_counted_alone(rows):
     assert [tuple(r) for r in found.collect()] == [("dim_date", 2), ("dim_product", 2), ("dim_price_tier", 1), ("dim_discount_band", 0)]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "keys=[date_key" in plan and not [line for line in plan.splitlines() if "keys=[date_key" in line and "product_key" in line]
+
+
+def test_a_fact_not_laid_out_by_date_is_written_as_it_was_dealt(spark, rows, monkeypatch):
+    raw = rows(", ".join(f"{c} string" for c in CLEAN_COLUMNS), *[tuple(c.get(n) for n in CLEAN_COLUMNS) for c in landing_cells()])
+    hints, hint = [], type(raw).hint
+    monkeypatch.setattr(type(raw), "hint", lambda df, name, *rest: hints.append(name) or hint(df, name, *rest))
+    catalog.create_layers(spark, ["dealt_once"])
+    star = catalog.write_star(spark, raw, "dealt_once", by_date=False)
+    assert star["fact_product_snapshot"].count() > 0 and hints == []
