@@ -217,6 +217,26 @@ def cosines(texts: list[str], prototypes: np.ndarray) -> tuple[np.ndarray, np.nd
     return bundles @ prototypes.T / np.where(length > 0, length, 1), np.bincount(of, often, len(texts))
 
 
+def judged(batches: Iterator[pa.RecordBatch], model: Profiles, at: int, kept: int, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """The first ``kept`` columns of every row, its language and its score; the text is column ``at``.
+
+    Rows leave in the parts they are judged in, so that no second batch of whole texts is held.
+    """
+    for batch in batches:
+        for first, last, texts in _parts(batch.column(at)):
+            found, scores = [UNKNOWN] * (last - first), np.zeros(last - first)
+            if model.languages:
+                near, total = cosines(texts, model.prototypes)
+                best = near.round(6).argmax(axis=1)
+                found = [model.languages[b] if n else UNKNOWN for b, n in zip(best, total, strict=True)]
+                score = near[np.arange(len(best)), best].astype(np.float64).round(6).clip(0, 1)
+                scores = np.where(total > 0, score, 0.0)
+            part = batch.slice(first, last - first)
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns[:kept], pa.array(found, pa.string()), pa.array(scores, pa.float64())], names=names
+            )
+
+
 def predict(docs: DataFrame, profiles: Profiles, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` (all, unless named) of ``docs``, the predicted language and its score, the cosine cut to 0 to 1.
 
@@ -237,23 +257,7 @@ def predict(docs: DataFrame, profiles: Profiles, text: str = "text", keep: list[
     schema = docs.limit(0).select(*[F.col(quoted(n)) for n in names], F.lit("").alias(added[0]), F.lit(0.0).alias(added[1])).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for batch in batches:
-            found, scores = [], []
-            for first, last, texts in _parts(batch.column(at)):
-                if not model.languages:
-                    found += [UNKNOWN] * (last - first)
-                    scores += [0.0] * (last - first)
-                    continue
-                near, total = cosines(texts, model.prototypes)
-                best = near.round(6).argmax(axis=1)
-                found += [model.languages[b] if n else UNKNOWN for b, n in zip(best, total, strict=True)]
-                score = near[np.arange(len(best)), best].astype(np.float64).round(6).clip(0, 1)
-                scores += np.where(total > 0, score, 0.0).tolist()
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[: len(names)], pa.array(found, pa.string()), pa.array(scores, pa.float64())],
-                names=[*names, *added],
-            )
+        return judged(batches, shared.value, at, len(names), [*names, *added])
 
     return sent.mapInArrow(run, schema)
 

@@ -9,7 +9,8 @@ close to the target whatever the offset.
 
 The running sum needs each document's rank in its source. Ranges of (source, size)
 are dealt to tasks, ranked there, and shifted by the counts of the ranges before
-them, so a source with a third of all rows is spread over many tasks.
+them, so a source with a third of all rows is spread over many tasks. Only keys are dealt
+and ranked; the documents themselves move once, to their copies.
 """
 
 from __future__ import annotations
@@ -123,9 +124,11 @@ def systematic_mix(
     # Equal rows are told apart by their place, so that no range grows with them.
     sized = sized.withColumn(place_name, F.monotonically_increasing_id())
     keys = [F.col(source_column), F.col(size_name), F.col(id_column), *[F.col(c) for c in tie], F.col(place_name)]
+    whole = staged(sized, "sized")
+    narrow = whole.select(*dict.fromkeys([source_column, size_name, id_column, *tie, place_name]))
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # The number of the range is stored, so that later steps agree on it.
-    dealt = staged(sized.repartitionByRange(width, *keys).withColumn(held, F.spark_partition_id()), "ranges")
+    dealt = staged(narrow.repartitionByRange(width, *keys).withColumn(held, F.spark_partition_id()), "ranges")
     goals = staged(targets(dealt.select(F.col(source_column).alias("source"), F.col(size_name).alias("size")), weights), "targets")
     counted = dealt.groupBy(F.col(source_column).alias(of_source), F.col(held).alias(of_range)).agg(F.count("*").alias("n"))
     earlier = Window.partitionBy(of_source).orderBy(of_range).rowsBetween(Window.unboundedPreceding, -1)
@@ -140,10 +143,10 @@ def systematic_mix(
     place = F.col(rank) + F.col(shift)
     start = offset(F.col(source_column), seed)
     copies = F.floor(rate * place + start) - F.floor(rate * (place - 1) + start)
-    return joined.select(
-        *own_columns(docs), size_name, F.col(plan_size).alias(source_size), F.col(plan_target).alias(target),
-        copies.cast("bigint").alias(copies_name),
+    taken = joined.select(
+        place_name, F.col(plan_size).alias(source_size), F.col(plan_target).alias(target), copies.cast("bigint").alias(copies_name)
     )
+    return whole.join(taken, place_name).select(*own_columns(docs), size_name, source_size, target, copies_name)
 
 
 def mixed_documents(docs: DataFrame, text_column: str = "text", **options) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from corpus import SCHEMA, awkward, document, prose
 
 from shelfwatch.llm import language_id
@@ -122,3 +123,14 @@ def test_parts_of_trigrams_add_up(monkeypatch):
         monkeypatch.setattr(language_id, name, value)
         again, same = language_id.cosines(texts, prototypes)
         assert np.allclose(near, again, atol=1e-5) and (total == same).all()
+
+
+def test_judged_rows_leave_in_parts():
+    texts = [None if i % 50 == 0 else prose(i, 3) for i in range(2 * language_id.HELD_TEXTS + 5)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], names=["c0", "c1"])
+    model = Profiles(["en"], np.eye(1, language_id.DIMENSIONS, dtype=np.float32))
+    parts = list(language_id.judged(iter([batch, batch.slice(0, 0)]), model, 1, 2, ["doc_id", "text", "lang", "score"]))
+    assert [p.num_rows for p in parts] == [language_id.HELD_TEXTS, language_id.HELD_TEXTS, 5]
+    got = pa.Table.from_batches(parts).to_pydict()
+    assert got["doc_id"] == list(range(len(texts))) and got["text"] == texts
+    assert [lang == "und" for lang in got["lang"]] == [t is None for t in texts]

@@ -78,3 +78,12 @@ def test_awkward_rows(rows, spark):
     mixed = mixed_documents(docs)
     assert mixed.columns == [*docs.columns, "copy"] and mixed.count() == sum(r._copies for r in got)
     assert systematic_mix(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_documents_move_once(rows):
+    docs = rows(SCHEMA, *corpus())
+    plan = mixed_documents(docs)._jdf.queryExecution().explainString(
+        docs.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    exchanges = re.findall(r"\(\d+\) (?:Exchange|BroadcastExchange)\nInput \[\d+\]: \[(.*?)\]\n", plan)
+    assert exchanges and sum("text#" in columns for columns in exchanges) <= 1
