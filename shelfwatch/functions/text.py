@@ -36,8 +36,13 @@ def collapse_spaces(c: Column) -> Column:
 
 
 def null_if_token(trimmed: Column, tokens: Iterable[str] = MISSING_TOKENS) -> Column:
-    """A trimmed text, or NULL when it is one of ``tokens`` in any case."""
-    return F.when(~F.lower(trimmed).isin(list(tokens)), trimmed)
+    """A trimmed text, or NULL when it is one of ``tokens`` in any case.
+
+    The tokens are one array: a list of comparisons for each of many columns
+    makes a method too large for the JVM to compile.
+    """
+    words = F.array(*[F.lit(t) for t in tokens]).cast("array<string>")
+    return F.when(~F.array_contains(words, F.lower(trimmed)), trimmed)
 
 
 def capitalize(c: Column) -> Column:

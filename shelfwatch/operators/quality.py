@@ -40,7 +40,7 @@ def orphan_keys(child: DataFrame, key: str, parent: DataFrame, parent_key: str |
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column_name, null_count) for each column, in one pass."""
     columns = list(columns or df.columns)
-    return unpivot_counts(df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]), "null_count")
+    return unpivot_counts(df.agg(*[(F.count("*") - F.count(c)).alias(c) for c in columns]), "null_count")
 
 
 def not_null_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:

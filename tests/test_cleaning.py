@@ -19,6 +19,12 @@ def test_missing_tokens(rows):
     assert column(normalise.standardize_missing(df), "brand", "i") == ["Oban", None, None, None, "nan value", None, None]
 
 
+def test_missing_tokens_of_ones_own(rows):
+    df = rows("i int, brand string", *enumerate([" TBC ", "nan", "", None]))
+    assert column(normalise.standardize_missing(df, tokens=["tbc"]), "brand", "i") == [None, "nan", "", None]
+    assert column(normalise.standardize_missing(df, tokens=[]), "brand", "i") == ["TBC", "nan", "", None]
+
+
 def test_brands(rows):
     texts = ["CHIVAS", "chivas   REGAL", "Secret distillery ", "Talisker  Bay", "chivas extra", None]
     out = normalise.standardize_brands(rows("i int, brand string", *enumerate(texts)))

@@ -90,3 +90,19 @@ def test_hot_key_gives_one_row_per_task(spark):
     out = dedup.latest_per_key(rows, ["k"], "t")
     assert out.count() == rows.select("k").distinct().count()
     assert out.where("k = 7").first().t == 8997
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_null_profile_is_compiled_whatever_the_session(spark, capsys, threshold):
+    """The JVM interprets a method beyond 8,000 bytes, row by row."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": threshold}
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        entry.queries()["null_profile"](spark, FOLDER).explain("codegen")
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) <= 8000
