@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwatch.operators.normalise import unpivot_counts
+from shelfwatch.session import materialise
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -25,14 +26,42 @@ def uniqueness(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def long_key_uniqueness(
+    df: DataFrame, key: str, stage: Callable[[DataFrame, str], DataFrame] = materialise
+) -> DataFrame:
+    """:func:`uniqueness` of a long key that hardly ever repeats; only hashes of it are moved.
+
+    A hash that comes once is a key that comes once. Hashes that come again are written, and
+    the keys of their rows are counted themselves, so two keys with one hash are two keys.
+    """
+    hashed = df.select(F.xxhash64(key).alias("_hash"), key)
+    repeated = stage(hashed.groupBy("_hash").agg(F.count("*").alias("n")).where("n > 1"), "repeated")
+    again = hashed.join(repeated.select("_hash"), "_hash", "left_semi").groupBy(key).agg(F.count("*").alias("n"))
+    none = F.lit(0).cast("bigint").alias("surplus")
+    counts = (
+        df.agg(F.count("*").alias("keys"), none)
+        .unionByName(repeated.agg((-F.sum("n")).alias("keys"), none))
+        .unionByName(again.agg(F.count("*").alias("keys"), F.sum(F.col("n") - 1).alias("surplus")))
+    )
+    return counts.agg(
+        (F.coalesce(F.sum("surplus"), F.lit(0)) == 0).alias("is_unique"),
+        F.sum("keys").cast("bigint").alias("distinct_keys"),
+        F.coalesce(F.sum("surplus"), F.lit(0)).cast("bigint").alias("surplus_rows"),
+    )
+
+
 def orphan_keys(child: DataFrame, key: str, parent: DataFrame, parent_key: str | None = None) -> DataFrame:
     """Non-NULL child keys without a parent row, with their row count.
 
     The child is counted per key first, so a hot key reaches the join as one
     row. ``count`` of the key is 0 for the NULL group and drops it; a NULL
     filter would be pushed down and recompute a derived key per row.
+
+    The parents are merged in sorted order and never broadcast. Spark would take their size
+    from the packed files and the share of one column, a hundredth of what millions of keys
+    need in the driver's memory.
     """
-    parents = parent.select(F.col(parent_key or key).alias(key))
+    parents = parent.select(F.col(parent_key or key).alias(key)).hint("merge")
     counted = child.groupBy(key).agg(F.count(key).alias("row_count")).where("row_count > 0")
     return counted.join(parents, key, "left_anti")
 

@@ -12,7 +12,7 @@ from shelfwatch.functions.dates import calendar_parts, date_key, to_time
 from shelfwatch.functions.numeric import to_decimal, to_key
 from shelfwatch.functions.text import text_flag
 from shelfwatch.operators.dedup import latest_per_key, near_newest
-from shelfwatch.operators.quality import not_null_violations, orphan_keys, uniqueness
+from shelfwatch.operators.quality import long_key_uniqueness, not_null_violations, orphan_keys, uniqueness
 from shelfwatch.schema import (
     CLEAN_COLUMNS,
     FACT_DECIMALS,
@@ -72,14 +72,14 @@ def load_dim_label(raw: DataFrame, label: str) -> DataFrame:
     return distinct.select(number.alias(f"{label}_key"), label).where(F.col(label).isNotNull())
 
 
-def load_dim_product(raw: DataFrame) -> DataFrame:
+def load_dim_product(raw: DataFrame, stage: Callable[[DataFrame, str], DataFrame] = materialise) -> DataFrame:
     """Newest record per numeric product id, typed (type-1 history).
 
     The key is the parsed id itself: unique by construction and stable over
     reloads, where a 64-bit hash would start to collide near a billion products
     and a global numbering would need one task.
     """
-    rows = near_newest(identified(raw), ["product_key"], "scraped_at")
+    rows = near_newest(identified(raw), ["product_key"], "scraped_at", stage=stage)
     newest = latest_per_key(rows, ["product_key"], "scraped_at", PRODUCT_ATTRIBUTES)
     return typed_products(newest)
 
@@ -208,19 +208,21 @@ def build_star(
     raw: DataFrame,
     stage: Callable[[DataFrame, str], DataFrame] = materialise,
     buckets_for: Callable[[DataFrame], int] | None = None,
+    landed: bool = False,
 ) -> dict[str, DataFrame]:
     """Dimensions and fact over the same landing rows.
 
-    The landing rows are written once, as the columns that the star reads, and read three
+    The landing rows are written once (not again if they are read from files: ``landed``), as the columns that the star reads, and read three
     times with pruned columns. The product dimension is written before the fact meets it:
     joined as a table it is broadcast when small, and when large Spark may split the
     partition of a hot product. The fact is written too, which fixes its keys;
     ``buckets_for`` tells from the written landing rows into how many buckets.
     """
-    landing = stage(raw.select(*STAR_COLUMNS), "landing")
+    landing = raw.select(*STAR_COLUMNS)
+    landing = landing if landed else stage(landing, "landing")
     buckets = buckets_for(landing) if buckets_for else None
     star = small_dimensions(landing, stage)
-    star["dim_product"] = stage(load_dim_product(landing), "dim-product")
+    star["dim_product"] = stage(load_dim_product(landing, stage), "dim-product")
     star["fact_product_snapshot"] = stage(
         load_fact(landing, star["dim_price_tier"], star["dim_discount_band"], buckets=buckets), "fact"
     )
@@ -232,11 +234,17 @@ def product_snapshot(star: dict[str, DataFrame]) -> DataFrame:
     return star_join(star["fact_product_snapshot"], star)
 
 
-def star_join(fact: DataFrame, star: dict[str, DataFrame]) -> DataFrame:
-    """Some rows of the fact with the columns of their dimensions."""
+def star_join(fact: DataFrame, star: dict[str, DataFrame], newest: bool = False) -> DataFrame:
+    """Some rows of the fact with the columns of their dimensions.
+
+    With ``newest`` the fact has one row per product, so the product dimension is no smaller
+    and is merged with it in sorted order. Left to choose, Spark would broadcast millions of
+    products: it takes their size from the packed files and the share of the columns read.
+    """
+    products = star["dim_product"].hint("merge") if newest else star["dim_product"]
     joined = (
         fact.join(star["dim_date"].select("date_key", "full_date"), "date_key")
-        .join(star["dim_product"], "product_key")
+        .join(products, "product_key")
         .join(star["dim_price_tier"], "price_tier_key", "left")
         .join(star["dim_discount_band"], "discount_band_key", "left")
     )
@@ -257,7 +265,7 @@ def product_latest(star: dict[str, DataFrame]) -> DataFrame:
     newest = latest_per_key(
         star["fact_product_snapshot"], ["product_key"], "date_key", ["snapshot_ts", *FACT_MEASURES]
     )
-    return star_join(newest, star)
+    return star_join(newest, star, newest=True)
 
 
 # Primary, unique and foreign keys of the star.
@@ -282,7 +290,7 @@ FOREIGN_KEYS = [
 def audit_unique(star: dict[str, DataFrame]) -> DataFrame:
     """Surplus rows per declared key."""
     checks = [
-        uniqueness(star[table], keys).select(
+        (long_key_uniqueness(star[table], *keys) if keys == ["snapshot_key"] else uniqueness(star[table], keys)).select(
             F.lit(table).alias("table_name"), F.lit(",".join(keys)).alias("key_name"), "is_unique", "surplus_rows"
         )
         for table, keys in UNIQUE_KEYS

@@ -30,19 +30,21 @@ def latest_lines(lines: DataFrame) -> DataFrame:
     return latest_per_key(lines, ["l_partkey"], "l_shipdate", LINE_ORDER)
 
 
-def _with_parents(spark: SparkSession, folder: str, lines: DataFrame) -> DataFrame:
+def _with_parents(spark: SparkSession, folder: str, lines: DataFrame, by_part: bool = False) -> DataFrame:
     """Lines with part and region.
 
     One table at a time, so that Spark sees the size of each and broadcasts
-    those that are small without moving the lines.
+    those that are small without moving the lines. The part comes last, as its texts
+    would make a move by supplier a wide one; it comes first where the lines
+    lie ``by_part`` already and need no move to it.
     """
-    steps = [
-        ("part", "l_partkey", "p_partkey"),
+    part = [("part", "l_partkey", "p_partkey")]
+    region = [
         ("supplier", "l_suppkey", "s_suppkey"),
         ("nation", "s_nationkey", "n_nationkey"),
         ("region", "n_regionkey", "r_regionkey"),
     ]
-    for name, child, parent in steps:
+    for name, child, parent in part + region if by_part else region + part:
         lines = lines.join(table(spark, folder, name), F.col(child) == F.col(parent))
     return lines
 
@@ -102,7 +104,7 @@ def latest_products(spark: SparkSession, folder: str) -> DataFrame:
     see one row per product.
     """
     lines = latest_lines(table(spark, folder, "lineitem"))
-    return _warehouse_types(_mapped(_with_parents(spark, folder, lines))).drop(*LINE_ORDER)
+    return _warehouse_types(_mapped(_with_parents(spark, folder, lines, by_part=True))).drop(*LINE_ORDER)
 
 
 def landing_rows(spark: SparkSession, folder: str) -> DataFrame:

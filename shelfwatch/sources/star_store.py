@@ -21,13 +21,15 @@ from pyspark.sql import functions as F
 
 from shelfwatch.plans import warehouse
 from shelfwatch.schema import BUCKET_KEYS, STAR_TYPES
-from shelfwatch.session import materialise
+from shelfwatch.session import pack, passing_shuffles, passing_stages, sliced
 from shelfwatch.sources import versions
 
 #: Buckets of a small star.
 BUCKETS = 64
 #: Landing rows per bucket beyond that: a bucket is written, sorted and read by one task.
 ROWS_PER_BUCKET = 500_000
+#: Landing rows whose fact is dealt to its buckets at once; the shuffle files on disk are those of so many rows.
+ROWS_AT_ONCE = 48_000_000
 #: The tables that are written as they are built.
 BUILT = {"dim-product": "dim_product", "fact": "fact_product_snapshot"}
 
@@ -46,16 +48,17 @@ def conform(df: DataFrame, name: str) -> DataFrame:
     return df.select(*declared)
 
 
-def _write(df: DataFrame, name: str, table: str, path: str, buckets: int) -> None:
+def _write(df: DataFrame, name: str, table: str, path: str, buckets: int, mode: str = "errorifexists") -> None:
     checked = conform(df, name)
     key = BUCKET_KEYS.get(name)
     if key is None:
         # Labels and dates, one file.
-        checked.coalesce(1).write.option("path", path).saveAsTable(table, format="parquet")
+        checked.coalesce(1).write.option("path", path).saveAsTable(table, format="parquet", mode=mode)
         return
     # The same hash deals rows to tasks and to buckets: one file per bucket. The fact comes dealt.
     dealt = checked if name == "fact_product_snapshot" else checked.repartition(buckets, key)
-    dealt.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table, format="parquet")
+    writer = dealt.write.bucketBy(buckets, key).sortBy(key).option("path", path).option("compression", "zstd")
+    writer.saveAsTable(table, format="parquet", mode=mode)
 
 
 def table_name(state: dict, name: str) -> str:
@@ -83,12 +86,15 @@ def audit(star: dict[str, DataFrame]) -> list[str]:
 
 
 def reload_star(
-    spark: SparkSession, raw: DataFrame, root: str, database: str = "curated", buckets: int = BUCKETS, audited: bool = True
+    spark: SparkSession, raw: DataFrame, root: str, database: str = "curated", buckets: int = BUCKETS, audited: bool = True,
+    landed: bool = False,
 ) -> dict[str, DataFrame]:
     """Load the star of the landing rows ``raw`` and make it current; returns it.
 
     ``buckets`` is the least number of buckets; there are more where a bucket would get more
-    than ``ROWS_PER_BUCKET`` rows. The fact moves once, to its buckets, and is written there.
+    than ``ROWS_PER_BUCKET`` rows. The fact moves once, to its buckets, and is written there;
+    beyond ``ROWS_AT_ONCE`` rows some buckets after the others. ``landed`` tells that ``raw`` is
+    read from files, which need no copy. What was staged on the way is deleted.
 
     Raises :class:`StarRefused` where a table does not conform or an audit finds a fault,
     and :class:`versions.ConcurrentPublish` where another reload was faster; the star
@@ -103,24 +109,33 @@ def reload_star(
     }
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
+    slices = 1
+
     def buckets_for(landing: DataFrame) -> int:
-        state["buckets"] = max(buckets, -(-landing.count() // ROWS_PER_BUCKET))
+        nonlocal slices
+        rows = landing.count()
+        state["buckets"] = max(buckets, -(-rows // ROWS_PER_BUCKET))
+        slices = min(state["buckets"], -(-rows // ROWS_AT_ONCE))
         return state["buckets"]
 
     def write(df: DataFrame, name: str) -> DataFrame:
-        _write(df, name, table_name(state, name), state["paths"][name], state["buckets"])
+        key = BUCKET_KEYS.get(name)
+        for part in sliced(df, slices if name == BUILT["fact"] else 1, key, state["buckets"]):
+            _write(part, name, table_name(state, name), state["paths"][name], state["buckets"], "append")
         return spark.table(table_name(state, name))
 
     def stage(df: DataFrame, label: str) -> DataFrame:
-        return write(df, BUILT[label]) if label in BUILT else materialise(df, label)
+        return write(df, BUILT[label]) if label in BUILT else pack(df, label)
 
     try:
-        staged = warehouse.build_star(raw, stage, buckets_for)
-        for name, df in staged.items():
-            if name not in BUILT.values():
-                write(df, name)
-        star = _frames(spark, state)
-        faults = audit(star) if audited else []
+        with passing_shuffles(spark), passing_stages(spark):
+            staged = warehouse.build_star(raw, stage, buckets_for, landed)
+            for name, df in staged.items():
+                if name not in BUILT.values():
+                    write(df, name)
+        with passing_shuffles(spark), passing_stages(spark):
+            star = _frames(spark, state)
+            faults = audit(star) if audited else []
         if faults:
             raise StarRefused("; ".join(faults))
         versions.publish(spark, root, state, number)

@@ -21,10 +21,11 @@ def _rounded(expression: str, digits: int) -> str:
 
 
 def _star_join(fact: str) -> str:
+    """Fact and products lie in the same buckets and are merged there; Spark would broadcast millions of products, by the size of their packed files."""
     shown = ["f.snapshot_key", "d.full_date", *[f"p.{c}" for c in _PRODUCT], "t.price_tier", "b.discount_band"]
     shown += [f"f.{c}" for c in [*FACT_MEASURES, "snapshot_ts"]]
     return (
-        f"SELECT {', '.join(shown)} FROM {fact} f JOIN {{db}}.dim_date d ON f.date_key = d.date_key"
+        f"SELECT /*+ MERGE(p) */ {', '.join(shown)} FROM {fact} f JOIN {{db}}.dim_date d ON f.date_key = d.date_key"
         " JOIN {db}.dim_product p ON f.product_key = p.product_key"
         " LEFT JOIN {db}.dim_price_tier t ON f.price_tier_key = t.price_tier_key"
         " LEFT JOIN {db}.dim_discount_band b ON f.discount_band_key = b.discount_band_key"

@@ -142,7 +142,7 @@ def read_store(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 def latest_snapshots(store: dict[str, DataFrame]) -> DataFrame:
     """The latest view of a store: no snapshot but the newest per product is read."""
-    return warehouse.star_join(store["latest_fact"], store)
+    return warehouse.star_join(store["latest_fact"], store, newest=True)
 
 
 def run_upsert(

@@ -176,3 +176,68 @@ def test_the_fact_moves_once(spark, root, monkeypatch):
     star_store.reload_star(spark, landing(spark, named()), root, buckets=4)
     plan = next(text for name, text in plans if name == "fact_product_snapshot")
     assert plan.count("RepartitionByExpression [product_key") == 1 and plan.index("Aggregate") < plan.index("RepartitionByExpression")
+
+
+def test_an_audit_broadcasts_no_keys(spark, root):
+    star = star_store.reload_star(spark, landing(spark, named()), root, buckets=4)
+    found = warehouse.audit_foreign_keys(star)
+    assert [r.orphan_rows for r in found.collect()] == [0, 0, 0, 0]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan and "SortMergeJoin" in plan
+    assert not [line for line in plan.splitlines() if "Exchange hashpartitioning(product_key" in line]
+
+
+def test_products_are_merged_where_they_lie(spark, root):
+    from shelfwatch.sources import views
+
+    star = star_store.reload_star(spark, landing(spark, named()), root, buckets=4)
+    views.publish_views(spark, root, "merged_views")
+    other = spark.newSession()
+    shown = [other.table(f"merged_views.{v}") for v in ("product_snapshot", "product_latest", "price_premium")]
+    for df in [warehouse.product_latest(star), *shown]:
+        lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+        assert [line for line in lines if "SortMergeJoin [product_key" in line]
+        assert not [line for line in lines if "Join [product_key" in line and "Broadcast" in line]
+        assert not [line for line in lines if "Exchange hashpartitioning(product_key" in line]
+
+
+def test_the_fact_is_written_in_slices_of_whole_buckets(spark, root, monkeypatch):
+    raw = landing(spark, named() + named()[:3])
+    want = sorted(tuple(r) for r in warehouse.build_star(raw)["fact_product_snapshot"].select("snapshot_key", "product_key").collect())
+    monkeypatch.setattr(star_store, "ROWS_AT_ONCE", 10)
+    written, write = [], star_store._write
+    monkeypatch.setattr(star_store, "_write", lambda df, name, *rest: written.append(name) or write(df, name, *rest))
+    fact = star_store.reload_star(spark, raw, root, buckets=8)["fact_product_snapshot"]
+    assert sorted(tuple(r) for r in fact.select("snapshot_key", "product_key").collect()) == want
+    assert written.count("fact_product_snapshot") == 5
+    files = [f.rsplit("_", 1)[1].split(".")[0] for f in fact.inputFiles()]
+    assert len(files) == len(set(files)) <= 8  # no bucket in two files
+    plan = fact.groupBy("product_key").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_a_reload_leaves_nothing_staged(spark, root):
+    from shelfwatch import session
+
+    app = spark.sparkContext.applicationId
+    before = list(session._stages.get(app, []))
+    star_store.reload_star(spark, landing(spark, named()), root, buckets=4)
+    assert session._stages[app] == before
+    assert spark.conf.get(session.SHUFFLES_GO) == "false"
+
+
+def test_landing_rows_in_files_are_not_copied(spark, root, monkeypatch):
+    from shelfwatch.session import pack
+
+    raw, labels = pack(landing(spark, named()), "landing"), []
+    monkeypatch.setattr(star_store, "pack", lambda df, label: labels.append(label) or pack(df, label))
+    star_store.reload_star(spark, raw, root, buckets=4, landed=True)
+    assert "labels" in labels and "landing" not in labels
+
+
+def test_long_keys_are_counted_by_hash(rows):
+    from shelfwatch.operators import quality
+
+    for cells in ([], [("a",)], [("a",), ("b",)], [("a",), ("b",), ("a",), ("a",), (None,), (None,), ("c",)]):
+        df = rows("k string", *cells)
+        assert quality.long_key_uniqueness(df, "k").first() == quality.uniqueness(df, ["k"]).first()
