@@ -109,15 +109,16 @@ def passing_shuffles(spark: SparkSession) -> Iterator[None]:
 
 
 @contextmanager
-def passing_stages(spark: SparkSession) -> Iterator[None]:
-    """What is staged inside is deleted at the end, when the results lie in tables of their own."""
+def passing_stages(spark: SparkSession, keep: str | None = None) -> Iterator[None]:
+    """What is staged inside, except below the label ``keep``, is deleted at the end, when the results lie in tables of their own."""
     made = _stages.setdefault(spark.sparkContext.applicationId, [])
     before = len(made)
     try:
         yield
     finally:
-        _delete(spark, made[before:])
-        del made[before:]
+        kept = [p for p in made[before:] if keep and p.rsplit("/", 1)[1].rpartition("-")[0] == keep]
+        _delete(spark, [p for p in made[before:] if p not in kept])
+        made[before:] = kept
 
 
 def _file_system(spark: SparkSession, name: str):
@@ -142,6 +143,14 @@ def stage_once(spark: SparkSession, key: tuple, build: Callable[[], T]) -> T:
     return made
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the stages that ``df`` reads, once nothing else does."""
+    made, files = _stages.get(df.sparkSession.sparkContext.applicationId, []), df.inputFiles()
+    for path in [p for p in made if any(p.rsplit("/", 1)[1] in f for f in files)]:
+        _delete(df.sparkSession, [path])
+        made.remove(path)
+
+
 def drop_stages(spark: SparkSession) -> int:
     """Delete what was written below paths of ``fresh_path`` for this application; returns how many paths.
 

@@ -128,14 +128,26 @@ def dated_name(spark: SparkSession, prefix: str, input_path: str) -> str:
 _WRITTEN = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV part files with a header; quotes and the blanks around a cell survive a round trip."""
-    df.write.mode("overwrite").options(**_WRITTEN).csv(path)
+#: Rows per packed CSV file: it cannot be split, so a task reads all of it.
+ROWS_PER_FILE = 1_000_000
 
 
-def append_csv(df: DataFrame, path: str) -> None:
+def _csv_writer(df: DataFrame, mode: str, packed: bool):
+    writer = df.write.mode(mode).options(**_WRITTEN)
+    return writer.option("compression", "gzip").option("maxRecordsPerFile", ROWS_PER_FILE) if packed else writer
+
+
+def write_csv(df: DataFrame, path: str, packed: bool = False) -> None:
+    """CSV part files with a header; quotes and the blanks around a cell survive a round trip.
+
+    ``packed`` files are gzipped (``*.csv.gz``) and small enough for a task each.
+    """
+    _csv_writer(df, "overwrite", packed).csv(path)
+
+
+def append_csv(df: DataFrame, path: str, packed: bool = False) -> None:
     """The same, beside the files that are there: an arrival for a stream."""
-    df.write.mode("append").options(**_WRITTEN).csv(path)
+    _csv_writer(df, "append", packed).csv(path)
 
 
 def write_clean(df: DataFrame, folder: str, input_path: str, prefix: str = "clean") -> str:

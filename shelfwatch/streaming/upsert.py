@@ -28,8 +28,9 @@ from shelfwatch.functions.dates import calendar_parts, to_time
 from shelfwatch.operators.dedup import latest_per_key, near_newest
 from shelfwatch.plans import warehouse
 from shelfwatch.schema import FACT_MEASURES, PRODUCT_ATTRIBUTES, STAR_TYPES
-from shelfwatch.session import materialise
+from shelfwatch.session import materialise, pack, passing_shuffles, passing_stages, sliced
 from shelfwatch.sources import versions
+from shelfwatch.sources.star_store import ROWS_AT_ONCE
 
 #: Parts of a keyed table; choose it so that a part is some hundred megabytes at the size the store will have.
 PARTS = 64
@@ -92,16 +93,20 @@ def upsert(spark: SparkSession, root: str, landing: DataFrame, batch_id: int, pa
     state = versions.state(spark, root) or _empty(parts)
     if batch_id <= state["batch"]:
         return False
-    rows = materialise(landing.select(*warehouse.STAR_COLUMNS), "arrival")
-    for label in LABELS:
-        state["labels"][label] += _listed(rows, label, state["labels"][label])
-    days = rows.select(F.to_date(to_time(F.col("scraped_at"))).cast("string").alias("day"))
-    state["dates"] = sorted([*state["dates"], *_listed(days, "day", state["dates"])])
-    tiers, bands = (_label_dimension(spark, c, state["labels"][c]) for c in LABELS)
-    fact = f"{root}/fact/batch_id={batch_id}"
-    warehouse.load_fact(rows, tiers, bands, arrival=batch_id).hint("rebalance").write.mode("overwrite").parquet(fact)
-    _merge(spark, root, state, "latest", spark.read.schema(_fact_schema()).parquet(fact), batch_id)
-    _merge(spark, root, state, "products", warehouse.identified(rows), batch_id)
+    with passing_shuffles(spark), passing_stages(spark):
+        rows = pack(landing.select(*warehouse.STAR_COLUMNS), "arrival")
+        for label in LABELS:
+            state["labels"][label] += _listed(rows, label, state["labels"][label])
+        days = rows.select(F.to_date(to_time(F.col("scraped_at"))).cast("string").alias("day"))
+        state["dates"] = sorted([*state["dates"], *_listed(days, "day", state["dates"])])
+        # Written, so that Spark knows they are small and does not move the rows by a handful of labels.
+        tiers, bands = (materialise(_label_dimension(spark, c, state["labels"][c]), c) for c in LABELS)
+        fact = f"{root}/fact/batch_id={batch_id}"
+        loaded = warehouse.load_fact(rows, tiers, bands, arrival=batch_id)  # it comes dealt over all tasks
+        for i, part in enumerate(sliced(loaded, -(-rows.count() // ROWS_AT_ONCE), "product_key")):
+            part.write.mode("append" if i else "overwrite").option("compression", "zstd").parquet(fact)
+        _merge(spark, root, state, "latest", spark.read.schema(_fact_schema()).parquet(fact), batch_id)
+        _merge(spark, root, state, "products", warehouse.identified(rows), batch_id)
     versions.publish(spark, root, state | {"batch": batch_id}, batch_id)
     return True
 

@@ -174,3 +174,12 @@ def test_stage_once_builds_again_when_its_files_are_gone(spark, rows):
     folder = stage_once(spark, ("t", 1), build).inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
     shutil.rmtree(folder)
     assert stage_once(spark, ("t", 1), build).first().a == 2
+
+
+def test_packed_csv_survives_a_round_trip(spark, rows, tmp_path):
+    df = rows("a string, b string", ("x, \"y\"", " z "), (None, ""), ("é", "1"))
+    files.write_csv(df, str(tmp_path / "out"), packed=True)
+    assert list((tmp_path / "out").glob("*.csv.gz")) and not list((tmp_path / "out").glob("*.csv"))
+    files.write_csv(df, str(tmp_path / "plain"))
+    back = [sorted(map(str, files.read_text_csv(spark, str(tmp_path / p)).collect())) for p in ("out", "plain")]
+    assert back[0] == back[1] and len(back[0]) == 3

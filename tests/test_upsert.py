@@ -106,3 +106,44 @@ def test_too_many_labels_are_refused(spark, tmp_path, monkeypatch):
         upsert.upsert(spark, str(tmp_path / "store"), raw, 0)
     with pytest.raises(FileNotFoundError):
         upsert.read_store(spark, str(tmp_path / "store"))
+
+
+def test_packed_arrivals_go_in_slices_and_leave_nothing_staged(spark, tmp_path, monkeypatch):
+    from shelfwatch import session
+    from shelfwatch.sources import files
+
+    monkeypatch.setattr(upsert, "ROWS_AT_ONCE", 10)
+    monkeypatch.setattr(files, "ROWS_PER_FILE", 7)
+    before = list(session._stages.get(spark.sparkContext.applicationId, []))
+    folder, root, state = str(tmp_path / "in"), str(tmp_path / "store"), str(tmp_path / "state")
+    for cells in arrivals():
+        files.append_csv(landing(spark, cells), folder, packed=True)
+        upsert.run_upsert(intake.csv_stream(spark, folder, "*.csv.gz", columns=CLEAN_COLUMNS), root, state, parts=3)
+    assert session._stages.get(spark.sparkContext.applicationId, []) == before
+    names = [p.name for p in (tmp_path / "in").glob("part-*")]
+    assert len(names) >= 7 and all(n.endswith(".csv.gz") for n in names)
+    compare(spark, root, [c for part in arrivals() for c in part])
+
+
+def test_rows_of_a_batch_are_not_moved_by_label(spark, tmp_path, monkeypatch):
+    plans, load = [], upsert.warehouse.load_fact
+
+    def seen(*args, **options):
+        out = load(*args, **options)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(upsert.warehouse, "load_fact", seen)
+    upsert.upsert(spark, str(tmp_path / "store"), landing(spark, landing_cells()), 0)
+    assert plans[0].count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(price_tier" not in plans[0]
+
+
+def test_a_batch_that_fails_in_a_later_slice_replaces_itself(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(upsert, "ROWS_AT_ONCE", 10)
+    root, cells = str(tmp_path / "store"), landing_cells()
+    with monkeypatch.context() as patched:
+        patched.setattr(upsert, "_merge", lambda *args: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            upsert.upsert(spark, root, landing(spark, cells + cells), 0)
+    upsert.upsert(spark, root, landing(spark, cells), 0)
+    compare(spark, root, cells)
