@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shelfwatch.operators import features, normalise, outliers, parsing, quality
 from shelfwatch.operators.dedup import latest_per_key, near_newest, newest_distinct
 from shelfwatch.schema import CLEAN_COLUMNS, HELPER_COLUMNS
-from shelfwatch.session import materialise
+from shelfwatch.session import materialise, passing_shuffles
 
 
 def _unwatched(df: DataFrame, *counters: Column) -> DataFrame:
@@ -81,8 +81,9 @@ def run_cleaning(raw: DataFrame, exact: bool = True, nulls: str = "last") -> tup
         seen.append(Observation())
         return df.observe(seen[-1], *counters)
 
-    latest = type_and_dedup(raw, exact, nulls, watch)
-    rows = quality.drop_constant_columns(materialise(enrich_rows(latest, watch), "clean-rows"), ["status"])
+    with passing_shuffles(raw.sparkSession):
+        latest = type_and_dedup(raw, exact, nulls, watch)
+        rows = quality.drop_constant_columns(materialise(enrich_rows(latest, watch), "clean-rows"), ["status"])
     flagged = watch(
         _ordered(outliers.flag_outliers(rows)),
         F.count("*").alias("rows"),

@@ -183,3 +183,13 @@ def test_packed_csv_survives_a_round_trip(spark, rows, tmp_path):
     files.write_csv(df, str(tmp_path / "plain"))
     back = [sorted(map(str, files.read_text_csv(spark, str(tmp_path / p)).collect())) for p in ("out", "plain")]
     assert back[0] == back[1] and len(back[0]) == 3
+
+
+def test_the_raw_file_of_the_main_chain_goes_when_it_is_cleaned(spark):
+    import __spark_entry__
+    from shelfwatch import session
+
+    before = len(session._stages.get(spark.sparkContext.applicationId, []))
+    clean = __spark_entry__.cleaned_landing(spark, "/root/testdata/sf0.001")
+    left = [p.rsplit("/", 1)[1].rpartition("-")[0] for p in session._stages[spark.sparkContext.applicationId][before:]]
+    assert left == ["clean"] and clean.count() > 0
