@@ -15,6 +15,7 @@ off, and Spark's skew join splits those products instead.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -163,6 +164,28 @@ def read_star(spark: SparkSession, root: str, number: int | None = None) -> dict
     return _frames(spark, state)
 
 
+def loads_together(spark: SparkSession, root: str, name: str, numbers: list[int]) -> DataFrame:
+    """A bucketed table as several loads wrote it, with the number of the ``load``, as one table over their files.
+
+    A bucket of all loads is read by one task, so rows are compared between loads without a
+    shuffle. Loads with different numbers of buckets are appended to each other instead.
+    """
+    states = [versions.state(spark, root, number) for number in numbers]
+    if len({state["buckets"] for state in states}) > 1:
+        frames = [read_star(spark, root, n)[name].withColumn("load", F.lit(n)) for n in numbers]
+        return reduce(DataFrame.unionByName, frames)
+    key, buckets = BUCKET_KEYS[name], states[0]["buckets"]
+    table = f"{states[0]['database']}.{name}__loads_{uuid.uuid4().hex[:8]}"
+    columns = ", ".join(f"{c} {t}" for c, t in STAR_TYPES[name].items())
+    spark.sql(
+        f"CREATE TABLE {table} ({columns}, load int) USING parquet PARTITIONED BY (load)"
+        f" CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{root}/_{table.rsplit('.', 1)[1]}'"
+    )
+    for number, state in zip(numbers, states, strict=True):
+        spark.sql(f"ALTER TABLE {table} ADD PARTITION (load={number}) LOCATION '{state['paths'][name]}'")
+    return spark.table(table)
+
+
 def drop_old(spark: SparkSession, root: str, keep: int = 2) -> int:
     """Delete all but the newest ``keep`` loads, once no reader uses them; returns how many went."""
     old = versions.forget(spark, root, keep)

@@ -241,3 +241,16 @@ def test_long_keys_are_counted_by_hash(rows):
     for cells in ([], [("a",)], [("a",), ("b",)], [("a",), ("b",), ("a",), ("a",), (None,), (None,), ("c",)]):
         df = rows("k string", *cells)
         assert quality.long_key_uniqueness(df, "k").first() == quality.uniqueness(df, ["k"]).first()
+
+
+def test_two_loads_are_compared_without_a_shuffle(spark, root):
+    star_store.reload_star(spark, landing(spark, named()), root, buckets=4)
+    star_store.reload_star(spark, landing(spark, named()[::-1]), root, buckets=4)
+    star_store.reload_star(spark, landing(spark, named()[:9]), root, buckets=2)
+    for numbers, buckets in (([1, 2], 4), ([1, 3], 2)):
+        both = star_store.loads_together(spark, root, "fact_product_snapshot", numbers)
+        assert sorted((r.load, r["count"]) for r in both.groupBy("load").count().collect()) == [(1, 38), (numbers[1], 38 if buckets == 4 else 9)]
+        keys = both.select("snapshot_key", "product_key").distinct()
+        assert len(keys.collect()) == keys.count() == 38
+        plan = both.select("snapshot_key", "product_key").distinct()._jdf.queryExecution().executedPlan().toString()
+        assert ("Exchange" in plan) == (buckets != 4)
