@@ -256,15 +256,18 @@ def latest_of(snapshot: DataFrame) -> DataFrame:
     return latest_per_key(snapshot, ["product_id"], "full_date", ["snapshot_ts", *FACT_MEASURES])
 
 
-def product_latest(star: dict[str, DataFrame]) -> DataFrame:
+def product_latest(star: dict[str, DataFrame], near: bool = False) -> DataFrame:
     """The same rows with the newest fact chosen before the star join.
 
+    ``near`` looks for the newest dates first, by narrow columns: for a fact that does not lie
+    in buckets of products, where all its rows would be moved.
+
     Equal to :func:`latest_of` as long as every fact has its date and product,
     which :func:`audit` checks. The wide join then sees one row per product.
     """
-    newest = latest_per_key(
-        star["fact_product_snapshot"], ["product_key"], "date_key", ["snapshot_ts", *FACT_MEASURES]
-    )
+    fact = star["fact_product_snapshot"]
+    fact = near_newest(fact, ["product_key"], "date_key") if near else fact
+    newest = latest_per_key(fact, ["product_key"], "date_key", ["snapshot_ts", *FACT_MEASURES])
     return star_join(newest, star, newest=True)
 
 

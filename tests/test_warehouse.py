@@ -199,3 +199,20 @@ def test_a_fact_not_laid_out_by_date_is_written_as_it_was_dealt(spark, rows, mon
     catalog.create_layers(spark, ["dealt_once"])
     star = catalog.write_star(spark, raw, "dealt_once", by_date=False)
     assert star["fact_product_snapshot"].count() > 0 and hints == []
+
+
+def test_a_full_reload_goes_in_slices_and_leaves_nothing_staged(spark, rows, monkeypatch):
+    from shelfwatch import session
+
+    raw = rows(", ".join(f"{c} string" for c in CLEAN_COLUMNS), *[tuple(c.get(n) for n in CLEAN_COLUMNS) for c in landing_cells()])
+    want = warehouse.build_star(raw)
+    monkeypatch.setattr(catalog, "ROWS_AT_ONCE", 10)
+    catalog.create_layers(spark, ["in_slices"])
+    before = list(session._stages.get(spark.sparkContext.applicationId, []))
+    for by_date in (True, False):
+        star = catalog.write_star(spark, raw, "in_slices", by_date)
+        for name, table in star.items():
+            assert sorted(map(str, table.select(want[name].columns).collect())) == sorted(map(str, want[name].collect())), name
+    latest = catalog.publish_latest(spark, star, "in_slices.product_latest")
+    assert sorted(map(str, latest.collect())) == sorted(map(str, warehouse.product_latest(want).collect()))
+    assert session._stages[spark.sparkContext.applicationId] == before
